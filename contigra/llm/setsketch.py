@@ -9,9 +9,11 @@ sizes estimates the Jaccard similarity and drops pairs far below the threshold;
 are confirmed on full sets.  Texts with equal sets are one class; links join classes and
 connected components follow by star contraction.
 
-A bucket never emits all its pairs: it links its members to its smallest member, and after
-components are known, members to the smallest member of each other component in the
-bucket, until nothing new links.  So a group of n near copies costs about n pairs a band.
+A bucket never emits all its pairs: it links its members to its smallest member, so a group
+of n near copies costs about n pairs a band.  Where a bucket still holds several components after
+that, its members are compared whole: buckets that share members form a cluster, a cluster is cut
+into blocks of about ``TILE`` members, and each pair of blocks is one small task that compares
+across components by registers and confirms on full sets.  Only confirmed links leave it.
 
 Defined cases: A-Z are lower-cased and words are ``[^\\x20\\x09-\\x0D]+``; null, empty and blank
 texts have the empty set and link with nothing; fewer words than the shingle length make one
@@ -33,9 +35,10 @@ from xxhash import xxh3_128_digest
 
 from contigra.llm.common import column_bytes, mix, shingle_blocks, shingles, slices, words, write_shared
 
-BANDS, ROWS = 60, 6
+REGISTERS, ROWS, DEALS = 360, 9, 3  # DEALS * REGISTERS / ROWS bands
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
-MARGIN = 0.12
+MARGIN = 0.1  # 4.7 standard errors of the estimate at 0.8
+TILE, TILE_BYTES = 512, 16 << 20
 THRESHOLD = (80, 100)
 BITS = 1 << 24
 
@@ -48,7 +51,7 @@ def _parameters(m: int) -> tuple[np.ndarray, np.ndarray]:
     return (x[:m].astype(np.uint32) | np.uint32(1)), x[m:].astype(np.uint32)
 
 
-def registers(elements: np.ndarray, offsets: np.ndarray, m: int = BANDS * ROWS) -> np.ndarray:
+def registers(elements: np.ndarray, offsets: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     """(rows, m) registers of the non-empty sets elements[offsets[r]:offsets[r + 1]]."""
     n = len(offsets) - 1
     least = np.empty((m, n), np.uint32)
@@ -65,12 +68,21 @@ def registers(elements: np.ndarray, offsets: np.ndarray, m: int = BANDS * ROWS)
     return np.clip(np.floor(1 - draws / math.log(BASE)), 0, LIMIT + 1).astype(np.uint16)
 
 
-def band_keys(regs: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def bands(m: int = REGISTERS, rows: int = ROWS, deals: int = DEALS) -> np.ndarray:
+    """(bands, rows) registers of each band: ``deals`` times all registers are shuffled and cut into bands.
+
+    With nine registers a band and 120 bands, sets of similarity 0.8 share one but for a chance of 3e-8,
+    and sets of similarity 0.3 do so with a chance of 0.0024.
+    """
+    rng = np.random.default_rng(5)
+    return np.concatenate([rng.permutation(m)[: m // rows * rows].reshape(-1, rows) for _ in range(deals)])
+
+
+def band_keys(regs: np.ndarray, of: np.ndarray) -> np.ndarray:
     """(rows, bands) 64-bit keys of the bands of registers."""
-    r = regs.reshape(len(regs), bands, rows).astype(np.uint64)
-    key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), r.shape[:2]).copy()
-    for j in range(rows):
-        key = mix(key + r[:, :, j] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    key = np.broadcast_to(mix(np.arange(1, len(of) + 1, dtype=np.uint64)), (len(regs), len(of))).copy()
+    for j in range(of.shape[1]):
+        key = mix(key + regs[:, of[:, j]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
     return key
 
 
@@ -114,14 +126,14 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, hi long, lo long, regs binary")
 
 
-def _bands(reps: DataFrame, bands: int, rows: int) -> DataFrame:
+def _banded(reps: DataFrame, of: np.ndarray) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "regs", 4 << 20):
-            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-            keys = band_keys(regs, bands, rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], names=["key", "node"])
+            regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+            keys = band_keys(regs, of).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy(), len(of))) for c in (0, 1))], names=["key", "node", "n"])
 
-    return reps.select("node", "regs").mapInArrow(run, "key long, node long")
+    return reps.select("node", "n", "regs").mapInArrow(run, "key long, node long, n long")
 
 
 # ---------------------------------------------------------------- exact links
@@ -186,6 +198,51 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, thresh
     return both.select("a", "b", "fa", "fb").mapInArrow(confirm, "a long, b long").distinct()
 
 
+def _tiled(docs: DataFrame, open_: DataFrame, reps: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
+    """Confirmed links (a, b) between components among members (node, c) of clusters joined by ``low``."""
+    least, of = threshold
+    floor = least / of - MARGIN
+    cluster = components(open_.select(F.col("node").alias("a"), F.col("low").alias("b")), "near-clusters")
+    wanted = write_shared(open_.select("node", "c").distinct().join(cluster.withColumnRenamed("component", "cluster"), "node"), "near-wanted")
+    full = _full_sets(docs, wanted.select("node").distinct(), k)
+    whole = write_shared(wanted.join(reps.select("node", "n", "regs"), "node").join(full, "node").where(F.col("n") * 8 == F.length("full")), "near-whole")
+    sizes = whole.groupBy("cluster").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("t"))
+    sizes = sizes.select("cluster", F.ceil(F.greatest(F.col("g") / TILE, F.col("t") * 8 / TILE_BYTES)).alias("blocks"))
+    cut = whole.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("cluster", "node", "c", "n", "regs", "full", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), -1)
+        node, c, n, block = (pdf[x].to_numpy() for x in ("node", "c", "n", "block"))
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["full"]]
+        rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        root = {x: x for x in c.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for p, x in enumerate(rows):
+            y = cols if first != second else cols[p + 1 :]
+            y = y[(c[y] != c[x]) & (np.minimum(n[y], n[x]) * of >= np.maximum(n[y], n[x]) * least)]
+            y = y[(regs[y] == regs[x]).mean(1) >= floor - 0.02]
+            if len(y):
+                y = y[estimate(np.broadcast_to(regs[x], (len(y), regs.shape[1])), regs[y], np.full(len(y), n[x], float), n[y].astype(float)) >= floor]
+            for z in y.tolist():
+                a, b = find(int(c[x])), find(int(c[z]))
+                if a != b:  # a link within what is joined already changes nothing
+                    both = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                    if of * both >= least * (len(sets[x]) + len(sets[z]) - both):
+                        root[max(a, b)] = min(a, b)
+                        found.append((min(node[x], node[z]), max(node[x], node[z])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return tiles.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
 # ---------------------------------------------------------------- components
 
 
@@ -211,7 +268,7 @@ def components(links: DataFrame, name: str = "near-components") -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row a row of ``docs``."""
     sketch = write_shared(sketches(docs, k), "near-sketches")
     known = sketch.where("doc_id is not null and n > 0")
@@ -219,25 +276,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = TH
     # regs of a class come from the row of its smallest doc_id: equal sets have equal registers
     rep = known.join(classes.select("hi", "lo", F.col("node").alias("doc_id")), ["doc_id", "hi", "lo"], "left_semi")
     reps = write_shared(rep.select(F.col("doc_id").alias("node"), "n", "regs", "hi", "lo").dropDuplicates(["node", "hi", "lo"]), "near-reps")
-    banded = _bands(reps, bands, rows)
-    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    banded = _banded(reps, bands())
+    shared = banded.groupBy("key").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("high")).where("low.node < high")
     buckets = write_shared(banded.join(shared.select("key", "low"), "key").distinct(), "near-buckets")
-    tried = write_shared(buckets.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+    least, of = threshold
+    near = F.least("n", "m") * of >= F.greatest("n", "m") * least  # sizes further apart can't reach the threshold
+    first = buckets.where("node <> low.node").select("node", "n", F.col("low.node").alias("a"), F.col("low.n").alias("m"))
+    tried = write_shared(first.where(near).select("a", F.col("node").alias("b")).distinct(), "near-pairs")
     links = write_shared(_verified(docs, tried, reps, k, threshold), "near-links")
-    while True:
+    member = write_shared(components(links), "near-members")
+    named = buckets.join(member, "node", "left").select("key", "node", "n", F.col("low.node").alias("low"), F.coalesce("component", "node").alias("c"))
+    mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
+    open_ = write_shared(named.join(mixed, "key", "left_semi").select("node", "low", "c").distinct(), "near-open")
+    if not open_.isEmpty():
+        links = links.union(write_shared(_tiled(docs, open_, reps, k, threshold), "near-links"))
         member = write_shared(components(links), "near-members")
-        named = buckets.join(member, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
-        open_ = write_shared(named.join(mixed, "key", "left_semi"), "near-open")
-        heads = open_.groupBy("key", "c").agg(F.min("node").alias("head"))
-        pairs = open_.join(heads.withColumnRenamed("c", "hc"), "key").where("c <> hc").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
-        fresh = write_shared(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        if fresh.isEmpty():
-            break
-        more = write_shared(_verified(docs, fresh, reps, k, threshold), "near-links")
-        if more.isEmpty():
-            break
-        tried, links = tried.union(fresh), links.union(more)
     copies = classes.where("rows_ > 1").select("hi", "lo", "node")
     rows_ = sketch.select("doc_id", "n", "hi", "lo").join(copies, ["hi", "lo"], "left").withColumn("node", F.when(F.col("n") > 0, F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")))
     component = F.coalesce("component", "node")
