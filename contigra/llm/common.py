@@ -30,16 +30,31 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def batched(df: DataFrame) -> DataFrame:
+    """``df``; Arrow batches of texts hold BATCH_ROWS rows, unless the session has a number of its own.
+
+    Spark's default of 10,000 rows is made for numbers: with whole texts it takes some 100 MB a task on either side.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH) == "10000":
+        conf.set(BATCH, str(BATCH_ROWS))
+    return df
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the files: lineage ends here."""
-    spark = df.sparkSession
+    spark = batched(df).sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return batched(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -84,7 +99,7 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose column ``name`` holds about ``limit`` bytes, a row at least."""
     for batch in batches:
         if not batch.num_rows:

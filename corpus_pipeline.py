@@ -9,32 +9,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from contigra.llm import packing, quality, secret_scan, setsketch, tiling
-from contigra.llm.common import documents, write_shared
+from contigra.llm.common import batched, documents, write_shared
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    return quality.drop_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.drop_rejected(batched(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
-    return setsketch.drop_near_duplicates(docs)
+    return setsketch.drop_near_duplicates(batched(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return tiling.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return tiling.drop_contaminated(batched(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays."""
-    return secret_scan.redact(docs)
+    return secret_scan.redact(batched(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token sequences: one row a piece."""
-    return packing.pack(docs)
+    return packing.pack(batched(docs))
 
 
 STAGES = [
