@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CONTEXT = 2
 BUCKET = 64
-CACHED = 1_000_000
+CACHED = 300_000
 #: Production edits of the query: (numerator, denominator) of the place, characters deleted, text inserted.
 EDITS = (((1, 3), 0, " an inserted phrase,"), ((1, 2), 7, ""), ((2, 3), 5, "Xy z"))
 

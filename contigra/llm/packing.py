@@ -36,7 +36,7 @@ CAPACITY = 4096
 END_ID = 1
 ROUNDS = 300
 ETA = 4.0
-CACHED = 1_000_000
+CACHED, KEPT = 300_000, 100_000
 TOKENIZER = "word_bpe_49k.json"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part_ long, local_ long"
@@ -49,8 +49,8 @@ class CachedTokenizer:
     """Ids of a text by way of its chunks between ASCII white space.
 
     The tokenizer's patterns never cross white space, so the ids of a text are those of
-    its chunks in order.  Chunks met before are looked up; at ``CACHED`` chunks the cache
-    starts anew.
+    its chunks in order.  Chunks met before are looked up; beyond ``CACHED`` chunks the cache goes
+    back to the ``KEPT`` that came first, among which are the frequent ones.
     """
 
     #: The tokenizer's own pre-token pattern (a fixed value).
@@ -66,14 +66,16 @@ class CachedTokenizer:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for k, i in vocab.items() if k.endswith("</w>")]] = True
-        self.clear()
-
-    def clear(self) -> None:
         self.index: defaultdict[bytes, int] = defaultdict(count().__next__)  # numbers chunks as they come
         self.known = 0  # those whose ids are stored
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
+    def _shrink(self) -> None:
+        self.index = defaultdict(count(KEPT).__next__, islice(self.index.items(), KEPT))
+        self.known, self.used = KEPT, int(self.start[KEPT])
+        self.ids, self.start, self.length = self.ids[: max(self.used, 1 << 16)].copy(), self.start[:KEPT].copy(), self.length[:KEPT].copy()
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -108,7 +110,7 @@ class CachedTokenizer:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit numbers."""
         if len(self.index) > CACHED:
-            self.clear()
+            self._shrink()
         get = self.index.__getitem__
         split = [np.fromiter(map(get, chunks), np.int64, len(chunks)) for chunks in map(bytes.split, texts)]
         if new := len(self.index) - self.known:
