@@ -28,7 +28,7 @@ from contigra.llm.models import LABELLED, labelled, lexical, map_text
 
 GRADES = 4
 SELECTED = 2048
-TOXIC_AT = 0.5
+TOXIC_AT = 0.3
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def log_odds(pos: np.ndarray, neg: np.ndarray, p: int, n: int) -> tuple[np.ndarr
     return lor, lor / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
 
 
-def fit_cumulative(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, width: int, grades: int = GRADES, l2: float = 2e-4, steps: int = 150) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, width: int, grades: int = GRADES, l2: float = 2e-5, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by Adam on the penalised likelihood; features (rows, cols) are 1."""
     n = len(y)
     w = np.zeros(width)
