@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -99,6 +100,13 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def release() -> None:
+    """Give memory that a task has used back to the system: workers are reused and would hold it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose column ``name`` holds about ``limit`` bytes, a row at least."""
     for batch in batches:
@@ -112,6 +120,7 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -
             stop = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 def shingle_blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
