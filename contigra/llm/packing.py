@@ -314,5 +314,5 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, rou
             pdf["offset"] = table["offset"][i] + k % table["each"][i] * x
             yield pdf[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    joined = held.join(ranks, ["part_", "length"])
+    joined = held.join(ranks.hint("merge"), ["part_", "length"])  # it grows with the partitions, so it is never broadcast
     return joined.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
