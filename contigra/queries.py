@@ -457,7 +457,8 @@ def k09(t: Tables) -> DataFrame:
 
 @query("recruit", "SELECT bin_id, contig_id, connections FROM (SELECT *, count(*) OVER (PARTITION BY bin_id) AS k, rank() OVER (PARTITION BY bin_id ORDER BY connections DESC) AS r FROM near WHERE contig_id NOT IN (SELECT p_partkey FROM part WHERE p_size > 45)) WHERE k <= 20 OR r <= 19")
 def recruit(t: Tables) -> DataFrame:
-    black = t.part.where("p_size > 45").select(F.col("p_partkey").alias("contig_id")).crossJoin(F.broadcast(t.part.select(F.col("p_brand").alias("bin_id")).distinct()))
+    bad = t.part.where("p_size > 45").select(F.col("p_partkey").alias("contig_id"))
+    black = D.neighbours(t.brands(), t.edges()).join(bad, "contig_id", "left_semi").select("bin_id", "contig_id")
     return P.recruit(t.brands(), t.edges(), black)
 
 
