@@ -8,7 +8,7 @@ recursion in log space over its bytes; single bytes are always pieces, so no wor
 Pieces never cross words, so a document's marginal log probability is the sum over its
 words and one end symbol.
 
-Each distinct word is scored once.  The ``hot`` most frequent words go to all tasks (their number is a
+Each distinct word is scored once.  At most ``hot`` of the most frequent words go to all tasks (a
 parameter); the other words of a document meet their scores in a join by word.
 
 Defined cases: A-Z are lower-cased and words are ``[^\\x20\\x09-\\x0D]+``; null, empty and blank texts
@@ -212,6 +212,23 @@ def piece_probabilities(counts: DataFrame, path: str) -> np.ndarray:
     return np.log(np.concatenate((got + PRIOR * vocabulary(path).prior, [ends + 1.0])) / (got.sum() + PRIOR + ends + 1.0))
 
 
+def frequent(known: DataFrame, hot: int) -> DataFrame:
+    """The rows of the most frequent words, ``hot`` at most, and of the end symbol.
+
+    Words are taken by bands of counts (eight to a doubling) as long as whole bands fit.  The bands' sizes are a few
+    hundred numbers, so nothing is sorted, and no task sends more than its share of the chosen words.
+    """
+    band = F.floor(8 * F.log2(F.greatest("c", F.lit(1))))
+    sizes = known.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).collect()  # 8 x 63 rows at most
+    least, held = 8 * 64, 0
+    for r in sorted(sizes, key=lambda r: -r["band"]):
+        held += r["n"]
+        if held > hot:
+            break
+        least = r["band"]
+    return known.where((band >= least) | (F.length("word") == 0))
+
+
 def score(docs: DataFrame, path: str | None = None, hot: int = HOT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row a row of ``docs``."""
     path = path or default_vocabulary()
@@ -231,7 +248,7 @@ def score(docs: DataFrame, path: str | None = None, hot: int = HOT) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["word", "c", "lp"])
 
     known = write_shared(counts.mapInArrow(run, "word binary, c long, lp double"), "lattice-words")
-    top = known.orderBy(F.col("c").desc(), "word").limit(hot).toPandas()  # ``hot`` rows
+    top = frequent(known, hot).toPandas()  # ``hot`` rows and the end at most
     index = {bytes(w): k for k, w in enumerate(top["word"])}
     index.setdefault(b"", len(top))
     c = np.append(top["c"].to_numpy(np.int64), 0)
