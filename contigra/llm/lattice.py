@@ -37,6 +37,7 @@ VOCABULARY = "piece_bpe_32k.model"
 HOT = 150_000
 PRIOR = 1000.0
 FLUSH = 300_000
+GATHERED, GATHERED_BYTES = 20_000, 8 << 20
 START = 0xFF  # stands for the word-start mark; never a byte of UTF-8
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -160,6 +161,19 @@ def lattices(vocab: Vocabulary, rows: list[bytes]) -> Iterator[tuple[np.ndarray,
             yield np.array(own), Lattice(vocab, [rows[n] for n in own])
 
 
+def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together to GATHERED rows or GATHERED_BYTES: lattices need many words of one length."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= GATHERED or size >= GATHERED_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
@@ -198,7 +212,7 @@ def piece_probabilities(counts: DataFrame, path: str) -> np.ndarray:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, out = vocabulary(path), np.zeros(size)
         logp = np.log(vocab.prior)
-        for batch in batches:
+        for batch in gathered(batches):
             rows, c = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             for at, lattice in lattices(vocab, rows):
                 lattice.expected(logp, c[at].astype(float), out)
@@ -241,7 +255,7 @@ def score(docs: DataFrame, path: str | None = None, hot: int = HOT) -> DataFrame
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, own = vocabulary(path), pieces.value
-        for batch in batches:
+        for batch in gathered(batches):
             rows, out = batch.column(0).to_pylist(), np.full(batch.num_rows, own[-1])
             for at, lattice in lattices(vocab, rows):
                 out[at] = lattice.forward(own)[-1]
