@@ -14,6 +14,7 @@ from contigra.operators import aggregates as A
 from contigra.operators import filters as C
 from contigra.operators import graph as J
 from contigra.operators import joins as D
+from contigra.operators import ml as K
 from contigra.operators import selection as G
 from contigra.operators import sets as H
 from contigra.queries import SQL, WITH, Tables, query
@@ -296,3 +297,128 @@ def i10(t: Tables) -> DataFrame:
 @hit_query("j01_one_hop", "SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT bin_id, contig_id, 1 FROM near")
 def j01(t: Tables) -> DataFrame:
     return J.reach(t.brands(), t.edges(), 1)
+
+
+def rivals(t: Tables) -> DataFrame:
+    """Pairs of bins with lineages, sizes and connections."""
+    p = F.col("trial")
+    one = F.when(p % 3 == 0, "s__a").when(p % 3 == 1, "g__b").otherwise("root")
+    two = F.when(p % 2 == 0, "g__b").otherwise("p__c")
+    return trials(t).select("trial", F.col("cpn").alias("cpn1"), F.col("ctn").alias("ctn1"), F.col("cpn0").alias("cpn2"), F.col("ctn0").alias("ctn2"), one.alias("lineage1"), two.alias("lineage2"), (p % 500).alias("size1"), (p * 7 % 500).alias("size2"), (p % 4).alias("connections1"), (p % 3).alias("connections2"))
+
+
+RIVALS = """, rivals AS (SELECT trial, cpn AS cpn1, ctn AS ctn1, cpn0 AS cpn2, ctn0 AS ctn2, CASE trial % 3 WHEN 0 THEN 's__a' WHEN 1 THEN 'g__b' ELSE 'root' END AS lineage1, CASE trial % 2 WHEN 0 THEN 'g__b' ELSE 'p__c' END AS lineage2, CASE trial % 3 WHEN 0 THEN 11.4 WHEN 1 THEN 7.6 ELSE 0 END AS w1, CASE trial % 2 WHEN 0 THEN 7.6 ELSE 1.5 END AS w2,
+  trial % 500 AS size1, trial * 7 % 500 AS size2, (trial % 500) / nullif(trial % 4, 0) AS r1, (trial * 7 % 500) / nullif(trial % 3, 0) AS r2 FROM trials) """
+
+
+def chain(t: Tables, length: int) -> DataFrame:
+    """Paths of ``length`` parts with neighbouring numbers."""
+    p = F.col("p_partkey")
+    return t.part.where(p % length != length - 1).select(p.alias("node1"), (p + 1).alias("node2"))
+
+
+@hit_query("g09_best_variant", "SELECT bin_id, variant FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY completeness - 5 * contamination DESC, number % 3 DESC, CASE WHEN number % 2 = 1 THEN 1 ELSE 0 END DESC, variant DESC) AS r FROM (SELECT *, repeat('.', CAST(number % 3 AS INTEGER)) || number AS variant FROM variants)) WHERE r = 1")
+def g09(t: Tables) -> DataFrame:
+    n = F.col("number")
+    dots = F.when(n % 3 == 0, "").when(n % 3 == 1, ".").otherwise("..")
+    return G.best_variant(variants(t).select("bin_id", F.concat(dots, n.cast("string")).alias("variant"), "completeness", "contamination", (n % 2).cast("string").alias("threshold"))).select("bin_id", "variant")
+
+
+@hit_query("g12_hybrid_choice", ", v AS (SELECT *, completeness - 5 * contamination AS five FROM variants WHERE number < 1000), tops AS (SELECT bin_id, max(n50) AS top_n50, max(five) AS top_five FROM v WHERE assembler <> 'IDBA' GROUP BY 1) SELECT bin_id, number FROM (SELECT bin_id, number, row_number() OVER (PARTITION BY bin_id ORDER BY CASE WHEN five >= 40 THEN 1000 + five ELSE completeness - contamination END DESC, n50 DESC, assembler DESC) AS r FROM v LEFT JOIN tops USING (bin_id) WHERE assembler <> 'IDBA' OR top_five IS NULL OR five - top_five >= 6 OR (five - top_five >= 3 AND n50 / nullif(top_n50, 0) >= 0.5)) WHERE r = 1")
+def g12(t: Tables) -> DataFrame:
+    return G.hybrid_choice(variants(t).where("number < 1000")).select("bin_id", "number")
+
+
+@hit_query("g14_merge_candidates", RIVALS + "SELECT trial FROM rivals WHERE trial % 5 <> 0 AND lineage1 = lineage2 AND cpn1 + cpn2 <= 105")
+def g14(t: Tables) -> DataFrame:
+    return G.merge_candidates(rivals(t).withColumn("alike", F.col("trial") % 5 != 0)).select("trial")
+
+
+@hit_query("g15_similar_bins", "SELECT a.p_partkey AS bin_id, b.p_partkey AS partner FROM part a JOIN part b ON a.p_partkey // 10 = b.p_partkey // 10 AND a.p_partkey <> b.p_partkey WHERE b.p_partkey % 7 <= 5")
+def g15(t: Tables) -> DataFrame:
+    quality = variants(t).select(F.col("number").alias("bin_id"), "contamination")
+    return G.similar_bins(chain(t, 10), quality)
+
+
+@hit_query("g17_by_lineage", RIVALS + "SELECT trial, CASE WHEN w1 > w2 THEN 1 WHEN w1 < w2 THEN 2 WHEN cpn1 - ctn1 > cpn2 - ctn2 THEN 1 WHEN cpn1 - ctn1 < cpn2 - ctn2 THEN 2 WHEN r1 > r2 THEN 1 WHEN r1 < r2 THEN 2 WHEN size1 > size2 THEN 1 ELSE 2 END AS winner, CASE WHEN w1 * (cpn1 - ctn1) >= w2 * (cpn2 - ctn2) THEN 1 ELSE 2 END AS by_product FROM rivals")
+def g17(t: Tables) -> DataFrame:
+    return rivals(t).select("trial", G.by_lineage().alias("winner"), G.by_lineage(multiply=True).alias("by_product"))
+
+
+@hit_query("g19_final_ties", "SELECT trial, CASE WHEN trial % 3 = 0 THEN 2 ELSE trial % 3 END AS winner FROM trials")
+def g19(t: Tables) -> DataFrame:
+    return G.final_ties(trials(t).select("trial", (F.col("trial") % 3).alias("winner")), final=True)
+
+
+@hit_query("h07_changed_variants", "SELECT bin_id, variant FROM (SELECT *, lead(flags) OVER (PARTITION BY bin_id ORDER BY variant) AS after FROM (SELECT l_suppkey AS bin_id, l_linenumber AS variant, list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS flags FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY 1, 2)) WHERE flags IS DISTINCT FROM after")
+def h07(t: Tables) -> DataFrame:
+    m = t.lineitem.where("l_orderkey % 4 = 0").select(F.col("l_suppkey").alias("bin_id"), F.col("l_linenumber").alias("variant"), F.concat("l_returnflag", "l_linestatus").alias("flags"))
+    return H.changed_variants(m, ["flags"])
+
+
+@hit_query("i04_gc_percent", "SELECT doc_id, round(100.0 * (length(text) - length(replace(replace(text, 'G', ''), 'C', '')))::DOUBLE / nullif(length(text), 0), 6) AS gc FROM documents")
+def i04(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.round(S.gc_percent("text"), 6).alias("gc"))
+
+
+@hit_query("i08_kmer_vector", """, dna AS (SELECT doc_id, translate(md5(CAST(doc_id AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s FROM documents), mers AS (SELECT doc_id, [substr(s, i, 2) for i in range(1, 32)] AS m FROM dna) SELECT doc_id, round((len([x for x in m if x = 'AA']) + len([x for x in m if x = 'TT'])) / 62, 6) AS aa, round(2 * len([x for x in m if x = 'AT']) / 62, 6) AS at, round((len([x for x in m if x = 'GA']) + len([x for x in m if x = 'TC'])) / 62, 6) AS ga FROM mers""")
+def i08(t: Tables) -> DataFrame:
+    dna = t.documents.select("doc_id", F.translate(F.md5(F.col("doc_id").cast("string").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("s"))
+    v, at = dna.select("doc_id", S.kmer_vector("s", 2, 1).alias("v")), S.all_kmers(2)
+    return v.select("doc_id", *[F.round(F.col("v")[at.index(x)], 6).alias(x.lower()) for x in ("AA", "AT", "GA")])
+
+
+@hit_query("i09_windows", "SELECT doc_id, cuts + 1 AS pieces, n - 500 * cuts AS last FROM (SELECT doc_id, length(text) AS n, CAST(greatest(ceil((length(text) - 1000) / 500), 0) AS BIGINT) AS cuts FROM documents)")
+def i09(t: Tables) -> DataFrame:
+    w = t.documents.select("doc_id", S.windows("text", 500).alias("w"))
+    return w.select("doc_id", F.size("w").alias("pieces"), F.length(F.element_at("w", -1)).alias("last"))
+
+
+@hit_query("i12_strip_extension", "SELECT p_partkey, replace(p_name, ' ', '.') AS name, regexp_replace(replace(p_name, ' ', '.'), '\\.[^.]*$', '') AS stem FROM part")
+def i12(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", F.translate("p_name", " ", ".").alias("name")).withColumn("stem", S.strip_extension("name"))
+
+
+@hit_query("i14_number", "SELECT p_partkey, TRY_CAST(s AS DOUBLE) AS value FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN CAST(p_size AS VARCHAR) ELSE p_size || '.25' END AS s FROM part)")
+def i14(t: Tables) -> DataFrame:
+    k, size = F.col("p_partkey") % 3, F.col("p_size").cast("string")
+    return t.part.select("p_partkey", S.number(F.when(k == 0, F.col("p_name")).when(k == 1, size).otherwise(F.concat(size, F.lit(".25")))).alias("value"))
+
+
+@hit_query("j03_three_hops", "SELECT m.p_partkey AS bin_id, c.p_partkey AS contig_id, abs(c.p_partkey - m.p_partkey) AS level FROM part m JOIN part c ON c.p_partkey // 50 = m.p_partkey // 50 AND abs(c.p_partkey - m.p_partkey) <= 3 WHERE m.p_partkey % 20 = 0")
+def j03(t: Tables) -> DataFrame:
+    seeds = t.part.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("bin_id"), F.col("p_partkey").alias("contig_id"))
+    return J.reach(seeds, chain(t, 50), 3)
+
+
+@hit_query("j05_gap_groups", "SELECT p_partkey AS node, p_partkey - p_partkey % 50 AS component FROM part")
+def j05(t: Tables) -> DataFrame:
+    return J.connected_components(chain(t, 50))
+
+
+@hit_query("j08_elongate", "SELECT p_partkey AS target, p_partkey + s AS contig_id, s AS step FROM (SELECT p_partkey, unnest(range(0, 6)) AS s FROM part WHERE p_partkey % 50 = 20)")
+def j08(t: Tables) -> DataFrame:
+    near = chain(t, 50).select(F.col("node1").alias("query"), F.col("node2").alias("subject"), F.lit(100).alias("length"))
+    far = near.select("query", (F.col("subject") + 1).alias("subject"), F.lit(50).alias("length"))
+    return J.elongate(t.part.where("p_partkey % 50 = 20").select(F.col("p_partkey").alias("contig_id")), near.union(far), rounds=5)
+
+
+@hit_query("j12_single_paths", """, h AS (SELECT l_orderkey AS read_id, l_partkey * 10 + l_linenumber AS contig_id, CASE WHEN l_linestatus = 'F' THEN 's' ELSE 'e' END AS "end" FROM lineitem) SELECT read_id, contig_id, "end" FROM (SELECT *, min(read_id) OVER (PARTITION BY contig_id, "end") AS lo, max(read_id) OVER (PARTITION BY contig_id, "end") AS hi FROM h) WHERE lo = hi""")
+def j12(t: Tables) -> DataFrame:
+    h = t.lineitem.select(F.col("l_orderkey").alias("read_id"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("contig_id"), F.when(F.col("l_linestatus") == "F", "s").otherwise("e").alias("end"))
+    return J.single_paths(h).select("read_id", "contig_id", "end")
+
+
+@hit_query("k04_neighbour_outliers", "SELECT bin_id, contig_id, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) WHERE sample_idx = 1")
+def k04(t: Tables) -> DataFrame:
+    d = t.depth().where("sample_idx = 1").select("contig_id", "depth")
+    own = t.brands().select("bin_id", "contig_id").join(d, "contig_id")
+    return K.outside(own, D.neighbours(t.brands(), t.edges()).join(d, "contig_id"), 1.5, "depth").select("bin_id", "contig_id", "outlier")
+
+
+@hit_query("k05_features", "SELECT p_partkey AS contig_id, 19 AS size, round(m, 6) AS mean, round(((p_size - m) ** 2 + (p_retailprice - m) ** 2 + (1 - m) ** 2) / 3, 4) AS variance, greatest(p_size, p_retailprice, 1.0) AS top FROM (SELECT *, (p_size + p_retailprice + 1) / 3 AS m FROM part)")
+def k05(t: Tables) -> DataFrame:
+    depths = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), F.lit(1.0))
+    f = K.features(t.part.select(F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.lit(0.5)).alias("kmers")))
+    v = F.col("vector")
+    return f.select("contig_id", F.size(v).alias("size"), F.round(v[3], 6).alias("mean"), F.round(v[4], 4).alias("variance"), v[6].alias("top"))

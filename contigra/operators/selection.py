@@ -62,9 +62,9 @@ def _best(df: DataFrame, order: Column, key: str = "bin_id") -> DataFrame:
 
 
 def best_variant(variants: DataFrame, key: str = "bin_id") -> DataFrame:
-    """G-9 and G-10: by completeness - 5 contamination, then dots in the name, then threshold ``1``."""
+    """G-9 and G-10: by completeness - 5 contamination, then dots in the name, then threshold ``1``, then the last name."""
     dots = F.length("variant") - F.length(F.replace("variant", F.lit("."), F.lit("")))
-    return _best(variants, F.struct(delta("completeness", "contamination", 5), dots, (F.col("threshold") == "1").cast("int")), key)
+    return _best(variants, F.struct(delta("completeness", "contamination", 5), dots, (F.col("threshold") == "1").cast("int"), F.col("variant")), key)
 
 
 def reassembly_choice(candidates: DataFrame, margin: float = 3.0) -> DataFrame:

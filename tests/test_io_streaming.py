@@ -105,7 +105,7 @@ def duck():
 
 
 def _names():
-    from contigra.queries import SQL
+    from contigra.hit_queries import SQL
 
     return sorted(SQL)
 
