@@ -266,7 +266,7 @@ def g08(t: Tables) -> DataFrame:
 
 @hit_query("g11_reassembly_choice", "SELECT bin_id, number FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY completeness - 5 * contamination - CASE WHEN assembler = 'IDBA' THEN 3 ELSE 0 END DESC, CASE WHEN assembler <> 'IDBA' THEN 1 ELSE 0 END DESC, n50 DESC, assembler DESC) AS r FROM (SELECT * FROM variants WHERE number < 1000)) WHERE r = 1")
 def g11(t: Tables) -> DataFrame:
-    return G.reassembly_choice(variants(t).where("number < 1000")).select("bin_id", "number")
+    return G.reassembly_choice(variants(t)).select("bin_id", "number")
 
 
 @hit_query("g13_polished", "SELECT trial, ctn <= ctn0 AS accepted FROM trials")
@@ -326,7 +326,7 @@ def g09(t: Tables) -> DataFrame:
 
 @hit_query("g12_hybrid_choice", ", v AS (SELECT *, completeness - 5 * contamination AS five FROM variants WHERE number < 1000), tops AS (SELECT bin_id, max(n50) AS top_n50, max(five) AS top_five FROM v WHERE assembler <> 'IDBA' GROUP BY 1) SELECT bin_id, number FROM (SELECT bin_id, number, row_number() OVER (PARTITION BY bin_id ORDER BY CASE WHEN five >= 40 THEN 1000 + five ELSE completeness - contamination END DESC, n50 DESC, assembler DESC) AS r FROM v LEFT JOIN tops USING (bin_id) WHERE assembler <> 'IDBA' OR top_five IS NULL OR five - top_five >= 6 OR (five - top_five >= 3 AND n50 / nullif(top_n50, 0) >= 0.5)) WHERE r = 1")
 def g12(t: Tables) -> DataFrame:
-    return G.hybrid_choice(variants(t).where("number < 1000")).select("bin_id", "number")
+    return G.hybrid_choice(variants(t)).select("bin_id", "number")
 
 
 @hit_query("g14_merge_candidates", RIVALS + "SELECT trial FROM rivals WHERE trial % 5 <> 0 AND lineage1 = lineage2 AND cpn1 + cpn2 <= 105")
@@ -352,7 +352,7 @@ def g19(t: Tables) -> DataFrame:
 
 @hit_query("h07_changed_variants", "SELECT bin_id, variant FROM (SELECT *, lead(flags) OVER (PARTITION BY bin_id ORDER BY variant) AS after FROM (SELECT l_suppkey AS bin_id, l_linenumber AS variant, list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS flags FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY 1, 2)) WHERE flags IS DISTINCT FROM after")
 def h07(t: Tables) -> DataFrame:
-    m = t.lineitem.where("l_orderkey % 4 = 0").select(F.col("l_suppkey").alias("bin_id"), F.col("l_linenumber").alias("variant"), F.concat("l_returnflag", "l_linestatus").alias("flags"))
+    m = t.lineitem.select(F.col("l_suppkey").alias("bin_id"), F.col("l_linenumber").alias("variant"), F.concat("l_returnflag", "l_linestatus").alias("flags"))
     return H.changed_variants(m, ["flags"])
 
 

@@ -58,7 +58,9 @@ def rolled_back(pairs: DataFrame) -> DataFrame:
 
 
 def _best(df: DataFrame, order: Column, key: str = "bin_id") -> DataFrame:
-    return df.withColumn("o_", order).groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), "o_").alias("r_")).select(key, "r_.*")
+    """By key, the row that is last in ``order``, then in its columns from the left."""
+    row = F.struct(*[c for c in df.columns if c != key])
+    return df.withColumn("o_", order).groupBy(key).agg(F.max_by(row, F.struct("o_", row)).alias("r_")).select(key, "r_.*")
 
 
 def best_variant(variants: DataFrame, key: str = "bin_id") -> DataFrame:
