@@ -411,9 +411,8 @@ def j12(t: Tables) -> DataFrame:
 
 @hit_query("k04_neighbour_outliers", "SELECT bin_id, contig_id, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) WHERE sample_idx = 1")
 def k04(t: Tables) -> DataFrame:
-    d = t.depth().where("sample_idx = 1").select("contig_id", "depth")
-    own = t.brands().select("bin_id", "contig_id").join(d, "contig_id")
-    return K.outside(own, D.neighbours(t.brands(), t.edges()).join(d, "contig_id"), 1.5, "depth").select("bin_id", "contig_id", "outlier")
+    near = D.neighbours(t.brands(), t.edges()).join(t.depth(), "contig_id")
+    return K.outside(t.bin_depths(), near, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 
 @hit_query("k05_features", "SELECT p_partkey AS contig_id, 19 AS size, round(m, 6) AS mean, round(((p_size - m) ** 2 + (p_retailprice - m) ** 2 + (1 - m) ** 2) / 3, 4) AS variance, greatest(p_size, p_retailprice, 1.0) AS top FROM (SELECT *, (p_size + p_retailprice + 1) / 3 AS m FROM part)")

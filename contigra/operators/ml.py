@@ -55,13 +55,13 @@ def first_component(vectors: DataFrame, key: str = "bin_id", id_: str = "contig_
     return vectors.join(axes, key).select(key, id_, (dot - F.col("shift")).alias("pc1"))
 
 
-def outside(scores: DataFrame, candidates: DataFrame, k: float = 1.5, value: str = "pc1") -> DataFrame:
-    """K-2, K-3 and K-4: candidates (bin_id, contig_id, value) with ``outlier``: beyond the bin's k-fence."""
+def outside(scores: DataFrame, candidates: DataFrame, k: float = 1.5, value: str = "pc1", keys: tuple[str, ...] | list[str] = ("bin_id",)) -> DataFrame:
+    """K-2, K-3 and K-4: candidates (keys, contig_id, value) with ``outlier``: beyond the k-fence of the bin, or of other ``keys``."""
     from contigra.operators.aggregates import quartiles
 
-    q = quartiles(scores, ["bin_id"], value)
+    q = quartiles(scores, [*keys], value)
     iqr = F.col("q3") - F.col("q1")
-    return candidates.join(q, "bin_id").withColumn("outlier", (F.col(value) < F.col("q1") - k * iqr) | (F.col(value) > F.col("q3") + k * iqr)).drop("q1", "q3")
+    return candidates.join(q, [*keys]).withColumn("outlier", (F.col(value) < F.col("q1") - k * iqr) | (F.col(value) > F.col("q3") + k * iqr)).drop("q1", "q3")
 
 
 def features(contigs: DataFrame) -> DataFrame:

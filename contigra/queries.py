@@ -235,7 +235,7 @@ def e07(t: Tables) -> DataFrame:
 
 @query("i02_coverage_buckets", "SELECT contig_id, sample_idx, CASE WHEN depth = 0 THEN '0000' WHEN depth < 9 THEN '000' || CAST(floor(depth + 1) AS BIGINT) WHEN depth = 9 THEN '0009' WHEN depth < 10 THEN '0010' WHEN depth < 20 THEN '00' || CAST(10 + 2 * ceil((depth - 10) / 2) AS BIGINT) ELSE '00' || CAST(20 + 3 * ceil((depth - 20) / 3) AS BIGINT) END AS coarse, CASE WHEN depth = 0 THEN '0000' WHEN depth < 9 THEN '000' || CAST(floor(depth + 1) AS BIGINT) WHEN depth = 9 THEN '0009' WHEN depth < 20 THEN '00' || CAST(floor(depth + 1) AS BIGINT) ELSE '00' || CAST(20 + 2 * ceil((depth - 20) / 2) AS BIGINT) END AS fine FROM depth WHERE depth < 50")
 def i02(t: Tables) -> DataFrame:
-    return t.depth().where("depth < 50").select("contig_id", "sample_idx", S.covrange("depth").alias("coarse"), S.dcovrange("depth").alias("fine"))
+    return t.depth().select("contig_id", "sample_idx", S.covrange("depth").alias("coarse"), S.dcovrange("depth").alias("fine"))
 
 
 @query("e09_bin_coverage", "SELECT bin_id, sample_idx, round(depth, 4) AS depth FROM bin_cov")
@@ -390,7 +390,7 @@ def g02(t: Tables) -> DataFrame:
 
 @query("g04_survivors", "SELECT bin_id FROM quality WHERE bin_id NOT IN (SELECT CASE WHEN cpn1 - 5 * ctn1 > cpn2 - 5 * ctn2 THEN bin2 ELSE bin1 END FROM qp WHERE cpn1 - 5 * ctn1 <> cpn2 - 5 * ctn2 AND bin1 < 'src12')")
 def g04(t: Tables) -> DataFrame:
-    return G.survivors(t.quality().select("bin_id"), _pairs(t).where("bin1 < 'src12'").withColumn("winner", G.across_assemblies()))
+    return G.survivors(t.quality().select("bin_id"), _pairs(t).withColumn("winner", G.across_assemblies()))
 
 
 @query("g05_refined", "SELECT bin1, bin2, CASE WHEN cpn1 - ctn1 > cpn2 - ctn2 AND cpn1 - 5 * ctn1 >= cpn2 - 5 * ctn2 THEN 'accept' WHEN cpn1 - ctn1 > cpn2 - ctn2 THEN 'deep' WHEN cpn1 > cpn2 AND cpn2 >= 40 AND ctn2 <= 10 AND ctn1 <= 50 THEN 'deep' ELSE 'keep' END AS verdict FROM qp")
@@ -422,7 +422,7 @@ def i05(t: Tables) -> DataFrame:
 
 @query("j02_reach", ", strong AS (SELECT node1, node2 FROM both_e WHERE connections >= 2) SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands WHERE bin_id < 'Brand#13' UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN strong e ON b.contig_id = e.node1 WHERE bin_id < 'Brand#13' UNION ALL SELECT b.bin_id, f.node2, 2 FROM brands b JOIN strong e ON b.contig_id = e.node1 JOIN strong f ON e.node2 = f.node1 WHERE bin_id < 'Brand#13') GROUP BY 1, 2")
 def j02(t: Tables) -> DataFrame:
-    return J.reach(t.brands().where("bin_id < 'Brand#13'"), t.edges().where("connections >= 2"), 2)
+    return J.reach(t.brands(), t.edges().where("connections >= 2"), 2)
 
 
 @query("j04_connected_components")
@@ -435,8 +435,8 @@ SQL["j04_connected_components"] = WITH.replace("WITH mem_a", "WITH RECURSIVE mem
 
 @query("k02_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.013 * (q3 - q1) OR depth > q3 + 1.013 * (q3 - q1) AS outlier FROM bin_depths JOIN fence USING (bin_id, sample_idx) WHERE sample_idx = 1")
 def k02(t: Tables) -> DataFrame:
-    d = t.bin_depths().where("sample_idx = 1")
-    return K.outside(d, d, 1.013, "depth").select("bin_id", "contig_id", "sample_idx", "outlier")
+    d = t.bin_depths()
+    return K.outside(d, d, 1.013, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 
 @query("k01_first_component")

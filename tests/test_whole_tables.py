@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -68,3 +69,77 @@ def test_changed_variants_of_all_orders(spark):
         by[s].append(n)
     want = [(s, n) for s, ns in by.items() for n, after in zip(ns, [*ns[1:], None], strict=True) if after is None or flags[s, n] != flags[s, after]]
     assert got(spark, "h07_changed_variants") == sorted(want)
+
+
+def brands():
+    return dict(table("part", "p_partkey", "p_brand").itertuples(index=False))
+
+
+def depths():
+    """By (part, sample): depth."""
+    d = table("lineitem", "l_partkey", "l_returnflag", "l_quantity")
+    d["sample"] = d["l_returnflag"].map({"A": 1, "N": 2}).fillna(3).astype(int)
+    return d.groupby(["l_partkey", "sample"])["l_quantity"].mean().round(6).to_dict()
+
+
+def connections():
+    """By part: its partners and in how many orders they meet."""
+    out = defaultdict(lambda: defaultdict(int))
+    for _, parts_ in table("lineitem", "l_orderkey", "l_partkey").drop_duplicates().groupby("l_orderkey")["l_partkey"]:
+        for a in parts_:
+            for b in parts_:
+                if a != b:
+                    out[a][b] += 1
+    return out
+
+
+def fences(k):
+    """By (brand, sample): the least and the greatest depth inside."""
+    groups, own = defaultdict(list), brands()
+    for (p, s), d in depths().items():
+        groups[own[p], s].append(d)
+    out = {}
+    for g, x in groups.items():
+        q1, q3 = np.percentile(x, [25, 75])
+        out[g] = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+    return out
+
+
+def test_survivors_of_all_pairs(spark):
+    d = table("documents", "doc_id", "source").merge(table("labels", "doc_id", "quality", "toxic"), on="doc_id")
+    m = d.groupby("source")[["quality", "toxic"]].mean() * 100
+    score = (m["quality"].round(4) - 5 * m["toxic"].round(4)).round(9)
+    assert score.is_unique
+    assert got(spark, "g04_survivors") == [(score.idxmax(),)]
+
+
+def test_reach_of_all_bins(spark):
+    own, near = brands(), connections()
+    strong = {a: [b for b, n in bs.items() if n >= 2] for a, bs in near.items()}
+    level = {}
+    for p, brand in own.items():
+        one = strong.get(p, [])
+        for lv, cs in ((0, [p]), (1, one), (2, [y for x in one for y in strong[x]])):
+            for c in cs:
+                level[brand, c] = min(lv, level.get((brand, c), 9))
+    assert len({b for b, _ in level}) == 25
+    assert got(spark, "j02_reach") == sorted((b, c, lv) for (b, c), lv in level.items())
+
+
+def test_outliers_of_all_samples(spark):
+    own, f = brands(), fences(1.013)
+    want = [(own[p], p, s, not f[own[p], s][0] <= d <= f[own[p], s][1]) for (p, s), d in depths().items()]
+    assert {x[2] for x in want} == {1, 2, 3} and got(spark, "k02_outliers") == sorted(want)
+
+
+def test_neighbour_outliers_of_all_samples(spark):
+    own, f, d = brands(), fences(1.5), depths()
+    near = {(own[a], b) for a, bs in connections().items() for b in bs if own[b] != own[a]}
+    want = [(g, c, s, not f[g, s][0] <= d[c, s] <= f[g, s][1]) for g, c in near for s in (1, 2, 3) if (c, s) in d and (g, s) in f]
+    assert got(spark, "k04_neighbour_outliers") == sorted(want)
+
+
+def test_buckets_of_all_depths(spark, tmp_path):
+    rows = [(k, "A", q) for k, q in ((1, 49.0), (2, 50.0), (3, 52.0), (4, 5000.0))]
+    spark.createDataFrame(rows, "l_partkey long, l_returnflag string, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert got(spark, "i02_coverage_buckets", str(tmp_path)) == [(1, 1, "0050", "0050"), (2, 1, "0050", "0050"), (3, 1, "0055", "0052"), (4, 1, "10000", "10000")]
