@@ -387,7 +387,7 @@ def i14(t: Tables) -> DataFrame:
 
 @hit_query("j03_three_hops", "SELECT m.p_partkey AS bin_id, c.p_partkey AS contig_id, abs(c.p_partkey - m.p_partkey) AS level FROM part m JOIN part c ON c.p_partkey // 50 = m.p_partkey // 50 AND abs(c.p_partkey - m.p_partkey) <= 3 WHERE m.p_partkey % 20 = 0")
 def j03(t: Tables) -> DataFrame:
-    seeds = t.part.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("bin_id"), F.col("p_partkey").alias("contig_id"))
+    seeds = t.part.select(F.col("p_partkey").alias("bin_id"), F.col("p_partkey").alias("contig_id"))
     return J.reach(seeds, chain(t, 50), 3)
 
 
@@ -400,7 +400,7 @@ def j05(t: Tables) -> DataFrame:
 def j08(t: Tables) -> DataFrame:
     near = chain(t, 50).select(F.col("node1").alias("query"), F.col("node2").alias("subject"), F.lit(100).alias("length"))
     far = near.select("query", (F.col("subject") + 1).alias("subject"), F.lit(50).alias("length"))
-    return J.elongate(t.part.where("p_partkey % 50 = 20").select(F.col("p_partkey").alias("contig_id")), near.union(far), rounds=5)
+    return J.elongate(t.part.select(F.col("p_partkey").alias("contig_id")), near.union(far))
 
 
 @hit_query("j12_single_paths", """, h AS (SELECT l_orderkey AS read_id, l_partkey * 10 + l_linenumber AS contig_id, CASE WHEN l_linestatus = 'F' THEN 's' ELSE 'e' END AS "end" FROM lineitem) SELECT read_id, contig_id, "end" FROM (SELECT *, min(read_id) OVER (PARTITION BY contig_id, "end") AS lo, max(read_id) OVER (PARTITION BY contig_id, "end") AS hi FROM h) WHERE lo = hi""")

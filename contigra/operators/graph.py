@@ -56,21 +56,24 @@ def fold_sets(sets: list[DataFrame], merge: Callable[[DataFrame, DataFrame], Dat
     return reduce(lambda a, b: cut(merge(a, b)), sets)
 
 
-def elongate(targets: DataFrame, overlaps: DataFrame, rounds: int = 20) -> DataFrame:
+def elongate(targets: DataFrame, overlaps: DataFrame) -> DataFrame:
     """J-8: (target, contig_id, step): chains from each target over overlaps (query, subject, length), the longest at each step.
 
-    Ends when nothing new is reached; a contig enters a chain once.
+    Ends when nothing new is reached; a contig enters a chain once.  Every round doubles the steps of all chains by the contigs that
+    lie so many steps after each contig, so the number of rounds is the logarithm of the longest chain.
     """
-    best = overlaps.groupBy("query").agg(F.max_by("subject", F.struct("length", "subject")).alias("subject"))
-    seen = cut(targets.select(F.col("contig_id").alias("target"), "contig_id", F.lit(0).alias("step")))
-    front = seen
-    for step in range(1, rounds + 1):
-        new = front.join(best, front["contig_id"] == best["query"]).select("target", F.col("subject").alias("contig_id"), F.lit(step).alias("step"))
-        front = cut(new.join(seen.select("target", "contig_id"), ["target", "contig_id"], "left_anti"))
-        if front.isEmpty():
-            break
-        seen = seen.union(front)
-    return seen
+    far = cut(overlaps.groupBy("query").agg(F.max_by("subject", F.struct("length", "subject")).alias("subject")))
+    seen = cut(targets.select(F.col("contig_id").alias("target"), "contig_id", F.lit(0).alias("step")).distinct())
+    steps = 1
+    while True:
+        new = seen.join(far, seen["contig_id"] == far["query"]).select("target", F.col("subject").alias("contig_id"), (F.col("step") + steps).alias("step"))
+        new = new.groupBy("target", "contig_id").agg(F.min("step").alias("step"))
+        new = cut(new.join(seen.select("target", "contig_id"), ["target", "contig_id"], "left_anti"))
+        if new.isEmpty():
+            return seen
+        seen = seen.union(new)
+        far = cut(far.join(far.select(F.col("query").alias("subject"), F.col("subject").alias("next_")), "subject").select("query", F.col("next_").alias("subject")))
+        steps *= 2
 
 
 def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure: Callable[[DataFrame], object], rounds: int = 20) -> DataFrame:

@@ -143,3 +143,60 @@ def test_buckets_of_all_depths(spark, tmp_path):
     rows = [(k, "A", q) for k, q in ((1, 49.0), (2, 50.0), (3, 52.0), (4, 5000.0))]
     spark.createDataFrame(rows, "l_partkey long, l_returnflag string, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
     assert got(spark, "i02_coverage_buckets", str(tmp_path)) == [(1, 1, "0050", "0050"), (2, 1, "0050", "0050"), (3, 1, "0055", "0052"), (4, 1, "10000", "10000")]
+
+
+def blocks():
+    """Numbers of parts by blocks of 50, in which neighbours are joined; numbers need not begin at 0."""
+    out = defaultdict(set)
+    for p in table("part", "p_partkey")["p_partkey"]:
+        out[p // 50].add(p)
+    return out
+
+
+def test_three_hops_from_all_parts(spark):
+    numbers = {p for x in blocks().values() for p in x}
+    near = defaultdict(set)
+    for p in numbers:
+        if p % 50 != 49:  # the edge is there even if no part has the next number
+            near[p].add(p + 1)
+            near[p + 1].add(p)
+    want = []
+    for p in numbers:
+        level, front = {p: 0}, {p}
+        for lv in (1, 2, 3):
+            front = {y for x in front for y in near[x]} - level.keys()
+            level |= dict.fromkeys(front, lv)
+        want += [(p, c, lv) for c, lv in level.items()]
+    assert got(spark, "j03_three_hops") == sorted(want)
+
+
+def test_chains_run_to_their_end_from_all_parts(spark):
+    numbers = {p for x in blocks().values() for p in x}
+    want = []
+    for p in numbers:
+        c, step = p, 0
+        while True:
+            want.append((p, c, step))
+            if c % 50 == 49 or c not in numbers:
+                break
+            c, step = c + 1, step + 1
+    assert max(s for *_, s in want) >= 48 and got(spark, "j08_elongate") == sorted(want)
+
+
+def chain_of(start, best):
+    seen = {}
+    while start is not None and start not in seen:
+        seen[start] = len(seen)
+        start = best.get(start)
+    return seen
+
+
+def test_long_chains_and_rings(spark):
+    from contigra.operators.graph import elongate
+
+    # a path of 70, a tail of 5 into a ring of 6, a ring of one and a ring of 33
+    best = {i: i + 1 for i in range(70)} | {100 + i: 101 + i for i in range(10)} | {110: 105, 200: 200} | {300 + i: 300 + (i + 1) % 33 for i in range(33)}
+    rows = [(a, b, 9) for a, b in best.items()] + [(a, 999, 1) for a in best]
+    targets = [0, 0, 31, 70, 100, 107, 200, 305]
+    out = elongate(spark.createDataFrame([(t,) for t in targets], "contig_id long"), spark.createDataFrame(rows, "query long, subject long, length int"))
+    assert sorted(map(tuple, out.collect())) == sorted((t, c, s) for t in set(targets) for c, s in chain_of(t, best).items())
