@@ -3,9 +3,11 @@
 Labelled credentials give one prefix tree a format; statistically compatible states are
 merged (Hoeffding bounds on ending and on each symbol, recursively: the ALERGIA rule), which leaves a small
 probabilistic automaton.  Symbols are the characters of the format's common beginning and,
-after it, character classes whose members are equally likely.  Every candidate, a
-maximal run of credential characters, is scored by the automata; one that is accepted and
-no less likely a character, but for a margin, than all but ``quantile`` of the format's labelled credentials is a span.
+after it, character classes whose members are equally likely.  In every maximal run of
+credential characters each automaton begins wherever its format's common beginning stands, whatever precedes it (a format
+without one: where no character of the format precedes), and walks to its accepting ends.  A part of the run that ends there, is not followed by a character
+that the format could go on with, and is no less likely a character, but for a margin, than all but ``quantile`` of the format's
+labelled credentials is a span; of parts that overlap, the likeliest.
 Spans of the three base patterns always stay; learned spans that overlap a base span are left out.
 
 Defined cases: null text is empty and has no spans; offsets are code points; repeated rows and
@@ -88,6 +90,9 @@ class Automaton:
             self.ends[state] += 1
         self._merge(alpha)
         self._logs()
+        last = {x for p in self.log for x, (q, _) in self.log[p].items() if q in self.end}
+        #: Characters that the format could go on with after an end.
+        self.tail = {c for c in map(chr, range(33, 127)) if _CLASS.get(c, c) in last}
         scores = sorted(self.score(s) for s in strings)
         self.least = scores[int(quantile * len(scores))] - MARGIN
 
@@ -182,6 +187,20 @@ class Automaton:
             state, total = step[0], total + step[1]
         return (total + self.end[state]) / len(s) + math.log(67) if state in self.end else -math.inf
 
+    def parts(self, s: str) -> Iterator[tuple[int, int, float]]:
+        """(start, end, score) of the accepted parts of ``s`` that the format could not go on from."""
+        n = len(self.prefix)
+        starts = [m.start() for m in re.finditer(f"(?={re.escape(self.prefix)})", s)] if n else [i for i in range(len(s)) if not i or s[i - 1] not in self.tail]
+        for a in starts:
+            state, total = 0, 0.0
+            for b in range(a, len(s)):
+                step = self.log[state].get(s[b] if b < a + n else _CLASS.get(s[b], s[b]))
+                if step is None:
+                    break
+                state, total = step[0], total + step[1]
+                if state in self.end and not (b + 1 < len(s) and s[b + 1] in self.tail):
+                    yield a, b + 1, (total + self.end[state]) / (b + 1 - a) + math.log(67)
+
 
 @lru_cache(maxsize=1)
 def automata() -> dict[str, Automaton]:
@@ -202,13 +221,17 @@ def learned_spans(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tup
     out, best = [], None
     models = list(automata().values())
     for m in CANDIDATE.finditer(text):
-        s, a, b = m.group(), m.start(), m.end()
-        scores = [(x.score(s), x.least) for x in models]
-        top = max(x for x, _ in scores)
-        if top > -math.inf:
-            best = top if best is None else max(best, top)
-            if any(x >= least for x, least in scores) and not any(p < b and a < q for p, _, q in base):
-                out.append((a, 3, b))
+        s, at = m.group(), m.start()
+        found = [(score, at + a, at + b, score >= x.least) for x in models for a, b, score in x.parts(s)]
+        if not found:
+            continue
+        top = max(found)[0]
+        best = top if best is None else max(best, top)
+        own: list[tuple[int, int, int]] = []
+        for _, a, b, likely in sorted(found, key=lambda f: (-f[0], f[1], -f[2])):
+            if likely and not any(p < b and a < q for p, _, q in base + own):
+                own.append((a, 3, b))
+        out += sorted(own)
     return out, best
 
 

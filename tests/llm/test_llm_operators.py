@@ -274,6 +274,44 @@ def test_redaction():
     assert secret_scan.redacted(t) == "key <secret> and <secret> end"
 
 
+NEIGHBOURS = [("GITHUB_PAT=", ""), ("?key=", ""), ("path/", ""), ("a.b+", ""), ("my-", ""), ("old_", ""), ("%3D", ""), ("", "."), ("", "="), ("", "/x"), ("", "+"), ("url=", "/.")]
+
+
+@pytest.mark.parametrize(("before", "after"), NEIGHBOURS)
+def test_credentials_between_their_neighbours(before, after):
+    for label, fresh in secret_scan.labelled_credentials(40, seed=91).items():
+        hit = 0
+        for s in fresh:
+            t = f"see {before}{s}{after} here"
+            a, b = 4 + len(before), 4 + len(before) + len(s)
+            base = secret_scan.base_spans(t)
+            spans = base + secret_scan.learned_spans(t, base)[0]
+            hit += any(p <= a and b <= q for p, _, q in spans) and s not in secret_scan.redacted(t)
+            assert all(p >= a and q <= b for p, k, q in spans if k == 3)
+        assert hit >= 0.95 * len(fresh), label
+
+
+def test_several_credentials_in_one_run():
+    a, b = "ghp_" + "aB3dE" * 7 + "Z", "npm_" + "Qr7tY" * 7 + "k"
+    assert secret_scan.redacted(f"x={a}/{b}. {a}={a}") == "x=<secret>/<secret>. <secret>=<secret>"
+    base_and_more = secret_scan.learned_spans(f"x={a}/{b}.", [])[0]
+    assert base_and_more == [(2, 3, 42), (43, 3, 83)]
+
+
+def test_what_goes_on_is_no_credential():
+    a = "ghp_" + "aB3dE" * 7
+    for t in (a, a + "Zz", a + "ZaB3dE" * 9, "AIza" + "aB3-_" * 7 + "_x"):
+        assert secret_scan.redacted(f"k={t}.") == f"k={t}."
+
+
+def test_scan_gives_spans_with_neighbours(spark):
+    a = "ghp_" + "aB3dE" * 7 + "Z"
+    docs = spark.createDataFrame([(1, f"GITHUB_PAT={a}. end"), (2, "no-secret/in.this+run=of_characters")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["spans"], r["n_grammar"]) for r in secret_scan.scan(docs).collect()}
+    assert got == {1: ("grammar:11:51", 1), 2: ("", 0)}
+    assert [r["text"] for r in secret_scan.redact(docs).orderBy("doc_id").collect()] == ["GITHUB_PAT=<secret>. end", "no-secret/in.this+run=of_characters"]
+
+
 # ---- op8
 
 
