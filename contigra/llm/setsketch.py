@@ -284,6 +284,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = TH
     first = buckets.where("node <> low.node").select("node", "n", F.col("low.node").alias("a"), F.col("low.n").alias("m"))
     tried = write_shared(first.where(near).select("a", F.col("node").alias("b")).distinct(), "near-pairs")
     links = write_shared(_verified(docs, tried, reps, k, threshold), "near-links")
+    several = known.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("a"), F.max(F.struct("hi", "lo")).alias("b")).where("a <> b").select("doc_id")
+    if not several.isEmpty():  # a doc_id of several sets is one node, so it links their classes
+        nodes = known.join(several, "doc_id").join(classes.select("hi", "lo", "node"), ["hi", "lo"]).select("doc_id", "node")
+        own = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+        links = links.union(write_shared(nodes.join(own, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct(), "near-links"))
     member = write_shared(components(links), "near-members")
     named = buckets.join(member, "node", "left").select("key", "node", "n", F.col("low.node").alias("low"), F.coalesce("component", "node").alias("c"))
     mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
@@ -298,6 +303,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = TH
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """The documents of which one in each group stays: the smallest doc_id, with all columns."""
-    gone = near_duplicates(docs, k, threshold).where("not kept").select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_"), "left_anti")
+    """The documents of which one row in each group stays, that of the smallest doc_id, with all columns.
+
+    Where a doc_id is repeated, rows are compared as rows: those of one doc_id with unlike texts fall into unlike groups, and of
+    repeated rows one stays.  Rows without words or doc_id all stay.
+    """
+    long_id = F.col("doc_id").cast("long")
+    if docs.where(long_id.isNotNull()).groupBy(long_id.alias("id_")).count().where("count > 1").isEmpty():
+        gone = near_duplicates(docs, k, threshold).where("not kept").select(F.col("doc_id").alias("gone_")).distinct()
+        return docs.join(gone, long_id == F.col("gone_"), "left_anti")
+    rows = write_shared(docs.withColumn("row_key_", F.when(long_id.isNotNull(), F.monotonically_increasing_id())), "near-rows")
+    found = near_duplicates(rows.select(F.col("row_key_").alias("doc_id"), "text"), k, threshold).where("n_shingles > 0 and doc_id is not null")
+    member = write_shared(found.select(F.col("doc_id").alias("row_key_"), "component_id").join(rows.select("row_key_", long_id.alias("id_")), "row_key_"), "near-groups")
+    stays = member.groupBy("component_id").agg(F.min(F.struct("id_", "row_key_")).alias("s")).select("s.row_key_")
+    gone = member.join(stays, "row_key_", "left_anti").select("row_key_")
+    return rows.join(gone, "row_key_", "left_anti").select(*docs.columns)

@@ -381,6 +381,16 @@ def test_chains_and_near_misses(spark):
     assert got == brute_components(texts, 2)
 
 
+def test_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    data = [(3, a), (5, a), (5, b), (7, b), (8, c), (8, c), (9, c + " more"), (2, ""), (2, ""), (None, a)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in setsketch.drop_near_duplicates(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, a), (5, b), (8, c), (2, ""), (2, ""), (None, a)], key=str)
+    got = {(r["doc_id"], r["component_id"]) for r in setsketch.near_duplicates(docs).collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (8, 8), (9, 8), (2, 2), (None, None)}
+
+
 def test_estimate_is_close():
     rng = np.random.default_rng(1)
     for j in (0.2, 0.5, 0.8, 0.95):
