@@ -264,7 +264,7 @@ def g08(t: Tables) -> DataFrame:
     return G.rolled_back(trials(t)).select("trial", "keep_original")
 
 
-@hit_query("g11_reassembly_choice", "SELECT bin_id, number FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY completeness - 5 * contamination - CASE WHEN assembler = 'IDBA' THEN 3 ELSE 0 END DESC, CASE WHEN assembler <> 'IDBA' THEN 1 ELSE 0 END DESC, n50 DESC, assembler DESC) AS r FROM (SELECT * FROM variants WHERE number < 1000)) WHERE r = 1")
+@hit_query("g11_reassembly_choice", "SELECT bin_id, number FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY completeness - 5 * contamination - CASE WHEN assembler = 'IDBA' THEN 3 ELSE 0 END DESC, CASE WHEN assembler <> 'IDBA' THEN 1 ELSE 0 END DESC, n50 DESC, assembler DESC, number DESC) AS r FROM variants) WHERE r = 1")
 def g11(t: Tables) -> DataFrame:
     return G.reassembly_choice(variants(t)).select("bin_id", "number")
 
@@ -324,7 +324,7 @@ def g09(t: Tables) -> DataFrame:
     return G.best_variant(variants(t).select("bin_id", F.concat(dots, n.cast("string")).alias("variant"), "completeness", "contamination", (n % 2).cast("string").alias("threshold"))).select("bin_id", "variant")
 
 
-@hit_query("g12_hybrid_choice", ", v AS (SELECT *, completeness - 5 * contamination AS five FROM variants WHERE number < 1000), tops AS (SELECT bin_id, max(n50) AS top_n50, max(five) AS top_five FROM v WHERE assembler <> 'IDBA' GROUP BY 1) SELECT bin_id, number FROM (SELECT bin_id, number, row_number() OVER (PARTITION BY bin_id ORDER BY CASE WHEN five >= 40 THEN 1000 + five ELSE completeness - contamination END DESC, n50 DESC, assembler DESC) AS r FROM v LEFT JOIN tops USING (bin_id) WHERE assembler <> 'IDBA' OR top_five IS NULL OR five - top_five >= 6 OR (five - top_five >= 3 AND n50 / nullif(top_n50, 0) >= 0.5)) WHERE r = 1")
+@hit_query("g12_hybrid_choice", ", v AS (SELECT *, completeness - 5 * contamination AS five FROM variants), tops AS (SELECT bin_id, max(n50) AS top_n50, max(five) AS top_five FROM v WHERE assembler <> 'IDBA' GROUP BY 1) SELECT bin_id, number FROM (SELECT bin_id, number, row_number() OVER (PARTITION BY bin_id ORDER BY CASE WHEN five >= 40 THEN 1000 + five ELSE completeness - contamination END DESC, n50 DESC, assembler DESC, number DESC) AS r FROM v LEFT JOIN tops USING (bin_id) WHERE assembler <> 'IDBA' OR top_five IS NULL OR five - top_five >= 6 OR (five - top_five >= 3 AND n50 / nullif(top_n50, 0) >= 0.5)) WHERE r = 1")
 def g12(t: Tables) -> DataFrame:
     return G.hybrid_choice(variants(t)).select("bin_id", "number")
 
@@ -350,7 +350,7 @@ def g19(t: Tables) -> DataFrame:
     return G.final_ties(trials(t).select("trial", (F.col("trial") % 3).alias("winner")), final=True)
 
 
-@hit_query("h07_changed_variants", "SELECT bin_id, variant FROM (SELECT *, lead(flags) OVER (PARTITION BY bin_id ORDER BY variant) AS after FROM (SELECT l_suppkey AS bin_id, l_linenumber AS variant, list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS flags FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY 1, 2)) WHERE flags IS DISTINCT FROM after")
+@hit_query("h07_changed_variants", "SELECT bin_id, variant FROM (SELECT *, lead(flags) OVER (PARTITION BY bin_id ORDER BY variant) AS after FROM (SELECT l_suppkey AS bin_id, l_linenumber AS variant, list_sort(list(DISTINCT l_returnflag || l_linestatus)) AS flags FROM lineitem GROUP BY 1, 2)) WHERE flags IS DISTINCT FROM after")
 def h07(t: Tables) -> DataFrame:
     m = t.lineitem.select(F.col("l_suppkey").alias("bin_id"), F.col("l_linenumber").alias("variant"), F.concat("l_returnflag", "l_linestatus").alias("flags"))
     return H.changed_variants(m, ["flags"])
@@ -385,7 +385,7 @@ def i14(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", S.number(F.when(k == 0, F.col("p_name")).when(k == 1, size).otherwise(F.concat(size, F.lit(".25")))).alias("value"))
 
 
-@hit_query("j03_three_hops", "SELECT m.p_partkey AS bin_id, c.p_partkey AS contig_id, abs(c.p_partkey - m.p_partkey) AS level FROM part m JOIN part c ON c.p_partkey // 50 = m.p_partkey // 50 AND abs(c.p_partkey - m.p_partkey) <= 3 WHERE m.p_partkey % 20 = 0")
+@hit_query("j03_three_hops", "SELECT m.p_partkey AS bin_id, c.p AS contig_id, abs(c.p - m.p_partkey) AS level FROM part m JOIN (SELECT p_partkey AS p FROM part UNION SELECT p_partkey + 1 FROM part WHERE p_partkey % 50 <> 49) c ON c.p // 50 = m.p_partkey // 50 AND abs(c.p - m.p_partkey) <= 3")
 def j03(t: Tables) -> DataFrame:
     seeds = t.part.select(F.col("p_partkey").alias("bin_id"), F.col("p_partkey").alias("contig_id"))
     return J.reach(seeds, chain(t, 50), 3)
@@ -396,7 +396,7 @@ def j05(t: Tables) -> DataFrame:
     return J.connected_components(chain(t, 50))
 
 
-@hit_query("j08_elongate", "SELECT p_partkey AS target, p_partkey + s AS contig_id, s AS step FROM (SELECT p_partkey, unnest(range(0, 6)) AS s FROM part WHERE p_partkey % 50 = 20)")
+@hit_query("j08_elongate", "SELECT p_partkey AS target, p_partkey + s AS contig_id, s AS step FROM (SELECT p_partkey, unnest(range(0, least(50 - p_partkey % 50, (SELECT max(p_partkey) FROM part) + 2 - p_partkey))) AS s FROM part)")
 def j08(t: Tables) -> DataFrame:
     near = chain(t, 50).select(F.col("node1").alias("query"), F.col("node2").alias("subject"), F.lit(100).alias("length"))
     far = near.select("query", (F.col("subject") + 1).alias("subject"), F.lit(50).alias("length"))
@@ -409,7 +409,7 @@ def j12(t: Tables) -> DataFrame:
     return J.single_paths(h).select("read_id", "contig_id", "end")
 
 
-@hit_query("k04_neighbour_outliers", "SELECT bin_id, contig_id, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) WHERE sample_idx = 1")
+@hit_query("k04_neighbour_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx)")
 def k04(t: Tables) -> DataFrame:
     near = D.neighbours(t.brands(), t.edges()).join(t.depth(), "contig_id")
     return K.outside(t.bin_depths(), near, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")

@@ -233,7 +233,17 @@ def e07(t: Tables) -> DataFrame:
     return A.coverage_matrix(t.depth(), 3).select("contig_id", "average", "coverage_1", "coverage_2", "coverage_3")
 
 
-@query("i02_coverage_buckets", "SELECT contig_id, sample_idx, CASE WHEN depth = 0 THEN '0000' WHEN depth < 9 THEN '000' || CAST(floor(depth + 1) AS BIGINT) WHEN depth = 9 THEN '0009' WHEN depth < 10 THEN '0010' WHEN depth < 20 THEN '00' || CAST(10 + 2 * ceil((depth - 10) / 2) AS BIGINT) ELSE '00' || CAST(20 + 3 * ceil((depth - 20) / 3) AS BIGINT) END AS coarse, CASE WHEN depth = 0 THEN '0000' WHEN depth < 9 THEN '000' || CAST(floor(depth + 1) AS BIGINT) WHEN depth = 9 THEN '0009' WHEN depth < 20 THEN '00' || CAST(floor(depth + 1) AS BIGINT) ELSE '00' || CAST(20 + 2 * ceil((depth - 20) / 2) AS BIGINT) END AS fine FROM depth WHERE depth < 50")
+def _ladder(head: str, steps: list[tuple[int, int, int, str]]) -> str:
+    """A bucket ladder in SQL: the labels of ``head``, then steps of growing width."""
+    rungs = " ".join(f"WHEN depth >= {low} AND depth < {high} THEN '{prefix}' || CAST({low} + {step} * ceil((depth - {low}) / {step}) AS BIGINT)" for low, high, step, prefix in steps)
+    return f"CASE WHEN depth = 0 THEN '0000' WHEN depth < 9 THEN '000' || CAST(floor(depth + 1) AS BIGINT) WHEN depth = 9 THEN '0009' {head} {rungs} ELSE '10000' END"
+
+
+COARSE = _ladder("WHEN depth < 10 THEN '0010'", S.COVERAGE_STEPS)
+FINE = _ladder("WHEN depth < 20 THEN '00' || CAST(floor(depth + 1) AS BIGINT)", S.FINE_STEPS)
+
+
+@query("i02_coverage_buckets", f"SELECT contig_id, sample_idx, {COARSE} AS coarse, {FINE} AS fine FROM depth")
 def i02(t: Tables) -> DataFrame:
     return t.depth().select("contig_id", "sample_idx", S.covrange("depth").alias("coarse"), S.dcovrange("depth").alias("fine"))
 
@@ -388,7 +398,7 @@ def g02(t: Tables) -> DataFrame:
     return _pairs(t).select("bin1", "bin2", G.across_assemblies().alias("winner"))
 
 
-@query("g04_survivors", "SELECT bin_id FROM quality WHERE bin_id NOT IN (SELECT CASE WHEN cpn1 - 5 * ctn1 > cpn2 - 5 * ctn2 THEN bin2 ELSE bin1 END FROM qp WHERE cpn1 - 5 * ctn1 <> cpn2 - 5 * ctn2 AND bin1 < 'src12')")
+@query("g04_survivors", "SELECT bin_id FROM quality WHERE bin_id NOT IN (SELECT CASE WHEN cpn1 - 5 * ctn1 > cpn2 - 5 * ctn2 THEN bin2 ELSE bin1 END FROM qp WHERE cpn1 - 5 * ctn1 <> cpn2 - 5 * ctn2)")
 def g04(t: Tables) -> DataFrame:
     return G.survivors(t.quality().select("bin_id"), _pairs(t).withColumn("winner", G.across_assemblies()))
 
@@ -420,7 +430,7 @@ def i05(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(S.reverse_complement("text").cast("binary")).alias("digest"))
 
 
-@query("j02_reach", ", strong AS (SELECT node1, node2 FROM both_e WHERE connections >= 2) SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands WHERE bin_id < 'Brand#13' UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN strong e ON b.contig_id = e.node1 WHERE bin_id < 'Brand#13' UNION ALL SELECT b.bin_id, f.node2, 2 FROM brands b JOIN strong e ON b.contig_id = e.node1 JOIN strong f ON e.node2 = f.node1 WHERE bin_id < 'Brand#13') GROUP BY 1, 2")
+@query("j02_reach", ", strong AS (SELECT node1, node2 FROM both_e WHERE connections >= 2) SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN strong e ON b.contig_id = e.node1 UNION ALL SELECT b.bin_id, f.node2, 2 FROM brands b JOIN strong e ON b.contig_id = e.node1 JOIN strong f ON e.node2 = f.node1) GROUP BY 1, 2")
 def j02(t: Tables) -> DataFrame:
     return J.reach(t.brands(), t.edges().where("connections >= 2"), 2)
 
@@ -433,7 +443,7 @@ def j04(t: Tables) -> DataFrame:
 SQL["j04_connected_components"] = WITH.replace("WITH mem_a", "WITH RECURSIVE mem_a", 1) + ", walk AS (SELECT node1 AS x, node1 AS y FROM both_e WHERE connections >= 3 UNION SELECT w.x, e.node2 FROM walk w JOIN both_e e ON w.y = e.node1 AND e.connections >= 3) SELECT x AS node, min(y) AS component FROM walk GROUP BY 1"
 
 
-@query("k02_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.013 * (q3 - q1) OR depth > q3 + 1.013 * (q3 - q1) AS outlier FROM bin_depths JOIN fence USING (bin_id, sample_idx) WHERE sample_idx = 1")
+@query("k02_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.013 * (q3 - q1) OR depth > q3 + 1.013 * (q3 - q1) AS outlier FROM bin_depths JOIN fence USING (bin_id, sample_idx)")
 def k02(t: Tables) -> DataFrame:
     d = t.bin_depths()
     return K.outside(d, d, 1.013, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
