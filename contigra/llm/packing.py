@@ -1,12 +1,14 @@
 """Packing token sequences by a configuration linear program.
 
 A configuration is a multiset of lengths that fits one sequence.  The covering program
-(every length as often as it occurs, fewest configurations) is solved by multiplicative
-weights over the histogram of lengths: a length's weight falls as the share of it that is
-covered grows, and the configuration of the greatest weight is found by a knapsack
-dynamic programme.  Each round takes a whole number of copies that never covers more than
-there is, so rounding down is built in; what the rounds leave is packed best-fit
-decreasing on the histogram.  The histogram has one entry a length, so its size does not
+(every length as often as it occurs, fewest configurations) is solved over the histogram of
+lengths by multiplicative weights: a length's weight falls as the share of it that is
+covered grows, and near-best configurations are found by a knapsack dynamic programme that
+takes no length more often than it occurs.  Rounds of pricing spend the histogram on fractions of
+configurations; where their number is still further from the bound that prices prove, multiplicative steps on prices and
+amounts and more pricing close the gap.  Amounts are rounded down and up as far as the histogram allows, what
+is left is solved and rounded again, and the last few per cent go best-fit into the room left.
+The histogram has one entry a length, so its size does not
 grow with the table; rows learn their place by their rank among pieces of their length.
 
 Defined cases: null text is empty; every document ends with the end id, so an empty one is
@@ -17,6 +19,8 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import logging
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -34,11 +38,14 @@ from contigra.llm.common import column_bytes, slices, write_shared
 
 CAPACITY = 4096
 END_ID = 1
-ROUNDS = 300
-ETA = 4.0
+GAP, PATIENCE = 0.005, 5
+REST = 0.02
+SPARED = (0.0, 0.01, 0.02, 0.03, 0.04)
 CACHED, KEPT = 300_000, 100_000
 TOKENIZER = "word_bpe_49k.json"
 
+log = logging.getLogger(__name__)
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part_ long, local_ long"
 
 
@@ -171,103 +178,234 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 # ---------------------------------------------------------------- the linear program
 
 
-def price(weights: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack dynamic programme: the lengths (as often as ``left`` allows) of the greatest total weight."""
-    lengths = np.flatnonzero((left > 0) & (weights > 0))
-    if not len(lengths):
-        return {}
-    value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    w = weights[lengths]
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        k = upto[c]
-        best = value[c - 1]
-        if k:
-            got = value[c - lengths[:k]] + w[:k]
-            i = int(got.argmax())
-            if got[i] > best:
-                best, choice[c] = got[i], lengths[i]
-        value[c] = best
-    out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        x = int(choice[c])
-        if not x:
-            c -= 1
-            continue
-        if out[x] < left[x]:
-            out[x] += 1
-        c -= x
-    return {k: v for k, v in out.items() if v}
-
-
-def plan(histogram: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA) -> list[tuple[list[tuple[int, int]], int]]:
+def price(lengths: np.ndarray, gains: np.ndarray, bound: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Knapsack dynamic programme: for each of the ascending ``lengths`` the best configuration in which it is the longest.
+
+    No configuration holds a length more than ``bound`` times.  Copies are items of 1, 2, 4, ... of them; of equal
+    gains the one with longer pieces is taken.  (gain of each, start of each in the next two, indices of lengths, counts).
+    """
+    size, times, of, first = [], [], [], []
+    for i, (x, b) in enumerate(zip(lengths.tolist(), np.minimum(bound, capacity // lengths).tolist(), strict=True)):
+        rest, k = int(b) - 1, 1
+        while rest > 0:
+            t = min(k, rest)
+            size.append(x * t)
+            times.append(t)
+            of.append(i)
+            rest, k = rest - t, 2 * k
+        first.append(len(size))  # the copy that makes this length the longest comes last
+        size.append(x)
+        times.append(1)
+        of.append(i)
+    size, times, of, first = (np.array(x, np.int64) for x in (size, times, of, first))
+    gain = (gains[of] * times).tolist()
+    value, last = np.zeros(capacity + 1), np.zeros((len(size) + 1, capacity + 1), np.int16 if len(size) < 1 << 15 else np.int32)
+    best = np.empty(len(size))
+    for k, s in enumerate(size.tolist()):
+        best[k] = value[capacity - s] + gain[k]
+        row, new, old = last[k + 1], value[: capacity + 1 - s] + gain[k], value[s:]
+        row[:] = last[k]
+        better = new >= old
+        np.copyto(old, new, where=better)
+        np.copyto(row[s:], k + 1, where=better)
+    p, at, room = np.arange(len(lengths)), first, capacity - lengths
+    found = [(p, p, np.ones(len(p), np.int64))]
+    while len(p):  # all configurations are read back together, an item a step
+        j = last[at, room].astype(np.int64)
+        on = j > 0
+        p, at, room = p[on], j[on] - 1, room[on]
+        found.append((p, of[at], times[at]))
+        room = room - size[at]
+    own, item, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    key, inverse = np.unique(own * len(lengths) + item, return_inverse=True)
+    return best[first], np.searchsorted(key, np.arange(len(lengths) + 1) * len(lengths)), key % len(lengths), np.bincount(inverse, n, len(key)).astype(np.int64)
+
+
+class Program:
+    """The covering program over a histogram, its configurations so far and how many of each are taken (a fraction)."""
+
+    def __init__(self, need: np.ndarray, capacity: int):
+        self.capacity, self.lengths = capacity, np.flatnonzero(need)
+        self.need = need[self.lengths].astype(np.int64)
+        self.number: dict[bytes, int] = {}
+        self.items: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.taken: list[float] = []
+        self.lower, self.value = 0.0, 0.0
+
+    def add(self, items: np.ndarray, counts: np.ndarray, taken: float) -> bool:
+        """Whether the configuration is a new one."""
+        key = items.tobytes() + counts.tobytes()
+        new = key not in self.number
+        if new:
+            self.number[key] = len(self.taken)
+            self.items.append(items)
+            self.counts.append(counts)
+            self.taken.append(0.0)
+        self.taken[self.number[key]] += taken
+        return new
+
+    def bound(self, prices: np.ndarray) -> tuple[float, tuple]:
+        """What the prices prove of the program's value, and what the knapsack found at them."""
+        priced = price(self.lengths, prices, self.need, self.capacity)
+        return float(self.need @ prices / priced[0].max()), priced
+
+    def spend(self, share: float = 0.9, eta: float = 0.5, slack: float = 0.01, rest: float = 0.001) -> None:
+        """Cover the histogram by rounds of pricing: a length's weight falls with the share of it that is covered.
+
+        Each round takes near-best configurations as far as none uses more than ``share`` of what is left of a shorter length.
+        """
+        left, total = self.need.astype(float), float(self.lengths @ self.need)
+        for _ in range(len(left) + 64):
+            if self.lengths @ left <= rest * total:
+                break
+            on = np.flatnonzero(left > 1e-9)
+            own = left[on]
+            best, start, item, count_ = price(self.lengths[on], self.lengths[on] * np.exp(-eta * (1 - own / self.need[on])), np.ceil(own), self.capacity)
+            used, most = np.zeros(len(on)), share * own
+            for x in np.flatnonzero(best >= (1 - slack) * best.max())[::-1].tolist():
+                i, k = item[start[x] : start[x + 1]], count_[start[x] : start[x + 1]]
+                room = (most[i] - used[i]) / k
+                room[-1] = (own[x] - used[x]) / k[-1]
+                if (n := float(room.min())) > 1e-9:
+                    used[i] += k * n
+                    self.add(on[i], k, n)
+            left[on] = np.maximum(own - used, 0)
+        for x in np.flatnonzero(left > 1e-9).tolist():  # what is left over has configurations of its own
+            k = int(min(self.need[x], self.capacity // self.lengths[x]))
+            self.add(np.array([x]), np.array([k]), left[x] / k)
+        self.value = sum(self.taken)
+
+    def solve(self, gap: float, patience: int, step: float = 0.3, sweep: int = 100) -> np.ndarray:
+        """How much of each configuration is taken, within ``gap`` or one sequence of the optimum.
+
+        Prices of lengths grow with what is uncovered of them and amounts of configurations with their worth at these
+        prices, both multiplicatively and with a step looked ahead; pricing adds configurations and proves the bound.
+        Ends as well when neither bound nor value has moved for ``patience`` rounds of pricing.
+        """
+        self.spend()
+        best = x = np.array(self.taken)
+        self.lower, priced = self.bound(self.lengths.astype(float))
+        prices = centre = self.lengths / priced[0].max()
+        idle = 0
+        while self.value > max(self.lower * (1 + gap), self.lower + 1) and idle < patience:
+            sizes = np.array([len(i) for i in self.items])
+            row, col, k = np.repeat(np.arange(len(sizes)), sizes), np.concatenate(self.items), np.concatenate(self.counts).astype(float)
+            start = np.cumsum(sizes) - sizes
+            x = np.maximum(np.pad(x, (0, len(sizes) - len(x))), 1e-4 * self.lower / len(sizes))
+
+            def moves(x, prices, row=row, col=col, k=k, start=start):
+                worth, cover = np.add.reduceat(k * prices[col], start), np.bincount(col, k * x[row], len(prices)) / self.need
+                return np.exp(step * np.clip(worth - 1, -2, 2)), np.exp(step * np.clip(1 - cover, -2, 2))
+
+            mean = np.zeros(len(x))
+            for _ in range(sweep):
+                up, dear = moves(x, prices)
+                ahead = x * up
+                up, dear = moves(ahead, prices * dear)
+                x, prices = x * up, prices * dear
+                mean += ahead / sweep
+            before = self.lower, self.value
+            for taken in (x, mean):
+                short = np.maximum(self.need - np.bincount(col, k * taken[row], len(prices)), 0)
+                value = float(taken.sum() + (short / np.minimum(self.need, self.capacity // self.lengths)).sum())
+                if value < self.value:
+                    self.value, best = value, taken
+            for mixed in (prices, (prices + centre) / 2):
+                lower, (worth, first, item, count_) = self.bound(mixed)
+                if lower > self.lower:
+                    self.lower, centre = lower, mixed / worth.max()
+                for i in np.flatnonzero(worth >= 0.999 * min(1.0, worth.max())).tolist():
+                    self.add(item[first[i] : first[i + 1]], count_[first[i] : first[i + 1]], 0.0)
+            idle = idle + 1 if self.value > before[1] * 0.9999 and self.lower < before[0] * 1.0001 else 0
+        return best
+
+
+Held = list[tuple[list[tuple[int, int]], int]]
+
+
+def rounded(need: np.ndarray, program: Program, taken: np.ndarray, least: float = 0.25) -> Held:
+    """Whole copies: each amount rounded down, then one more, greatest fractions first, as far as ``need`` allows; need is lowered."""
+    out: dict[int, int] = {}
+    amounts = [(math.floor(x + 1e-9), x - math.floor(x + 1e-9), p) for p, x in enumerate(taken.tolist())]
+    for step in ([(n, p) for n, _, p in amounts if n], [(1, p) for _, f, p in sorted(amounts, key=lambda a: (-a[1], a[2])) if f >= least]):
+        for n, p in step:
+            at, k = program.lengths[program.items[p]], program.counts[p]
+            n = min(n, int((need[at] // k).min()))
+            if n > 0:
+                need[at] -= k * n
+                out[p] = out.get(p, 0) + n
+    return [(list(zip(program.lengths[program.items[p]][::-1].tolist(), program.counts[p][::-1].tolist(), strict=True)), n) for p, n in out.items()]
+
+
+def plan(histogram: np.ndarray, capacity: int = CAPACITY, patience: int = PATIENCE, gap: float = GAP) -> Held:
     """[(lengths with their counts, copies of this configuration)], covering the histogram exactly.
 
-    histogram[l]: pieces of length l.  Deterministic.
+    histogram[l]: pieces of length l.  The program is solved and rounded, then solved and rounded again on what
+    is left, until rounding stalls; the remainder goes best-fit into the room that is left.  Plans that keep the shortest pieces, by
+    the shares ``SPARED`` of the tokens, out of the program and for that room are tried until one needs no more sequences than
+    the bound.  The plan of fewest sequences is taken, best-fit decreasing alone among them, so none needs more than that.
     """
-    need = histogram.astype(np.int64).copy()
-    out: list[tuple[list[tuple[int, int]], int]] = []
-    if need[capacity]:
-        out.append(([(capacity, 1)], int(need[capacity])))
-        need[capacity] = 0
-    left, size = need.copy(), np.arange(capacity + 1)
-    floor = np.maximum(need, 1)
-    for _ in range(rounds):
-        if (left * size).sum() <= 64 * capacity:
-            break
-        covered = (need - left) / floor
-        pattern = price(size * np.exp(-eta * (covered - covered[left > 0].min())), left, capacity)
-        if not pattern:
+    need, size = histogram.astype(np.int64).copy(), np.arange(capacity + 1)
+    whole: Held = [([(capacity, 1)], int(need[capacity]))] if need[capacity] else []
+    need[capacity] = 0
+    total = int(need @ size)
+    if not total:
+        return whole
+    best, lower, value = None, 0.0, 0.0
+    for spared in SPARED:
+        kept = np.minimum(need, np.diff(np.minimum(np.cumsum(need * size), int(spared * total)), prepend=0) // np.maximum(size, 1))
+        left, held = need - kept, []
+        while left.any():
+            program = Program(left, capacity)
+            taken = program.solve(gap, patience if best is None and not held else 0)
+            if best is None and not held:
+                lower, value = program.lower, program.value
+            before = int(left @ size)
+            held += rounded(left, program, taken)
+            if int(left @ size) <= REST * total or int(left @ size) > 0.8 * before:
+                break
+        share = 1 - int((left + kept) @ size) / total
+        own = best_fit(left + kept, capacity, held)
+        n = sum(copies for _, copies in own)
+        if best is None or n < best[0]:
+            best = n, share, own
+        if n <= math.ceil(lower - 1e-6):
             break
-        fill(pattern, left, capacity)
-        most = min(int(left[x]) // k for x, k in pattern.items())
-        copies = max(1, -(-most // 4))
-        for x, k in pattern.items():
-            left[x] -= k * copies
-        out.append((sorted(pattern.items(), reverse=True), copies))
-    return out + best_fit(left, capacity)
-
-
-def fill(pattern: dict[int, int], left: np.ndarray, capacity: int) -> None:
-    """Put what else fits into a configuration that bounded counts have left short, longest first."""
-    room = capacity - sum(x * k for x, k in pattern.items())
-    while room > 0:
-        fits = np.flatnonzero(left[: room + 1] > [pattern.get(x, 0) for x in range(room + 1)])
-        if not len(fits):
-            return
-        x = int(fits[-1])
-        k = min(room // x, int(left[x]) - pattern.get(x, 0))
-        pattern[x] = pattern.get(x, 0) + k
-        room -= x * k
-
-
-def best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
-    """Best-fit decreasing on counts: sequences that hold the same lengths are one group."""
-    groups: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = defaultdict(list)  # by room
+    plain = best_fit(need, capacity)
+    if (n := sum(copies for _, copies in plain)) < best[0]:
+        best = n, 0.0, plain
+    log.info("packing: program %.2f, proven bound %.2f; %d sequences (best-fit decreasing alone: %d), %.4f of the tokens placed by the program", value, lower, best[0], n, best[1])
+    return whole + best[2]
+
+
+def best_fit(left: np.ndarray, capacity: int, held: Held = ()) -> Held:
+    """Best-fit decreasing on counts, into the room that ``held`` leaves or new sequences; those that hold the same lengths are one group."""
+    groups: dict[int, list[tuple[list[tuple[int, int]], int]]] = defaultdict(list)  # by room
+    for config, copies in held:
+        groups[capacity - sum(x * k for x, k in config)].append((config, copies))
+    rooms = sum(1 << r for r in groups)  # bit r: there is a group with room r
     for x in np.flatnonzero(left)[::-1].tolist():
         n = int(left[x])
         while n:
-            room = next((r for r in sorted(groups) if r >= x and groups[r]), None)
-            if room is None:
-                each = capacity // x
-                if n >= each:
-                    groups[capacity - x * each].append((((x, each),), n // each))
-                    n %= each
-                else:
-                    groups[capacity - x * n].append((((x, n),), 1))
-                    n = 0
-                continue
-            held, copies = groups[room].pop()
-            if not groups[room]:
-                del groups[room]
-            each = min(room // x, n)
-            full = min(copies, n // each)
-            groups[room - x * each].append(((*held, (x, each)), full))
-            if copies > full:
-                groups[room].append((held, copies - full))
-            n -= full * each
-    return [(list(held), copies) for room in sorted(groups) for held, copies in groups[room]]
+            fits = rooms >> x
+            if not fits:
+                each = min(capacity // x, n)
+                made, room, copies, config = n // each, capacity, n // each, []
+            else:
+                room = x + (fits & -fits).bit_length() - 1
+                config, copies = groups[room].pop()
+                if not groups[room]:
+                    rooms ^= 1 << room
+                each = min(room // x, n)
+                made = min(copies, n // each)
+            if copies > made:
+                groups[room].append((config, copies - made))
+                rooms |= 1 << room
+            groups[room - x * each].append(([*config, (x, each)], made))
+            rooms |= 1 << room - x * each
+            n -= each * made
+    return [g for room in sorted(groups) for g in groups[room]]
 
 
 def runs(configurations: list[tuple[list[tuple[int, int]], int]], histogram: np.ndarray) -> dict[str, np.ndarray]:
@@ -290,16 +428,16 @@ def runs(configurations: list[tuple[list[tuple[int, int]], int]], histogram: np.
 # ---------------------------------------------------------------- the operator
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row a piece."""
     held = write_shared(cut(docs, path or default_tokenizer(), capacity), "pack-pieces")
     counts = write_shared(held.groupBy("part_", "length").agg(F.count(F.lit(1)).alias("n_")), "pack-counts")
     histogram = np.zeros(capacity + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n_").alias("n_")).collect():  # ``capacity`` rows at most
         histogram[r["length"]] = r["n_"]
-    table = runs(plan(histogram, capacity, rounds), histogram)
+    table = runs(plan(histogram, capacity), histogram)
     base = np.cumsum(histogram) - histogram
-    sent = docs.sparkSession.sparkContext.broadcast((table, base))  # by lengths and rounds, not by rows
+    sent = docs.sparkSession.sparkContext.broadcast((table, base))  # by lengths and configurations, not by rows
     before = F.sum("n_").over(Window.partitionBy("length").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1))
     ranks = counts.select("part_", "length", F.coalesce(before, F.lit(0)).cast("long").alias("before_"))
 

@@ -33,5 +33,5 @@ def clashing(awkward):
     """Extra columns with names that operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["node", "n", "regs", "key", "part_", "length", "evidence_", "shard", "word", "media", "p_", "id_", "y_", "site_", "host_"]
+    names = ["node", "n", "regs", "key", "part_", "length", "evidence_", "shard", "word", "media", "p_", "id_", "y_", "site_", "host_", "gone_", "row_key_", "in_text", "in_0", "in_1", "path_", "heavy_", "hi", "lo", "component_id", "kept", "good_", "ps_", "row_", "block_", "size_", "rank_", "doc", "batch"]
     return awkward.select("*", *[F.lit(1).alias(n) for n in names])

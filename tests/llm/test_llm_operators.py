@@ -1,6 +1,7 @@
 """Operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -139,10 +140,53 @@ def test_quality_on_held_out_labels(spark):
 
 def test_site_shrinkage(spark):
     rows = [("big", "x", 2.0)] * 500 + [("big", "x", -2.0)] * 500 + [("small", "y", -2.0)] + [("good", "x", 3.0)] * 500
-    table, rate = quality.sites(spark.createDataFrame(rows, "source string, lang string, evidence_ double"), "source", "lang")
-    site = {r["host_"]: r["site_"] for r in table.collect()}
-    raw = 1 / (1 + math.exp(2.0))
-    assert abs(site["big"] - 0.5) < 0.02 and raw < site["small"] < rate < site["good"]
+    scored = spark.createDataFrame(rows, "source string, lang string, evidence_ double").select(*quality._keys("source", "lang"), "evidence_", (1 / (1 + F.exp(-F.col("evidence_")))).alias("p_"))
+    rate = quality.sites(scored)[1]
+    site = {r["host_"]: r["site_"] for r in quality._judged(scored).collect()}
+    assert abs(site["=big"] - 0.5) < 0.02 and rate < site["=good"]
+    assert abs(site["=small"] - rate) < 1e-9  # the only row of its site says nothing about the site
+
+
+def brute_quality(rows, model):
+    """p_good by plain sums: rows (text, host, path), each judged by what the other rows of its path and host say."""
+    p = [1 / (1 + math.exp(-model(None if t is None else t.encode()))) for t, _, _ in rows]
+    by_path, by_host = {}, {}
+    for (_, h, a), x in zip(rows, p, strict=True):
+        by_path.setdefault((h, a), []).append(x)
+        by_host.setdefault(h, []).append(x)
+    rate = (sum(p) + 0.5) / (len(p) + 1)
+
+    def strength(groups):  # (values, prior rate)
+        groups = [(v, g) for v, g in groups if len(v) > 1]
+        if not groups:
+            return 10.0
+        v = sum(g * (1 - g) for _, g in groups) / len(groups)
+        n = sum(len(x) for x, _ in groups)
+        between = (sum(len(x) * (sum(x) / len(x) - g) ** 2 for x, g in groups) - len(groups) * v) / n
+        return min(max(v / between - 1, 1.0), 1e4) if between > 0 else 1e4
+
+    kh = strength([(v, rate) for v in by_host.values()])
+    posterior = {h: (sum(v) + kh * rate) / (len(v) + kh) for h, v in by_host.items()}
+    kp = strength([(v, posterior[h]) for (h, _), v in by_path.items()])
+    out = []
+    for (t, h, a), x in zip(rows, p, strict=True):
+        host = (sum(by_host[h]) - x + kh * rate) / (len(by_host[h]) - 1 + kh)
+        site = (sum(by_path[h, a]) - x + kp * host) / (len(by_path[h, a]) - 1 + kp)
+        odds = model(None if t is None else t.encode()) + math.log(site / (1 - site)) - math.log(rate / (1 - rate))
+        out.append(1 / (1 + math.exp(-odds)))
+    return out
+
+
+def test_quality_matches_brute_force(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    more = docs.select("doc_id", "text", "lang", "source").union(spark.createDataFrame([(-1, None, None, None), (-2, "", "en", None), (-3, "one", "xx", "rare")], "doc_id long, text string, lang string, source string"))
+    rows = more.collect()
+    want = brute_quality([(r["text"], r["source"], r["lang"]) for r in rows], quality.fit(more, labels))
+    got = {r["doc_id"]: r for r in quality.quality(more, labels).collect()}
+    assert len(got) == len(rows)
+    for r, w in zip(rows, want, strict=True):
+        assert abs(got[r["doc_id"]]["p_good"] - w) < 1e-6 and got[r["doc_id"]]["keep"] == (got[r["doc_id"]]["p_good"] >= 0.5)
+    assert {r["doc_id"] for r in quality.drop_rejected(more, labels).collect()} == {i for i, r in got.items() if r["keep"]}
 
 
 def test_salted_join_is_the_same(spark, docs, monkeypatch):
@@ -200,6 +244,52 @@ def test_plan_covers_any_histogram():
         assert (got == h).all()
 
 
+def brute_price(lengths, gains, bound, capacity, longest):
+    best = -1.0
+    for counts in itertools.product(*[range(min(b, capacity // x) + 1) for x, b in zip(lengths[: longest + 1], bound, strict=False)]):
+        if counts[longest] and sum(x * k for x, k in zip(lengths, counts, strict=False)) <= capacity:
+            best = max(best, sum(g * k for g, k in zip(gains, counts, strict=False)))
+    return best
+
+
+def test_pricing_matches_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        lengths = np.sort(rng.choice(np.arange(3, 40), 5, replace=False))
+        gains, bound = rng.random(5) * lengths, rng.integers(1, 5, 5)
+        best, start, item, k = packing.price(lengths, gains, bound, 40)
+        for x in range(5):
+            i, n = item[start[x] : start[x + 1]], k[start[x] : start[x + 1]]
+            assert abs(best[x] - brute_price(lengths.tolist(), gains.tolist(), bound.tolist(), 40, x)) < 1e-9
+            assert abs(best[x] - gains[i] @ n) < 1e-9 and lengths[i] @ n <= 40 and (n <= bound[i]).all() and i[-1] == x
+
+
+def test_program_is_near_its_bound_and_the_plan_no_worse_than_best_fit():
+    rng, fewer = np.random.default_rng(0), 0
+    for q in range(60):
+        h = np.zeros(4097, np.int64)
+        n = rng.integers(3, 9)
+        h[rng.choice(np.arange(1, 4096) if q % 2 else np.arange(200, 2500), n, replace=False)] = rng.integers(1, 3000, n)
+        program = packing.Program(h, 4096)
+        program.solve(packing.GAP, packing.PATIENCE)
+        assert program.lower * 4096 >= h @ np.arange(4097) - 1e-6 and program.value <= max(1.03 * program.lower, program.lower + 2)
+        ours, plain = (sum(n for _, n in x) for x in (packing.plan(h), packing.best_fit(h, 4096)))
+        assert math.ceil(program.lower - 1e-6) <= ours <= plain
+        fewer += ours < plain
+    assert fewer >= 10
+
+
+def test_program_places_nearly_all_tokens(spark, caplog):
+    for sf in ("sf0.001", "sf0.01"):
+        h = np.zeros(4097, np.int64)
+        for r in packing.cut(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"), packing.default_tokenizer()).groupBy("length").count().collect():
+            h[r["length"]] = r["count"]
+        with caplog.at_level("INFO", logger="contigra.llm.packing"):
+            out = packing.plan(h)
+        assert float(re.search(r"([0-9.]+) of the tokens", caplog.records[-1].getMessage()).group(1)) > 0.95
+        assert sum(n for _, n in out) == -(-int(h @ np.arange(4097)) // 4096)
+
+
 def test_tokens_of_odd_texts():
     t = packing.tokenizer(packing.default_tokenizer())
     for s in ("a <|endoftext|> b<|startoftext|>c", "İstanbul's DON'T x ý  z", "¼ ªº ²³ don't 'S 12 ab12!!", "", "é J̌", "\x1c\x85 x"):
