@@ -5,12 +5,14 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,14 +21,16 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset (in
-    tests, on one machine) a temporary folder is made and set for the context.
+    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset and all runs in one process
+    (``local``, as in tests) a temporary folder is made and set for the context; a cluster must name its folder.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="contigra-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -38,7 +42,8 @@ BATCH_ROWS = 1000
 def batched(df: DataFrame) -> DataFrame:
     """``df``; Arrow batches of texts hold BATCH_ROWS rows, unless the session has a number of its own.
 
-    Spark's default of 10,000 rows is made for numbers: with whole texts it takes some 100 MB a task on either side.
+    Spark's default of 10,000 rows is made for numbers: with whole texts it takes some 100 MB a task on either side.  The
+    setting belongs to the session and is read when a query runs, so it stays for what runs later.
     """
     conf = df.sparkSession.conf
     if conf.get(BATCH) == "10000":
@@ -51,7 +56,46 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     spark = batched(df).sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_written: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def forget(*written: DataFrame) -> None:
+    """Delete what ``write_shared`` wrote, once all that reads it has been written itself."""
+    for df in written:
+        held, path = _written.pop(id(df), (None, None))
+        if held is not None and held() is df:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+HEAVY = 10_000
+
+
+def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with ``table`` (one row a key, ``weight`` says how many rows have it), without a hot task.
+
+    Keys of more than total / HEAVY rows are HEAVY at most, since their rows add up to ``total``: they are broadcast.  The other
+    rows meet their keys in a shuffle, in which none has more than that share.
+    """
+    most = max(1000, total // HEAVY)
+    heavy = table.where(F.col(weight) > most).withColumn("heavy_", F.lit(True))
+    first = rows.join(F.broadcast(heavy), on, "left")
+    light = first.where("heavy_ is null").select(*rows.columns).join(table.where(F.col(weight) <= most), on, "left")
+    return first.where("heavy_").select(*light.columns).unionByName(light)
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it (names are compared without regard to case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

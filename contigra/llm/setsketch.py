@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from contigra.llm.common import column_bytes, mix, shingle_blocks, shingles, slices, words, write_shared
+from contigra.llm.common import column_bytes, forget, fresh, join_heavy, mix, shingle_blocks, shingles, slices, words, write_shared
 
 REGISTERS, ROWS, DEALS = 360, 9, 3  # DEALS * REGISTERS / ROWS bands
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
@@ -129,11 +129,11 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
 def _banded(reps: DataFrame, of: np.ndarray) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "regs", 4 << 20):
-            regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             keys = band_keys(regs, of).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy(), len(of))) for c in (0, 1))], names=["key", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), len(of)))], names=["key", "node"])
 
-    return reps.select("node", "n", "regs").mapInArrow(run, "key long, node long, n long")
+    return reps.select("node", "regs").mapInArrow(run, "key long, node long")
 
 
 # ---------------------------------------------------------------- exact links
@@ -169,7 +169,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """Of pairs (a, b), those whose full sets reach the threshold; the likelihood estimate goes first."""
+    """Of pairs (a, b), written, those whose full sets reach the threshold; the likelihood estimate goes first."""
     least, of = threshold
     floor = least / of - MARGIN
 
@@ -194,12 +194,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, thresh
     rough = write_shared(rough.select("a", "b", "ra", "rb", "na", "nb").mapInPandas(likely, "a long, b long"), "near-likely")
     wanted = write_shared(rough.select(F.col("a").alias("node")).union(rough.select("b")).distinct(), "near-wanted")
     full = write_shared(_full_sets(docs, wanted, k), "near-sets")
+    forget(wanted)
     both = rough.join(full.select(F.col("node").alias("a"), F.col("full").alias("fa")), "a").join(full.select(F.col("node").alias("b"), F.col("full").alias("fb")), "b")
-    return both.select("a", "b", "fa", "fb").mapInArrow(confirm, "a long, b long").distinct()
+    out = write_shared(both.select("a", "b", "fa", "fb").mapInArrow(confirm, "a long, b long").distinct(), "near-links")
+    forget(rough, full)
+    return out
 
 
 def _tiled(docs: DataFrame, open_: DataFrame, reps: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """Confirmed links (a, b) between components among members (node, c) of clusters joined by ``low``."""
+    """Confirmed links (a, b), written, between components among members (node, c) of clusters joined by ``low``."""
     least, of = threshold
     floor = least / of - MARGIN
     cluster = components(open_.select(F.col("node").alias("a"), F.col("low").alias("b")), "near-clusters")
@@ -240,28 +243,35 @@ def _tiled(docs: DataFrame, open_: DataFrame, reps: DataFrame, k: int, threshold
                         found.append((min(node[x], node[z]), max(node[x], node[z])))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    return tiles.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    out = write_shared(tiles.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long").distinct(), "near-links")
+    forget(wanted, whole)
+    return out
 
 
 # ---------------------------------------------------------------- components
 
 
 def components(links: DataFrame, name: str = "near-components") -> DataFrame:
-    """node, component (smallest node reachable), for the nodes of links (a, b); large and small stars by turns."""
+    """node, component (smallest node reachable), for the nodes of links (a, b); large and small stars by turns.
+
+    The centre of a star has as many rows as the star: centres of many rows meet them by broadcast, in bounded number.
+    """
     edges = write_shared(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    seen = None
+    size, seen = edges.count(), None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = write_shared(small.where("u <> v").distinct(), name)
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("w"))
+        large = join_heavy(both, low, ["u"], "w", 2 * size).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = write_shared(large.where("u <> v").distinct(), name)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("w"))
+        small = join_heavy(large, low, ["u"], "w", 2 * size).select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        new = write_shared(small.where("u <> v").distinct(), name)
+        forget(edges, large)
+        edges = new
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
-        seen = now
+        seen, size = now, now[0]
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
@@ -277,29 +287,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = TH
     rep = known.join(classes.select("hi", "lo", F.col("node").alias("doc_id")), ["doc_id", "hi", "lo"], "left_semi")
     reps = write_shared(rep.select(F.col("doc_id").alias("node"), "n", "regs", "hi", "lo").dropDuplicates(["node", "hi", "lo"]), "near-reps")
     banded = _banded(reps, bands())
-    shared = banded.groupBy("key").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("high")).where("low.node < high")
+    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     buckets = write_shared(banded.join(shared.select("key", "low"), "key").distinct(), "near-buckets")
-    least, of = threshold
-    near = F.least("n", "m") * of >= F.greatest("n", "m") * least  # sizes further apart can't reach the threshold
-    first = buckets.where("node <> low.node").select("node", "n", F.col("low.node").alias("a"), F.col("low.n").alias("m"))
-    tried = write_shared(first.where(near).select("a", F.col("node").alias("b")).distinct(), "near-pairs")
-    links = write_shared(_verified(docs, tried, reps, k, threshold), "near-links")
+    tried = write_shared(buckets.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+    links = _verified(docs, tried, reps, k, threshold)
+    forget(tried)
     several = known.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("a"), F.max(F.struct("hi", "lo")).alias("b")).where("a <> b").select("doc_id")
     if not several.isEmpty():  # a doc_id of several sets is one node, so it links their classes
         nodes = known.join(several, "doc_id").join(classes.select("hi", "lo", "node"), ["hi", "lo"]).select("doc_id", "node")
         own = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
         links = links.union(write_shared(nodes.join(own, "doc_id").where("a < node").select("a", F.col("node").alias("b")).distinct(), "near-links"))
     member = write_shared(components(links), "near-members")
-    named = buckets.join(member, "node", "left").select("key", "node", "n", F.col("low.node").alias("low"), F.coalesce("component", "node").alias("c"))
+    named = buckets.join(member, "node", "left").select("key", "node", "low", F.coalesce("component", "node").alias("c"))
     mixed = named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
     open_ = write_shared(named.join(mixed, "key", "left_semi").select("node", "low", "c").distinct(), "near-open")
+    forget(buckets)
     if not open_.isEmpty():
-        links = links.union(write_shared(_tiled(docs, open_, reps, k, threshold), "near-links"))
+        links = links.union(_tiled(docs, open_, reps, k, threshold))
         member = write_shared(components(links), "near-members")
-    copies = classes.where("rows_ > 1").select("hi", "lo", "node")
-    rows_ = sketch.select("doc_id", "n", "hi", "lo").join(copies, ["hi", "lo"], "left").withColumn("node", F.when(F.col("n") > 0, F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")))
-    component = F.coalesce("component", "node")
-    return rows_.join(member, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    forget(open_, reps)
+    total = classes.agg(F.coalesce(F.sum("rows_"), F.lit(0))).first()[0]
+    classes = classes.join(member, "node", "left").select("hi", "lo", "rows_", F.coalesce("component", "node").alias("component_id"))
+    found = join_heavy(known.select("doc_id", "n", "hi", "lo"), classes, ["hi", "lo"], "rows_", total).select("doc_id", "n", "component_id")
+    alone = sketch.where("doc_id is null or n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return found.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -310,11 +321,14 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int]
     """
     long_id = F.col("doc_id").cast("long")
     if docs.where(long_id.isNotNull()).groupBy(long_id.alias("id_")).count().where("count > 1").isEmpty():
-        gone = near_duplicates(docs, k, threshold).where("not kept").select(F.col("doc_id").alias("gone_")).distinct()
-        return docs.join(gone, long_id == F.col("gone_"), "left_anti")
-    rows = write_shared(docs.withColumn("row_key_", F.when(long_id.isNotNull(), F.monotonically_increasing_id())), "near-rows")
-    found = near_duplicates(rows.select(F.col("row_key_").alias("doc_id"), "text"), k, threshold).where("n_shingles > 0 and doc_id is not null")
-    member = write_shared(found.select(F.col("doc_id").alias("row_key_"), "component_id").join(rows.select("row_key_", long_id.alias("id_")), "row_key_"), "near-groups")
-    stays = member.groupBy("component_id").agg(F.min(F.struct("id_", "row_key_")).alias("s")).select("s.row_key_")
-    gone = member.join(stays, "row_key_", "left_anti").select("row_key_")
-    return rows.join(gone, "row_key_", "left_anti").select(*docs.columns)
+        name = fresh("gone_", docs.columns)
+        gone = near_duplicates(docs, k, threshold).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+        return docs.join(gone, long_id == F.col(name), "left_anti")
+    key = fresh("row_key_", docs.columns)
+    rows = write_shared(docs.withColumn(key, F.when(long_id.isNotNull(), F.monotonically_increasing_id())), "near-rows")
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), k, threshold).where("n_shingles > 0 and doc_id is not null")
+    ids = rows.select(F.col(key).alias("row_"), long_id.alias("id_"))
+    member = write_shared(found.select(F.col("doc_id").alias("row_"), "component_id").join(ids, "row_"), "near-groups")
+    stays = member.groupBy("component_id").agg(F.min(F.struct("id_", "row_")).alias("s")).select("s.row_")
+    gone = member.join(stays, "row_", "left_anti").select(F.col("row_").alias(key))
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
