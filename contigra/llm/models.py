@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contigra.llm.common import column_bytes, mix, slices, word_hashes, write_shared
 
@@ -81,15 +82,15 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int = LABELLE
     return write_shared(found.select("id_", "text", "y_"), name)
 
 
-def map_text(df: DataFrame, column: str, schema: str, value: Callable[[bytes | None], object], kind: pa.DataType) -> DataFrame:
-    """``df`` without ``text`` and with a column computed from it; ``value`` sees UTF-8 bytes."""
-    rest = [c for c in df.columns if c != "text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "text")
+def map_text(df: DataFrame, column: str, schema: str, value: Callable[[bytes | None], object], kind: pa.DataType, of: str = "text", keep: bool = False) -> DataFrame:
+    """``df`` with a column computed from the text ``of``, and without that text unless ``keep``; ``value`` sees UTF-8 bytes."""
+    rest = [c for c in df.columns if keep or c != of]
+    out = T.StructType([f for f in df.schema.fields if f.name in rest] + T._parse_datatype_string(f"`{column}` {schema}").fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            new = pa.array([value(t) for t in column_bytes(batch, "text")], kind)
+        for batch in slices(batches, of):
+            new = pa.array([value(t) for t in column_bytes(batch, of)], kind)
             at = [batch.schema.get_field_index(c) for c in rest]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), new], names=[*rest, column])
 
-    return df.mapInArrow(run, f"{fields}, `{column}` {schema}")
+    return df.mapInArrow(run, out)

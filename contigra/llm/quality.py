@@ -5,7 +5,7 @@ good documents.  Grouped aggregation sums that evidence by path within host and
 Host rates shrink towards the global rate and path rates towards their host's rate;
 how strongly is estimated by moments from how much rates differ beyond sampling noise,
 so sparse sites lean on the level above.  A document's log odds move by what its
-path's rate differs from the global rate.
+path's rate, as the other documents of the path and host show it, differs from the global rate.
 
 The classifier is fitted on at most ``most`` labelled rows; site statistics are over all rows.
 
@@ -23,11 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigra.llm.models import LABELLED, fit_logistic, labelled, map_text, shape, standardised
-from contigra.llm.common import write_shared
+from contigra.llm.common import join_heavy, write_shared
 
 KEEP = 0.5
 BROADCAST_GROUPS = 50_000
-SALTS = 16
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED):
@@ -51,18 +50,22 @@ def _strength(groups: DataFrame, n: str, rate: str, prior: str) -> float:
     return float(min(max(r["v"] / between - 1, 1.0), 1e4)) if between > 0 else 1e4
 
 
-def sites(scored: DataFrame, host: str, path: str) -> tuple[DataFrame, float]:
-    """(host, path, site: posterior rate of the path), and the global rate."""
-    p = 1 / (1 + F.exp(-F.col("evidence_")))
-    paths = write_shared(scored.groupBy(F.col(host).alias("host_"), F.col(path).alias("path_")).agg(F.count(F.lit(1)).cast("double").alias("pn_"), F.sum(p).alias("ps_")), "quality-paths")
+def _keys(host: str, path: str) -> list[Column]:
+    """The site of a row, in which a null host or path is a value of its own."""
+    return [F.when(F.col(c).isNull(), "").otherwise(F.concat(F.lit("="), F.col(c).cast("string"))).alias(n) for c, n in ((host, "host_"), (path, "path_"))]
+
+
+def sites(scored: DataFrame) -> tuple[DataFrame, float, float, float]:
+    """Sums of p_ and rows by (host_, path_) and by host_, the global rate, and the strengths of the priors of hosts and paths."""
+    paths = write_shared(scored.groupBy("host_", "path_").agg(F.count(F.lit(1)).cast("double").alias("pn_"), F.sum("p_").alias("ps_")), "quality-paths")
     total = paths.agg(F.sum("pn_").alias("n"), F.sum("ps_").alias("s")).first()
     rate = (total["s"] + 0.5) / (total["n"] + 1) if total["n"] else 0.5
-    hosts = paths.groupBy("host_").agg(F.sum("pn_").alias("hn_"), F.sum("ps_").alias("hs_")).withColumns({"hr_": F.expr("hs_ / hn_"), "g_": F.lit(rate)})
-    k = _strength(hosts, "hn_", "hr_", "g_")
-    hosts = hosts.select(F.col("host_").alias("h_"), F.expr(f"(hs_ + {k!r} * g_) / (hn_ + {k!r})").alias("hp_"))
-    both = paths.join(hosts, F.col("host_").eqNullSafe(F.col("h_"))).withColumn("pr_", F.expr("ps_ / pn_"))
-    k = _strength(both, "pn_", "pr_", "hp_")
-    return write_shared(both.select("host_", "path_", F.expr(f"(ps_ + {k!r} * hp_) / (pn_ + {k!r})").alias("site_")), "quality-sites"), rate
+    hosts = paths.groupBy("host_").agg(F.sum("pn_").alias("hn_"), F.sum("ps_").alias("hs_"))
+    k_host = _strength(hosts.withColumns({"hr_": F.expr("hs_ / hn_"), "g_": F.lit(rate)}), "hn_", "hr_", "g_")
+    both = paths.join(hosts, "host_")
+    posterior = F.expr(f"(hs_ + {k_host!r} * {rate!r}) / (hn_ + {k_host!r})")
+    k_path = _strength(both.withColumns({"hp_": posterior, "pr_": F.expr("ps_ / pn_")}), "pn_", "pr_", "hp_")
+    return write_shared(both, "quality-sites"), rate, k_host, k_path
 
 
 def _odds(p: Column) -> Column:
@@ -70,35 +73,32 @@ def _odds(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def _judged(scored: DataFrame, host: str, path: str) -> DataFrame:
-    """``scored`` with host_posterior and p_: what the site and the document say together."""
-    table, rate = sites(scored, host, path)
-    if table.count() <= BROADCAST_GROUPS:
-        joined = scored.join(F.broadcast(table), F.col(host).eqNullSafe(F.col("host_")) & F.col(path).eqNullSafe(F.col("path_")))
-    else:  # salted, since one site may hold a third of all rows
-        salted = table.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = scored.withColumn("own_salt_", F.pmod(F.xxhash64("evidence_", host, path, F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
-        joined = own.join(salted, F.col(host).eqNullSafe(F.col("host_")) & F.col(path).eqNullSafe(F.col("path_")) & (F.col("own_salt_") == F.col("salt_")))
+def _judged(scored: DataFrame) -> DataFrame:
+    """Rows (with host_, path_, evidence_, p_) and site_, the rate of the row's site as the other rows show it, and good_.
+
+    A row's own evidence is taken out of the sums of its path and host before these are shrunk, so it counts once.  Few sites
+    are broadcast; of many, those that hold more than a bounded share of the rows.
+    """
+    table, rate, k_host, k_path = sites(scored)
+    n = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("pn_"), F.lit(0.0))).first()
+    joined = scored.join(F.broadcast(table), ["host_", "path_"]) if n[0] <= BROADCAST_GROUPS else join_heavy(scored, table, ["host_", "path_"], "pn_", int(n[1]))
+    host = (F.col("hs_") - F.col("p_") + k_host * rate) / (F.col("hn_") - 1 + k_host)
+    joined = joined.withColumn("site_", (F.col("ps_") - F.col("p_") + k_path * host) / (F.col("pn_") - 1 + k_path))
     odds = F.col("evidence_") + _odds(F.col("site_")) - _odds(F.lit(rate))
-    return joined.withColumn("p_", 1 / (1 + F.exp(-odds)))
+    return joined.withColumn("good_", 1 / (1 + F.exp(-odds)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", keep: float = KEEP, most: int = LABELLED) -> DataFrame:
     """doc_id, evidence (log odds), site_rate, p_good, keep: one row a row of ``docs``."""
-    scored = map_text(docs.select("doc_id", "text", host, path), "evidence_", "double", fit(docs, labels, most), pa.float64())
-    judged = _judged(write_shared(scored, "quality-evidence"), host, path)
-    return judged.select("doc_id", F.col("evidence_").alias("evidence"), F.col("site_").alias("site_rate"), F.col("p_").alias("p_good"), (F.col("p_") >= keep).alias("keep"))
+    scored = map_text(docs.select("doc_id", "text", *_keys(host, path)), "evidence_", "double", fit(docs, labels, most), pa.float64())
+    judged = _judged(write_shared(scored.withColumn("p_", 1 / (1 + F.exp(-F.col("evidence_")))), "quality-evidence"))
+    return judged.select("doc_id", F.col("evidence_").alias("evidence"), F.col("site_").alias("site_rate"), F.col("good_").alias("p_good"), (F.col("good_") >= keep).alias("keep"))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", keep: float = KEEP, most: int = LABELLED) -> DataFrame:
-    """The documents that the classifier keeps, with all columns."""
-    model = fit(docs, labels, most)
-    scored = map_text(docs.select("text", host, path), "evidence_", "double", model, pa.float64())
-    table, rate = sites(scored, host, path)
-    held = map_text(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}).withColumns({"text": F.col("in_text"), "host_in_": F.col(f"in_{host}"), "path_in_": F.col(f"in_{path}")}), "evidence_", "double", model, pa.float64())
-    small = table.count() <= BROADCAST_GROUPS
-    table = F.broadcast(table) if small else table.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = F.col("host_in_").eqNullSafe(F.col("host_")) & F.col("path_in_").eqNullSafe(F.col("path_"))
-    joined = held.join(table, same if small else same & (F.pmod(F.hash("in_text"), F.lit(SALTS)) == F.col("salt_")))
-    odds = F.col("evidence_") + _odds(F.col("site_")) - _odds(F.lit(rate))
-    return joined.where(1 / (1 + F.exp(-odds)) >= keep).select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
+    """The documents that the classifier keeps, with all columns; evidence is computed once and written beside them."""
+    own = [F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)]
+    text = f"in_{docs.columns.index('text')}"
+    scored = map_text(docs.select(*own, *_keys(host, path)), "evidence_", "double", fit(docs, labels, most), pa.float64(), of=text, keep=True)
+    judged = _judged(write_shared(scored.withColumn("p_", 1 / (1 + F.exp(-F.col("evidence_")))), "quality-evidence"))
+    return judged.where(F.col("good_") >= keep).select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])
