@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigra.llm.common import column_bytes, slices
+from contigra.llm.common import column_bytes, slices, write_shared
 
 BLOCK = 64
 RATE, TARGET = 8000, 16000
@@ -173,5 +173,5 @@ def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    """Store every text and decode what was stored; the PCM itself is left out."""
-    return decoded(store(docs), keep_pcm=False)
+    """Store every text in the shared folder, read the files back and decode them; the resampled PCM stays as the last column."""
+    return decoded(write_shared(store(docs), "media"))
