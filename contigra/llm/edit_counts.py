@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigra.llm.common import slices
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CONTEXT = 2
 BUCKET = 64
@@ -172,7 +174,7 @@ def _rows(df: DataFrame, schema: str, row: Callable[..., tuple], kinds: list[pa.
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             out = [row(*r) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * len(kinds), kinds, strict=True)], names=names)
 

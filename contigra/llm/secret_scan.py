@@ -28,6 +28,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from contigra.llm.common import slices
+
 EXAMPLES = 600
 ALPHA = 0.001
 QUANTILE = 0.01
@@ -243,7 +245,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_grammar, best_score: one row a row of ``docs``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
@@ -281,7 +283,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets masked in ``text`` and, where there is such a column, n_chars recounted."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             at = batch.schema.get_field_index("text")
             old = batch.column(at).to_pylist()
             new = [None if t is None else redacted(t) for t in old]

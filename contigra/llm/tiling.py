@@ -7,7 +7,7 @@ on either side is marked, over and over, until none of ``seed`` tokens is left.
 whose tokens are covered to ``coverage`` or more is in the document, in whatever order its
 passages stand.
 
-The benchmark is the query set: it is read in blocks of ``block_rows`` items, and each
+The benchmark is the query set: it is read in blocks of ``block_rows`` items and of bounded bytes, and each
 block is broadcast and held against all rows in one pass.  Its size sets the number of
 passes, never the memory of one.
 
@@ -32,7 +32,7 @@ from contigra.llm.common import column_bytes, mix, slices, word_hashes
 
 SEED = 5
 COVERAGE = 0.5
-BLOCK_ROWS = 20_000
+BLOCK_ROWS, BLOCK_BYTES = 20_000, 16 << 20
 BITS = 22
 
 _DROP = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -139,14 +139,17 @@ class Benchmark:
 
 
 def _blocks(benchmark: DataFrame, k: int, block_rows: int) -> Iterator[Benchmark]:
-    """The items in blocks of at most ``block_rows``, one at a time on the driver."""
-    ids, texts = [], []
+    """The items in blocks of at most ``block_rows`` and of BLOCK_BYTES of text (or one item), one at a time on the driver."""
+    ids, texts, held = [], [], 0
     for r in benchmark.where("item_id is not null").select("item_id", F.encode("text", "UTF-8").alias("text")).toLocalIterator():
-        ids.append(r["item_id"])
-        texts.append(None if r["text"] is None else bytes(r["text"]))
-        if len(ids) == block_rows:
+        text = None if r["text"] is None else bytes(r["text"])
+        size = len(text or b"")
+        if ids and (len(ids) == block_rows or held + size > BLOCK_BYTES):
             yield Benchmark(ids, texts, k)
-            ids, texts = [], []
+            ids, texts, held = [], [], 0
+        ids.append(r["item_id"])
+        texts.append(text)
+        held += size
     if ids:
         yield Benchmark(ids, texts, k)
 
