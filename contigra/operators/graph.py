@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """End the lineage of ``df`` in the folder of ``spark.checkpoint.dir``; set one only where that is unset."""
+    """End the lineage of ``df`` in the folder of ``spark.checkpoint.dir``; a folder of this machine only in local mode, where that is unset."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="contigra-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="contigra-"))
     return df.checkpoint()
 
 
