@@ -210,8 +210,8 @@ def _tiled(docs: DataFrame, open_: DataFrame, reps: DataFrame, k: int, threshold
     full = _full_sets(docs, wanted.select("node").distinct(), k)
     whole = write_shared(wanted.join(reps.select("node", "n", "regs"), "node").join(full, "node").where(F.col("n") * 8 == F.length("full")), "near-whole")
     sizes = whole.groupBy("cluster").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("t"))
-    sizes = sizes.select("cluster", F.ceil(F.greatest(F.col("g") / TILE, F.col("t") * 8 / TILE_BYTES)).alias("blocks"))
-    cut = whole.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    sizes = sizes.select("cluster", "g", F.ceil(F.greatest(F.col("g") / TILE, F.col("t") * 8 / TILE_BYTES)).alias("blocks"))
+    cut = join_heavy(whole, sizes, ["cluster"], "g", whole.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("cluster", "node", "c", "n", "regs", "full", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
