@@ -78,9 +78,9 @@ def all_kmers(k: int = 4) -> list[str]:
 
 def kmer_counts(seq: C, k: int = 4) -> Column:
     """I-8: map of k-mer -> count, each k-mer with its reverse complement (palindromes twice)."""
-    s = _c(seq)
+    s, letters = _c(seq), F.split(_c(seq), "")
     at = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1)).otherwise(F.array().cast("array<int>"))
-    seen = F.filter(F.transform(at, lambda i: F.substring(s, i, F.lit(k))), lambda x: x.rlike(f"^[ACGT]{{{k}}}$"))
+    seen = F.filter(F.transform(at, lambda i: F.array_join(F.slice(letters, i, F.lit(k)), "")), lambda x: x.rlike(f"^[ACGT]{{{k}}}$"))
     return F.flatten(F.transform(seen, lambda x: F.array(x, reverse_complement(x))))
 
 
@@ -158,7 +158,7 @@ def lineage_weight(lineage: C) -> Column:
 
 
 def vector_stats(v: C) -> Column:
-    """E-33: 15 statistics of an array of doubles, population moments, divisors guarded by 1e-7."""
+    """E-33 (formulas and order are fixed): 15 statistics of an array of doubles, population moments, divisors guarded by 1e-7."""
     v = _c(v)
     n = F.size(v).cast("double")
 

@@ -17,14 +17,13 @@ from contigra.operators import joins as D
 from contigra.operators import ml as K
 from contigra.operators import selection as G
 from contigra.operators import sets as H
-from contigra.queries import SQL, WITH, Tables, query
+from contigra.queries import SQL, WITH, Tables, query, stats_sql
 
 HITS = WITH + """, aln AS (SELECT *, qstart + length - 1 AS qend, sstart + length - 1 AS send FROM (SELECT *, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 1 + 5 * (l_linenumber - 1) END AS qstart, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 1 + slen - length ELSE 1 + 10 * (l_orderkey % 3) END AS sstart
   FROM (SELECT *, length + 10 * (l_linenumber - 1) AS qlen, length + 20 * (l_orderkey % 3) AS slen FROM (SELECT l_orderkey, l_linenumber, l_linestatus, l_returnflag, l_partkey AS query, l_suppkey AS subject, round(100 - 100 * l_tax, 2) AS identity, CAST(l_quantity * 40 AS BIGINT) AS length FROM lineitem)))),
 ends AS (SELECT l_partkey AS contig, CASE WHEN l_linestatus = 'F' THEN 's' ELSE 'e' END AS "end", l_suppkey AS other FROM lineitem),
 variants AS (SELECT p_brand AS bin_id, p_partkey AS number, 2.0 * p_size AS completeness, CAST(p_partkey % 7 AS DOUBLE) AS contamination, CAST(p_partkey % 1000 AS BIGINT) AS n50, CASE p_partkey % 3 WHEN 0 THEN 'IDBA' WHEN 1 THEN 'SPAdes' ELSE 'MEGAHIT' END AS assembler FROM part),
 trials AS (SELECT p_partkey AS trial, 2.0 * p_size AS cpn, CAST(p_partkey % 60 AS DOUBLE) AS ctn, CAST(2 * (p_partkey % 50) AS DOUBLE) AS cpn0, CAST(p_partkey % 13 AS DOUBLE) AS ctn0 FROM part),
-bin_edges AS (SELECT a.bin_id AS bin1, b.bin_id AS bin2, CAST(sum(connections) AS BIGINT) AS connections FROM edges JOIN brands a ON node1 = a.contig_id JOIN brands b ON node2 = b.contig_id WHERE a.bin_id <> b.bin_id GROUP BY 1, 2),
 hit_pairs AS (SELECT query, subject, sum(length * identity / 100) AS aligned FROM aln GROUP BY 1, 2),
 bin_hits AS (SELECT least(a.bin_id, b.bin_id) AS bin1, greatest(a.bin_id, b.bin_id) AS bin2, round(sum(aligned), 2) AS aligned FROM hit_pairs JOIN brands a ON query = a.contig_id JOIN brands b ON subject = b.contig_id WHERE a.bin_id <> b.bin_id GROUP BY 1, 2)
 """
@@ -334,7 +333,7 @@ def g14(t: Tables) -> DataFrame:
     return G.merge_candidates(rivals(t).withColumn("alike", F.col("trial") % 5 != 0)).select("trial")
 
 
-@hit_query("g15_similar_bins", "SELECT a.p_partkey AS bin_id, b.p_partkey AS partner FROM part a JOIN part b ON a.p_partkey // 10 = b.p_partkey // 10 AND a.p_partkey <> b.p_partkey WHERE b.p_partkey % 7 <= 5")
+@hit_query("g15_similar_bins", "SELECT bin_id, min(bin_id) OVER (PARTITION BY bin_id // 10) AS component, CAST(sum(good) OVER (PARTITION BY bin_id // 10) - good AS BIGINT) AS partners FROM (SELECT p AS bin_id, CASE WHEN p IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <= 5) THEN 1 ELSE 0 END AS good FROM (SELECT p_partkey AS p FROM part WHERE p_partkey % 10 <> 9 UNION SELECT p_partkey + 1 FROM part WHERE p_partkey % 10 <> 9))")
 def g15(t: Tables) -> DataFrame:
     quality = variants(t).select(F.col("number").alias("bin_id"), "contamination")
     return G.similar_bins(chain(t, 10), quality)
@@ -361,17 +360,19 @@ def i04(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.round(S.gc_percent("text"), 6).alias("gc"))
 
 
-@hit_query("i08_kmer_vector", """, dna AS (SELECT doc_id, translate(md5(CAST(doc_id AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s FROM documents), mers AS (SELECT doc_id, [substr(s, i, 2) for i in range(1, 32)] AS m FROM dna) SELECT doc_id, round((len([x for x in m if x = 'AA']) + len([x for x in m if x = 'TT'])) / 62, 6) AS aa, round(2 * len([x for x in m if x = 'AT']) / 62, 6) AS at, round((len([x for x in m if x = 'GA']) + len([x for x in m if x = 'TC'])) / 62, 6) AS ga FROM mers""")
+@hit_query("i08_kmer_vector", """, mers AS (SELECT doc_id, upper(substr(text, CAST(i AS BIGINT), 2)) AS m FROM (SELECT doc_id, text, unnest(range(1, length(text))) AS i FROM documents)), seen AS (SELECT doc_id, m, count(*) AS n FROM mers WHERE regexp_full_match(m, '[ACGT]{2}') GROUP BY 1, 2),
+both_s AS (SELECT doc_id, m, n FROM seen UNION ALL SELECT doc_id, reverse(translate(m, 'ACGT', 'TGCA')), n FROM seen), total AS (SELECT doc_id, sum(n) AS t FROM both_s GROUP BY 1), summed AS (SELECT doc_id, m, sum(n) AS n FROM both_s GROUP BY 1, 2)
+SELECT g.doc_id, g.kmer, round(coalesce(n, 0) / t, 6) AS share FROM (SELECT doc_id, t, a || b AS kmer FROM total CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS a) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS b)) g LEFT JOIN summed s ON s.doc_id = g.doc_id AND s.m = g.kmer""")
 def i08(t: Tables) -> DataFrame:
-    dna = t.documents.select("doc_id", F.translate(F.md5(F.col("doc_id").cast("string").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("s"))
-    v, at = dna.select("doc_id", S.kmer_vector("s", 2, 1).alias("v")), S.all_kmers(2)
-    return v.select("doc_id", *[F.round(F.col("v")[at.index(x)], 6).alias(x.lower()) for x in ("AA", "AT", "GA")])
+    v = t.documents.select("doc_id", S.kmer_vector(F.upper("text"), 2, 1).alias("v")).where("v is not null")
+    names = F.array(*map(F.lit, S.all_kmers(2)))
+    return v.select("doc_id", F.posexplode("v").alias("i", "share")).select("doc_id", names[F.col("i")].alias("kmer"), F.round("share", 6).alias("share"))
 
 
-@hit_query("i09_windows", "SELECT doc_id, cuts + 1 AS pieces, n - 500 * cuts AS last FROM (SELECT doc_id, length(text) AS n, CAST(greatest(ceil((length(text) - 1000) / 500), 0) AS BIGINT) AS cuts FROM documents)")
+@hit_query("i09_windows", "SELECT doc_id, i, md5(CASE WHEN i < cuts THEN substr(text, CAST(i * 500 + 1 AS BIGINT), 500) ELSE substr(text, CAST(i * 500 + 1 AS BIGINT)) END) AS digest FROM (SELECT doc_id, text, cuts, unnest(range(0, cuts + 1)) AS i FROM (SELECT doc_id, text, CAST(greatest(ceil((length(text) - 1000) / 500), 0) AS BIGINT) AS cuts FROM documents))")
 def i09(t: Tables) -> DataFrame:
-    w = t.documents.select("doc_id", S.windows("text", 500).alias("w"))
-    return w.select("doc_id", F.size("w").alias("pieces"), F.length(F.element_at("w", -1)).alias("last"))
+    w = t.documents.select("doc_id", F.posexplode(S.windows("text", 500)).alias("i", "piece"))
+    return w.select("doc_id", "i", F.md5(F.col("piece").cast("binary")).alias("digest"))
 
 
 @hit_query("i12_strip_extension", "SELECT p_partkey, replace(p_name, ' ', '.') AS name, regexp_replace(replace(p_name, ' ', '.'), '\\.[^.]*$', '') AS stem FROM part")
@@ -415,9 +416,8 @@ def k04(t: Tables) -> DataFrame:
     return K.outside(t.bin_depths(), near, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 
-@hit_query("k05_features", "SELECT p_partkey AS contig_id, 19 AS size, round(m, 6) AS mean, round(((p_size - m) ** 2 + (p_retailprice - m) ** 2 + (1 - m) ** 2) / 3, 4) AS variance, greatest(p_size, p_retailprice, 1.0) AS top FROM (SELECT *, (p_size + p_retailprice + 1) / 3 AS m FROM part)")
+@hit_query("k05_features", f"""SELECT contig_id, i - 1 AS place, round(v[i], 4) AS value FROM (SELECT contig_id, list_concat(list_concat(d, {stats_sql('d')}), k) AS v, unnest(range(1, 20)) AS i FROM (SELECT p_partkey AS contig_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE), 1.0::DOUBLE] AS d, [0.5::DOUBLE] AS k FROM part))""")
 def k05(t: Tables) -> DataFrame:
     depths = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), F.lit(1.0))
-    f = K.features(t.part.select(F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.lit(0.5)).alias("kmers")))
-    v = F.col("vector")
-    return f.select("contig_id", F.size(v).alias("size"), F.round(v[3], 6).alias("mean"), F.round(v[4], 4).alias("variance"), v[6].alias("top"))
+    f = K.features(t.part.select(F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.lit(0.5)).alias("kmers")), 3)
+    return f.select("contig_id", F.posexplode("vector").alias("place", "value")).withColumn("value", F.round("value", 4))

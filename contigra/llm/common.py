@@ -12,9 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from contigra.operators.joins import join_heavy  # noqa: F401  (shared with the operators here)
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -74,22 +75,6 @@ def forget(*written: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
-HEAVY = 10_000
-
-
-def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
-    """Left join of ``rows`` with ``table`` (one row a key, ``weight`` says how many rows have it), without a hot task.
-
-    Keys of more than total / HEAVY rows are HEAVY at most, since their rows add up to ``total``: they are broadcast.  The other
-    rows meet their keys in a shuffle, in which none has more than that share.
-    """
-    most = max(1000, total // HEAVY)
-    heavy = table.where(F.col(weight) > most).withColumn("heavy_", F.lit(True))
-    first = rows.join(F.broadcast(heavy), on, "left")
-    light = first.where("heavy_ is null").select(*rows.columns).join(table.where(F.col(weight) <= most), on, "left")
-    return first.where("heavy_").select(*light.columns).unionByName(light)
-
-
 def fresh(name: str, columns: list[str]) -> str:
     """``name``, made longer until no column has it (names are compared without regard to case)."""
     taken = {c.lower() for c in columns}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import covrange, dcovrange, pct_avg, pct_ref, pct_sum
+from contigra.operators.joins import join_heavy
 
 
 def edge_sums(edges: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def coverage_matrix(depth: DataFrame, samples: int) -> DataFrame:
 
 
 def bin_coverage(members: DataFrame, depth: DataFrame) -> DataFrame:
-    """E-8 and E-9: (bin_id, sample_idx, depth): unweighted means."""
+    """E-9: (bin_id, sample_idx, depth): unweighted means."""
     return members.join(depth.select("contig_id", "sample_idx", "depth"), "contig_id").groupBy("bin_id", "sample_idx").agg(F.avg("depth").alias("depth"))
 
 
@@ -69,7 +70,7 @@ def bin_gc(members: DataFrame, contigs: DataFrame) -> DataFrame:
 
 
 def shared_percent(shared: DataFrame, sizes1: DataFrame, sizes2: DataFrame) -> DataFrame:
-    """E-11 and E-12: pct of bin1 that is shared and the reciprocal of bin2, rounded once."""
+    """E-11: pct of bin1 and of bin2 that is shared, each rounded once."""
     j = shared.join(sizes1.select(F.col("bin_id").alias("bin1"), F.col("size").alias("size1")), "bin1").join(sizes2.select(F.col("bin_id").alias("bin2"), F.col("size").alias("size2")), "bin2")
     return j.select("bin1", "bin2", F.round(100.0 * F.col("shared") / F.col("size1"), 2).alias("pct1"), F.round(100.0 * F.col("shared") / F.col("size2"), 2).alias("pct2"))
 
@@ -104,17 +105,31 @@ def supported(df: DataFrame, column: str = "support", least: int = 3) -> DataFra
     return df.where(F.col(column) >= least)
 
 
+def _at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """By group: the values at ``ranks`` (from 0, from the group's size n_) in order.
+
+    Equal values are counted before the shuffle and a running sum over distinct values finds the rank, so no group is collected.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_"))
+    w = Window.partitionBy(*keys)
+    upto = F.sum("c_").over(w.orderBy("v_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = counted.withColumns({"n_": F.sum("c_").over(w), "to_": upto})
+    return counted.groupBy(*keys).agg(F.first("n_").alias("n_"), *[F.min(F.when(F.col("to_") > rank, F.col("v_"))).alias(name) for name, rank in ranks.items()])
+
+
 def nth_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """E-18: q1 and q3 as elements int(n/4) and int(3n/4), counted from 1; null where that is 0."""
-    s = F.sort_array(F.collect_list(value))
-    k = lambda p: F.floor(F.size("s_") * p).cast("int")
-    at = lambda p: F.when(k(p) > 0, F.try_element_at("s_", F.greatest(k(p), F.lit(1))))
-    return df.groupBy(*keys).agg(s.alias("s_")).select(*keys, at(0.25).alias("q1"), at(0.75).alias("q3"))
+    rank = lambda p: F.floor(F.col("n_") * p)
+    found = _at_ranks(df, keys, value, {"a_": rank(0.25) - 1, "b_": rank(0.75) - 1})
+    return found.select(*keys, F.when(rank(0.25) > 0, F.col("a_")).alias("q1"), F.when(rank(0.75) > 0, F.col("b_")).alias("q3"))
 
 
 def quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """E-19: interpolated q1 and q3."""
-    return df.groupBy(*keys).agg(F.percentile(value, 0.25).alias("q1"), F.percentile(value, 0.75).alias("q3"))
+    at = lambda p: (F.col("n_") - 1) * p
+    found = _at_ranks(df, keys, value, {f"{n}{i}_": f(at(p)) for n, p in (("a", 0.25), ("b", 0.75)) for i, f in enumerate((F.floor, F.ceil))})
+    between = lambda n, p: F.col(f"{n}0_") + (F.col(f"{n}1_") - F.col(f"{n}0_")) * (at(p) - F.floor(at(p)))
+    return found.select(*keys, between("a", 0.25).alias("q1"), between("b", 0.75).alias("q3"))
 
 
 def fenced(df: DataFrame, keys: list[str], value: str, k: float = 1.5, nth: bool = False) -> DataFrame:
@@ -186,8 +201,18 @@ def end_degrees(hits: DataFrame) -> DataFrame:
 
 
 def distinct_sequences(contigs: DataFrame) -> DataFrame:
-    """E-31: one row a sequence: ids joined by ``|`` in order, and their number; a hash goes through the shuffle with the text."""
-    return contigs.groupBy("seq").agg(F.concat_ws("|", F.sort_array(F.collect_list("contig_id"))).alias("ids"), F.count(F.lit(1)).alias("copies"))
+    """E-31: one row a sequence: ids joined by ``|`` in order, and their number; a digest, not the text, goes through the shuffle."""
+    return contigs.groupBy(F.sha2("seq", 256).alias("digest")).agg(F.concat_ws("|", F.sort_array(F.collect_list("contig_id"))).alias("ids"), F.count(F.lit(1)).alias("copies"))
+
+
+def sequence_classes(contigs: DataFrame) -> DataFrame:
+    """E-31 without names in one row: (contig_id, first, copies): the smallest id of equal sequences and their number.
+
+    Digests of 256 bits stand for sequences; those that many contigs share meet them by broadcast.
+    """
+    own = contigs.select("contig_id", F.sha2("seq", 256).alias("digest"))
+    classes = own.groupBy("digest").agg(F.min("contig_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    return join_heavy(own, classes, ["digest"], "copies", own.count()).select("contig_id", "first", "copies")
 
 
 def majority(votes: DataFrame, keys: list[str], models: int, mode: int = 2) -> DataFrame:
@@ -211,6 +236,26 @@ def remapped_depth(depth: DataFrame) -> DataFrame:
 
 
 def best_reads(hits: DataFrame) -> DataFrame:
-    """E-37: of reads that reach the same contigs, the one of the greatest total score (then the smallest id)."""
-    r = hits.groupBy("read_id").agg(F.sort_array(F.collect_list("contig_id")).alias("contigs"), F.sum("score").alias("score"))
-    return r.groupBy("contigs").agg(F.min_by("read_id", F.struct(-F.col("score"), F.col("read_id"))).alias("read_id"))
+    """E-37: of reads that reach the same contigs, the one of the greatest total score (then the smallest id).
+
+    Number and sums of two hashes stand for a read's contigs, so none are collected.
+    """
+    h = lambda s: F.sum(F.xxhash64(F.lit(s), "contig_id").cast("decimal(38,0)"))
+    r = hits.groupBy("read_id").agg(F.count(F.lit(1)).alias("n_"), h(1).alias("h1_"), h(2).alias("h2_"), F.sum("score").alias("score"))
+    return r.groupBy("n_", "h1_", "h2_").agg(F.min_by("read_id", F.struct(-F.col("score"), F.col("read_id"))).alias("read_id")).select("read_id")
+
+
+def bin_average(members: DataFrame, matrix: DataFrame) -> DataFrame:
+    """E-8: (bin_id, average): the unweighted mean of the contigs' average depths."""
+    return members.join(matrix.select("contig_id", "average"), "contig_id").groupBy("bin_id").agg(F.avg("average").alias("average"))
+
+
+def reciprocal_percent(pairs: DataFrame) -> DataFrame:
+    """E-12: pct2 of pairs (pct1, size1, size2): the share of bin2 that pct1 of bin1 makes."""
+    return pairs.withColumn("pct2", F.round(F.col("pct1") * F.col("size1") / F.col("size2"), 2))
+
+
+def grouped_sets(df: DataFrame, keys: list[str], value: str, how: str = "cube") -> DataFrame:
+    """E-35: distinct values and rows by all (``cube``) or leading (``rollup``) subsets of ``keys``; ``level`` tells which."""
+    grouped = df.cube(*keys) if how == "cube" else df.rollup(*keys)
+    return grouped.agg(F.grouping_id().cast("long").alias("level"), F.countDistinct(value).alias("distinct"), F.count(F.lit(1)).alias("rows"))

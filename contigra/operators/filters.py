@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import any_of
+from contigra.operators.windows import numbered, numbered_within
 
 
 def min_length(contigs: DataFrame, least: int = 1000, group: str = "assembly", order: str = "ordinal") -> DataFrame:
     """C-1: contigs of ``least`` and more with ids ``<group>-<n>``, numbered among those kept."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return contigs.where(F.col("length") >= least).withColumn("new_id", F.concat(group, F.lit("-"), n.cast("string")))
+    kept = numbered_within(contigs.where(F.col("length") >= least), [group], [order], "n_n")
+    return kept.select(*contigs.columns, F.concat(group, F.lit("-"), F.col("n_n").cast("string")).alias("new_id"))
 
 
 def single_contig_bins(contigs: DataFrame, least: int = 500_000, group: str = "assembly", order: str = "ordinal") -> DataFrame:
     """C-2: long contigs as bins, numbered by their place among all contigs."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return contigs.withColumn("number", n).where(F.col("length") >= least)
+    return numbered_within(contigs, [group], [order], "number").where(F.col("length") >= least)
 
 
 def oversize(members: DataFrame, most: int = 30_000_000) -> DataFrame:
@@ -54,12 +54,13 @@ def self_alignments(hits: DataFrame, identity: float = 99, length: int = 500) ->
     return hits.where((F.col("identity") >= identity) & (other | own)).dropDuplicates()
 
 
-def cross_alignments(hits: DataFrame, lengths: DataFrame, identity: float = 99, length: int = 1000) -> DataFrame:
-    """C-8: hits that cover both contigs to one whole contig together."""
+def cross_alignments(hits: DataFrame, lengths: DataFrame, identity: float = 99, length: int = 1000, failed: bool = False) -> DataFrame:
+    """C-8: hits that cover both contigs to one whole contig together; ``failed``: the strong hits that do not (the twin keeps them aside)."""
     one = lengths.select(F.col("contig_id").alias("query"), F.col("length").alias("len1"))
     two = lengths.select(F.col("contig_id").alias("subject"), F.col("length").alias("len2"))
     strong = hits.where((F.col("identity") >= identity) & (F.col("length") >= length))
-    return strong.join(one, "query").join(two, "subject").where(F.col("length") / F.col("len1") + F.col("length") / F.col("len2") >= 1)
+    covers = F.col("length") / F.col("len1") + F.col("length") / F.col("len2") >= 1
+    return strong.join(one, "query").join(two, "subject").where(~covers if failed else covers)
 
 
 def overlap_hits(hits: DataFrame, length: int = 500, identity: float = 99) -> DataFrame:
@@ -133,8 +134,9 @@ def tier(cpn: str = "completeness", ctn: str = "contamination") -> Column:
 
 def read_ids(reads: DataFrame, order: str = "ordinal") -> DataFrame:
     """C-20: ids ``Seq<n>_modifiedID_<mate>/<mate>``, numbered by file and mate."""
-    n = F.row_number().over(Window.partitionBy("file", "mate").orderBy(order))
-    return reads.withColumn("read_id", F.concat(F.lit("Seq"), n.cast("string"), F.lit("_modifiedID_"), F.col("mate").cast("string"), F.lit("/"), F.col("mate").cast("string")))
+    mate = F.col("mate").cast("string")
+    name = F.concat(F.lit("Seq"), F.col("n_n").cast("string"), F.lit("_modifiedID_"), mate, F.lit("/"), mate)
+    return numbered_within(reads, ["file", "mate"], [order], "n_n").select(*reads.columns, name.alias("read_id"))
 
 
 def fragments(reads: DataFrame, size: int = 100) -> DataFrame:
@@ -146,9 +148,9 @@ def fragments(reads: DataFrame, size: int = 100) -> DataFrame:
 
 def renumbered(members: DataFrame) -> DataFrame:
     """C-22: the map bin_id, contig_id -> ``bin<n>``, ``bin<n>_<m>``, in order of names."""
-    bins = members.select("bin_id").distinct().withColumn("n", F.row_number().over(Window.orderBy("bin_id")))
-    m = F.row_number().over(Window.partitionBy("bin_id").orderBy("contig_id"))
-    return members.withColumn("m", m).join(bins, "bin_id").select("bin_id", "contig_id", F.concat(F.lit("bin"), "n").alias("new_bin"), F.concat(F.lit("bin"), "n", F.lit("_"), "m").alias("new_contig"))
+    bins = numbered(members.select("bin_id").distinct(), [F.asc("bin_id")])
+    own = numbered_within(members.select("bin_id", "contig_id"), ["bin_id"], ["contig_id"], "m")
+    return own.join(bins, "bin_id").select("bin_id", "contig_id", F.concat(F.lit("bin"), "n").alias("new_bin"), F.concat(F.lit("bin"), "n", F.lit("_"), "m").alias("new_contig"))
 
 
 def shorter_variants(variants: DataFrame, targets: DataFrame) -> DataFrame:

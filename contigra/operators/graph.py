@@ -6,23 +6,31 @@ import tempfile
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contigra.operators.joins import join_heavy
 
-def cut(df: DataFrame) -> DataFrame:
-    """End the lineage of ``df`` in the folder of ``spark.checkpoint.dir``; a folder of this machine only in local mode, where that is unset."""
-    sc = df.sparkSession.sparkContext
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only in local mode, where that is unset, a folder of this machine."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         shared = sc.getConf().get("spark.checkpoint.dir")
         if not shared and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="contigra-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """End the lineage of ``df`` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def reach(members: DataFrame, edges: DataFrame, hops: int = 1) -> DataFrame:
-    """J-1, J-2, J-3 and J-10: (bin_id, contig_id, level) within ``hops`` steps of a bin's contigs; level 0 are its own."""
+    """J-1, J-2 and J-3: (bin_id, contig_id, level) within ``hops`` steps of a bin's contigs; level 0 are its own."""
     both = edges.select(F.col("node1").alias("x"), F.col("node2").alias("y")).union(edges.select("node2", "node1")).distinct()
     seen = members.select("bin_id", "contig_id", F.lit(0).alias("level")).distinct()
     front = seen
@@ -39,17 +47,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """J-4, J-5 and J-6: (node, component: smallest node) of edges (a, b).
 
     Rounds take the smallest label among neighbours, then the label of that label, until none changes; the number of rounds is
-    about the logarithm of the longest path.  Labels are pre-aggregated before each shuffle.
+    about the logarithm of the longest path.  Labels are pre-aggregated before each shuffle, and labels of nodes with many
+    edges meet these by broadcast, so no hub is one task's work.
     """
     e = edges.select(edges.columns[0], edges.columns[1]).toDF("x", "y")
     both = cut(e.union(e.select("y", "x")).distinct())
-    label = cut(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("c")))
+    total = both.count()
+    label = cut(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("c"), F.count(F.lit(1)).alias("w")))
     while True:
-        near = both.join(label, both["y"] == label["node"]).groupBy("x").agg(F.min("c").alias("m"))
-        step = label.join(near, label["node"] == near["x"]).select("node", "c", F.least("c", "m").alias("n"))
-        up = label.select(F.col("node").alias("n"), F.col("c").alias("u"))
-        new = cut(step.join(up, "n", "left").select("node", F.least("n", F.coalesce("u", "n")).alias("c"), (F.least("n", F.coalesce("u", "n")) != F.col("c")).alias("changed")))
-        label = new.select("node", "c")
+        near = join_heavy(both, label.withColumnRenamed("node", "y"), ["y"], "w", total).groupBy("x").agg(F.min("c").alias("m"))
+        step = label.join(near, label["node"] == near["x"]).select("node", "w", "c", F.least("c", "m").alias("n"))
+        sizes = step.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
+        up = label.select(F.col("node").alias("n"), F.col("c").alias("u")).join(sizes, "n")
+        new = cut(join_heavy(step, up, ["n"], "k", total).select("node", "w", F.least("n", F.coalesce("u", "n")).alias("c"), (F.least("n", F.coalesce("u", "n")) != F.col("c")).alias("changed")))
+        label = new.select("node", "c", "w")
         if new.where("changed").isEmpty():
             return label.select("node", F.col("c").alias("component"))
 
@@ -98,12 +109,27 @@ def roadmap(hits: DataFrame) -> DataFrame:
     return road.where(F.size("contigs") >= 2)
 
 
-def single_paths(hits: DataFrame, rounds: int = 50) -> DataFrame:
+def single_paths(hits: DataFrame) -> DataFrame:
     """J-12: hits (read_id, contig_id, end) after ends with two partners and more have gone, until none is left."""
-    for _ in range(rounds):
+    left = hits.count()
+    while True:
         wide = hits.groupBy("contig_id", "end").agg(F.countDistinct("read_id").alias("n")).where("n >= 2").select("contig_id", "end")
-        left = cut(hits.join(wide, ["contig_id", "end"], "left_anti"))
-        if left.count() == hits.count():
-            return left
-        hits = left
-    return hits
+        hits = cut(hits.join(wide, ["contig_id", "end"], "left_anti"))
+        before, left = left, hits.count()
+        if left == before:
+            return hits
+
+
+def retrieval(members: DataFrame, edges: DataFrame, depths: DataFrame, levels: int = 3, cutoffs: tuple[float, ...] = (1.0, 1.2, 1.5)) -> DataFrame:
+    """J-10: (bin_id, contig_id, level, cutoff): contigs first reached at each level whose depth is in the bin's fence in every sample.
+
+    depths: contig_id, sample_idx, depth.  The fence of a bin and sample is that of its own contigs, ``cutoff`` quartile ranges wide.
+    """
+    from contigra.operators.aggregates import quartiles
+
+    near = reach(members, edges, levels).where("level > 0")
+    q = quartiles(members.select("bin_id", "contig_id").join(depths, "contig_id"), ["bin_id", "sample_idx"], "depth")
+    tried = near.join(depths, "contig_id").join(q, ["bin_id", "sample_idx"]).withColumn("cutoff", F.explode(F.array(*map(F.lit, cutoffs))))
+    wide = F.col("cutoff") * (F.col("q3") - F.col("q1"))
+    inside = (F.col("depth") >= F.col("q1") - wide) & (F.col("depth") <= F.col("q3") + wide)
+    return tried.groupBy("bin_id", "contig_id", "level", "cutoff").agg(F.bool_and(inside).alias("ok")).where("ok").drop("ok")

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from contigra.functions.scalar import pct_avg
 
 
+HEAVY = 10_000
+
+
+def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with ``table`` (one row a key, ``weight`` says how many rows have it), without a hot task.
+
+    Keys of more than total / HEAVY rows are HEAVY at most, since their rows add up to ``total``: they are broadcast.  The other
+    rows meet their keys in a shuffle, in which none has more than that share.
+    """
+    most = max(1000, total // HEAVY)
+    heavy = table.where(F.col(weight) > most).withColumn("heavy_", F.lit(True))
+    first = rows.join(F.broadcast(heavy), on, "left")
+    light = first.where("heavy_ is null").select(*rows.columns).join(table.where(F.col(weight) <= most), on, "left")
+    return first.where("heavy_").select(*light.columns).unionByName(light)
+
+
 def with_coverage(members: DataFrame, depth: DataFrame) -> DataFrame:
-    """D-1 and D-2: members with the depths of their contigs."""
+    """D-1: members with the depths of their contigs."""
     return members.join(depth, "contig_id")
 
 
+def contig_bins(contigs: DataFrame, members: DataFrame) -> DataFrame:
+    """D-2: contigs with each bin that holds them, once."""
+    return contigs.join(members.select("contig_id", "bin_id").distinct(), "contig_id")
+
+
 def bin_connections(edges: DataFrame, members: DataFrame, one_bin: bool = False) -> DataFrame:
     """D-3: (bin1, bin2, connections) of edges whose ends lie in different bins; ``one_bin``: a contig is in its last bin only."""
     m = members.groupBy("contig_id").agg(F.max("bin_id").alias("bin_id")) if one_bin else members.select("contig_id", "bin_id").distinct()
@@ -40,15 +58,27 @@ def shared_within(members: DataFrame) -> DataFrame:
 
 
 def similar_coverage(profiles: DataFrame, low: float = 10, most: float = 100) -> DataFrame:
-    """D-6: pairs (bin1 < bin2) of profiles (bin_id, sample_idx, depth) that agree in every sample.
+    """D-6: pairs (bin1 < bin2) of profiles (bin_id, sample_idx, depth) that agree in every sample that both have.
 
-    Agreement is either depth at ``low`` or below, or a difference of ``most`` per cent of the mean.  Profiles join by sample,
-    one row a bin and sample; bins are few beside contigs.
+    Agreement is either depth at ``low`` or below, or a difference of ``most`` per cent of the mean (below 200).  Depths that agree
+    lie in the same or neighbouring bands of a log grid, so pairs are those that meet by band in the deepest sample; a
+    depth at ``low`` meets all bands.  A profile, one number a sample, then decides.
     """
-    a = profiles.select(F.col("bin_id").alias("bin1"), "sample_idx", F.col("depth").alias("d1"))
-    b = profiles.select(F.col("bin_id").alias("bin2"), "sample_idx", F.col("depth").alias("d2"))
-    ok = (F.col("d1") <= low) | (F.col("d2") <= low) | (pct_avg("d1", "d2") <= most)
-    return a.join(b, "sample_idx").where("bin1 < bin2").groupBy("bin1", "bin2").agg(F.bool_and(ok).alias("ok")).where("ok").select("bin1", "bin2")
+    deepest = profiles.groupBy("sample_idx").agg(F.avg("depth").alias("d")).orderBy(F.desc("d"), "sample_idx").first()
+    one = profiles.groupBy("bin_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_idx", "depth"))).alias("m"))
+    d0 = F.try_element_at("m", F.lit(deepest["sample_idx"] if deepest else 0))
+    width = math.log((200 + most) / (200 - most)) * (1 + 1e-9)
+    one = one.withColumn("band", F.when(d0 > low, F.floor(F.log(d0) / width)))
+    seen = one.agg(F.min("band"), F.max("band")).first()
+    everywhere = F.sequence(F.lit(seen[0]).cast("long"), F.lit(seen[1]).cast("long")) if seen[0] is not None else F.array().cast("array<long>")
+    none = F.lit(-(1 << 40)).cast("long")
+    near = F.when(F.col("band").isNotNull(), F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1, none)).otherwise(F.array_append(everywhere, none))
+    a = one.select(F.col("bin_id").alias("bin1"), F.col("m").alias("m1"), F.explode(near).alias("band"))
+    b = one.select(F.col("bin_id").alias("bin2"), F.col("m").alias("m2"), F.coalesce("band", none).alias("band"))
+    x, y = lambda s: F.try_element_at("m1", s), lambda s: F.try_element_at("m2", s)
+    both = F.array_intersect(F.map_keys("m1"), F.map_keys("m2"))
+    ok = F.forall(both, lambda s: (x(s) <= low) | (y(s) <= low) | (pct_avg(x(s), y(s)) <= most))
+    return a.join(b, "band").where("bin1 < bin2").where((F.size(both) > 0) & ok).select("bin1", "bin2")
 
 
 def similar_gc(pairs: DataFrame, gc: DataFrame, most: float = 5) -> DataFrame:
@@ -97,10 +127,9 @@ def paired(reads: DataFrame) -> DataFrame:
 
 
 def mate_edges(ends: DataFrame) -> DataFrame:
-    """D-14: (node1, node2) of the first two ends (read_id, ordinal, contig_id) of each read."""
-    two = F.slice(F.sort_array(F.collect_list(F.struct("ordinal", "contig_id"))), 1, 2)
-    j = ends.groupBy("read_id").agg(two.alias("e")).where(F.size("e") == 2)
-    return j.select(F.col("e")[0]["contig_id"].alias("node1"), F.col("e")[1]["contig_id"].alias("node2"))
+    """D-14: (node1, node2) of the first two ends (read_id, ordinal, contig_id) of each read; tasks send two rows a read at most."""
+    first = ends.withColumn("r_", F.row_number().over(Window.partitionBy("read_id").orderBy("ordinal", "contig_id"))).where("r_ <= 2")
+    return first.groupBy("read_id").agg(F.min_by("contig_id", "r_").alias("node1"), F.max_by("contig_id", "r_").alias("node2"), F.count(F.lit(1)).alias("n")).where("n = 2").select("node1", "node2")
 
 
 def evidence_levels(short: DataFrame, long: DataFrame) -> DataFrame:
@@ -130,19 +159,15 @@ def with_original(new: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def kmer_hits(queries: DataFrame, subjects: DataFrame, k: int = 21, least: int = 5) -> DataFrame:
-    """D-19: (query, subject, seeds): sequences (id, seq) that share ``least`` distinct k-mers, by an equi join on k-mers.
+    """D-19: (query, subject, seeds): sequences (id, seq) that share ``least`` distinct k-mers, by an equi join on their hashes.
 
     An approximation of a similarity join; k-mers of a sequence are distinct, so no pair is counted twice.
     """
 
     def seeds(df: DataFrame, name: str) -> DataFrame:
-        def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for i, seq in zip(pdf["id"], pdf["seq"], strict=True):
-                    found = {xxh3_64_intdigest(seq[a : a + k]) for a in range(len(seq) - k + 1)} if seq else set()
-                    yield pd.DataFrame({name: i, "kmer": np.fromiter(found, np.uint64, len(found)).view(np.int64)})
-
-        return df.select("id", "seq").mapInPandas(run, f"{name} {dict(df.dtypes)['id']}, kmer long")
+        letters = df.where(F.length("seq") >= k).select(F.col("id").alias(name), F.split("seq", "").alias("s"))
+        found = F.transform(F.sequence(F.lit(1), F.size("s") - k + 1), lambda i: F.xxhash64(F.slice("s", i, F.lit(k))))
+        return letters.select(name, F.explode(F.array_distinct(found)).alias("kmer"))
 
     return seeds(queries, "query").join(seeds(subjects, "subject"), "kmer").groupBy("query", "subject").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= least)
 

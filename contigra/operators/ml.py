@@ -7,56 +7,89 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import vector_stats
 
 
-def _axis(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and first principal direction, its largest part positive."""
-    mean = x.mean(0)
-    cov = (x - mean).T @ (x - mean)
-    v = np.linalg.eigh(cov)[1][:, -1]
-    return mean, v * (1 if v[np.abs(v).argmax()] > 0 else -1)
+def axes(vectors: DataFrame, key: str = "bin_id", value: str = "vector", k: int = 1) -> DataFrame:
+    """(key, axes, shifts): the first ``k`` principal directions of each group, largest part positive, and the means along them.
 
-
-def first_component(vectors: DataFrame, key: str = "bin_id", id_: str = "contig_id", value: str = "vector") -> DataFrame:
-    """K-1: (key, id, pc1) by group, exactly, without collecting a group.
-
-    Means and second moments are sums, so each batch sends one d x d matrix a group; scores are then computed row by row.
+    Means and second moments are sums, so each batch sends one d x d matrix a group and no group is collected.
     """
-    kind = dict(vectors.dtypes)
+    kind = dict(vectors.dtypes)[key]
 
     def moments(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for k, g in pdf.groupby(key):
+            for name, g in pdf.groupby(key, dropna=False):
                 x = np.array(g[value].tolist(), float)
-                rows.append((k, float(len(x)), x.sum(0).tolist(), (x.T @ x).ravel().tolist()))
+                rows.append((name, float(len(x)), x.sum(0).tolist(), (x.T @ x).ravel().tolist()))
             yield pd.DataFrame(rows, columns=[key, "n", "s", "m"])
 
     def add(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict = {}
         for pdf in batches:
-            for k, n, s, m in pdf.itertuples(index=False):
-                own = total.setdefault(k, [0.0, 0.0, 0.0])
-                total[k] = [own[0] + n, own[1] + np.asarray(s), own[2] + np.asarray(m)]
+            for name, n, s, m in pdf.itertuples(index=False):
+                own = total.setdefault(name, [0.0, 0.0, 0.0])
+                total[name] = [own[0] + n, own[1] + np.asarray(s), own[2] + np.asarray(m)]
         rows = []
-        for k, (n, s, m) in total.items():
-            v = np.linalg.eigh(m.reshape(len(s), -1) - np.outer(s, s) / n)[1][:, -1]
-            v = v * (1 if v[np.abs(v).argmax()] > 0 else -1)
-            rows.append((k, v.tolist(), float(v @ s / n)))
-        yield pd.DataFrame(rows, columns=[key, "axis", "shift"])
+        for name, (n, s, m) in total.items():
+            v = np.linalg.eigh(m.reshape(len(s), -1) - np.outer(s, s) / n)[1][:, ::-1][:, :k].T
+            v = v * np.where(v[np.arange(len(v)), np.abs(v).argmax(1)] > 0, 1, -1)[:, None]
+            rows.append((name, v.tolist(), (v @ s / n).tolist()))
+        yield pd.DataFrame(rows, columns=[key, "axes", "shifts"])
+
+    part = vectors.select(key, value).mapInPandas(moments, f"{key} {kind}, n double, s array<double>, m array<double>")
+    return part.repartition(key).mapInPandas(add, f"{key} {kind}, axes array<array<double>>, shifts array<double>")
+
+
+def _along(value: str, i: int = 0) -> Column:
+    """How far ``value`` lies along axis ``i`` from the mean."""
+    dot = F.aggregate(F.zip_with(value, F.col("axes")[i], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    return dot - F.col("shifts")[i]
 
-    part = vectors.select(key, value).mapInPandas(moments, f"{key} {kind[key]}, n double, s array<double>, m array<double>")
-    axes = part.repartition(key).mapInPandas(add, f"{key} {kind[key]}, axis array<double>, shift double")
-    dot = F.aggregate(F.zip_with(value, "axis", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
-    return vectors.join(axes, key).select(key, id_, (dot - F.col("shift")).alias("pc1"))
+
+def first_component(vectors: DataFrame, key: str = "bin_id", id_: str = "contig_id", value: str = "vector") -> DataFrame:
+    """K-1: (key, id, pc1) by group, exactly, without collecting a group."""
+    return vectors.join(axes(vectors, key, value), key).select(key, id_, _along(value).alias("pc1"))
+
+
+def candidate_outliers(own: DataFrame, candidates: DataFrame, k: float = 1.5) -> DataFrame:
+    """K-2 and K-3: (bin_id, contig_id, pc1, outlier) of candidates (bin_id, contig_id, vector) for bins of ``own`` (the same columns).
+
+    Candidates are laid on the first axis of the bin's own vectors and held against the fence of its own scores.
+    """
+    axis = axes(own)
+    scores = own.join(axis, "bin_id").select("bin_id", "contig_id", _along("vector").alias("pc1"))
+    tried = candidates.join(axis, "bin_id").select("bin_id", "contig_id", _along("vector").alias("pc1"))
+    return outside(scores, tried, k)
+
+
+def depth_profiles(depths: DataFrame, samples: int) -> DataFrame:
+    """(contig_id, vector): depths over that of sample 1 (0 counts as 0.1), for samples 2 to ``samples``; a missing one is 0."""
+    m = depths.groupBy("contig_id").agg(*[F.coalesce(F.max(F.when(F.col("sample_idx") == i, F.col("depth"))), F.lit(0.0)).alias(f"d{i}") for i in range(1, samples + 1)])
+    base = F.when(F.col("d1") == 0, 0.1).otherwise(F.col("d1"))
+    return m.select("contig_id", F.array(*[F.col(f"d{i}") / base for i in range(2, samples + 1)]).alias("vector"))
+
+
+def coverage_outliers(members: DataFrame, candidates: DataFrame, depths: DataFrame, samples: int, k: float = 1.5) -> DataFrame:
+    """K-2: (bin_id, contig_id, by_depth, by_profile, outlier) of candidates (bin_id, contig_id).
+
+    ``by_depth``: beyond the bin's depth fence in some sample; ``by_profile``: beyond the fence on the first axis of its depth profiles.
+    """
+    own, tried = members.select("bin_id", "contig_id"), candidates.select("bin_id", "contig_id")
+    d = depths.select("contig_id", "sample_idx", "depth")
+    flat = outside(own.join(d, "contig_id"), tried.join(d, "contig_id"), k, "depth", ["bin_id", "sample_idx"])
+    flat = flat.groupBy("bin_id", "contig_id").agg(F.bool_or("outlier").alias("by_depth"))
+    v = depth_profiles(d, samples)
+    along = candidate_outliers(own.join(v, "contig_id"), tried.join(v, "contig_id"), k).select("bin_id", "contig_id", F.col("outlier").alias("by_profile"))
+    return flat.join(along, ["bin_id", "contig_id"]).withColumn("outlier", F.col("by_depth") | F.col("by_profile"))
 
 
 def outside(scores: DataFrame, candidates: DataFrame, k: float = 1.5, value: str = "pc1", keys: tuple[str, ...] | list[str] = ("bin_id",)) -> DataFrame:
-    """K-2, K-3 and K-4: candidates (keys, contig_id, value) with ``outlier``: beyond the k-fence of the bin, or of other ``keys``."""
+    """K-4, and the fence of K-2 and K-3: candidates (keys, contig_id, value) with ``outlier``: beyond the k-fence of the bin, or of other ``keys``."""
     from contigra.operators.aggregates import quartiles
 
     q = quartiles(scores, [*keys], value)
@@ -64,13 +97,21 @@ def outside(scores: DataFrame, candidates: DataFrame, k: float = 1.5, value: str
     return candidates.join(q, [*keys]).withColumn("outlier", (F.col(value) < F.col("q1") - k * iqr) | (F.col(value) > F.col("q3") + k * iqr)).drop("q1", "q3")
 
 
-def features(contigs: DataFrame) -> DataFrame:
-    """K-5: depths, their 15 statistics and k-mers as one vector (contig_id, depths, kmers)."""
-    return contigs.withColumn("vector", F.concat("depths", vector_stats("depths"), "kmers"))
+def features(contigs: DataFrame, samples: int = 0, most: int = 5) -> DataFrame:
+    """K-5: depths, their 15 statistics and k-mers as one vector (contig_id, depths, kmers).
+
+    Depths of more than ``most`` samples enter by their first three components over all contigs.
+    """
+    if samples <= most:
+        return contigs.withColumn("vector", F.concat("depths", vector_stats("depths"), "kmers"))
+    all_ = contigs.withColumn("all_", F.lit(0))
+    joined = all_.join(F.broadcast(axes(all_, "all_", "depths", 3)), "all_")  # one row
+    reduced = joined.withColumn("low_", F.array(*[_along("depths", i) for i in range(3)]))
+    return reduced.withColumn("vector", F.concat("low_", vector_stats("depths"), "kmers")).select(*contigs.columns, "vector")
 
 
 class Network:
-    """K-6: linear, two residual blocks of three linear layers with batch norms, linear; weights are plain arrays."""
+    """K-6: with ``parameters`` from a table, linear, two residual blocks of three linear layers with batch norms, linear; weights are plain arrays."""
 
     def __init__(self, size: int, hidden: int = 16, classes: int = 2, seed: int = 0, weights: dict[str, np.ndarray] | None = None):
         rng = np.random.default_rng(seed)
@@ -82,6 +123,21 @@ class Network:
                 for name, v in (("mean", 0.0), ("var", 1.0), ("scale", 1.0), ("shift", 0.0)):
                     self.w.setdefault(f"{b}.{i}.{name}", np.full(n, v))
 
+    def parameters(self, spark: SparkSession) -> DataFrame:
+        """The weights as a table (name, row, col, value)."""
+        rows = [(k, i, j, float(x)) for k, w in self.w.items() for i, r in enumerate(np.atleast_2d(w)) for j, x in enumerate(r)]
+        return spark.createDataFrame(rows, "name string, row int, col int, value double")
+
+    @classmethod
+    def load(cls, parameters: DataFrame, size: int) -> Network:
+        """A network whose weights are a table (name, row, col, value); its size is the network's, not the data's."""
+        pdf, w = parameters.toPandas(), {}
+        for name, g in pdf.groupby("name"):
+            a = np.zeros((g["row"].max() + 1, g["col"].max() + 1))
+            a[g["row"], g["col"]] = g["value"]
+            w[name] = a if name in ("embed", "cls") or name.split(".")[-1].isdigit() else a[0]
+        return cls(size, weights=w)
+
     def _linear(self, x: np.ndarray, k: str) -> np.ndarray:
         return x @ self.w[k] + self.w[f"{k}.bias"]
 

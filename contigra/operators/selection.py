@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import delta, lineage_weight
+from contigra.operators.joins import join_heavy
 
 
 def within_assembly() -> Column:
@@ -33,10 +34,15 @@ def survivors(bins: DataFrame, pairs: DataFrame) -> DataFrame:
     return bins.join(lost, "bin_id", "left_anti")
 
 
-def refined(pairs: DataFrame) -> DataFrame:
-    """G-5: (…, verdict): accept, deep or keep of a refined bin (cpn, ctn) against the original (cpn0, ctn0)."""
+def refined(pairs: DataFrame, twin: bool = False) -> DataFrame:
+    """G-5: (…, verdict): accept, deep or keep of a refined bin (cpn, ctn) against the original (cpn0, ctn0).
+
+    ``twin``: bins that lost score or completeness are queued too if the original is good enough.
+    """
     d, d0, w, w0 = delta("cpn", "ctn"), delta("cpn0", "ctn0"), delta("cpn", "ctn", 5), delta("cpn0", "ctn0", 5)
     queue = (F.col("cpn") > F.col("cpn0")) & (F.col("cpn0") >= 40) & (F.col("ctn0") <= 10) & (F.col("ctn") <= 50)
+    if twin:
+        queue = queue | (((w < w0) | (F.col("cpn") < F.col("cpn0"))) & (F.col("cpn0") >= 40) & (F.col("ctn0") <= 15) & (F.col("ctn") <= 50))
     return pairs.withColumn("verdict", F.when((d > d0) & (w >= w0), "accept").when(d > d0, "deep").when(queue, "deep").otherwise("keep"))
 
 
@@ -97,13 +103,17 @@ def merge_candidates(pairs: DataFrame, most: float = 105) -> DataFrame:
 
 
 def similar_bins(log: DataFrame, quality: DataFrame, most: float = 5) -> DataFrame:
-    """G-15: (bin_id, partner) of one cluster of the log (a, b), partners of contamination ``most`` and less."""
+    """G-15: (bin_id, component, partners): the cluster of each bin of the log (a, b), and how many other bins of contamination
+    ``most`` and less it has there.  Those are the cluster's rows; they are never expanded into pairs.
+    """
     from contigra.operators.graph import connected_components
 
-    c = connected_components(log)
-    good = quality.where(F.col("contamination") <= most).select(F.col("bin_id").alias("node"))
-    partner = c.join(good, "node").select(F.col("node").alias("partner"), "component")
-    return c.withColumnRenamed("node", "bin_id").join(partner, "component").where("bin_id <> partner").select("bin_id", "partner")
+    c = connected_components(log).withColumnRenamed("node", "bin_id")
+    good = quality.select("bin_id", (F.col("contamination") <= most).cast("long").alias("good"))
+    c = c.join(good, "bin_id", "left").select("bin_id", "component", F.coalesce("good", F.lit(0)).alias("good"))
+    size = c.groupBy("component").agg(F.sum("good").alias("all_"), F.count(F.lit(1)).alias("w"))
+    joined = join_heavy(c, size, ["component"], "w", c.count())
+    return joined.select("bin_id", "component", (F.col("all_") - F.col("good")).alias("partners"))
 
 
 def settled_ties(ties: DataFrame, quality: DataFrame) -> DataFrame:
@@ -113,6 +123,18 @@ def settled_ties(ties: DataFrame, quality: DataFrame) -> DataFrame:
     return pair_quality(ties, quality).withColumn("winner", across_assemblies())
 
 
+def merged_ties(ties: DataFrame, quality: DataFrame, depths: DataFrame, most: float = 20) -> DataFrame:
+    """G-16 with E-26: (bin1, bin2, winner): ties judged anew, and of those still undecided the first bin where depths do not object.
+
+    depths: bin1, bin2, sample_idx, depth1, depth2 of the ties.
+    """
+    from contigra.operators.aggregates import veto
+
+    judged = settled_ties(ties, quality).select("bin1", "bin2", "winner")
+    alike = veto(depths, most).withColumn("alike", F.lit(True))
+    return judged.join(alike, ["bin1", "bin2"], "left").select("bin1", "bin2", F.when((F.col("winner") == 0) & F.col("alike"), 1).otherwise(F.col("winner")).alias("winner"))
+
+
 def by_lineage(multiply: bool = False) -> Column:
     """G-17: 1, 2: higher lineage weight, then difference, then size over connections, then size; ``multiply``: weight times difference."""
     w1, w2 = lineage_weight("lineage1"), lineage_weight("lineage2")
@@ -123,6 +145,17 @@ def by_lineage(multiply: bool = False) -> Column:
     return F.when(w1 > w2, 1).when(w1 < w2, 2).when(d1 > d2, 1).when(d1 < d2, 2).when(r1 > r2, 1).when(r1 < r2, 2).when(F.col("size1") > F.col("size2"), 1).otherwise(2)
 
 
+def across_by_lineage(final: bool = False) -> Column:
+    """The twin of G-2: bins of equal lineage weight by completeness - 5 contamination (0: undecided), others by weight times that.
+
+    ``final``: of unequal weights the higher one wins outright.
+    """
+    w1, w2 = lineage_weight("lineage1"), lineage_weight("lineage2")
+    d1, d2 = delta("cpn1", "ctn1", 5), delta("cpn2", "ctn2", 5)
+    apart = F.when(w1 > w2, 1).otherwise(2) if final else F.when(w1 * d1 >= w2 * d2, 1).otherwise(2)
+    return F.when(w1 == w2, across_assemblies()).otherwise(apart)
+
+
 def longest_merge(merges: DataFrame) -> DataFrame:
     """G-18: by contig, the merge of the longest id."""
     return merges.groupBy("contig_id").agg(F.max_by("merged", F.struct(F.length("merged"), "merged")).alias("merged"))

@@ -18,8 +18,36 @@ def accepted(best: DataFrame) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: list[Column], name: str = "n") -> DataFrame:
-    """F-w3: a gapless number in a total order, for tables of a row a bin (their order is global)."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """F-w3: a gapless number in a total order: rows are sorted by range, and each partition starts where those before it end."""
+    from contigra.operators.graph import cut
+
+    held = cut(df.repartitionByRange(*order).withColumn("p_", F.spark_partition_id()))
+    before, starts = 0, []
+    for r in sorted(held.groupBy("p_").count().collect()):  # one row a partition
+        starts.append((r["p_"], before))
+        before += r["count"]
+    own = F.row_number().over(Window.partitionBy("p_").orderBy(*order))
+    small = F.broadcast(df.sparkSession.createDataFrame(starts, "p_ int, before_ long"))
+    return held.withColumn("n_", own).join(small, "p_").select(*df.columns, (F.col("n_") + F.col("before_")).alias(name))
+
+
+def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
+    """Gapless numbers by group in the order of ``order``, however many rows one group has.
+
+    Rows are dealt by range of group and order, numbered within each range, and moved on by the rows that the group has in the
+    ranges before.
+    """
+    from contigra.operators.graph import cut
+
+    held = cut(df.repartitionByRange(*group, *order).withColumn("p_", F.spark_partition_id()))
+    rows = held.groupBy("p_", *group).agg(F.count(F.lit(1)).alias("rows_"))
+    before = F.sum("rows_").over(Window.partitionBy(*group).orderBy("p_").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select(F.col("p_").alias("q_"), *[F.col(c).alias(f"{c}_") for c in group], F.coalesce(before, F.lit(0)).alias("before_"))
+    own = held.withColumn("n_", F.row_number().over(Window.partitionBy("p_", *group).orderBy(*order)))
+    same = F.col("p_") == F.col("q_")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    return own.join(rows, same).select(*df.columns, (F.col("n_") + F.col("before_")).alias(name))
 
 
 def top_neighbours(near: DataFrame, most: int = 20) -> DataFrame:
@@ -44,11 +72,22 @@ def running_records(df: DataFrame, key: str, value: str, order: str, least: floa
 
 
 def best_by(df: DataFrame, keys: list[str], score: str, order: str) -> DataFrame:
-    """F-w8 and F-w9: the row of the greatest score, the first of equal ones, by group."""
+    """F-w8: the row of the greatest score, the first of equal ones, by group."""
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(score), -F.col(order))).alias("r_")).select(*keys, "r_.*")
 
 
+def first_row(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """F-w9: the first row of each group in file order."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("r_")).select(*keys, "r_.*")
+
+
+def last_by(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """F-w10: ``columns`` of the last row, by ``order``, of each group (of all rows without keys)."""
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r_")).select(*keys, "r_.*")
+
+
 def ordered(df: DataFrame, *order: Column | str) -> DataFrame:
     """F-w11."""
     return df.orderBy(*order)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,21 @@ def dereplicate(a: DataFrame, b: DataFrame, quality_a: DataFrame, quality_b: Dat
     return one.union(two)
 
 
+def dereplicate_all(sets: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """J-7: (members, quality) of what is left of several such sets, folded from the left: each result meets the next set.
+
+    The members and qualities of a step are those of its survivors; names of bins must differ between sets.
+    """
+    from contigra.operators.graph import cut
+
+    def merge(a: tuple[DataFrame, DataFrame], b: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+        left = cut(dereplicate(a[0], b[0], a[1], b[1]))
+        kept = lambda df, side: df.join(left.where(F.col("side") == side).select("bin_id"), "bin_id", "left_semi")
+        return tuple(cut(kept(x, "a").unionByName(kept(y, "b"))) for x, y in zip(a, b, strict=True))
+
+    return reduce(merge, sets)
+
+
 def refine(depths: DataFrame, votes: DataFrame, models: int) -> DataFrame:
     """(bin_id, contig_id, outlier): flagged by the ensemble (E-32) and not confirmed clean by depth (E-27)."""
     flagged = aggregates.majority(votes, ["bin_id", "contig_id"], models)

@@ -82,7 +82,10 @@ scored AS (SELECT bin1, bin2, round(100.0 * shared / s1.size, 2) AS pct1, round(
 best AS (SELECT bin1, bin2, pct1, pct2 FROM (SELECT *, row_number() OVER (PARTITION BY bin1 ORDER BY pct1 DESC, bin2) AS r FROM scored) WHERE r = 1),
 accepted AS (SELECT * FROM best WHERE pct1 + pct2 >= 100 OR pct1 >= 50 OR pct2 >= 50),
 bin_cov AS (SELECT bin_id, sample_idx, avg(depth) AS depth FROM bin_depths GROUP BY 1, 2),
-qp AS (SELECT a.bin_id AS bin1, b.bin_id AS bin2, a.completeness AS cpn1, a.contamination AS ctn1, a.genome_size AS size1, a.n50 AS n50_1, b.completeness AS cpn2, b.contamination AS ctn2, b.genome_size AS size2, b.n50 AS n50_2 FROM quality a JOIN quality b ON a.bin_id < b.bin_id),
+bin_edges AS (SELECT a.bin_id AS bin1, b.bin_id AS bin2, CAST(sum(connections) AS BIGINT) AS connections FROM edges JOIN brands a ON node1 = a.contig_id JOIN brands b ON node2 = b.contig_id WHERE a.bin_id <> b.bin_id GROUP BY 1, 2),
+pairs AS (SELECT DISTINCT least(bin1, bin2) AS bin1, greatest(bin1, bin2) AS bin2 FROM bin_edges),
+quality_p AS (SELECT p_brand AS bin_id, round(avg(2.0 * p_size), 1) AS completeness, round(avg(p_partkey % 25), 1) AS contamination, CAST(sum(p_size) AS BIGINT) AS genome_size, CAST(max(p_size) AS DOUBLE) AS n50 FROM part GROUP BY 1),
+qp AS (SELECT a.bin_id AS bin1, b.bin_id AS bin2, a.completeness AS cpn1, a.contamination AS ctn1, a.genome_size AS size1, a.n50 AS n50_1, b.completeness AS cpn2, b.contamination AS ctn2, b.genome_size AS size2, b.n50 AS n50_2 FROM pairs JOIN quality_p a ON bin1 = a.bin_id JOIN quality_p b ON bin2 = b.bin_id),
 fence AS (SELECT bin_id, sample_idx, quantile_cont(depth, 0.25) AS q1, quantile_cont(depth, 0.75) AS q3, avg(depth) AS mean FROM bin_depths GROUP BY 1, 2),
 both_e AS (SELECT node1, node2, connections FROM edges UNION ALL SELECT node2, node1, connections FROM edges),
 near AS (SELECT b.bin_id, e.node2 AS contig_id, CAST(sum(e.connections) AS BIGINT) AS connections FROM brands b JOIN both_e e ON b.contig_id = e.node1 WHERE NOT EXISTS (SELECT 1 FROM brands m WHERE m.bin_id = b.bin_id AND m.contig_id = e.node2) GROUP BY 1, 2)
@@ -101,10 +104,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def brand_quality(t: Tables) -> DataFrame:
+    p = t.part.groupBy(F.col("p_brand").alias("bin_id"))
+    return p.agg(F.round(F.avg(2.0 * F.col("p_size")), 1).alias("completeness"), F.round(F.avg(F.col("p_partkey") % 25), 1).alias("contamination"), F.sum("p_size").cast("long").alias("genome_size"), F.max("p_size").cast("double").alias("n50"))
+
+
+def connected_pairs(t: Tables) -> DataFrame:
+    """Pairs of brands that edges connect (D-3), smaller name first."""
+    return H.unordered(D.bin_connections(t.edges(), t.brands()).select("bin1", "bin2"), "bin1", "bin2")
+
+
 def _pairs(t: Tables) -> DataFrame:
-    """Pairs of bins by name with both qualities (D-17)."""
-    b = t.quality().select("bin_id")
-    return D.pair_quality(b.toDF("bin1").join(b.toDF("bin2"), F.col("bin1") < F.col("bin2")), t.quality())
+    """Connected pairs of bins with both qualities (D-17)."""
+    return D.pair_quality(connected_pairs(t), brand_quality(t))
 
 
 @query("dereplicate", JUDGED + """SELECT 'a' AS side, bin_id FROM sizes_a WHERE bin_id NOT IN (SELECT bin1 FROM judged WHERE winner = 2) UNION ALL SELECT 'b', bin_id FROM sizes_b WHERE bin_id NOT IN (SELECT bin2 FROM judged WHERE winner = 1)""")
@@ -141,7 +153,7 @@ def c05(t: Tables) -> DataFrame:
 
 @query("c06_contamination_gate", "SELECT bin1 AS a, bin2 AS b FROM qp WHERE NOT (ctn1 >= 12 AND cpn1 - ctn1 <= 80) AND NOT (ctn2 >= 12 AND cpn2 - ctn2 <= 80)")
 def c06(t: Tables) -> DataFrame:
-    return C.gated_pairs(_pairs(t).select(F.col("bin1").alias("a"), F.col("bin2").alias("b")), t.quality()).select("a", "b")
+    return C.gated_pairs(_pairs(t).select(F.col("bin1").alias("a"), F.col("bin2").alias("b")), brand_quality(t)).select("a", "b")
 
 
 @query("c18_reassembled", "SELECT bin_id, contig_id, length FROM (SELECT *, count(*) OVER (PARTITION BY bin_id) AS n FROM mem_a WHERE length >= 1000) WHERE n >= 2")
@@ -288,22 +300,24 @@ def e19(t: Tables) -> DataFrame:
     return A.quartiles(t.bin_depths(), ["bin_id", "sample_idx"], "depth").select("bin_id", "sample_idx", F.round("q1", 4).alias("q1"), F.round("q3", 4).alias("q3"))
 
 
-@query("e21_core_contigs", "SELECT bin_id, contig_id FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2 HAVING bool_and(depth >= q1 - 0.731 * (q3 - q1) AND depth <= q3 + 0.731 * (q3 - q1))")
+@query("e21_core_contigs", "SELECT bin_id, contig_id FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2 HAVING bool_and(depth >= q1 - 1.5 * (q3 - q1) AND depth <= q3 + 1.5 * (q3 - q1))")
 def e21(t: Tables) -> DataFrame:
-    return A.core_contigs(t.bin_depths(), 0.731)
+    return A.core_contigs(t.bin_depths(), 1.5)
 
 
-@query("e22_core_depth", ", core AS (SELECT bin_id, contig_id FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2 HAVING bool_and(depth >= q1 - 0.731 * (q3 - q1) AND depth <= q3 + 0.731 * (q3 - q1))) SELECT bin_id, sample_idx, round(coalesce(avg(CASE WHEN c.contig_id IS NOT NULL THEN depth END), 0), 4) AS depth FROM bin_depths d LEFT JOIN core c USING (bin_id, contig_id) GROUP BY 1, 2")
+@query("e22_core_depth", ", core AS (SELECT bin_id, contig_id FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2 HAVING bool_and(depth >= q1 - 1.5 * (q3 - q1) AND depth <= q3 + 1.5 * (q3 - q1))) SELECT bin_id, sample_idx, round(coalesce(avg(CASE WHEN c.contig_id IS NOT NULL THEN depth END), 0), 4) AS depth FROM bin_depths d LEFT JOIN core c USING (bin_id, contig_id) GROUP BY 1, 2")
 def e22(t: Tables) -> DataFrame:
-    return A.core_depth(t.bin_depths(), A.core_contigs(t.bin_depths(), 0.731)).select("bin_id", "sample_idx", F.round("depth", 4).alias("depth"))
+    return A.core_depth(t.bin_depths(), A.core_contigs(t.bin_depths(), 1.5)).select("bin_id", "sample_idx", F.round("depth", 4).alias("depth"))
 
 
 def _depth_pairs(t: Tables) -> DataFrame:
+    """Connected pairs with the mean depths of both bins by sample."""
     c = A.bin_coverage(t.brands(), t.depth())
-    return c.select(F.col("bin_id").alias("bin1"), "sample_idx", F.col("depth").alias("depth1")).join(c.select(F.col("bin_id").alias("bin2"), "sample_idx", F.col("depth").alias("depth2")), "sample_idx").where("bin1 < bin2")
+    one, two = c.toDF("bin1", "sample_idx", "depth1"), c.toDF("bin2", "sample_idx", "depth2")
+    return connected_pairs(t).join(one, "bin1").join(two, ["bin2", "sample_idx"])
 
 
-_DEPTH_PAIRS = "bin_cov a JOIN bin_cov b ON a.sample_idx = b.sample_idx AND a.bin_id < b.bin_id"
+_DEPTH_PAIRS = "pairs JOIN bin_cov a ON a.bin_id = bin1 JOIN bin_cov b ON b.bin_id = bin2 AND a.sample_idx = b.sample_idx"
 
 
 @query("e23_depth_ratio", f"SELECT a.bin_id AS bin1, b.bin_id AS bin2, a.sample_idx, round(a.depth / CASE WHEN b.depth = 0 THEN 1 ELSE b.depth END, 4) AS ratio FROM {_DEPTH_PAIRS}")
@@ -311,19 +325,19 @@ def e23(t: Tables) -> DataFrame:
     return A.depth_ratio(_depth_pairs(t)).select("bin1", "bin2", "sample_idx", F.round("ratio", 4).alias("ratio"))
 
 
-@query("e25_vote", f"SELECT a.bin_id AS bin1, b.bin_id AS bin2, bool_and(100 * abs(a.depth - b.depth) / (a.depth + b.depth) <= 1) AS alike FROM {_DEPTH_PAIRS} GROUP BY 1, 2")
+@query("e25_vote", f"SELECT a.bin_id AS bin1, b.bin_id AS bin2, bool_and(100 * abs(a.depth - b.depth) / (a.depth + b.depth) <= 10) AS alike FROM {_DEPTH_PAIRS} GROUP BY 1, 2")
 def e25(t: Tables) -> DataFrame:
-    return A.vote(_depth_pairs(t), 1)
+    return A.vote(_depth_pairs(t))
 
 
-@query("e26_veto", f"SELECT a.bin_id AS bin1, b.bin_id AS bin2 FROM {_DEPTH_PAIRS} GROUP BY 1, 2 HAVING NOT bool_or(200 * abs(a.depth - b.depth) / (a.depth + b.depth) > 2)")
+@query("e26_veto", f"SELECT a.bin_id AS bin1, b.bin_id AS bin2 FROM {_DEPTH_PAIRS} GROUP BY 1, 2 HAVING NOT bool_or(200 * abs(a.depth - b.depth) / (a.depth + b.depth) > 20)")
 def e26(t: Tables) -> DataFrame:
-    return A.veto(_depth_pairs(t), 2)
+    return A.veto(_depth_pairs(t))
 
 
-@query("e27_confirmed_clean", "SELECT bin_id, contig_id, bool_and(mean = 0 OR 100 * abs(depth - mean) / mean < 7.77 OR (depth >= q1 - 0.231 * (q3 - q1) AND depth <= q3 + 0.231 * (q3 - q1))) AS clean FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2")
+@query("e27_confirmed_clean", "SELECT bin_id, contig_id, bool_and(mean = 0 OR 100 * abs(depth - mean) / mean < 30 OR (depth >= q1 - (q3 - q1) AND depth <= q3 + (q3 - q1))) AS clean FROM bin_depths JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2")
 def e27(t: Tables) -> DataFrame:
-    return A.confirmed_clean(t.bin_depths(), 0.231, 7.77)
+    return A.confirmed_clean(t.bin_depths())
 
 
 @query("e28_first_ratios", "SELECT contig_id, sample_idx, round(CASE WHEN coalesce(one, 0) = 0 THEN depth ELSE depth / one END, 6) AS ratio FROM (SELECT *, max(CASE WHEN sample_idx = 1 THEN depth END) OVER (PARTITION BY contig_id) AS one FROM depth)")
@@ -331,15 +345,29 @@ def e28(t: Tables) -> DataFrame:
     return A.first_ratios(t.depth()).select("contig_id", "sample_idx", F.round("ratio", 6).alias("ratio"))
 
 
-@query("e31_distinct_sequences", "SELECT string_agg(CAST(doc_id AS VARCHAR), '|' ORDER BY doc_id) AS ids, count(*) AS copies FROM documents GROUP BY text")
+@query("e31_distinct_sequences", "SELECT doc_id AS contig_id, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS copies FROM documents")
 def e31(t: Tables) -> DataFrame:
-    return A.distinct_sequences(t.documents.select(F.col("doc_id").alias("contig_id"), F.col("text").alias("seq"))).select("ids", "copies")
+    return A.sequence_classes(t.documents.select(F.col("doc_id").alias("contig_id"), F.col("text").alias("seq")))
+
 
+def stats_sql(v: str) -> str:
+    """The 15 statistics of a list of doubles as a list, in SQL."""
+    n, mean, var = f"len({v})", f"list_avg({v})", f"list_var_pop({v})"
+    total = lambda f: f"list_sum(list_transform({v}, lambda x: {f}))"
+    peak, rms, mean_abs = f"list_max(list_transform({v}, lambda x: abs(x)))", f"sqrt({total('x * x')} / ({n} + 1e-7))", f"({total('abs(x)')} / ({n} + 1e-7))"
+    root = f"pow({total('sqrt(abs(x))')} / ({n} + 1e-7), 2)"
+    moment = lambda k: f"{total(f'pow(x - {mean}, {k})')} / (({n} - 1) * pow(sqrt({var}), {k}) + 1e-7)"
+    return f"[{mean}, {var}, sqrt({var}), list_max({v}), list_min({v}), {peak}, {rms}, {mean_abs}, {root}, {rms} / ({mean} + 1e-7), {peak} / ({rms} + 1e-7), {peak} / ({mean} + 1e-7), {peak} / ({root} + 1e-7), {moment(3)}, {moment(4)}]"
 
-@query("e33_vector_stats", "SELECT vec_id, round(list_avg(v), 5) AS mean, round(list_var_pop(v), 5) AS var, round(list_max(v), 5) AS top, round(list_max(list_transform(v, lambda x: abs(x))), 5) AS peak, round(sqrt(list_sum(list_transform(v, lambda x: x * x)) / (len(v) + 1e-7)), 5) AS rms FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)")
+
+#: Places of the statistics whose divisor is a mean that may be near 0; they are compared as rounded logarithms.
+_STEEP = (9, 11)
+
+
+@query("e33_vector_stats", f"SELECT vec_id, i - 1 AS place, round(CASE WHEN i - 1 IN {_STEEP} THEN ln(1 + abs(s[i])) ELSE s[i] END, 4) AS value FROM (SELECT vec_id, {stats_sql('v')} AS s, unnest(range(1, 16)) AS i FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))")
 def e33(t: Tables) -> DataFrame:
-    s = t.embeddings.select("vec_id", S.vector_stats(F.col("embedding").cast("array<double>")).alias("s"))
-    return s.select("vec_id", *[F.round(F.col("s")[i], 5).alias(n) for i, n in ((0, "mean"), (1, "var"), (3, "top"), (5, "peak"), (6, "rms"))])
+    s = t.embeddings.select("vec_id", F.posexplode(S.vector_stats(F.col("embedding").cast("array<double>"))).alias("place", "value"))
+    return s.withColumn("value", F.round(F.when(F.col("place").isin(*_STEEP), F.log1p(F.abs("value"))).otherwise(F.col("value")), 4))
 
 
 @query("e34_normalised", "SELECT bin_id, contig_id, sample_idx, round(abs(depth - m) / (greatest(hi - m, m - lo) + 1e-8), 5) AS scaled FROM bin_depths JOIN (SELECT bin_id, sample_idx, avg(depth) AS m, min(depth) AS lo, max(depth) AS hi FROM bin_depths GROUP BY 1, 2) USING (bin_id, sample_idx)")
@@ -385,7 +413,7 @@ def fw8(t: Tables) -> DataFrame:
 
 @query("fw10_last_status", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
 def fw10(t: Tables) -> DataFrame:
-    return t.events.groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")).alias("e")).select("user_id", "e.*")
+    return W.last_by(t.events, ["user_id"], ["ts", "event_id"], ["event_id", "event_type"])
 
 
 @query("g01_within_assembly", "SELECT bin1, bin2, CASE WHEN cpn1 - ctn1 > cpn2 - ctn2 THEN 1 WHEN cpn1 - ctn1 < cpn2 - ctn2 THEN 2 WHEN size1 > size2 THEN 1 ELSE 2 END AS winner FROM qp")
@@ -398,9 +426,9 @@ def g02(t: Tables) -> DataFrame:
     return _pairs(t).select("bin1", "bin2", G.across_assemblies().alias("winner"))
 
 
-@query("g04_survivors", "SELECT bin_id FROM quality WHERE bin_id NOT IN (SELECT CASE WHEN cpn1 - 5 * ctn1 > cpn2 - 5 * ctn2 THEN bin2 ELSE bin1 END FROM qp WHERE cpn1 - 5 * ctn1 <> cpn2 - 5 * ctn2)")
+@query("g04_survivors", "SELECT bin_id FROM quality_p WHERE bin_id NOT IN (SELECT CASE WHEN cpn1 - 5 * ctn1 > cpn2 - 5 * ctn2 THEN bin2 ELSE bin1 END FROM qp WHERE cpn1 - 5 * ctn1 <> cpn2 - 5 * ctn2)")
 def g04(t: Tables) -> DataFrame:
-    return G.survivors(t.quality().select("bin_id"), _pairs(t).withColumn("winner", G.across_assemblies()))
+    return G.survivors(brand_quality(t).select("bin_id"), _pairs(t).withColumn("winner", G.across_assemblies()))
 
 
 @query("g05_refined", "SELECT bin1, bin2, CASE WHEN cpn1 - ctn1 > cpn2 - ctn2 AND cpn1 - 5 * ctn1 >= cpn2 - 5 * ctn2 THEN 'accept' WHEN cpn1 - ctn1 > cpn2 - ctn2 THEN 'deep' WHEN cpn1 > cpn2 AND cpn2 >= 40 AND ctn2 <= 10 AND ctn1 <= 50 THEN 'deep' ELSE 'keep' END AS verdict FROM qp")
@@ -443,10 +471,10 @@ def j04(t: Tables) -> DataFrame:
 SQL["j04_connected_components"] = WITH.replace("WITH mem_a", "WITH RECURSIVE mem_a", 1) + ", walk AS (SELECT node1 AS x, node1 AS y FROM both_e WHERE connections >= 3 UNION SELECT w.x, e.node2 FROM walk w JOIN both_e e ON w.y = e.node1 AND e.connections >= 3) SELECT x AS node, min(y) AS component FROM walk GROUP BY 1"
 
 
-@query("k02_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.013 * (q3 - q1) OR depth > q3 + 1.013 * (q3 - q1) AS outlier FROM bin_depths JOIN fence USING (bin_id, sample_idx)")
+@query("k02_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM bin_depths JOIN fence USING (bin_id, sample_idx)")
 def k02(t: Tables) -> DataFrame:
     d = t.bin_depths()
-    return K.outside(d, d, 1.013, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
+    return K.outside(d, d, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 
 @query("k01_first_component")
@@ -472,6 +500,10 @@ def recruit(t: Tables) -> DataFrame:
     return P.recruit(t.brands(), t.edges(), black)
 
 
-@query("d19_kmer_hits")
+def _mers(table: str, id_: str, name: str) -> str:
+    return f"SELECT DISTINCT {id_} AS {name}, substr(text, CAST(i AS BIGINT), 21) AS m FROM (SELECT {id_}, text, unnest(range(1, length(text) - 19)) AS i FROM {table} WHERE length(text) >= 21)"
+
+
+@query("d19_kmer_hits", f", q AS ({_mers('benchmark', 'item_id', 'query')}), d AS (SELECT * FROM ({_mers('documents', 'doc_id', 'subject')}) WHERE m IN (SELECT m FROM q)) SELECT query, subject, count(*) AS seeds FROM q JOIN d USING (m) GROUP BY 1, 2 HAVING count(*) >= 20")
 def d19(t: Tables) -> DataFrame:
     return D.kmer_hits(t.benchmark.select(F.col("item_id").alias("id"), F.col("text").alias("seq")), t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("seq")), 21, 20)

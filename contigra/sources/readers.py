@@ -12,7 +12,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,20 +31,21 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
-    """A-2: read_id, mate, seq, qual, ordinal: four lines a record, per file, in file order.
+    """A-2: read_id, seq, qual, ordinal, file, mate, whole: four lines a record, per file; ``whole`` is false for a broken last record.
 
-    A file without the four-line frame can't be split by line, so each file is one task's stream.
+    Files are read in splits like any text.  Lines are numbered within their split and moved on by the lines of the file's
+    splits before it, which gives each line its place in its record.
     """
-
-    def records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                lines = io.BytesIO(content).read().decode().splitlines()
-                n = len(lines) // 4 * 4
-                yield pd.DataFrame({"file": name.rsplit("/", 1)[-1], "read_id": [x[1:].split()[0] if x[1:].split() else "" for x in lines[0:n:4]], "seq": lines[1:n:4], "qual": lines[3:n:4], "ordinal": range(n // 4)})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(records, "file string, read_id string, seq string, qual string, ordinal long").withColumn("mate", F.lit(mate))
+    raw = spark.read.text(path).select(_file().alias("file"), F.col("_metadata.file_path").alias("path_"), F.col("_metadata.file_block_start").alias("block_"), "value")
+    lines = raw.withColumn("at_", F.monotonically_increasing_id())  # counts up through a split
+    splits = lines.groupBy("path_", "block_").agg(F.min("at_").alias("first_"), F.count(F.lit(1)).alias("n_"))
+    before = F.sum("n_").over(Window.partitionBy("path_").orderBy("block_").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("path_", "block_", "first_", F.coalesce(before, F.lit(0)).alias("before_"))
+    line = F.col("at_") - F.col("first_") + F.col("before_")
+    placed = lines.join(F.broadcast(splits), ["path_", "block_"]).withColumns({"ordinal": F.floor(line / 4), "part_": line % 4})  # one row a split
+    part = lambda i: F.max(F.when(F.col("part_") == i, F.col("value")))
+    records = placed.groupBy("path_", "ordinal").agg(F.first("file").alias("file"), part(0).alias("head_"), part(1).alias("seq"), part(3).alias("qual"), F.count(F.lit(1)).alias("n_"))
+    return records.select("file", F.regexp_extract("head_", r"^.(\S*)", 1).alias("read_id"), "seq", "qual", "ordinal", F.lit(mate).alias("mate"), (F.col("n_") == 4).alias("whole"))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
@@ -105,9 +106,9 @@ def read_connections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_blast6(spark: SparkSession, path: str) -> DataFrame:
-    """A-10: twelve named columns; a malformed line is kept with identity 1 and length 1 and its text in ``bad``."""
+    """A-10: twelve named columns; a malformed line is kept with identity 1, length 1, starts 1 and ends 0, and its text in ``bad``."""
     df = spark.read.csv(path, sep="\t", schema=f"{BLAST}, bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="bad")
-    return df.withColumns({"identity": F.coalesce("identity", F.lit(1.0)), "length": F.coalesce("length", F.lit(1))})
+    return df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("identity", 1.0), ("length", 1), ("qstart", 1), ("qend", 0), ("sstart", 1), ("send", 0))})
 
 
 def read_assignments(spark: SparkSession, path: str, kind: str) -> DataFrame:
