@@ -1,8 +1,9 @@
 """Secret scans by grammar inference over credential formats.
 
 Labelled credentials give one prefix tree a format; statistically compatible states are
-merged (Hoeffding bounds on ending and on each symbol, recursively: the ALERGIA rule), which leaves a small
-probabilistic automaton.  Symbols are the characters of the format's common beginning and,
+merged (Hoeffding bounds on ending and on each symbol, recursively: the ALERGIA rule), first those of one depth, which
+pools what was seen of them, then those of any depth, loops included; that leaves a small
+probabilistic automaton.  It is inferred on the driver and sent to the tasks.  Symbols are the characters of the format's common beginning and,
 after it, character classes whose members are equally likely.  In every maximal run of
 credential characters each automaton begins wherever its format's common beginning stands, whatever precedes it (a format
 without one: where no character of the format precedes), and walks to its accepting ends.  A part of the run that ends there, is not followed by a character
@@ -91,6 +92,7 @@ class Automaton:
                 self.visits[state] += 1
             self.ends[state] += 1
         self._merge(alpha)
+        self._merge_across(alpha)
         self._logs()
         last = {x for p in self.log for x, (q, _) in self.log[p].items() if q in self.end}
         #: Characters that the format could go on with after an end.
@@ -136,7 +138,7 @@ class Automaton:
     def _merge(self, alpha: float) -> None:
         """Breadth first: each state below the kept ones is folded into the first compatible one of its depth, or kept.
 
-        Only states at the same distance from the start are merged: the formats have fixed or nearly fixed lengths.
+        States of one depth come first: their pooled counts are what tells a fixed length from a loop.
         """
         level = [0]
         while level:
@@ -154,6 +156,65 @@ class Automaton:
                     self.next[p][x] = into
             level = kept
 
+    def _merge_across(self, alpha: float) -> None:
+        """Breadth first over what is left: each state is folded into the first compatible kept one of any depth, or kept.
+
+        Folding follows common symbols until the automaton is deterministic again; merged states share a root.
+        """
+        root = {p: p for p in self.next}
+
+        def find(p: int) -> int:
+            while root[p] != p:
+                root[p] = p = root[root[p]]
+            return p
+
+        def alike(p: int, q: int) -> bool:
+            stack, seen = [(p, q)], set()
+            while stack:
+                p, q = (find(x) for x in stack.pop())
+                if p == q or (p, q) in seen:
+                    continue
+                seen.add((p, q))
+                n, m = self.visits[p], self.visits[q]
+                if self._differ(self.ends[p], n, self.ends[q], m, alpha):
+                    return False
+                for x in self.count[p].keys() | self.count[q].keys():
+                    if self._differ(self.count[p].get(x, 0), n, self.count[q].get(x, 0), m, alpha):
+                        return False
+                stack += [(self.next[p][x], self.next[q][x]) for x in self.next[p].keys() & self.next[q].keys()]
+            return True
+
+        def fold(p: int, q: int) -> None:
+            stack = [(p, q)]
+            while stack:
+                p, q = (find(x) for x in stack.pop())
+                if p == q:
+                    continue
+                root[q] = p
+                self.visits[p] += self.visits[q]
+                self.ends[p] += self.ends[q]
+                for x, n in self.count[q].items():
+                    self.count[p][x] += n
+                for x, t in self.next[q].items():
+                    if x in self.next[p]:
+                        stack.append((self.next[p][x], t))
+                    else:
+                        self.next[p][x] = t
+
+        kept = [0]
+        for p in kept:  # grows
+            while True:
+                below = [t for x, t in sorted(self.next[find(p)].items()) if find(t) not in map(find, kept)]
+                if not below:
+                    break
+                into = next((r for r in kept if alike(r, below[0])), None)
+                if into is None:
+                    kept.append(find(below[0]))
+                else:
+                    fold(into, below[0])
+        for p in self.next:
+            self.next[p] = {x: find(t) for x, t in self.next[p].items()}
+
     def _logs(self) -> None:
         """Log probabilities; a class that a state was never left by has half a count spread over the format's classes."""
         used = {x for c in self.count.values() for x in c if x in _SIZE}
@@ -206,7 +267,7 @@ class Automaton:
 
 @lru_cache(maxsize=1)
 def automata() -> dict[str, Automaton]:
-    """One automaton a format, inferred once in each worker from the same labelled credentials."""
+    """One automaton a format, inferred once on the driver."""
     return {label: Automaton(strings) for label, strings in labelled_credentials().items()}
 
 
@@ -218,10 +279,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)])
 
 
-def learned_spans(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], float | None]:
+def learned_spans(text: str, base: list[tuple[int, int, int]], models: list[Automaton] | None = None) -> tuple[list[tuple[int, int, int]], float | None]:
     """Spans that an automaton finds likely enough and that overlap none of ``base``; the best score of any candidate."""
     out, best = [], None
-    models = list(automata().values())
+    models = models or list(automata().values())
     for m in CANDIDATE.finditer(text):
         s, at = m.group(), m.start()
         found = [(score, at + a, at + b, score >= x.least) for x in models for a, b, score in x.parts(s)]
@@ -241,15 +302,21 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
+def _sent(docs: DataFrame):
+    """The automata as a broadcast: some hundred states each, whatever the table."""
+    return docs.sparkSession.sparkContext.broadcast(list(automata().values()))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_grammar, best_score: one row a row of ``docs``."""
+    sent = _sent(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
-                more, best = learned_spans(text or "", base)
+                more, best = learned_spans(text or "", base, sent.value)
                 kinds = [k for _, k, _ in base]
                 rows.append((*(kinds.count(k) for k in range(3)), hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), len(more), best))
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64(), pa.float64()]
@@ -260,10 +327,10 @@ def scan(docs: DataFrame) -> DataFrame:
     return thin.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_grammar long, best_score double")
 
 
-def redacted(text: str) -> str:
+def redacted(text: str, models: list[Automaton] | None = None) -> str:
     """The text with every span, base or learned, replaced by the mask; overlapping spans become one."""
     base = base_spans(text)
-    spans = sorted(base + learned_spans(text, base)[0])
+    spans = sorted(base + learned_spans(text, base, models)[0])
     if not spans:
         return text
     out, at = [], 0
@@ -281,12 +348,13 @@ def redacted(text: str) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets masked in ``text`` and, where there is such a column, n_chars recounted."""
+    sent = _sent(docs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             at = batch.schema.get_field_index("text")
             old = batch.column(at).to_pylist()
-            new = [None if t is None else redacted(t) for t in old]
+            new = [None if t is None else redacted(t, sent.value) for t in old]
             columns = list(batch.columns)
             columns[at] = pa.array(new, batch.schema.field(at).type)
             if (n := batch.schema.get_field_index("n_chars")) >= 0 and pa.types.is_integer(columns[n].type):

@@ -567,3 +567,50 @@ def test_pipeline(spark, docs, rows):
     b = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     flat = lambda t: " ".join(re.sub(r"[!-/:-@\[-`{-~]", "", t.lower()).split())
     assert set(left) == {i for i in second if not any(f" {flat(x)} " in f" {flat(rows[i])} " for x in b)}
+
+
+def test_states_of_any_depth_merge():
+    import random
+
+    rng = random.Random(3)
+    loop = secret_scan.Automaton(["x" + "y" * int(rng.expovariate(0.3)) + "z" for _ in range(600)])
+    assert len(loop.log) == 3 and loop.score("x" + "y" * 40 + "z") > -1e9 and loop.score("yz") == float("-inf")
+    fixed = secret_scan.automata()["stripe"]  # a fixed length stays one
+    s = secret_scan.labelled_credentials(1, seed=9)["stripe"][0]
+    assert fixed.score(s) > -1e9 and fixed.score(s + "a") == fixed.score(s[:-1]) == float("-inf")
+
+
+def test_learned_spans_against_all_parts_of_a_text():
+    import random
+
+    rng, models = random.Random(4), list(secret_scan.automata().values())
+    fresh = secret_scan.labelled_credentials(3, seed=8)
+
+    def brute(text, base):
+        out = []
+        for m in secret_scan.CANDIDATE.finditer(text):
+            s, found = m.group(), []
+            for x in models:
+                for a in range(len(s)):
+                    if not x.prefix and a and s[a - 1] in x.tail:
+                        continue
+                    for b in range(a + 1, len(s) + 1):
+                        score = x.score(s[a:b])
+                        if score >= x.least and not (b < len(s) and s[b] in x.tail):
+                            found.append((score, a + m.start(), b + m.start()))
+            own = []
+            for _, a, b in sorted(found, key=lambda f: (-f[0], f[1], -f[2])):
+                if not any(p < b and a < q for p, _, q in base + own):
+                    own.append((a, 3, b))
+            out += sorted(own)
+        return out
+
+    n = 0
+    for _ in range(20):
+        parts = [rng.choice([*(rng.choice(rng.choice(list(fresh.values()))) for _ in range(4)), "".join(rng.choices("ab/=_.Z9", k=rng.randint(1, 9))), " ", ". ", "=", "/"]) for _ in range(4)]
+        text = "".join(parts)
+        base = secret_scan.base_spans(text)
+        want = brute(text, base)
+        n += len(want)
+        assert secret_scan.learned_spans(text, base)[0] == want
+    assert n > 5
