@@ -416,7 +416,7 @@ def k04(t: Tables) -> DataFrame:
     return K.outside(t.bin_depths(), near, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 
-@hit_query("k05_features", f"""SELECT contig_id, i - 1 AS place, round(v[i], 4) AS value FROM (SELECT contig_id, list_concat(list_concat(d, {stats_sql('d')}), k) AS v, unnest(range(1, 20)) AS i FROM (SELECT p_partkey AS contig_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE), 1.0::DOUBLE] AS d, [0.5::DOUBLE] AS k FROM part))""")
+@hit_query("k05_features", f"""SELECT contig_id, i - 1 AS place, round(v[i], 4) + 0.0::DOUBLE AS value FROM (SELECT contig_id, list_concat(list_concat(d, {stats_sql('d')}), k) AS v, unnest(range(1, 20)) AS i FROM (SELECT p_partkey AS contig_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE), 1.0::DOUBLE] AS d, [0.5::DOUBLE] AS k FROM part))""")
 def k05(t: Tables) -> DataFrame:
     depths = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), F.lit(1.0))
     f = K.features(t.part.select(F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.lit(0.5)).alias("kmers")), 3)

@@ -364,7 +364,7 @@ def stats_sql(v: str) -> str:
 _STEEP = (9, 11)
 
 
-@query("e33_vector_stats", f"SELECT vec_id, i - 1 AS place, round(CASE WHEN i - 1 IN {_STEEP} THEN ln(1 + abs(s[i])) ELSE s[i] END, 4) AS value FROM (SELECT vec_id, {stats_sql('v')} AS s, unnest(range(1, 16)) AS i FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))")
+@query("e33_vector_stats", f"SELECT vec_id, i - 1 AS place, round(CASE WHEN i - 1 IN {_STEEP} THEN ln(1 + abs(s[i])) ELSE s[i] END, 4) + 0.0::DOUBLE AS value FROM (SELECT vec_id, {stats_sql('v')} AS s, unnest(range(1, 16)) AS i FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))")
 def e33(t: Tables) -> DataFrame:
     s = t.embeddings.select("vec_id", F.posexplode(S.vector_stats(F.col("embedding").cast("array<double>"))).alias("place", "value"))
     return s.withColumn("value", F.round(F.when(F.col("place").isin(*_STEEP), F.log1p(F.abs("value"))).otherwise(F.col("value")), 4))

@@ -107,7 +107,9 @@ def read_connections(spark: SparkSession, path: str) -> DataFrame:
 
 def read_blast6(spark: SparkSession, path: str) -> DataFrame:
     """A-10: twelve named columns; a malformed line is kept with identity 1, length 1, starts 1 and ends 0, and its text in ``bad``."""
-    df = spark.read.csv(path, sep="\t", schema=f"{BLAST}, bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="bad")
+    f = F.split("value", "\t")
+    kinds = [c.strip().split(" ") for c in BLAST.split(",")]
+    df = spark.read.text(path).select(*[F.get(f, F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(kinds)], F.when(F.size(f) != len(kinds), F.col("value")).alias("bad"))
     return df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("identity", 1.0), ("length", 1), ("qstart", 1), ("qend", 0), ("sstart", 1), ("send", 0))})
 
 
@@ -156,4 +158,10 @@ def parse_datasets(text: str) -> list[list[str]]:
     return [[m for m in s.split(",") if m] for s in text.split("/") if s]
 
 
+def datasets(column: str | Column) -> Column:
+    """A-15 of a text column: samples, each an array of its mates."""
+    parts = lambda c, sep: F.filter(F.split(c, sep), lambda x: x != "")
+    return F.transform(parts(column, "/"), lambda s: parts(s, ","))
+
+
 MEMBERS = T.StructType([T.StructField(n, T.StringType()) for n in ("binset", "bin_id", "contig_id")])

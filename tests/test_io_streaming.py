@@ -105,7 +105,8 @@ def duck():
 
 
 def _names():
-    from contigra.hit_queries import SQL
+    from contigra import format_queries, hit_queries, more_queries  # noqa: F401  (they add to the queries)
+    from contigra.queries import SQL
 
     return sorted(SQL)
 
