@@ -243,7 +243,7 @@ def e37(t: Tables) -> DataFrame:
     return A.best_reads(t.lineitem.select(F.col("l_orderkey").alias("read_id"), F.col("l_suppkey").alias("contig_id"), F.col("l_linenumber").alias("score"))).select("read_id")
 
 
-@hit_query("g03_fold", "WITH_SAYS SELECT bin_id, selected FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY ordinal DESC, selected DESC) AS r FROM says) WHERE r = 1".replace("WITH_SAYS", ", pairs AS (SELECT l_orderkey * 10 + l_linenumber AS ordinal, l_partkey AS bin1, l_suppkey + 100000000 AS bin2, l_linenumber % 3 AS winner FROM lineitem), says AS (SELECT ordinal, bin1 AS bin_id, winner = 1 AS selected FROM pairs WHERE winner > 0 UNION ALL SELECT ordinal, bin2, winner = 2 FROM pairs WHERE winner > 0)"))
+@hit_query("g03_fold", "WITH_SAYS SELECT bin_id, selected FROM (SELECT *, row_number() OVER (PARTITION BY bin_id ORDER BY ordinal DESC, selected DESC) AS r FROM says) WHERE r = 1".replace("WITH_SAYS", ", folds AS (SELECT l_orderkey * 10 + l_linenumber AS ordinal, l_partkey AS bin1, l_suppkey + 100000000 AS bin2, l_linenumber % 3 AS winner FROM lineitem), says AS (SELECT ordinal, bin1 AS bin_id, winner = 1 AS selected FROM folds WHERE winner > 0 UNION ALL SELECT ordinal, bin2, winner = 2 FROM folds WHERE winner > 0)"))
 def g03(t: Tables) -> DataFrame:
     return G.fold(t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), F.col("l_partkey").alias("bin1"), (F.col("l_suppkey") + 100_000_000).alias("bin2"), (F.col("l_linenumber") % 3).alias("winner")))
 
