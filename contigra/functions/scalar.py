@@ -76,21 +76,27 @@ def all_kmers(k: int = 4) -> list[str]:
     return ["".join(x) for x in product("ATCG", repeat=k)]
 
 
+def kmers(seq: C, k: int, letter: str = "[ACGT]") -> Column:
+    """Every piece of ``k`` characters that match ``letter``, overlaps included, in one pass; null for null."""
+    return F.regexp_extract_all(_c(seq), F.lit(f"(?s)(?=({letter}{{{k}}}))"), F.lit(1))
+
+
 def kmer_counts(seq: C, k: int = 4) -> Column:
-    """I-8: map of k-mer -> count, each k-mer with its reverse complement (palindromes twice)."""
-    s, letters = _c(seq), F.split(_c(seq), "")
-    at = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1)).otherwise(F.array().cast("array<int>"))
-    seen = F.filter(F.transform(at, lambda i: F.array_join(F.slice(letters, i, F.lit(k)), "")), lambda x: x.rlike(f"^[ACGT]{{{k}}}$"))
+    """I-8: all k-mers of a sequence, each followed by its reverse complement (palindromes twice)."""
+    seen = F.coalesce(kmers(seq, k), F.array().cast("array<string>"))
     return F.flatten(F.transform(seen, lambda x: F.array(x, reverse_complement(x))))
 
 
 def kmer_vector(seq: C, k: int = 4, min_length: int = 500) -> Column:
-    """I-8: frequencies in ``all_kmers`` order, 8 decimals; null below ``min_length`` or without a k-mer."""
-    found = kmer_counts(seq, k)
-    total = F.size(found)
-    counted = F.aggregate(found, F.create_map().cast("map<string,int>"), lambda m, x: F.map_zip_with(m, F.create_map(x, F.lit(1)), lambda _, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))))
-    vector = F.transform(F.array(*[F.lit(x) for x in all_kmers(k)]), lambda x: F.round(F.coalesce(F.try_element_at(counted, x), F.lit(0)) / total, 8))
-    return F.when((F.length(_c(seq)) >= min_length) & (total > 0), vector)
+    """I-8: frequencies in ``all_kmers`` order, 8 decimals; null below ``min_length`` or without a k-mer.
+
+    The outer ``transform`` holds the k-mers of a sequence while each of the few possible ones is counted among them.
+    """
+    names = F.array(*[F.lit(x) for x in all_kmers(k)])
+    count = lambda seen, x: F.size(seen) - F.size(F.array_remove(seen, x))
+    share = lambda seen, x: F.round((count(seen, x) + count(seen, reverse_complement(x))) / (2 * F.size(seen)), 8)
+    vectors = F.transform(F.array(kmers(seq, k)), lambda seen: F.when(F.size(seen) > 0, F.transform(names, lambda x: share(seen, x))))
+    return F.when(F.length(_c(seq)) >= min_length, vectors[0])
 
 
 def windows(seq: C, size: int) -> Column:

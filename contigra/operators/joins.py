@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contigra.functions.scalar import pct_avg
+from contigra.functions.scalar import kmers, pct_avg
 
 
 HEAVY = 10_000
@@ -165,9 +165,8 @@ def kmer_hits(queries: DataFrame, subjects: DataFrame, k: int = 21, least: int =
     """
 
     def seeds(df: DataFrame, name: str) -> DataFrame:
-        letters = df.where(F.length("seq") >= k).select(F.col("id").alias(name), F.split("seq", "").alias("s"))
-        found = F.transform(F.sequence(F.lit(1), F.size("s") - k + 1), lambda i: F.xxhash64(F.slice("s", i, F.lit(k))))
-        return letters.select(name, F.explode(F.array_distinct(found)).alias("kmer"))
+        found = F.transform(kmers("seq", k, "."), lambda x: F.xxhash64(x))
+        return df.select(F.col("id").alias(name), F.explode(F.array_distinct(found)).alias("kmer"))
 
     return seeds(queries, "query").join(seeds(subjects, "subject"), "kmer").groupBy("query", "subject").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= least)
 
@@ -175,5 +174,5 @@ def kmer_hits(queries: DataFrame, subjects: DataFrame, k: int = 21, least: int =
 def contained(queries: DataFrame, subjects: DataFrame, k: int = 21) -> DataFrame:
     """D-19: exact containment: candidates share the query's first k-mer, then ``contains`` decides."""
     q = queries.where(F.length("seq") >= k).select(F.col("id").alias("query"), F.col("seq").alias("qseq"), F.xxhash64(F.substring("seq", 1, k)).alias("kmer"))
-    s = subjects.where(F.length("seq") >= k).withColumn("kmer", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.xxhash64(F.substring("seq", i, F.lit(k)))))))
+    s = subjects.withColumn("kmer", F.explode(F.array_distinct(F.transform(kmers("seq", k, "."), lambda x: F.xxhash64(x)))))
     return q.join(s.select(F.col("id").alias("subject"), F.col("seq").alias("sseq"), "kmer"), "kmer").where(F.col("sseq").contains(F.col("qseq"))).select("query", "subject")

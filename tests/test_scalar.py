@@ -1,6 +1,7 @@
 """I-*: scalar functions against worked values."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -49,6 +50,16 @@ def test_kmers(spark):
     assert math.isclose(sum(one(spark, S.kmer_vector(F.lit("ACGTTGCANGGTACCA" * 5), 4, 1))), 1, abs_tol=1e-5)
 
 
+def test_kmers_of_a_long_sequence(spark):
+    seq = "".join(np.random.default_rng(5).choice(list("ACGTN"), 300_000, p=[0.3, 0.2, 0.2, 0.29, 0.01]))
+    seen = Counter(seq[i : i + 4] for i in range(len(seq) - 3) if "N" not in seq[i : i + 4])
+    both = seen + Counter({x.translate(str.maketrans("ACGT", "TGCA"))[::-1]: n for x, n in seen.items()})
+    got = spark.createDataFrame([(seq,)], "s string").select(S.kmer_vector("s")).first()[0]
+    assert got == pytest.approx([both[x] / both.total() for x in S.all_kmers()], abs=1e-8)
+    assert one(spark, S.kmer_vector(F.lit(None).cast("string"))) is None
+    assert one(spark, S.kmer_counts(F.lit("AACGN"), 4)) == ["AACG", "CGTT"]
+
+
 def test_windows(spark):
     assert one(spark, S.windows(F.lit("ABCDEFGHIJ"), 3)) == ["ABC", "DEF", "GHIJ"]
     assert one(spark, S.windows(F.lit("AB"), 3)) == ["AB"]
