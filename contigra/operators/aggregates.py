@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contigra.functions.scalar import covrange, dcovrange, pct_avg, pct_ref, pct_sum
+from contigra.functions.scalar import any_of, covrange, dcovrange, pct_avg, pct_ref, pct_sum
 from contigra.operators.joins import join_heavy
 
 
@@ -105,16 +105,32 @@ def supported(df: DataFrame, column: str = "support", least: int = 3) -> DataFra
     return df.where(F.col(column) >= least)
 
 
+def _band(value: str) -> Column:
+    """A whole number that never falls as ``value`` grows: 64 bands for each doubling, so one group's values lie in many."""
+    v = F.col(value).cast("double")
+    deep = lambda x: F.floor(F.log2(x) * 64) + F.lit(1 << 20)
+    edge = F.lit(1 << 30).cast("long")
+    return F.when(v > 1e308, edge).when(v < -1e308, -edge).when(v > 0, deep(v)).when(v < 0, -deep(-v)).otherwise(F.lit(0).cast("long"))
+
+
 def _at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
-    """By group: the values at ``ranks`` (from 0, from the group's size n_) in order.
+    """By group: its size n_ and the values at ``ranks`` (from 0, from n_) in order.
 
-    Equal values are counted before the shuffle and a running sum over distinct values finds the rank, so no group is collected.
+    Equal values are counted before the shuffle.  Counts by band of values tell in which band each rank lies, and only those bands
+    are put in order, so the values of a group, however many, are never one task's work.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_")).withColumn("b_", _band("v_"))
     w = Window.partitionBy(*keys)
-    upto = F.sum("c_").over(w.orderBy("v_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    counted = counted.withColumns({"n_": F.sum("c_").over(w), "to_": upto})
-    return counted.groupBy(*keys).agg(F.first("n_").alias("n_"), *[F.min(F.when(F.col("to_") > rank, F.col("v_"))).alias(name) for name, rank in ranks.items()])
+    upto = F.sum("k_").over(w.orderBy("b_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bands = counted.groupBy(*keys, "b_").agg(F.sum("c_").alias("k_")).withColumns({"n_": F.sum("k_").over(w), "low_": upto - F.col("k_")})
+    inside = [(rank >= F.col("low_")) & (rank < F.col("low_") + F.col("k_")) for rank in ranks.values()]
+    wanted = bands.where(F.expr("low_ = 0") | any_of(inside))  # the first band of a group is there for groups without any rank
+    wanted = wanted.select(*[F.col(c).alias(f"{c}_w_") for c in [*keys, "b_"]], "n_", "low_")
+    near = counted.join(wanted, [F.col(c).eqNullSafe(F.col(f"{c}_w_")) for c in [*keys, "b_"]])
+    to = F.col("low_") + F.sum("c_").over(Window.partitionBy(*keys, "b_").orderBy("v_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = near.withColumn("to_", to)
+    hit = lambda rank: (rank >= F.col("to_") - F.col("c_")) & (rank < F.col("to_"))
+    return near.groupBy(*keys).agg(F.first("n_").alias("n_"), *[F.min(F.when(hit(rank), F.col("v_"))).alias(name) for name, rank in ranks.items()])
 
 
 def nth_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -50,19 +50,27 @@ def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str
     return own.join(rows, same).select(*df.columns, (F.col("n_") + F.col("before_")).alias(name))
 
 
+def _sized(rows: DataFrame, all_: DataFrame) -> DataFrame:
+    """``rows`` with k_, the rows that their bin has in ``all_``."""
+    sizes = all_.groupBy(F.col("bin_id").alias("b_")).agg(F.count(F.lit(1)).alias("k_"))
+    return rows.join(sizes, F.col("bin_id").eqNullSafe(F.col("b_")))
+
+
 def top_neighbours(near: DataFrame, most: int = 20) -> DataFrame:
-    """F-w4: all of ``most`` or fewer; else those of the ``most`` - 1 highest values, ties included."""
-    w = Window.partitionBy("bin_id")
-    ranked = near.withColumns({"k_": F.count(F.lit(1)).over(w), "r_": F.rank().over(w.orderBy(F.desc("connections")))})
-    return ranked.where((F.col("k_") <= most) | (F.col("r_") <= most - 1)).drop("k_", "r_")
+    """F-w4: all of ``most`` or fewer; else those of the ``most`` - 1 highest values, ties included.
+
+    A group of ``most`` rows has no rank beyond that, so ranks are cut there first, which tasks do before they shuffle.
+    """
+    ranked = near.withColumn("r_", F.rank().over(Window.partitionBy("bin_id").orderBy(F.desc("connections")))).where(F.col("r_") <= most)
+    return _sized(ranked, near).where((F.col("k_") <= most) | (F.col("r_") <= most - 1)).select(*near.columns)
 
 
 def third_largest(near: DataFrame, value: str = "support", n: int = 8) -> DataFrame:
-    """F-w5: in groups of ``n`` and more, rows not below the third value."""
-    w = Window.partitionBy("bin_id")
-    row = near.withColumns({"k_": F.count(F.lit(1)).over(w), "r_": F.row_number().over(w.orderBy(F.desc(value)))})
-    third = F.max(F.when(F.col("r_") == 3, F.col(value))).over(w)
-    return row.withColumn("t_", third).where((F.col("k_") < n) | (F.col(value) >= F.col("t_"))).drop("k_", "r_", "t_")
+    """F-w5: in groups of ``n`` and more, rows not below the third value; three rows a group and task meet to find it."""
+    top = near.select(F.col("bin_id").alias("c_"), F.col(value).alias("t_"))
+    third = top.withColumn("r_", F.row_number().over(Window.partitionBy("c_").orderBy(F.desc("t_")))).where("r_ <= 3").where("r_ = 3")
+    found = _sized(near, near).join(third, F.col("bin_id").eqNullSafe(F.col("c_")), "left")
+    return found.where((F.col("k_") < n) | (F.col(value) >= F.col("t_"))).select(*near.columns)
 
 
 def running_records(df: DataFrame, key: str, value: str, order: str, least: float = 50) -> DataFrame:

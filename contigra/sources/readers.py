@@ -129,17 +129,19 @@ def repr_map(column: str | Column) -> Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """A-13: name, content of each member of .zip and .tar.gz files; .gz text is read by the other readers as it is."""
 
+    def inside(name: str, content: bytes) -> Iterator[tuple[str, bytes]]:
+        if name.endswith(".zip"):
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                yield from ((i.filename, z.read(i)) for i in z.infolist() if not i.is_dir())
+        else:
+            with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                yield from ((m.name, t.extractfile(m).read()) for m in t if m.isfile())
+
     def members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = []
-                if name.endswith(".zip"):
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows = [(i.filename, z.read(i)) for i in z.infolist() if not i.is_dir()]
-                else:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                        rows = [(m.name, t.extractfile(m).read()) for m in t.getmembers() if m.isfile()]
-                yield pd.DataFrame(rows, columns=["name", "content"])
+                for member in inside(name, content):  # one unpacked member at a time
+                    yield pd.DataFrame([member], columns=["name", "content"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "name string, content binary")
 

@@ -60,6 +60,39 @@ def test_quartiles_and_fence(spark):
     assert rows(A.nth_quartiles(few, ["bin_id"], "v")) == [("b", None, None)]
 
 
+def test_ranks_of_values_in_many_bands(spark):
+    rng = np.random.default_rng(3)
+    groups = {
+        "wide": np.concatenate([rng.normal(0, 1, 301), 10.0 ** rng.uniform(-12, 12, 300), -(10.0 ** rng.uniform(-9, 9, 200))]),
+        "ties": rng.integers(-2, 3, 400).astype(float),
+        "zero": np.zeros(7),
+        "one": np.array([5.0]),
+        None: rng.uniform(1, 2, 50),
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in rng.permutation(x)] + [("wide", None), ("none", None)], "bin_id string, v double")
+    plain = {r[0]: r[1:] for r in A.quartiles(df, ["bin_id"], "v").collect()}
+    assert set(plain) == set(groups)
+    nth = {r[0]: r[1:] for r in A.nth_quartiles(df, ["bin_id"], "v").collect()}
+    for g, x in groups.items():
+        assert plain[g] == pytest.approx(tuple(np.quantile(x, [0.25, 0.75])), rel=1e-12)
+        at = [int(len(x) * p) for p in (0.25, 0.75)]
+        assert nth[g] == tuple(float(np.sort(x)[i - 1]) if i else None for i in at)
+    end = spark.createDataFrame([("x", v) for v in (float("inf"), 1.0, float("-inf"), 3e-320)], "bin_id string, v double")
+    assert rows(A.nth_quartiles(end, ["bin_id"], "v")) == [("x", float("-inf"), 1.0)]
+
+
+def test_ranks_are_cut_before_the_shuffle(spark):
+    near = spark.createDataFrame([("b", f"c{i}", i // 2) for i in range(60)] + [("s", f"c{i}", 1) for i in range(5)] + [(None, f"c{i}", i) for i in range(30)], "bin_id string, contig_id string, connections long")
+    plan = W.top_neighbours(near)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    kept = [tuple(r) for r in W.top_neighbours(near).collect()]
+    assert sorted(r[2] for r in kept if r[0] == "b") == sorted([i // 2 for i in range(60)])[-20:]
+    assert sum(r[0] == "s" for r in kept) == 5 and sorted(r[2] for r in kept if r[0] is None) == list(range(11, 30))
+    third = [tuple(r) for r in W.third_largest(near, "connections").collect()]
+    assert sorted(r[2] for r in third if r[0] == "b") == [28, 28, 29, 29]
+    assert sum(r[0] == "s" for r in third) == 5 and sorted(r[2] for r in third if r[0] is None) == [27, 28, 29]
+
+
 def test_edges(spark):
     e = spark.createDataFrame([("n1", "n2", 2), ("n2", "n1", 3)], "node1 string, node2 string, connections long")
     assert rows(A.edge_sums(e)) == [("n1", "n2", 2), ("n2", "n1", 3)]
