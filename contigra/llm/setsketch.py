@@ -180,7 +180,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, thresh
                 yield pdf.loc[estimate(ra, rb, pdf["na"].to_numpy(float), pdf["nb"].to_numpy(float)) >= floor, ["a", "b"]]
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "fa"):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
