@@ -1,8 +1,10 @@
-"""J-1 to J-12: iterative operators.  Each round is a join; rounds are cut by ``checkpoint`` in the shared folder."""
+"""J-1 to J-12: iterative operators.  Each round is a join; rounds are cut by files in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+import weakref
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,10 +25,29 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_files: dict[int, tuple[weakref.ref, str]] = {}
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """End the lineage of ``df`` in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df``, written to the shared folder and read again: its lineage ends, and estimates of its size are those of its files.
+
+    (A checkpoint would keep the estimates of the plan before it, which every round of joins multiplies.)
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _files[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete what ``cut`` wrote, once all that reads it has been written itself."""
+    for df in frames:
+        held, path = _files.pop(id(df), (None, None))
+        if held is not None and held() is df:
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def reach(members: DataFrame, edges: DataFrame, hops: int = 1) -> DataFrame:
@@ -46,28 +67,37 @@ def reach(members: DataFrame, edges: DataFrame, hops: int = 1) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """J-4, J-5 and J-6: (node, component: smallest node) of edges (a, b).
 
-    Rounds take the smallest label among neighbours, then the label of that label, until none changes; the number of rounds is
-    about the logarithm of the longest path.  Labels are pre-aggregated before each shuffle, and labels of nodes with many
-    edges meet these by broadcast, so no hub is one task's work.
+    In each round a node takes the smallest label among its neighbours, and so does, for all its nodes at once, the label that
+    they had; then each node takes the label of its label.  Trees merge whole, so the number of rounds is about the logarithm of
+    the longest path, in whatever order its nodes are numbered.  Labels are pre-aggregated before each shuffle, and labels of
+    nodes with many edges, or of many nodes, meet these by broadcast, so no hub is one task's work.
     """
     e = edges.select(edges.columns[0], edges.columns[1]).toDF("x", "y")
     both = cut(e.union(e.select("y", "x")).distinct())
     total = both.count()
-    label = cut(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("c"), F.count(F.lit(1)).alias("w")))
+    held = label = cut(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("c"), F.count(F.lit(1)).alias("w")))
     while True:
         near = join_heavy(both, label.withColumnRenamed("node", "y"), ["y"], "w", total).groupBy("x").agg(F.min("c").alias("m"))
-        step = label.join(near, label["node"] == near["x"]).select("node", "w", "c", F.least("c", "m").alias("n"))
-        sizes = step.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
-        up = label.select(F.col("node").alias("n"), F.col("c").alias("u")).join(sizes, "n")
-        new = cut(join_heavy(step, up, ["n"], "k", total).select("node", "w", F.least("n", F.coalesce("u", "n")).alias("c"), (F.least("n", F.coalesce("u", "n")) != F.col("c")).alias("changed")))
-        label = new.select("node", "c", "w")
+        step = cut(label.join(near, label["node"] == near["x"]).select("node", "w", "c", F.least("c", "m").alias("m")))
+        tree = step.groupBy("c").agg(F.min("m").alias("h"), F.count(F.lit(1)).alias("k"))
+        up = tree.join(step.select(F.col("node").alias("c"), F.col("m").alias("u")), "c").select("c", "k", F.least("h", "u").alias("u"))
+        new = cut(join_heavy(step, up, ["c"], "k", total).select("node", "w", F.least("m", "u").alias("c"), (F.least("m", "u") != F.col("c")).alias("changed")))
+        drop(held, step)
+        held, label = new, new.select("node", "c", "w")
         if new.where("changed").isEmpty():
+            drop(both)
             return label.select("node", F.col("c").alias("component"))
 
 
 def fold_sets(sets: list[DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """J-7: bin sets merged one after the other; each result is cut so that plans don't grow."""
-    return reduce(lambda a, b: cut(merge(a, b)), sets)
+
+    def next_(a: DataFrame, b: DataFrame) -> DataFrame:
+        out = cut(merge(a, b))
+        drop(a)
+        return out
+
+    return reduce(next_, sets)
 
 
 def elongate(targets: DataFrame, overlaps: DataFrame) -> DataFrame:
@@ -86,20 +116,22 @@ def elongate(targets: DataFrame, overlaps: DataFrame) -> DataFrame:
         if new.isEmpty():
             return seen
         seen = seen.union(new)
-        far = cut(far.join(far.select(F.col("query").alias("subject"), F.col("subject").alias("next_")), "subject").select("query", F.col("next_").alias("subject")))
+        last, far = far, cut(far.join(far.select(F.col("query").alias("subject"), F.col("subject").alias("next_")), "subject").select("query", F.col("next_").alias("subject")))
+        drop(last)
         steps *= 2
 
 
-def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure: Callable[[DataFrame], object], rounds: int = 20) -> DataFrame:
-    """J-9: repeat ``step`` until ``measure`` stays the same, ``rounds`` times at most."""
+def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure: Callable[[DataFrame], object], rounds: int = 100) -> DataFrame:
+    """J-9: repeat ``step`` until ``measure`` stays the same; not to end within ``rounds`` is an error, never a half-done result."""
     last = measure(df)
     for _ in range(rounds):
-        df = cut(step(df))
+        before, df = df, cut(step(df))
+        drop(before)
         now = measure(df)
         if now == last:
-            break
+            return df
         last = now
-    return df
+    raise RuntimeError(f"no fixed point within {rounds} rounds; the measure is {last}")
 
 
 def roadmap(hits: DataFrame) -> DataFrame:
@@ -114,7 +146,8 @@ def single_paths(hits: DataFrame) -> DataFrame:
     left = hits.count()
     while True:
         wide = hits.groupBy("contig_id", "end").agg(F.countDistinct("read_id").alias("n")).where("n >= 2").select("contig_id", "end")
-        hits = cut(hits.join(wide, ["contig_id", "end"], "left_anti"))
+        last, hits = hits, cut(hits.join(wide, ["contig_id", "end"], "left_anti"))
+        drop(last)
         before, left = left, hits.count()
         if left == before:
             return hits

@@ -1,5 +1,7 @@
 """Operators on small fixtures with worked values."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -146,7 +148,37 @@ def test_components_of_a_path(spark):
     n = 40
     order = np.random.default_rng(0).permutation(n)
     e = spark.createDataFrame([(int(order[i]), int(order[i + 1])) for i in range(n - 1)] + [(100, 101)], "a long, b long")
-    assert {c for _, c in rows(J.connected_components(e))} == {0, 100} and J.connected_components(e).count() == n + 2
+    found = rows(J.connected_components(e))
+    assert {c for _, c in found} == {0, 100} and len(found) == n + 2
+
+
+def test_components_of_a_long_random_path(spark):
+    n = 10_000
+    order = np.random.default_rng(1).permutation(n)
+    e = spark.createDataFrame(list(zip(order[:-1].tolist(), order[1:].tolist(), strict=True)), "a long, b long")
+    began = time.time()
+    got = J.connected_components(e)
+    assert got.count() == n and got.agg(F.max("component")).first()[0] == 0
+    assert time.time() - began < 60
+
+
+def test_thirty_rounds_of_cuts_keep_estimates_small(spark):
+    df = spark.range(50).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    more = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    got = J.fixpoint(df, lambda d: d.join(more, "k").select("k", F.least(F.col("v") + F.col("w"), F.lit(30)).alias("v")), lambda d: d.agg(F.sum("v")).first()[0])
+    assert got.agg(F.min("v"), F.max("v"), F.count("k")).first() == (30, 30, 50)
+    assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 40
+    folded = J.fold_sets([df.limit(1)] + [more.select("k", F.col("w").alias("v"))] * 30, lambda a, b: a.union(b.join(a.select("k"), "k", "left_anti")))
+    assert folded.count() == 50
+    with pytest.raises(RuntimeError):
+        J.fixpoint(df, lambda d: d.withColumn("v", F.col("v") + 1), lambda d: d.agg(F.sum("v")).first()[0], 3)
+
+
+def test_long_elongation(spark):
+    n = 3000
+    o = spark.createDataFrame([(i, i + 1, 5) for i in range(n)], "query long, subject long, length int")
+    got = J.elongate(spark.createDataFrame([(0,), (n - 5,)], "contig_id long"), o)
+    assert got.groupBy("target").agg(F.max("step")).sort("target").collect() == [(0, n), (n - 5, 5)]
 
 
 def test_ranked(spark):
@@ -203,7 +235,9 @@ def test_first_component(spark):
     got = {r["contig_id"]: r["pc1"] for r in K.first_component(df).collect()}
     for rest in (0, 1):
         own = x[rest::2]
-        mean, axis = K._axis(own)
+        mean = own.mean(0)
+        axis = np.linalg.svd(own - mean)[2][0]
+        axis = axis * np.sign(axis[np.abs(axis).argmax()])
         assert np.allclose([got[i] for i in range(rest, 200, 2)], (own - mean) @ axis)
 
 
