@@ -31,15 +31,15 @@ def numbered(df: DataFrame, order: list[Column], name: str = "n") -> DataFrame:
     return held.withColumn("n_", own).join(small, "p_").select(*df.columns, (F.col("n_") + F.col("before_")).alias(name))
 
 
-def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str = "n") -> DataFrame:
+def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str = "n", deal: list[str] | None = None) -> DataFrame:
     """Gapless numbers by group in the order of ``order``, however many rows one group has.
 
     Rows are dealt by range of group and order, numbered within each range, and moved on by the rows that the group has in the
-    ranges before.
+    ranges before.  ``deal``: columns that rise with the order, to deal by where those of the order are long.
     """
     from contigra.operators.graph import cut
 
-    held = cut(df.repartitionByRange(*group, *order).withColumn("p_", F.spark_partition_id()))
+    held = cut(df.repartitionByRange(*group, *(deal or order)).withColumn("p_", F.spark_partition_id()))
     rows = held.groupBy("p_", *group).agg(F.count(F.lit(1)).alias("rows_"))
     before = F.sum("rows_").over(Window.partitionBy(*group).orderBy("p_").rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.select(F.col("p_").alias("q_"), *[F.col(c).alias(f"{c}_") for c in group], F.coalesce(before, F.lit(0)).alias("before_"))
