@@ -96,6 +96,14 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+_TERM = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()
+
+
+def terms(text: bytes | None) -> list[bytes]:
+    """Maximal runs of ASCII letters and digits and of anything beyond ASCII, after A-Z became a-z."""
+    return text.translate(_TERM).split() if text else []
+
+
 def word_hashes(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
