@@ -72,7 +72,7 @@ gfdl-1.3 | 4 | gfdl identifier | spdx license identifier gfdl 1 3(?: only| or la
 gfdl-1.2 | 4 | gfdl identifier | spdx license identifier gfdl 1 2(?: only| or later)?
 gfdl-1.3 | 4 | gnu free documentation license | gnu free documentation license version 1 3
 gfdl-1.2 | 4 | gnu free documentation license | gnu free documentation license version 1 2
-gfdl | 4 | gnu org licenses fdl | gnu org (?:copyleft|licenses) fdl(?: 1 \d)?(?: html| txt)?
+gfdl | 4 | gnu org fdl | gnu org (?:copyleft|licenses) fdl(?: 1 \d)?(?: html| txt)?
 gfdl | 3 | gnu free documentation license | (?:the )?gnu free documentation license
 gfdl | 2 | invariant sections cover | with no invariant sections no front cover texts and no back cover texts
 bsd-2-clause | 4 | bsd identifier clause | spdx license identifier bsd 2 clause
@@ -151,7 +151,8 @@ zlib | 4 | zlib identifier | spdx license identifier zlib
 zlib | 3 | zlib license | (?:the )?zlib(?: libpng)? license
 zlib | 2 | misrepresented origin software | the origin of this software must not be misrepresented
 libpng | 4 | libpng identifier | spdx license identifier libpng(?: 2 0)?
-libpng | 3 | libpng license | (?:png reference library|libpng) license(?: version 2)?
+libpng | 3 | libpng license | libpng license(?: version 2)?
+libpng | 3 | png reference library license | png reference library license(?: version 2)?
 unlicense | 4 | unlicense identifier | spdx license identifier unlicense
 unlicense | 4 | unlicense org | unlicense org(?: uncopyright)?
 unlicense | 3 | unlicense | the unlicense
@@ -226,7 +227,7 @@ python-2.0 | 4 | python identifier | spdx license identifier python 2 0
 psf-2.0 | 4 | psf | (?:spdx license identifier )?psf 2 0
 psf-2.0 | 3 | python software foundation license | python software foundation license(?: agreement)?(?: version 2)?
 ruby | 3 | ruby license | (?:the )?ruby license
-perl | 3 | perl terms itself | under the same terms as perl(?: itself)?
+perl | 3 | perl terms same | under the same terms as perl(?: itself)?
 postgresql | 4 | postgresql identifier | spdx license identifier postgresql
 postgresql | 3 | postgresql | (?:the )?postgresql licen[cs]e
 tcl | 3 | tcl license | tcl(?: tk)? license

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from contigra.llm import edit_counts, lattice, packing, quality, secret_scan, setsketch, sharding, telephony, tiling, toxicity
+from contigra.llm import edit_counts, lattice, licenses, packing, quality, ranking, secret_scan, setsketch, sharding, telephony, tiling, toxicity
 
 
 def labels(spark):
@@ -25,12 +25,14 @@ OPERATORS = {
     "op8": lambda s, d: lattice.score(d),
     "op9": lambda s, d: setsketch.near_duplicates(d, k=2),
     "op10": lambda s, d: telephony.media_features(d),
+    "op11": lambda s, d: ranking.rank(d, benchmark(s)),
+    "op12": lambda s, d: licenses.scan(d),
     "drop_rejected": lambda s, d: quality.drop_rejected(d, labels(s)),
     "drop_near": lambda s, d: setsketch.drop_near_duplicates(d),
     "drop_contaminated": lambda s, d: tiling.drop_contaminated(d, benchmark(s)),
     "redact": lambda s, d: secret_scan.redact(d),
 }
-PER_ROW = ["op2", "op3", "op5", "op6", "op7", "op8", "op9", "op10", "redact"]
+PER_ROW = ["op2", "op3", "op5", "op6", "op7", "op8", "op9", "op10", "op12", "redact"]
 
 
 @pytest.mark.parametrize("name", OPERATORS)
