@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,6 +123,38 @@ def elongate(targets: DataFrame, overlaps: DataFrame) -> DataFrame:
         steps *= 2
 
 
+def elongated(targets: DataFrame, overlaps: DataFrame, contigs: DataFrame) -> DataFrame:
+    """J-8: (target, contigs, length, seq): each target run on over its chain of longest overlaps (query, subject, length).
+
+    Each contig of a chain adds what lies behind its overlap with the one before.  What it adds, and so where it begins, doubles along
+    with the steps; only then do sequences (contig_id, seq) meet their places, once, and each target is put together in order.  A chain
+    that runs into a ring ends where it would meet a contig again; an overlap is as long as the shorter of both at most.
+    """
+    size = contigs.select("contig_id", F.length("seq").alias("n_"))
+    far = overlaps.groupBy("query").agg(F.max_by(F.struct("subject", "length"), F.struct("length", "subject")).alias("b")).select("query", "b.subject", "b.length")
+    far = far.join(size.select(F.col("contig_id").alias("subject"), "n_"), "subject").join(size.select(F.col("contig_id").alias("query"), F.col("n_").alias("m_")), "query")
+    own = F.least(F.greatest("length", F.lit(0)), "n_", "m_").cast("long")
+    far = cut(far.select("query", "subject", own.alias("lap"), (F.col("n_") - own).alias("gain")))
+    begin = size.select(F.col("contig_id").alias("target"), F.col("n_").cast("long").alias("end")).join(targets.select(F.col("contig_id").alias("target")).distinct(), "target")
+    seen, steps, made = cut(begin.select("target", F.col("target").alias("contig_id"), F.lit(0).alias("step"), F.lit(0).cast("long").alias("lap"), "end")), 1, [far]
+    while True:
+        new = seen.drop("lap").join(far, F.col("contig_id") == F.col("query")).select("target", F.col("subject").alias("contig_id"), (F.col("step") + steps).alias("step"), "lap", (F.col("end") + F.col("gain")).alias("end"))
+        new = new.groupBy("target", "contig_id").agg(F.min(F.struct("step", "lap", "end")).alias("b")).select("target", "contig_id", "b.*")
+        new = cut(new.join(seen.select("target", "contig_id"), ["target", "contig_id"], "left_anti"))
+        if new.isEmpty():
+            break
+        seen = seen.union(new)
+        two = far.select(F.col("query").alias("subject"), F.col("subject").alias("next_"), F.col("lap").alias("lap_"), F.col("gain").alias("gain_"))
+        far = cut(far.join(two, "subject").select("query", F.col("next_").alias("subject"), F.col("lap_").alias("lap"), (F.col("gain") + F.col("gain_")).alias("gain")))
+        made.append(far)
+        steps *= 2
+    drop(*made)
+    piece = F.expr("substring(seq, cast(lap + 1 as int), length(seq))")
+    parts = seen.join(contigs.select("contig_id", "seq"), "contig_id").select("target", F.struct("step", "end", piece.alias("piece")).alias("p"))
+    whole = parts.groupBy("target").agg(F.sort_array(F.collect_list("p")).alias("p"), F.max("p.end").alias("length"))
+    return whole.select("target", F.size("p").alias("contigs"), "length", F.array_join(F.col("p.piece"), "").alias("seq"))
+
+
 def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure: Callable[[DataFrame], object], rounds: int = 100) -> DataFrame:
     """J-9: repeat ``step`` until ``measure`` stays the same; not to end within ``rounds`` is an error, never a half-done result."""
     last = measure(df)
@@ -134,10 +168,62 @@ def fixpoint(df: DataFrame, step: Callable[[DataFrame], DataFrame], measure: Cal
     raise RuntimeError(f"no fixed point within {rounds} rounds; the measure is {last}")
 
 
+def scheduled(hits: DataFrame) -> DataFrame:
+    """J-11: of hits (read_id, contig_id, start, end, score) those of the greatest total score among which no two of a read overlap.
+
+    Runs of overlapping hits are independent of each other, so a read is cut into these first (``islands``, whatever the number of its hits), and runs
+    of one hit stay as they are.  The others stream by in order, and each is scheduled by a search for the last hit that ends before
+    the next begins.  Hits without a start, end or score, or of none above 0, are never taken; of equal totals the earlier hits win.
+    """
+    from contigra.operators.windows import islands
+
+    order = ["end", "contig_id", "score"]
+    near = islands(hits.where((F.col("start") <= F.col("end")) & (F.col("score") > 0)), ["read_id"], "start", "end", order)
+    sizes = near.groupBy("read_id", "island").agg(F.count(F.lit(1)).alias("n_"))
+    near = near.join(sizes, ["read_id", "island"])
+
+    def choose(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            new = (held["read_id"] != held["read_id"].shift()) | (held["island"] != held["island"].shift())
+            cuts = np.flatnonzero(new.to_numpy())
+            takes = [a + i for a, b in zip(cuts[:-1], cuts[1:], strict=True) for i in best_schedule(*(held[c].to_numpy()[a:b] for c in ("start", "end", "score")))]
+            yield held.iloc[takes]
+            held = held.iloc[cuts[-1] :].reset_index(drop=True)
+        if held is not None:
+            yield held.iloc[best_schedule(*(held[c].to_numpy() for c in ("start", "end", "score")))]
+
+    crowd = near.where("n_ > 1").repartition("read_id", "island").sortWithinPartitions("read_id", "island", "end", "start", "contig_id", "score")
+    return near.where("n_ = 1").unionByName(crowd.mapInPandas(choose, near.schema)).select(*hits.columns)
+
+
+def best_schedule(start: np.ndarray, end: np.ndarray, score: np.ndarray) -> list[int]:
+    """Positions of intervals, given in order of their ends, that don't overlap and have the greatest total score."""
+    best = [0.0]
+    before = np.searchsorted(end, start, side="left").tolist()
+    for i, (p, s) in enumerate(zip(before, score.tolist(), strict=True)):
+        best.append(max(best[i], best[p] + s))
+    out, i = [], len(before)
+    while i:
+        if best[i] > best[i - 1]:
+            out.append(i - 1)
+            i = before[i - 1]
+        else:
+            i -= 1
+    return out[::-1]
+
+
 def roadmap(hits: DataFrame) -> DataFrame:
-    """J-11: (read_id, contigs) along each read that reaches two contigs; a contig stands where its best hit (by score) starts."""
-    best = hits.groupBy("read_id", "contig_id").agg(F.max_by(F.struct("start", "strand"), F.struct("score", -F.col("start"))).alias("h"))
-    road = best.groupBy("read_id").agg(F.array_sort(F.collect_list(F.struct(F.col("h.start").alias("start"), "contig_id", F.col("h.strand").alias("strand")))).alias("contigs"))
+    """J-11: (read_id, contigs) along each read that reaches two contigs; a contig stands where its best hit (by score) starts.
+
+    Hits that have an ``end`` are scheduled: no two contigs of the road overlap on the read, and its total score is the greatest.
+    """
+    fields = ["start", "strand", *(["end", "score"] if "end" in hits.columns else [])]
+    best = hits.groupBy("read_id", "contig_id").agg(F.max_by(F.struct(*fields), F.struct("score", -F.col("start"))).alias("h")).select("read_id", "contig_id", "h.*")
+    if "end" in hits.columns:
+        best = scheduled(best)
+    road = best.groupBy("read_id").agg(F.array_sort(F.collect_list(F.struct("start", "contig_id", "strand"))).alias("contigs"))
     return road.where(F.size("contigs") >= 2)
 
 

@@ -26,6 +26,53 @@ def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, to
     return first.where("heavy_").select(*light.columns).unionByName(light)
 
 
+def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY) -> DataFrame:
+    """Inner join of many with many in which no key is one task's work.
+
+    Keys of more than rows / ``how_many`` rows (1,000 at least) of a side are 2 x ``how_many`` at most; these keys, with no more of their rows
+    than two numbers, are broadcast.  Such a key is a grid: each row of ``a`` is in one of its rows of cells, each row of ``b`` in one of its
+    columns, and every cell is a join key of its own with at most that many rows of each side.
+    """
+    counts = [df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_")) for df in (a, b)]
+    most = [max(1000, (c.agg(F.sum("n_")).first()[0] or 0) // how_many) for c in counts]
+    wide = [c.where(F.col("n_") > m).select(*on, F.ceil(F.col("n_") / m).cast("int").alias(name)) for c, m, name in zip(counts, most, ("rows_", "columns_"), strict=True)]
+    heavy = wide[0].join(wide[1], on, "full_outer")
+    if heavy.isEmpty():
+        return a.join(b, on)
+    heavy = F.broadcast(heavy.select(*on, F.coalesce("rows_", F.lit(1)).alias("rows_"), F.coalesce("columns_", F.lit(1)).alias("columns_")))
+    one = F.lit(1)
+
+    def dealt(df: DataFrame, own: str, other: str, mine: str, all_: str) -> DataFrame:
+        df = df.join(heavy, on, "left").withColumn(mine, F.pmod(F.monotonically_increasing_id(), F.coalesce(own, one)).cast("int"))
+        return df.withColumn(all_, F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1))).drop("rows_", "columns_")
+
+    return dealt(a, "rows_", "columns_", "x_", "y_").join(dealt(b, "columns_", "rows_", "y_", "x_"), [*on, "x_", "y_"]).drop("x_", "y_")
+
+
+def overlapping(a: DataFrame, b: DataFrame, on: list[str], ends_a: tuple[str, str], ends_b: tuple[str, str]) -> DataFrame:
+    """D-21: pairs of rows of equal ``on`` whose closed intervals of whole numbers overlap, each once, by one equi join.
+
+    An interval of length n lies in two bins at most of the least power of two that is not below n.  Two intervals meet in bins of the
+    greater of both sizes: each row stands there for its own size and for every greater one that the other side has (64 at most).  Of the bins that
+    a pair shares only that of the later start counts.  Intervals that end before they start, and nulls, meet nothing.
+    """
+    level = lambda lo, hi: F.greatest(F.lit(0), F.ceil(F.log2(F.col(hi) - F.col(lo) + 1))).cast("int")
+    a, b = (df.where(F.col(lo) <= F.col(hi)).withColumn(name, level(lo, hi)) for df, (lo, hi), name in ((a, ends_a, "la_"), (b, ends_b, "lb_")))
+    sizes = sorted({r[0] for df, name in ((a, "la_"), (b, "lb_")) for r in df.select(name).distinct().collect()})  # 64 at most
+
+    def binned(df: DataFrame, lo: str, hi: str, name: str) -> DataFrame:
+        greater = F.filter(F.array(*map(F.lit, sizes)), lambda x: x >= F.col(name))
+        df = df.withColumn("level_", F.explode(greater))
+        at = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level_"))).cast("long")
+        return df.withColumn("bin_", F.explode(F.sequence(at(lo), at(hi))))
+
+    pairs = binned(a, *ends_a, "la_").join(binned(b, *ends_b, "lb_"), [*on, "level_", "bin_"])
+    later = F.greatest(F.col(ends_a[0]), F.col(ends_b[0]))
+    both = (F.col(ends_a[0]) <= F.col(ends_b[1])) & (F.col(ends_b[0]) <= F.col(ends_a[1]))
+    met = (F.col("level_") == F.greatest("la_", "lb_")) & (F.col("bin_") == F.floor(later / F.pow(F.lit(2.0), F.col("level_"))).cast("long"))
+    return pairs.where(met & both).drop("la_", "lb_", "level_", "bin_")
+
+
 def with_coverage(members: DataFrame, depth: DataFrame) -> DataFrame:
     """D-1: members with the depths of their contigs."""
     return members.join(depth, "contig_id")
@@ -41,7 +88,7 @@ def bin_connections(edges: DataFrame, members: DataFrame, one_bin: bool = False)
     m = members.groupBy("contig_id").agg(F.max("bin_id").alias("bin_id")) if one_bin else members.select("contig_id", "bin_id").distinct()
     one = m.select(F.col("contig_id").alias("node1"), F.col("bin_id").alias("bin1"))
     two = m.select(F.col("contig_id").alias("node2"), F.col("bin_id").alias("bin2"))
-    both = edges.groupBy("node1", "node2").agg(F.sum("connections").alias("connections")).join(one, "node1").join(two, "node2")
+    both = join_grid(join_grid(edges.groupBy("node1", "node2").agg(F.sum("connections").alias("connections")), one, ["node1"]), two, ["node2"])
     return both.where("bin1 <> bin2").groupBy("bin1", "bin2").agg(F.sum("connections").alias("connections"))
 
 
@@ -116,7 +163,7 @@ def neighbours(members: DataFrame, edges: DataFrame) -> DataFrame:
 def read_neighbours(members: DataFrame, reads: DataFrame) -> DataFrame:
     """D-12: (bin_id, contig_id, support) of reads (read_id, contig_id) that reach a bin and a contig outside it."""
     own = reads.join(members.select("bin_id", "contig_id"), "contig_id").groupBy("bin_id", "read_id").agg(F.count(F.lit(1)).alias("w"))
-    far = own.join(reads.select("read_id", "contig_id"), "read_id").groupBy("bin_id", "contig_id").agg(F.sum("w").alias("support"))
+    far = join_grid(own, reads.select("read_id", "contig_id"), ["read_id"]).groupBy("bin_id", "contig_id").agg(F.sum("w").alias("support"))
     return far.join(members.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")
 
 

@@ -50,6 +50,33 @@ def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str
     return own.join(rows, same).select(*df.columns, (F.col("n_") + F.col("before_")).alias(name))
 
 
+def prefix_max(df: DataFrame, group: list[str], order: list[str], value: str, name: str = "before") -> DataFrame:
+    """``df`` with the greatest ``value`` of the rows before each in its group (null for the first), however many rows one group has.
+
+    Rows are dealt by range of group and order; each range has the greatest of its own earlier rows, and of the ranges before it one
+    number a range is carried in.
+    """
+    from contigra.operators.graph import cut
+
+    held = cut(df.repartitionByRange(*group, *order).withColumn("p_", F.spark_partition_id()))
+    most = held.groupBy("p_", *group).agg(F.max(value).alias("m_"))
+    upto = Window.partitionBy(*group).orderBy("p_").rowsBetween(Window.unboundedPreceding, -1)
+    carried = most.select(F.col("p_").alias("q_"), *[F.col(c).alias(f"{c}_of_") for c in group], F.max("m_").over(upto).alias("carried_"))
+    within = Window.partitionBy("p_", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col("p_") == F.col("q_")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_of_"))
+    return held.withColumn("own_", F.max(value).over(within)).join(carried, same).select(*df.columns, F.greatest("own_", "carried_").alias(name))
+
+
+def islands(df: DataFrame, group: list[str], start: str, end: str, order: list[str], name: str = "island") -> DataFrame:
+    """``df`` with the start of the run of overlapping intervals that each lies in; no interval of one run meets one of another."""
+    far = prefix_max(df, group, [start, *order], end, "reach_")
+    begins = F.when(F.col("reach_").isNull() | (F.col(start) > F.col("reach_")), F.col(start))
+    near = prefix_max(far.withColumn("begins_", begins), group, [start, *order], "begins_", "last_")
+    return near.select(*df.columns, F.greatest("begins_", "last_").alias(name))
+
+
 def _sized(rows: DataFrame, all_: DataFrame) -> DataFrame:
     """``rows`` with k_, the rows that their bin has in ``all_``."""
     sizes = all_.groupBy(F.col("bin_id").alias("b_")).agg(F.count(F.lit(1)).alias("k_"))
@@ -74,9 +101,9 @@ def third_largest(near: DataFrame, value: str = "support", n: int = 8) -> DataFr
 
 
 def running_records(df: DataFrame, key: str, value: str, order: str, least: float = 50) -> DataFrame:
-    """F-w6 and F-w7: rows of ``least`` and more that exceed all earlier ones of their group."""
-    before = F.max(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("b_", before).where((F.col(value) >= least) & (F.col("b_").isNull() | (F.col(value) > F.col("b_")))).drop("b_")
+    """F-w6 and F-w7: rows of ``least`` and more that exceed all earlier ones of their group (by ``prefix_max``)."""
+    seen = prefix_max(df, [key], [order], value, "b_")
+    return seen.where((F.col(value) >= least) & (F.col("b_").isNull() | (F.col(value) > F.col("b_")))).drop("b_")
 
 
 def best_by(df: DataFrame, keys: list[str], score: str, order: str) -> DataFrame:
