@@ -128,11 +128,12 @@ def elongated(targets: DataFrame, overlaps: DataFrame, contigs: DataFrame) -> Da
 
     Each contig of a chain adds what lies behind its overlap with the one before.  What it adds, and so where it begins, doubles along
     with the steps; only then do sequences (contig_id, seq) meet their places, once, and each target is put together in order.  A chain
-    that runs into a ring ends where it would meet a contig again; an overlap is as long as the shorter of both at most.
+    that runs into a ring ends where it would meet a contig again; overlaps of contigs without a sequence don't count; an overlap is as long as the shorter of both at most.
     """
     size = contigs.select("contig_id", F.length("seq").alias("n_"))
-    far = overlaps.groupBy("query").agg(F.max_by(F.struct("subject", "length"), F.struct("length", "subject")).alias("b")).select("query", "b.subject", "b.length")
-    far = far.join(size.select(F.col("contig_id").alias("subject"), "n_"), "subject").join(size.select(F.col("contig_id").alias("query"), F.col("n_").alias("m_")), "query")
+    known = overlaps.join(size.select(F.col("contig_id").alias("subject"), "n_"), "subject")
+    far = known.groupBy("query").agg(F.max_by(F.struct("subject", "length", "n_"), F.struct("length", "subject")).alias("b")).select("query", "b.*")
+    far = far.join(size.select(F.col("contig_id").alias("query"), F.col("n_").alias("m_")), "query")
     own = F.least(F.greatest("length", F.lit(0)), "n_", "m_").cast("long")
     far = cut(far.select("query", "subject", own.alias("lap"), (F.col("n_") - own).alias("gain")))
     begin = size.select(F.col("contig_id").alias("target"), F.col("n_").cast("long").alias("end")).join(targets.select(F.col("contig_id").alias("target")).distinct(), "target")
