@@ -105,32 +105,81 @@ def supported(df: DataFrame, column: str = "support", least: int = 3) -> DataFra
     return df.where(F.col(column) >= least)
 
 
+#: Distinct values that one group, or one band of a group, has at most where they are put in order; parts that a crowded band is split into.
+SMALL, PARTS = 20_000, 1024
+
+
 def _band(value: str) -> Column:
     """A whole number that never falls as ``value`` grows: 64 bands for each doubling, so one group's values lie in many."""
     v = F.col(value).cast("double")
     deep = lambda x: F.floor(F.log2(x) * 64) + F.lit(1 << 20)
     edge = F.lit(1 << 30).cast("long")
-    return F.when(v > 1e308, edge).when(v < -1e308, -edge).when(v > 0, deep(v)).when(v < 0, -deep(-v)).otherwise(F.lit(0).cast("long"))
+    far = F.when(F.isnan(v), edge + 2).when(v == float("inf"), edge + 1).when(v == float("-inf"), -edge - 1).when(v > 1e308, edge).when(v < -1e308, -edge)
+    return far.when(v > 0, deep(v)).when(v < 0, -deep(-v)).otherwise(F.lit(0).cast("long"))
+
+
+def _same(keys: list[str], suffix: str) -> Column:
+    """Equal keys, nulls included; those of the other side end in ``suffix``."""
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}{suffix}"))
+    return same
+
+
+def _renamed(df: DataFrame, keys: list[str], suffix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{c}{suffix}" for c in keys})
+
+
+def _picked(counted: DataFrame, keys: list[str], within: list[str], ranks: dict[str, Column], base: Column) -> DataFrame:
+    """By group: the values at ``ranks`` among ordered rows (v_, c_) of groups or bands ``within``, of which ``base`` rows come before."""
+    to = base + F.sum("c_").over(Window.partitionBy(*within).orderBy("v_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = counted.withColumn("to_", to)
+    hit = lambda rank: (rank >= F.col("to_") - F.col("c_")) & (rank < F.col("to_"))
+    return near.groupBy(*keys).agg(F.first("n_").alias("n_"), *[F.min(F.when(hit(rank), F.col("v_"))).alias(name) for name, rank in ranks.items()])
 
 
 def _at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column]) -> DataFrame:
     """By group: its size n_ and the values at ``ranks`` (from 0, from n_) in order.
 
-    Equal values are counted before the shuffle.  Counts by band of values tell in which band each rank lies, and only those bands
-    are put in order, so the values of a group, however many, are never one task's work.
+    Equal values are counted before the shuffle, and the counts are written.  Groups of SMALL distinct values and fewer are put in order
+    as they are.  In others counts by band of values tell in which band each rank lies; a band that is still crowded is split again between
+    the least and the greatest of its values, until no more than SMALL are left, which takes a few rounds however close values lie.
+    So the values of a group, however many and however concentrated, are never one task's work, and the results are the same.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_")).withColumn("b_", _band("v_"))
-    w = Window.partitionBy(*keys)
-    upto = F.sum("k_").over(w.orderBy("b_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bands = counted.groupBy(*keys, "b_").agg(F.sum("c_").alias("k_")).withColumns({"n_": F.sum("k_").over(w), "low_": upto - F.col("k_")})
-    inside = [(rank >= F.col("low_")) & (rank < F.col("low_") + F.col("k_")) for rank in ranks.values()]
-    wanted = bands.where(F.expr("low_ = 0") | any_of(inside))  # the first band of a group is there for groups without any rank
-    wanted = wanted.select(*[F.col(c).alias(f"{c}_w_") for c in [*keys, "b_"]], "n_", "low_")
-    near = counted.join(wanted, [F.col(c).eqNullSafe(F.col(f"{c}_w_")) for c in [*keys, "b_"]])
-    to = F.col("low_") + F.sum("c_").over(Window.partitionBy(*keys, "b_").orderBy("v_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    near = near.withColumn("to_", to)
-    hit = lambda rank: (rank >= F.col("to_") - F.col("c_")) & (rank < F.col("to_"))
-    return near.groupBy(*keys).agg(F.first("n_").alias("n_"), *[F.min(F.when(hit(rank), F.col("v_"))).alias(name) for name, rank in ranks.items()])
+    from contigra.operators.graph import cut
+
+    counted = cut(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_")))
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("d_"), F.sum("c_").alias("n_"))
+    all_ = F.sum("c_").over(Window.partitionBy(*keys))
+    if (sizes.agg(F.max("d_")).first()[0] or 0) <= SMALL:
+        return _picked(counted.withColumn("n_", all_), keys, keys, ranks, F.lit(0))
+
+    wide = cut(_renamed(sizes.where(F.col("d_") > SMALL).drop("d_"), keys, "_w_"))
+    few = counted.join(wide, _same(keys, "_w_"), "left_anti")
+    many = cut(counted.join(wide, _same(keys, "_w_")).select(*keys, "v_", "c_", "n_"))
+    inside = any_of([(rank >= F.col("low_")) & (rank < F.col("low_") + F.col("k_")) for rank in ranks.values()])
+
+    def wanted(rows: DataFrame, within: list[str], band: str) -> DataFrame:
+        """Bands that hold a rank: their least and greatest values, rows and distinct values, and the rows before them."""
+        g = rows.groupBy(*within, band).agg(F.first("n_").alias("n_"), F.first("base_").alias("base_"), F.sum("c_").alias("k_"), F.count(F.lit(1)).alias("d_"), F.min("v_").alias("lo_"), F.max("v_").alias("hi_"))
+        upto = F.sum("k_").over(Window.partitionBy(*within).orderBy(band).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return cut(g.withColumn("low_", F.col("base_") + upto - F.col("k_")).where(inside).select(*keys, "lo_", "hi_", "low_", "d_"))
+
+    def within(bands: DataFrame) -> DataFrame:
+        at = _same(keys, "_w_") & (F.col("v_") >= F.col("lo_")) & (F.col("v_") <= F.col("hi_"))
+        return many.join(_renamed(bands, keys, "_w_"), at).select(*keys, "v_", "c_", "n_", "lo_", "hi_", "low_")
+
+    bands = wanted(many.withColumns({"b_": _band("v_"), "base_": F.lit(0).cast("long")}), keys, "b_")
+    done = bands.where(F.col("d_") <= SMALL)
+    while not bands.where(F.col("d_") > SMALL).isEmpty():
+        crowded = within(bands.where(F.col("d_") > SMALL))
+        v, lo, hi = (F.col(c).cast("double") for c in ("v_", "lo_", "hi_"))
+        part = F.least(F.floor((v - lo) / (hi - lo) * PARTS), F.lit(PARTS - 1))
+        bands = wanted(crowded.withColumns({"b_": part, "base_": F.col("low_"), "from_": F.col("lo_")}), [*keys, "from_"], "b_")
+        done = done.union(bands.where(F.col("d_") <= SMALL))
+    found = _picked(within(done), keys, [*keys, "lo_"], ranks, F.col("low_"))
+    found = wide.join(found.drop("n_"), _same(keys, "_w_"), "left").select(*[F.col(f"{c}_w_").alias(c) for c in keys], "n_", *ranks)
+    return _picked(few.withColumn("n_", all_), keys, keys, ranks, F.lit(0)).unionByName(found)
 
 
 def nth_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -216,17 +265,14 @@ def end_degrees(hits: DataFrame) -> DataFrame:
     return g.withColumn("straight", (F.col("at_start") == 1) & (F.col("at_end") == 1))
 
 
-def distinct_sequences(contigs: DataFrame) -> DataFrame:
-    """E-31: one row a sequence: ids joined by ``|`` in order, and their number; a digest, not the text, goes through the shuffle."""
-    return contigs.groupBy(F.sha2("seq", 256).alias("digest")).agg(F.concat_ws("|", F.sort_array(F.collect_list("contig_id"))).alias("ids"), F.count(F.lit(1)).alias("copies"))
-
-
 def sequence_classes(contigs: DataFrame) -> DataFrame:
-    """E-31 without names in one row: (contig_id, first, copies): the smallest id of equal sequences and their number.
+    """E-31: (contig_id, first, copies): the smallest id of equal sequences and their number.
 
-    Digests of 256 bits stand for sequences; those that many contigs share meet them by broadcast.
+    Digests of 256 bits, written once, stand for sequences; those that many contigs share meet them by broadcast.
     """
-    own = contigs.select("contig_id", F.sha2("seq", 256).alias("digest"))
+    from contigra.operators.graph import cut
+
+    own = cut(contigs.select("contig_id", F.sha2("seq", 256).alias("digest")))
     classes = own.groupBy("digest").agg(F.min("contig_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     return join_heavy(own, classes, ["digest"], "copies", own.count()).select("contig_id", "first", "copies")
 

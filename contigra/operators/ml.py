@@ -13,36 +13,70 @@ from pyspark.sql import functions as F
 from contigra.functions.scalar import vector_stats
 
 
+HELD = 1 << 23  # numbers that a task keeps before it sends
+
+
 def axes(vectors: DataFrame, key: str = "bin_id", value: str = "vector", k: int = 1) -> DataFrame:
     """(key, axes, shifts): the first ``k`` principal directions of each group, largest part positive, and the means along them.
 
-    Means and second moments are sums, so each batch sends one d x d matrix a group and no group is collected.
+    Means and second moments are sums.  A task keeps the rows of a group until they are as many as their width d, and from then on one
+    d x d matrix, so it sends whichever of the two is less, once; it sends early where groups are so many that HELD numbers
+    are kept.  Of the groups that meet in a task one at a time is added up.
     """
     kind = dict(vectors.dtypes)[key]
 
     def moments(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: dict = {}
+        sums: dict = {}
+        held = 0
+
+        def sent() -> pd.DataFrame:
+            own = [(name, 1.0, x.tolist(), []) for name, parts in rows.items() for part in parts for x in part]
+            own += [(name, n, s.tolist(), m.ravel().tolist()) for name, (n, s, m) in sums.items()]
+            return pd.DataFrame(own, columns=[key, "n", "s", "m"])
+
         for pdf in batches:
-            rows = []
             for name, g in pdf.groupby(key, dropna=False):
+                name = None if pd.isna(name) else name  # noqa: PLW2901
                 x = np.array(g[value].tolist(), float)
-                rows.append((name, float(len(x)), x.sum(0).tolist(), (x.T @ x).ravel().tolist()))
-            yield pd.DataFrame(rows, columns=[key, "n", "s", "m"])
+                if name in sums:
+                    n, s, m = sums[name]
+                    sums[name] = (n + len(x), s + x.sum(0), m + x.T @ x)
+                    continue
+                rows.setdefault(name, []).append(x)
+                held += x.size
+                if sum(map(len, rows[name])) >= x.shape[1]:
+                    x = np.concatenate(rows.pop(name))
+                    sums[name] = (float(len(x)), x.sum(0), x.T @ x)
+                    held += x.shape[1] ** 2 - x.size
+            if held > HELD:
+                yield sent()
+                rows, sums, held = {}, {}, 0
+        if rows or sums:
+            yield sent()
+
+    def axis(name: object, n: float, s: np.ndarray, m: np.ndarray) -> tuple:
+        v = np.linalg.eigh(m - np.outer(s, s) / n)[1][:, ::-1][:, :k].T
+        v = v * np.where(v[np.arange(len(v)), np.abs(v).argmax(1)] > 0, 1, -1)[:, None]
+        return name, v.tolist(), (v @ s / n).tolist()
 
     def add(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict = {}
+        last, total = None, None
         for pdf in batches:
+            rows = []
             for name, n, s, m in pdf.itertuples(index=False):
-                own = total.setdefault(name, [0.0, 0.0, 0.0])
-                total[name] = [own[0] + n, own[1] + np.asarray(s), own[2] + np.asarray(m)]
-        rows = []
-        for name, (n, s, m) in total.items():
-            v = np.linalg.eigh(m.reshape(len(s), -1) - np.outer(s, s) / n)[1][:, ::-1][:, :k].T
-            v = v * np.where(v[np.arange(len(v)), np.abs(v).argmax(1)] > 0, 1, -1)[:, None]
-            rows.append((name, v.tolist(), (v @ s / n).tolist()))
-        yield pd.DataFrame(rows, columns=[key, "axes", "shifts"])
+                name, s = None if pd.isna(name) else name, np.asarray(s)  # noqa: PLW2901
+                if total is None or name != last:
+                    if total is not None:
+                        rows.append(axis(last, *total))
+                    last, total = name, (0.0, np.zeros(len(s)), np.zeros((len(s), len(s))))
+                total = (total[0] + n, total[1] + s, total[2] + (np.asarray(m).reshape(len(s), -1) if len(m) else np.outer(s, s)))
+            yield pd.DataFrame(rows, columns=[key, "axes", "shifts"])
+        if total is not None:
+            yield pd.DataFrame([axis(last, *total)], columns=[key, "axes", "shifts"])
 
     part = vectors.select(key, value).mapInPandas(moments, f"{key} {kind}, n double, s array<double>, m array<double>")
-    return part.repartition(key).mapInPandas(add, f"{key} {kind}, axes array<array<double>>, shifts array<double>")
+    return part.repartition(key).sortWithinPartitions(key).mapInPandas(add, f"{key} {kind}, axes array<array<double>>, shifts array<double>")
 
 
 def _along(value: str, i: int = 0) -> Column:

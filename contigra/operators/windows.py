@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +80,12 @@ def islands(df: DataFrame, group: list[str], start: str, end: str, order: list[s
     return near.select(*df.columns, F.greatest("begins_", "last_").alias(name))
 
 
+def _held(df: DataFrame) -> DataFrame:
+    from contigra.operators.graph import cut
+
+    return cut(df)
+
+
 def _sized(rows: DataFrame, all_: DataFrame) -> DataFrame:
     """``rows`` with k_, the rows that their bin has in ``all_``."""
     sizes = all_.groupBy(F.col("bin_id").alias("b_")).agg(F.count(F.lit(1)).alias("k_"))
@@ -86,14 +95,17 @@ def _sized(rows: DataFrame, all_: DataFrame) -> DataFrame:
 def top_neighbours(near: DataFrame, most: int = 20) -> DataFrame:
     """F-w4: all of ``most`` or fewer; else those of the ``most`` - 1 highest values, ties included.
 
-    A group of ``most`` rows has no rank beyond that, so ranks are cut there first, which tasks do before they shuffle.
+    A group of ``most`` rows has no rank beyond that, so ranks are cut there first, which tasks do before they shuffle.  What is ranked is
+    written once, since the sizes of all groups are counted beside it.
     """
+    near = _held(near)
     ranked = near.withColumn("r_", F.rank().over(Window.partitionBy("bin_id").orderBy(F.desc("connections")))).where(F.col("r_") <= most)
     return _sized(ranked, near).where((F.col("k_") <= most) | (F.col("r_") <= most - 1)).select(*near.columns)
 
 
 def third_largest(near: DataFrame, value: str = "support", n: int = 8) -> DataFrame:
     """F-w5: in groups of ``n`` and more, rows not below the third value; three rows a group and task meet to find it."""
+    near = _held(near)
     top = near.select(F.col("bin_id").alias("c_"), F.col(value).alias("t_"))
     third = top.withColumn("r_", F.row_number().over(Window.partitionBy("c_").orderBy(F.desc("t_")))).where("r_ <= 3").where("r_ = 3")
     found = _sized(near, near).join(third, F.col("bin_id").eqNullSafe(F.col("c_")), "left")
@@ -129,5 +141,14 @@ def ordered(df: DataFrame, *order: Column | str) -> DataFrame:
 
 
 def has_rows(df: DataFrame, k: int) -> bool:
-    """F-w12: whether there are ``k`` rows, reading no more than that."""
-    return df.limit(k).count() >= k
+    """F-w12: whether there are ``k`` rows; each task stops reading at ``k``, and sends a number."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for batch in batches:
+            n += batch.num_rows
+            if n >= k:
+                break
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    return (df.select(F.lit(1).alias("one")).mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0) >= k

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigra.functions import scalar as S
 from contigra.operators import graph as J
 from contigra.operators import joins as D
+from contigra.operators import ml as K
 from contigra.operators import similarity
 from contigra.queries import SQL, WITH, Tables, query
 
@@ -63,3 +65,32 @@ def j08_elongated(t: Tables) -> DataFrame:
     astray = next_.select("query", name(F.col("i") * 0).alias("subject"), F.lit(0).alias("length"))
     got = J.elongated(contigs.where("i = 0"), next_.select("query", "subject", "length").union(astray), contigs)
     return got.select("target", F.col("contigs").cast("long").alias("contigs"), F.col("length").cast("long").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+@query("k03_kmer_outliers")
+def k03_kmer(t: Tables) -> DataFrame:
+    """K-3 in its production width: frequencies of 256 4-mers of all documents, candidates being the neighbours of each source's own along the
+    chain of ids; no SQL (256 dimensions): tests hold it against numpy."""
+    v = t.documents.select(F.col("source").alias("bin_id"), F.col("doc_id").alias("contig_id"), S.kmer_vector(F.upper("text"), 4, 500).alias("vector")).where("vector is not null")
+    chain = t.documents.select(F.col("doc_id").alias("node1"), (F.col("doc_id") + 1).alias("node2"), F.lit(1).cast("long").alias("connections"))
+    near = D.neighbours(v.select("bin_id", "contig_id"), chain)
+    return K.candidate_outliers(v, near.select("bin_id", "contig_id").join(v.select("contig_id", "vector"), "contig_id").select("bin_id", "contig_id", "vector")).select("bin_id", "contig_id", "outlier")
+
+
+@query(
+    "i08_kmer_frequencies",
+    """, mers AS (SELECT doc_id, upper(substr(text, CAST(i AS BIGINT), 4)) AS m FROM (SELECT doc_id, text, unnest(range(1, length(text) - 2)) AS i FROM documents WHERE length(text) >= 500)),
+seen AS (SELECT doc_id, m, count(*) AS n FROM mers WHERE regexp_full_match(m, '[ACGT]{4}') GROUP BY 1, 2), both_s AS (SELECT doc_id, m, n FROM seen UNION ALL SELECT doc_id, reverse(translate(m, 'ACGT', 'TGCA')), n FROM seen),
+total AS (SELECT doc_id, sum(n) AS t FROM both_s GROUP BY 1) SELECT doc_id, m AS kmer, round(sum(n) / any_value(t), 6) AS share FROM both_s JOIN total USING (doc_id) GROUP BY 1, 2""",
+)
+def i08_wide(t: Tables) -> DataFrame:
+    """I-8 with its defaults, 256 4-mers of texts of 500 characters and more; those that occur."""
+    v = t.documents.select("doc_id", S.kmer_vector(F.upper("text")).alias("v")).where("v is not null")
+    names = F.array(*map(F.lit, S.all_kmers(4)))
+    return v.select("doc_id", F.posexplode("v").alias("i", "share")).where("share > 0").select("doc_id", names[F.col("i")].alias("kmer"), F.round("share", 6).alias("share"))
+
+
+@query("j03_reach_all", " SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN both_e e ON b.contig_id = e.node1 UNION ALL SELECT bin_id, f.node2, 2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1 UNION ALL SELECT bin_id, g.node2, 3 FROM (SELECT DISTINCT bin_id, f.node2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1) y JOIN both_e g ON y.node2 = g.node1) GROUP BY 1, 2")
+def j03_all(t: Tables) -> DataFrame:
+    """J-2 and J-3 over all edges and three hops."""
+    return J.reach(t.brands(), t.edges(), 3)

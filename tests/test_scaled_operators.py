@@ -248,3 +248,104 @@ def test_elongated_sequences(spark):
 def test_islands(spark, columns):
     df = spark.createDataFrame([("r", 1, 5), ("r", 3, 4), ("r", 5, 6), ("r", 7, 9), ("s", 0, 100), ("s", 50, 60), ("s", 101, 101)][: 7 * columns], "g string, a long, b long").repartition(3)
     assert rows(W.islands(df, ["g"], "a", "b", ["b"]), "g", "a", "island") == [("r", 1, 1), ("r", 3, 1), ("r", 5, 1), ("r", 7, 7), ("s", 0, 0), ("s", 50, 0), ("s", 101, 101)]
+
+
+# ---------------------------------------------------------------- exact selection
+
+
+def test_ranks_in_crowded_bands(spark, monkeypatch):
+    """Bands are split until few values are left: the same values as of whole sorted groups, however close they lie."""
+    rng = np.random.default_rng(3)
+    groups = {
+        "close": rng.uniform(1000, 1010, 6000),
+        "closer": 1 + rng.integers(0, 5000, 7000) * 2.0**-52,
+        "mixed": np.concatenate([rng.normal(0, 1, 800), 10.0 ** rng.uniform(-300, 300, 900), -(10.0 ** rng.uniform(-300, 300, 700)), [np.inf, -np.inf] * 40, rng.uniform(1.2e308, 1.7e308, 200)]),
+        "ties": rng.integers(0, 3, 2000).astype(float),
+        "steps": np.repeat(rng.uniform(5, 5.001, 300), 9),
+        None: rng.uniform(1000, 1001, 500),
+        "few": np.array([3.0, 1.0]),
+        "one": np.array([7.0]),
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x] + [("few", None), ("none", None)], "bin_id string, v double").repartition(6)
+    from contigra.operators import aggregates as A
+
+    plain = rows(A.nth_quartiles(df, ["bin_id"], "v"))
+    middle = rows(A.quartiles(df.where("bin_id <> 'mixed'"), ["bin_id"], "v"))
+    monkeypatch.setattr(A, "SMALL", 20)
+    monkeypatch.setattr(A, "PARTS", 7)
+    assert rows(A.nth_quartiles(df, ["bin_id"], "v")) == plain
+    assert rows(A.quartiles(df.where("bin_id <> 'mixed'"), ["bin_id"], "v")) == middle
+    got = {r[0]: r[1:] for r in plain}
+    assert set(got) == set(groups)
+    for g, x in groups.items():
+        at = [int(len(x) * p) for p in (0.25, 0.75)]
+        assert got[g] == tuple(float(np.sort(x)[i - 1]) if i else None for i in at)
+
+
+def test_ranks_of_one_group_of_many_close_values(spark, monkeypatch):
+    from contigra.operators import aggregates as A
+
+    monkeypatch.setattr(A, "SMALL", 100)
+    df = spark.range(30_000).select(F.lit("g").alias("bin_id"), (1000 + F.col("id") / 3000).alias("v")).union(spark.createDataFrame([("s", float(i)) for i in range(40)], "bin_id string, v double"))
+    got = A.quartiles(df, ["bin_id"], "v")
+    assert rows(got)[0] == ("g", pytest.approx(1000 + 29_999 / 4 / 3000), pytest.approx(1000 + 3 * 29_999 / 4 / 3000))
+    assert A.nth_quartiles(df.limit(0), ["bin_id"], "v").count() == 0
+
+
+# ---------------------------------------------------------------- axes in full width
+
+
+def test_axes_of_small_and_large_groups(spark, monkeypatch):
+    from contigra.operators import ml as K
+
+    rng = np.random.default_rng(0)
+    groups = {"a": rng.normal(size=(300, 40)) * np.linspace(4, 1, 40), "b": rng.normal(size=(7, 40)) * np.linspace(9, 1, 40), None: rng.normal(size=(45, 40)) * np.linspace(5, 1, 40), "c": rng.normal(size=(1, 40))}
+    df = spark.createDataFrame([(g, i, [float(v) for v in x]) for g, xs in groups.items() for i, x in enumerate(xs)], "bin_id string, contig_id long, vector array<double>").repartition(5)
+    for held in (1 << 23, 500):
+        monkeypatch.setattr(K, "HELD", held)
+        got = {r["bin_id"]: r for r in K.axes(df, k=2).collect()}
+        assert set(got) == set(groups)
+        for g, x in groups.items():
+            if len(x) > 2:
+                v = np.linalg.svd(x - x.mean(0))[2][:2]
+                v = v * np.sign(v[np.arange(2), np.abs(v).argmax(1)])[:, None]
+                assert np.allclose(got[g]["axes"], v) and np.allclose(got[g]["shifts"], v @ x.mean(0))
+
+
+def test_kmer_fence_of_256_dimensions(spark):
+    from __spark_entry__ import queries
+
+    sf = "/root/testdata/sf0.01"
+    docs = {d: (s, t.upper()) for d, s, t in duckdb.sql(f"SELECT doc_id, source, text FROM '{sf}/documents.parquet' WHERE length(text) >= 500").fetchall()}
+    ids = {r[0] for r in duckdb.sql(f"SELECT doc_id FROM '{sf}/documents.parquet'").fetchall()}
+    names, flip = ["".join(p) for p in itertools.product("ATCG", repeat=4)], str.maketrans("ACGT", "TGCA")
+    vectors = {}
+    for d, (_, text) in docs.items():
+        seen = re.findall(r"(?=([ACGT]{4}))", text)
+        if seen:
+            count = {}
+            for m in seen + [m.translate(flip)[::-1] for m in seen]:
+                count[m] = count.get(m, 0) + 1
+            vectors[d] = np.array([round(count.get(n, 0) / (2 * len(seen)), 8) for n in names])
+    want = {}
+    for source in {docs[d][0] for d in vectors}:
+        own = [d for d in vectors if docs[d][0] == source]
+        x = np.array([vectors[d] for d in own])
+        axis = np.linalg.svd(x - x.mean(0))[2][0]
+        axis = axis * np.sign(axis[np.abs(axis).argmax()])
+        pc = (x - x.mean(0)) @ axis
+        q1, q3 = np.quantile(pc, [0.25, 0.75])
+        near = {n for d in own for n in (d - 1, d + 1) if n in ids | {max(ids) + 1} and (d in ids and n in vectors)} - set(own)
+        for n in near:
+            z = (vectors[n] - x.mean(0)) @ axis
+            want[source, n] = (z - (q1 - 1.5 * (q3 - q1)), z - (q3 + 1.5 * (q3 - q1)))
+    got = {(r["bin_id"], r["contig_id"]): r["outlier"] for r in queries()["k03_kmer_outliers"](spark, sf).collect()}
+    assert set(got) == set(want) and any(got.values())
+    for k, (low, high) in want.items():
+        if min(abs(low), abs(high)) > 1e-9:
+            assert got[k] == (low < 0 or high > 0)
+
+
+def test_has_rows_counts_in_tasks(spark):
+    df = spark.range(1000).repartition(7)
+    assert W.has_rows(df, 1000) and not W.has_rows(df, 1001) and not W.has_rows(df.limit(0), 1) and W.has_rows(df, 1)
