@@ -106,7 +106,7 @@ def supported(df: DataFrame, column: str = "support", least: int = 3) -> DataFra
 
 
 #: Distinct values that one group, or one band of a group, has at most where they are put in order; parts that a crowded band is split into.
-SMALL, PARTS = 20_000, 1024
+SMALL, PARTS = 250_000, 1024
 
 
 def _band(value: str) -> Column:
@@ -151,7 +151,7 @@ def _at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Colum
     counted = cut(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v_")).agg(F.count(F.lit(1)).alias("c_")))
     sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("d_"), F.sum("c_").alias("n_"))
     all_ = F.sum("c_").over(Window.partitionBy(*keys))
-    if (sizes.agg(F.max("d_")).first()[0] or 0) <= SMALL:
+    if counted.count() <= SMALL or sizes.agg(F.max("d_")).first()[0] <= SMALL:
         return _picked(counted.withColumn("n_", all_), keys, keys, ranks, F.lit(0))
 
     wide = cut(_renamed(sizes.where(F.col("d_") > SMALL).drop("d_"), keys, "_w_"))

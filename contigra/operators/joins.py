@@ -29,16 +29,22 @@ def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, to
 def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY) -> DataFrame:
     """Inner join of many with many in which no key is one task's work.
 
-    Keys of more than rows / ``how_many`` rows (1,000 at least) of a side are 2 x ``how_many`` at most; these keys, with no more of their rows
+    A key that only ``a`` has often is split by the adaptive skew join, since each of its rows meets few.  Keys that ``b`` has more than
+    rows / ``how_many`` times (1,000 at least) are ``how_many`` at most, and as many again of ``a``; these keys, with no more of their rows
     than two numbers, are broadcast.  Such a key is a grid: each row of ``a`` is in one of its rows of cells, each row of ``b`` in one of its
-    columns, and every cell is a join key of its own with at most that many rows of each side.
+    columns, and every cell is a join key of its own with at most that many rows of each side.  ``b`` is counted first, so it should be the
+    one that is cheaper to read.
     """
-    counts = [df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_")) for df in (a, b)]
-    most = [max(1000, (c.agg(F.sum("n_")).first()[0] or 0) // how_many) for c in counts]
-    wide = [c.where(F.col("n_") > m).select(*on, F.ceil(F.col("n_") / m).cast("int").alias(name)) for c, m, name in zip(counts, most, ("rows_", "columns_"), strict=True)]
-    heavy = wide[0].join(wide[1], on, "full_outer")
-    if heavy.isEmpty():
+
+    def wide(df: DataFrame, name: str) -> DataFrame:
+        c = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_"))
+        most = max(1000, (c.agg(F.sum("n_")).first()[0] or 0) // how_many)
+        return c.where(F.col("n_") > most).select(*on, F.ceil(F.col("n_") / most).cast("int").alias(name))
+
+    columns = wide(b, "columns_")
+    if columns.isEmpty():
         return a.join(b, on)
+    heavy = wide(a, "rows_").join(columns, on, "full_outer")
     heavy = F.broadcast(heavy.select(*on, F.coalesce("rows_", F.lit(1)).alias("rows_"), F.coalesce("columns_", F.lit(1)).alias("columns_")))
     one = F.lit(1)
 
