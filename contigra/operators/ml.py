@@ -144,6 +144,25 @@ def features(contigs: DataFrame, samples: int = 0, most: int = 5) -> DataFrame:
     return reduced.withColumn("vector", F.concat("low_", vector_stats("depths"), "kmers")).select(*contigs.columns, "vector")
 
 
+def scaled_features(contigs: DataFrame, samples: int, most: int = 5) -> DataFrame:
+    """K-5 as networks take it: (…, vector) of contigs (bin_id, contig_id, depths, kmers).
+
+    Depths, their 15 statistics and k-mers are scaled by bin, place by place: the distance from the mean over the greatest one.  Scaled
+    depths of more than ``most`` samples are then replaced by their first three components over all contigs.
+    """
+    raw = contigs.withColumn("raw_", F.concat("depths", vector_stats("depths"), "kmers"))
+    places = raw.select("bin_id", F.posexplode("raw_").alias("i_", "x_")).groupBy("bin_id", "i_").agg(F.avg("x_").alias("mean_"), F.min("x_").alias("lo_"), F.max("x_").alias("hi_"))
+    far = F.greatest(F.col("hi_") - F.col("mean_"), F.col("mean_") - F.col("lo_")) + 1e-8
+    bins = places.groupBy(F.col("bin_id").alias("b_")).agg(F.sort_array(F.collect_list(F.struct("i_", "mean_", far.alias("far_")))).alias("scale_"))  # one entry a place
+    j = raw.join(bins, F.col("bin_id").eqNullSafe(F.col("b_")))
+    j = j.withColumn("vector", F.zip_with("raw_", "scale_", lambda x, s: F.abs(x - s["mean_"]) / s["far_"])).select(*contigs.columns, "vector")
+    if samples <= most:
+        return j
+    j = j.withColumns({"low_": F.slice("vector", 1, samples), "all_": F.lit(0)})
+    j = j.join(F.broadcast(axes(j, "all_", "low_", 3)), "all_")  # one row
+    return j.withColumn("vector", F.concat(F.array(*[_along("low_", i) for i in range(3)]), F.expr(f"slice(vector, {samples + 1}, size(vector))"))).select(*contigs.columns, "vector")
+
+
 class Network:
     """K-6: with ``parameters`` from a table, linear, two residual blocks of three linear layers with batch norms, linear; weights are plain arrays."""
 

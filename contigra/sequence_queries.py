@@ -5,15 +5,21 @@ Importing this module adds to ``QUERIES`` and ``SQL`` of ``contigra.queries``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigra import hit_queries as H
 from contigra.functions import scalar as S
+from contigra.operators import filters as C
 from contigra.operators import graph as J
 from contigra.operators import joins as D
 from contigra.operators import ml as K
+from contigra.operators import selection as G
 from contigra.operators import similarity
-from contigra.queries import SQL, WITH, Tables, query
+from contigra.queries import SQL, WITH, Tables, query, stats_sql
+from contigra.streaming import edges as L
 
 
 @query("d19_similar")
@@ -94,3 +100,46 @@ def i08_wide(t: Tables) -> DataFrame:
 def j03_all(t: Tables) -> DataFrame:
     """J-2 and J-3 over all edges and three hops."""
     return J.reach(t.brands(), t.edges(), 3)
+
+
+_REACHED = "SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN both_e e ON b.contig_id = e.node1 UNION ALL SELECT bin_id, f.node2, 2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1 UNION ALL SELECT bin_id, g.node2, 3 FROM (SELECT DISTINCT bin_id, f.node2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1) y JOIN both_e g ON y.node2 = g.node1) GROUP BY 1, 2"
+
+
+@query("j10_retrieval_all", f", found AS ({_REACHED}) SELECT bin_id, contig_id, level, cutoff FROM found JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) CROSS JOIN (SELECT unnest([1.0::DOUBLE, 1.2, 1.5]) AS cutoff) WHERE level > 0 GROUP BY 1, 2, 3, 4 HAVING bool_and(depth >= q1 - cutoff * (q3 - q1) AND depth <= q3 + cutoff * (q3 - q1))")
+def j10_all(t: Tables) -> DataFrame:
+    """J-10 over all edges, three levels and three cutoffs."""
+    return J.retrieval(t.brands(), t.edges(), t.depth())
+
+
+@H.hit_query("g05_twin", " SELECT trial, CASE WHEN cpn - ctn > cpn0 - ctn0 AND cpn - 5 * ctn >= cpn0 - 5 * ctn0 THEN 'accept' WHEN cpn - ctn > cpn0 - ctn0 THEN 'deep' WHEN cpn > cpn0 AND cpn0 >= 40 AND ctn0 <= 10 AND ctn <= 50 THEN 'deep' WHEN (cpn - 5 * ctn < cpn0 - 5 * ctn0 OR cpn < cpn0) AND cpn0 >= 40 AND ctn0 <= 15 AND ctn <= 50 THEN 'deep' ELSE 'keep' END AS verdict FROM trials")
+def g05_twin(t: Tables) -> DataFrame:
+    """The second scorer's queue of refined bins."""
+    return G.refined(H.trials(t), twin=True).select("trial", "verdict")
+
+
+@H.hit_query("c08_failed", ", lens AS (SELECT p_partkey AS contig_id, CAST(p_size * 40 AS BIGINT) AS len FROM part) SELECT query, subject, a.length, count(*) AS hits FROM aln a JOIN lens x ON query = x.contig_id JOIN lens y ON subject = y.contig_id WHERE identity >= 95 AND a.length >= 500 AND a.length / x.len + a.length / y.len < 1 GROUP BY 1, 2, 3")
+def c08_failed(t: Tables) -> DataFrame:
+    """The second scorer's side file: strong alignments that don't cover both contigs."""
+    lengths = t.part.select(F.col("p_partkey").alias("contig_id"), (F.col("p_size") * 40).cast("long").alias("length"))
+    return C.cross_alignments(H.alignments(t), lengths, 95, 500, failed=True).groupBy("query", "subject", "length").agg(F.count(F.lit(1)).alias("hits"))
+
+
+@query("l01_mate_pairs", " SELECT a.l_orderkey AS read_id, a.l_partkey AS node1, b.l_partkey AS node2, CAST(greatest(a.l_shipdate, b.l_shipdate) AS VARCHAR) AS at FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 AND b.l_shipdate BETWEEN a.l_shipdate - INTERVAL 30 DAY AND a.l_shipdate + INTERVAL 30 DAY")
+def l01(t: Tables) -> DataFrame:
+    """D-14 as a stream: the first two line items of an order are mates, which meet if they ship within 30 days."""
+    base = f"{J.shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    t.lineitem.where("l_linenumber <= 2").select(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("mate"), F.col("l_partkey").alias("contig_id"), F.col("l_shipdate").cast("timestamp").alias("ts")).write.parquet(f"{base}/in")
+    schema = "read_id long, mate int, contig_id long, ts timestamp"
+    L.run_available(L.mate_pairs(t.spark.readStream.schema(schema).parquet(f"{base}/in"), "ts", "30 days"), f"{base}/out", f"{base}/state")
+    return t.spark.read.schema("read_id long, node1 long, node2 long, at timestamp").parquet(f"{base}/out").withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
+_SCALED = f"SELECT bin_id, contig_id, i, v[i] AS x FROM (SELECT *, unnest(range(1, 20)) AS i FROM (SELECT bin_id, contig_id, list_concat(list_concat(d, {stats_sql('d')}), k) AS v FROM (SELECT p_brand AS bin_id, p_partkey AS contig_id, [CAST(p_size AS DOUBLE), CAST(p_retailprice AS DOUBLE), CAST(p_partkey % 7 AS DOUBLE)] AS d, [p_size / 50] AS k FROM part)))"
+
+
+@H.hit_query("k05_scaled_features", f", raw AS ({_SCALED}) SELECT contig_id, i - 1 AS place, round(abs(x - m) / (greatest(hi - m, m - lo) + 1e-8), 3) + 0.0::DOUBLE AS value FROM (SELECT *, avg(x) OVER w AS m, min(x) OVER w AS lo, max(x) OVER w AS hi FROM raw WINDOW w AS (PARTITION BY bin_id, i))")
+def k05_scaled(t: Tables) -> DataFrame:
+    """K-5 with its scaling by bin; components of more than five samples are tested against numpy."""
+    depths = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), (F.col("p_partkey") % 7).cast("double"))
+    c = t.part.select(F.col("p_brand").alias("bin_id"), F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.col("p_size") / 50).alias("kmers"))
+    return K.scaled_features(c, 3).select("contig_id", F.posexplode("vector").alias("place", "value")).withColumn("value", F.round("value", 3) + 0.0)

@@ -23,9 +23,14 @@ def _file() -> Column:
     return F.element_at(F.split(F.input_file_name(), "/"), -1)
 
 
+def _records(df: DataFrame) -> DataFrame:
+    """Records between line ends followed by ``>``; the first of a file still has its own ``>``."""
+    return df.withColumn("value", F.regexp_replace("value", "^>", "")).where(F.col("value").rlike(r"\S"))
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """A-1: contig_id (first word after ``>``), seq, length, file."""
-    raw = spark.read.text(path, lineSep=">").select(_file().alias("file"), "value").where(F.trim("value") != "")
+    """A-1: contig_id (first word after ``>``), seq, length, file.  Only a ``>`` that begins a line begins a record."""
+    raw = _records(spark.read.text(path, lineSep="\n>").select(_file().alias("file"), "value"))
     seq = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*", ""), r"\s", "")
     return raw.select(F.regexp_extract("value", r"^(\S+)", 1).alias("contig_id"), seq.alias("seq"), F.length(seq).alias("length"), "file")
 
@@ -148,9 +153,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bins(spark: SparkSession, folder: str, pattern: str = "*.fa*") -> DataFrame:
     """A-14: binset (folder), bin_id (file), contig_id, length: all bins below a folder, in no order."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder, lineSep=">")
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder, lineSep="\n>")
     parts = F.split(F.input_file_name(), "/")
-    raw = raw.select(F.element_at(parts, -2).alias("binset"), F.element_at(parts, -1).alias("bin_id"), "value").where(F.trim("value") != "")
+    raw = _records(raw.select(F.element_at(parts, -2).alias("binset"), F.element_at(parts, -1).alias("bin_id"), "value"))
     seq = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*", ""), r"\s", "")
     return raw.select("binset", "bin_id", F.regexp_extract("value", r"^(\S+)", 1).alias("contig_id"), F.length(seq).alias("length"))
 

@@ -127,3 +127,55 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_fasta_headers_may_hold_the_mark(spark, tmp_path):
+    for i, body in enumerate([">a x>y >z\nAC\nGT\n>b\n\n>c >\r\nTT\r\n", ">only\nACGT", "\n"]):
+        (tmp_path / f"s{i}.fa").write_text(body)
+    got = sorted(tuple(r) for r in R.read_fasta(spark, str(tmp_path)).select("contig_id", "seq", "file").collect())
+    assert got == [("a", "ACGT", "s0.fa"), ("b", "", "s0.fa"), ("c", "TT", "s0.fa"), ("only", "ACGT", "s1.fa")]
+    bins = sorted(tuple(r) for r in R.read_bins(spark, str(tmp_path)).select("bin_id", "contig_id", "length").collect())
+    assert bins == [("s0.fa", "a", 4), ("s0.fa", "b", 0), ("s0.fa", "c", 2), ("s1.fa", "only", 4)]
+
+
+def test_mates_meet_across_restarts(spark, tmp_path):
+    """Mates that arrive in different runs meet; the runs together give what the batch query gives, each pair once."""
+    from pyspark.sql import functions as F
+
+    from contigra.streaming import edges as L
+
+    schema = "read_id string, mate int, contig_id string, ts timestamp"
+    at = lambda m: f"2024-01-01 {m // 60:02}:{m % 60:02}:00"
+    runs = [
+        [("r1", 1, "c1", 0), ("r2", 1, "c2", 3), ("r2", 2, "c3", 4), ("r5", 2, "c9", 1), (None, 1, "c1", 2)],
+        [("r1", 2, "c4", 20), ("r3", 2, "c5", 22), (None, 2, "c1", 21)],
+        [("r3", 1, "c6", 40), ("r4", 1, "c7", 45), ("r5", 1, "c8", 200)],
+        [("r4", 2, "c8", 300), ("r6", 1, "a", 301), ("r6", 2, "b", 301)],
+    ]
+    folder, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for rows in runs:
+        spark.createDataFrame([(r, m, c, at(t)) for r, m, c, t in rows], "read_id string, mate int, contig_id string, ts string").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(folder)
+        L.run_available(L.mate_pairs(spark.readStream.schema(schema).parquet(folder), "ts", "1 hour"), out, state)
+    got = sorted(tuple(r)[:3] for r in spark.read.parquet(out).collect())
+    want = sorted(tuple(r)[:3] for r in L.mate_pairs(spark.read.parquet(folder), "ts", "1 hour").collect())
+    assert got == want == [("r1", "c1", "c4"), ("r2", "c2", "c3"), ("r3", "c6", "c5"), ("r6", "a", "b")]
+    L.run_available(L.mate_pairs(spark.readStream.schema(schema).parquet(folder), "ts", "1 hour"), out, state)
+    assert spark.read.parquet(out).count() == len(want)
+
+
+def test_archives_give_their_members(spark, tmp_path):
+    import io
+    import tarfile
+    import zipfile
+
+    files = {"x/a.fa": b">a\nAC\n", "b.fa": b"", "c.bin": bytes(range(256)) * 4000}
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in files.items():
+            z.writestr(name, body)
+    with tarfile.open(tmp_path / "two.tar.gz", "w:gz") as t:
+        for name, body in files.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            t.addfile(info, io.BytesIO(body))
+    for one in ("one.zip", "two.tar.gz"):
+        assert {r["name"]: bytes(r["content"]) for r in R.read_archive(spark, str(tmp_path / one)).collect()} == files

@@ -349,3 +349,27 @@ def test_kmer_fence_of_256_dimensions(spark):
 def test_has_rows_counts_in_tasks(spark):
     df = spark.range(1000).repartition(7)
     assert W.has_rows(df, 1000) and not W.has_rows(df, 1001) and not W.has_rows(df.limit(0), 1) and W.has_rows(df, 1)
+
+
+def test_scaled_features_with_components(spark):
+    """Seven samples: scaled by bin, then three components over all contigs."""
+    from contigra.operators import ml as K
+
+    rng = np.random.default_rng(6)
+    depths, kmers = rng.gamma(2, 3, size=(80, 7)) * np.linspace(3, 1, 7), rng.random((80, 4))
+    bins = ["a" if i % 3 else "b" for i in range(79)] + [None]
+    df = spark.createDataFrame([(b, i, d.tolist(), k.tolist()) for i, (b, d, k) in enumerate(zip(bins, depths, kmers, strict=True))], "bin_id string, contig_id long, depths array<double>, kmers array<double>").repartition(4)
+    got = {r["contig_id"]: np.array(r["vector"]) for r in K.scaled_features(df, 7).collect()}
+    plain = {r["contig_id"]: np.array(r["vector"]) for r in K.features(df, 5, 7).collect()}
+    raw = np.array([plain[i] for i in range(80)])
+    assert raw.shape == (80, 26)
+    scaled = np.empty_like(raw)
+    for b in set(bins):
+        own = np.array([x == b for x in bins])
+        away = np.abs(raw[own] - raw[own].mean(0))
+        scaled[own] = away / (away.max(0) + 1e-8)
+    x = scaled[:, :7] - scaled[:, :7].mean(0)
+    axes = np.linalg.svd(x)[2][:3]
+    axes = axes * np.sign(axes[np.arange(3), np.abs(axes).argmax(1)])[:, None]
+    want = np.hstack([x @ axes.T, scaled[:, 7:]])
+    assert np.allclose(np.array([got[i] for i in range(80)]), want, atol=1e-9)
