@@ -74,12 +74,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 30)
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int = LABELLED, name: str = "labelled") -> DataFrame:
     """text and ``label`` of at most ``most`` labelled documents, those of the smallest hashed ids; written once.
 
-    Labels that contradict each other, null labels and ids are left out.
+    Labels that contradict each other, null labels and ids are left out.  Of the texts that share an id the least stands for it, so
+    ``most`` bounds the rows however often ids are repeated.
     """
     one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id_")).agg(F.min(label).alias("y_"), F.max(label).alias("z_")).where("y_ = z_")
     sample = one.select("id_", F.col("y_").cast("double").alias("y_")).orderBy(F.xxhash64("id_"), "id_").limit(most)
     found = docs.select(F.col("doc_id").cast("long").alias("id_"), "text").join(F.broadcast(sample), "id_")  # ``most`` rows of two numbers
-    return write_shared(found.select("id_", "text", "y_"), name)
+    return write_shared(found.groupBy("id_", "y_").agg(F.min("text").alias("text")).select("id_", "text", "y_"), name)
 
 
 def map_text(df: DataFrame, column: str, schema: str, value: Callable[[bytes | None], object], kind: pa.DataType, of: str = "text", keep: bool = False) -> DataFrame:

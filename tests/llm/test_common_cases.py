@@ -72,3 +72,13 @@ def test_short_item_is_its_own_seed(spark, awkward):
 def test_null_id_stays(spark, awkward):
     r = setsketch.near_duplicates(awkward, k=2).where(F.col("doc_id").isNull()).first()
     assert r["component_id"] is None and r["kept"]
+
+
+def test_labelled_rows_are_bounded_whatever_the_ids(spark):
+    """One id on 10^5 rows is one labelled row, and a null text stays null."""
+    from contigra.llm import models
+
+    docs = spark.range(100_000).select(F.lit(5).alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("text")).union(spark.createDataFrame([(6, None), (7, "x"), (None, "y")], "doc_id long, text string"))
+    own = spark.createDataFrame([(5, 1), (6, 0), (7, None), (8, 1), (None, 1)], "doc_id long, quality int")
+    assert sorted(tuple(r) for r in models.labelled(docs, own, "quality", 10).collect()) == [(5, "t0", 1.0), (6, None, 0.0)]
+    assert models.labelled(docs, own, "quality", 1).count() <= 1
