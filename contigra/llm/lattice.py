@@ -24,6 +24,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import repeat
+from math import exp, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigra.llm.common import column_bytes, mix, slices, words, write_shared
+from contigra.llm.common import column_bytes, forget, mix, slices, words, write_shared
 
 VOCABULARY = "piece_bpe_32k.model"
 HOT = 150_000
 PRIOR = 1000.0
 FLUSH = 300_000
 GATHERED, GATHERED_BYTES = 20_000, 8 << 20
+CELLS = 200_000
+#: Words of more bytes are read by ``LongLattice``, in blocks of BLOCK bytes.
+LONG, BLOCK = 1024, 1 << 16
 START = 0xFF  # stands for the word-start mark; never a byte of UTF-8
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -83,6 +87,10 @@ class Vocabulary:
                 raise ValueError("too many pieces share a slot")
             self.slot[row, k] = n
         self.depth = int((self.slot >= 0).any(1).sum())
+        #: whether a hash may be that of the beginning of a piece; never False for one that is
+        self.begins = np.zeros(1 << 22, bool)
+        heads = np.array([self._hash(h) for h in {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}], np.uint64)
+        self.begins[(mix(heads) >> np.uint64(42)).astype(np.int64)] = True
 
     @staticmethod
     def _hash(piece: bytes) -> int:
@@ -91,9 +99,9 @@ class Vocabulary:
             h = (h * int(_P) + c + 1) % (1 << 64)
         return h
 
-    def find(self, h: np.ndarray) -> np.ndarray:
+    def find(self, h: np.ndarray, mixed: np.ndarray) -> np.ndarray:
         """The number of the piece of each hash, -1 if there is none."""
-        at = (mix(h) >> np.uint64(64 - self.bits)).astype(np.int64)
+        at = (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
         out = np.full(len(h), -1, np.int32)
         for row in self.slot[: self.depth]:
             n = row[at]
@@ -101,6 +109,27 @@ class Vocabulary:
             out[hit] = n[hit]
         return out
 
+    def arcs(self, letters: np.ndarray, at: np.ndarray, stride: int = 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, starts, pieces) of the pieces that stand at the places ``at`` (ascending), for all places at once.
+
+        ``letters`` are bytes plus one, 0 where a word has ended; a word's next letter stands ``stride`` places on.
+        Places where no piece can begin that way any more are left out as the length grows.
+        """
+        h = np.zeros(len(at), np.uint64)
+        for size in range(1, self.longest + 1):
+            stop = int(np.searchsorted(at, len(letters) - stride * (size - 1)))
+            at = at[:stop]
+            letter = letters[at + stride * (size - 1)]
+            h = h[:stop] * _P + letter
+            mixed = mix(h)
+            open_ = self.begins[(mixed >> np.uint64(42)).astype(np.int64)] & (letter > 0)
+            at, h = at[open_], h[open_]
+            if not len(at):
+                return
+            found = self.find(h, mixed[open_])
+            hit = found >= 0
+            yield size, at[hit], found[hit]
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -108,24 +137,20 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Lattice:
-    """All segmentations of words of one length: one column a word."""
+    """All segmentations of words of similar length: one column a word."""
 
     def __init__(self, vocab: Vocabulary, rows: list[bytes]):
-        mark = bytes([START])
-        self.vocab, self.n, self.size = vocab, len(rows), len(rows[0]) + 1
-        letters = np.frombuffer(b"".join(mark + w for w in rows), np.uint8).reshape(self.n, self.size).T.astype(np.uint64) + np.uint64(1)
-        prefix = np.zeros((self.size + 1, self.n), np.uint64)
-        for j in range(self.size):
-            prefix[j + 1] = prefix[j] * _P + letters[j]
-        power = np.array([pow(int(_P), k, 1 << 64) for k in range(vocab.longest + 1)], np.uint64)
+        self.vocab, self.n = vocab, len(rows)
+        self.sizes = np.array([len(w) + 1 for w in rows])
+        self.size = int(self.sizes.max())
+        letters = np.frombuffer(b"".join(bytes([START]) + w.ljust(self.size - 1, b"\0") for w in rows), np.uint8).reshape(self.n, self.size).T.astype(np.uint64) + np.uint64(1)
+        letters[np.arange(self.size)[:, None] >= self.sizes] = 0
         #: (from, to, columns, pieces) of the arcs
         self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        for j in range(1, self.size + 1):
-            for i in range(max(0, j - vocab.longest), j):
-                found = vocab.find(prefix[j] - prefix[i] * power[j - i])
-                at = np.flatnonzero(found >= 0)
-                if len(at):
-                    self.arcs.append((i, j, at, found[at]))
+        for k, at, piece in vocab.arcs(letters.ravel(), np.arange(letters.size), self.n):
+            edges = np.searchsorted(at, np.arange(self.size + 1) * self.n).tolist()
+            self.arcs += [(i, i + k, at[a:b] - i * self.n, piece[a:b]) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+        self.arcs.sort(key=lambda arc: (arc[1], arc[0]))
 
     def forward(self, logp: np.ndarray) -> np.ndarray:
         a = np.full((self.size + 1, self.n), -np.inf)
@@ -134,31 +159,107 @@ class Lattice:
             a[j, at] = np.logaddexp(a[j, at], a[i, at] + logp[piece])
         return a
 
+    def total(self, logp: np.ndarray) -> np.ndarray:
+        """The log probability of each word."""
+        return self.forward(logp)[self.sizes, np.arange(self.n)]
+
     def expected(self, logp: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
         """Add to ``out`` how often each piece is expected in the words, ``counts`` times each."""
         a = self.forward(logp)
+        total = a[self.sizes, np.arange(self.n)]
         b = np.full_like(a, -np.inf)
-        b[-1] = 0
+        b[self.sizes, np.arange(self.n)] = 0
         pieces, shares = [], []
         for i, j, at, piece in reversed(self.arcs):
             step = logp[piece] + b[j, at]
             pieces.append(piece)
-            shares.append(counts[at] * np.exp(a[i, at] + step - a[-1, at]))
+            shares.append(counts[at] * np.exp(a[i, at] + step - total[at]))
             b[i, at] = np.logaddexp(b[i, at], step)
         out += np.bincount(np.concatenate(pieces), np.concatenate(shares), len(out))
 
 
+class LongLattice:
+    """All segmentations of one long word, read in blocks; between blocks only the last ``longest`` sums are kept."""
+
+    def __init__(self, vocab: Vocabulary, word: bytes):
+        self.vocab, self.letters = vocab, np.frombuffer(bytes([START]) + word, np.uint8)
+        self.stops = [*range(BLOCK, len(self.letters), BLOCK), len(self.letters)]
+
+    def _arcs(self, low: int, high: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """The first place of a block's arcs; starts and ends from there, and pieces, of the arcs that end in (low, high], by end."""
+        base = max(0, low + 1 - self.vocab.longest)
+        letters = self.letters[base:high].astype(np.uint64) + np.uint64(1)
+        found = [(at, at + k, piece) for k, at, piece in self.vocab.arcs(letters, np.arange(len(letters)))]
+        start, end, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((start, end))
+        order = order[np.searchsorted(end[order], low - base, side="right") :]
+        return base, start[order], end[order], piece[order]
+
+    @staticmethod
+    def _forward(held: list[float], start: np.ndarray, end: np.ndarray, step: np.ndarray, stop: int) -> list[float]:
+        """``held`` (sums of the places up to the block) with the sums of the block's places up to ``stop``."""
+        a = list(held)
+        edges = np.searchsorted(end, np.arange(len(a), stop + 2)).tolist()
+        starts, steps = start.tolist(), step.tolist()
+        for p, q in zip(edges, edges[1:], strict=False):
+            if q - p == 1:
+                a.append(a[starts[p]] + steps[p])
+                continue
+            ways = [a[i] + s for i, s in zip(starts[p:q], steps[p:q], strict=True)]
+            most = max(ways)
+            a.append(most + log(sum([exp(x - most) for x in ways])))
+        return a
+
+    def _blocks(self, logp: np.ndarray) -> Iterator[tuple[int, int, list[float], list[float]]]:
+        """(low, high, sums held before the block, sums up to its end) for all blocks in order."""
+        held, low = [0.0], 0
+        for high in self.stops:
+            base, start, end, piece = self._arcs(low, high)
+            a = self._forward(held, start, end, logp[piece], high - base)
+            yield low, high, held, a
+            held, low = a[max(0, high + 1 - self.vocab.longest) - base :], high
+
+    def total(self, logp: np.ndarray) -> float:
+        for *_, a in self._blocks(logp):
+            pass
+        return a[-1]
+
+    def expected(self, logp: np.ndarray, count: float, out: np.ndarray) -> None:
+        """Like ``Lattice.expected``; the sums of a block are made again when the way back comes to it."""
+        blocks = []
+        for low, high, held, a in self._blocks(logp):
+            blocks.append((low, high, held))
+        total, back = a[-1], [0.0]
+        for low, high, held in reversed(blocks):
+            base, start, end, piece = self._arcs(low, high)
+            step = logp[piece]
+            a = self._forward(held, start, end, step, high - base)
+            # ``back`` has the places [high + 1 - len(back), high]; those below get their first arcs here
+            b = [-np.inf] * (high - base + 1 - len(back)) + back
+            for i, j, s in zip(reversed(start.tolist()), reversed(end.tolist()), reversed(step.tolist()), strict=True):
+                x, y = b[i], s + b[j]
+                if x < y:
+                    x, y = y, x
+                b[i] = x + log1p(exp(y - x))
+            out += np.bincount(piece, count * np.exp(np.array(a)[start] + step + np.array(b)[end] - total), len(out))
+            back = b[: low - base + 1]
+
+
 def lattices(vocab: Vocabulary, rows: list[bytes]) -> Iterator[tuple[np.ndarray, Lattice]]:
-    """(indices, lattice) for words of equal length, in groups of bounded size; empty words are left out."""
-    by: dict[int, list[int]] = defaultdict(list)
-    for n, w in enumerate(rows):
-        if w:
-            by[len(w)].append(n)
-    for size, at in sorted(by.items()):
-        most = max(1, 200_000 // size)
-        for k in range(0, len(at), most):
-            own = at[k : k + most]
-            yield np.array(own), Lattice(vocab, [rows[n] for n in own])
+    """(indices, lattice) for words of LONG bytes at most, in groups of similar length and bounded size; empty words are left out."""
+    at = sorted((n for n, w in enumerate(rows) if 0 < len(w) <= LONG), key=lambda n: len(rows[n]))
+    k = 0
+    while k < len(at):
+        least, stop = len(rows[at[k]]), k + 1
+        while stop < len(at) and (size := len(rows[at[stop]])) <= least + least // 8 and size * (stop - k + 1) <= CELLS:
+            stop += 1
+        yield np.array(at[k:stop]), Lattice(vocab, [rows[n] for n in at[k:stop]])
+        k = stop
+
+
+def long_words(vocab: Vocabulary, rows: list[bytes]) -> Iterator[tuple[int, LongLattice]]:
+    """(index, lattice) for the other words."""
+    return ((n, LongLattice(vocab, w)) for n, w in enumerate(rows) if len(w) > LONG)
 
 
 def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,6 +317,8 @@ def piece_probabilities(counts: DataFrame, path: str) -> np.ndarray:
             rows, c = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             for at, lattice in lattices(vocab, rows):
                 lattice.expected(logp, c[at].astype(float), out)
+            for n, lattice in long_words(vocab, rows):
+                lattice.expected(logp, float(c[n]), out)
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], names=["piece", "n"])
 
@@ -258,10 +361,13 @@ def score(docs: DataFrame, path: str | None = None, hot: int = HOT) -> DataFrame
         for batch in gathered(batches):
             rows, out = batch.column(0).to_pylist(), np.full(batch.num_rows, own[-1])
             for at, lattice in lattices(vocab, rows):
-                out[at] = lattice.forward(own)[-1]
+                out[at] = lattice.total(own)
+            for n, lattice in long_words(vocab, rows):
+                out[n] = lattice.total(own)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["word", "c", "lp"])
 
     known = write_shared(counts.mapInArrow(run, "word binary, c long, lp double"), "lattice-words")
+    forget(counts)
     top = frequent(known, hot).toPandas()  # ``hot`` rows and the end at most
     index = {bytes(w): k for k, w in enumerate(top["word"])}
     index.setdefault(b"", len(top))

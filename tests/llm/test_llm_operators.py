@@ -438,6 +438,38 @@ def test_lattice_likelihood(spark, docs, rows):
                 assert math.isclose(r["score"], (sum(lp[x] for x in w) + logp[-1]) / math.log(10), rel_tol=1e-9)
 
 
+def test_lattices_of_mixed_and_long_words(monkeypatch):
+    """Groups of similar length and words read in blocks give the sums of plain loops, and equal expectations."""
+    vocab = lattice.vocabulary(lattice.default_vocabulary())
+    logp, rng = np.log(vocab.prior), random.Random(7)
+    own = ["".join(rng.choices("abcdethinghelloworld0123=", k=rng.randint(1, 60))).encode() for _ in range(80)] + ["naïve中文字".encode(), b"\0ab\0", b"internationalization" * 5, b"a" * 70]
+    want = [brute_lattice(w, vocab, logp) for w in own]
+    grouped, out = np.zeros(len(own)), [np.zeros(len(vocab.pieces)) for _ in range(2)]
+    for at, group in lattice.lattices(vocab, own):
+        grouped[at] = group.total(logp)
+        group.expected(logp, at + 1.0, out[0])
+    assert np.allclose(grouped, want, rtol=1e-12)
+    for block in (7, 30, 1 << 16):
+        monkeypatch.setattr(lattice, "BLOCK", block)
+        out[1][:] = 0
+        for n, w in enumerate(own):
+            one = lattice.LongLattice(vocab, w)
+            assert math.isclose(one.total(logp), want[n], rel_tol=1e-12)
+            one.expected(logp, n + 1.0, out[1])
+        assert np.allclose(*out, rtol=1e-9, atol=1e-9)
+
+
+def test_score_of_a_megabyte_word(spark):
+    """A data URI: its time grows with its bytes, some microseconds each."""
+    import time
+
+    word = "data:" + "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    docs = spark.createDataFrame([(1, "some words " + word), (2, "some words")], "doc_id long, text string")
+    at = time.time()
+    got = {r["doc_id"]: r["score"] for r in lattice.score(docs).collect()}
+    assert got[1] < got[2] < 0 and time.time() - at < 60
+
+
 # ---- op9
 
 
