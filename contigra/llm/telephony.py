@@ -7,6 +7,8 @@ by sample for all blocks of a batch at once; the PCM is resampled by linear inte
 
 Defined cases: null text is empty and gives one block of zero bytes; equal texts give equal values, since the coding is chosen from
 the payload; repeated rows and null doc_id are stored like any others; an empty table gives an empty result; other columns are ignored.
+PCM is four to eight times its text: beyond WHOLE bytes it is no longer a column of one row (null there), while its features stay; ``pcm_pieces``
+gives the PCM of every file in rows of bounded size.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from contigra.llm.common import column_bytes, slices, write_shared
 
 BLOCK = 64
+PIECE = 1 << 19  # a multiple of BLOCK
+WHOLE = 1 << 30
 RATE, TARGET = 8000, 16000
 #: WAV format tags (fixed values).
 TAGS = {"alaw": 6, "mulaw": 7, "adpcm": 17}
@@ -76,15 +80,47 @@ def decode_adpcm(blocks: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
+class Resampler:
+    """Linear interpolation to another rate, piece by piece; values between samples are rounded down."""
+
+    def __init__(self, rate: int = RATE, target: int = TARGET):
+        self.rate, self.target = rate, target
+        self.first, self.done = 0, 0  # the source place of ``held``, and how many values were given
+        self.held = np.empty(0, np.int16)
+
+    def _upto(self, stop: int) -> np.ndarray:
+        at = np.arange(self.done, stop, dtype=np.int64) * self.rate
+        left = at // self.target - self.first
+        right = np.minimum(left + 1, len(self.held) - 1)
+        x = self.held.astype(np.int32)
+        self.done = stop
+        return (x[left] + (x[right] - x[left]) * (at % self.target) // self.target).astype(np.int16)
+
+    def push(self, pcm: np.ndarray) -> np.ndarray:
+        """The values whose both neighbours are known by now, and never more than all samples so far give in the end."""
+        if self.rate == self.target:
+            return pcm.astype(np.int16)
+        self.held = np.concatenate((self.held, pcm.astype(np.int16)))
+        known = self.first + len(self.held) - 1  # the last sample has no right neighbour yet
+        out = self._upto(min(-(-known * self.target // self.rate), (known + 1) * self.target // self.rate)) if known > 0 else np.empty(0, np.int16)
+        keep = max(0, min(len(self.held) - 1, self.done * self.rate // self.target - self.first))
+        self.held, self.first = self.held[keep:], self.first + keep
+        return out
+
+    def end(self) -> np.ndarray:
+        """The values up to the last sample, which stands for its own right neighbour."""
+        total = self.first + len(self.held)
+        if self.rate == self.target:
+            return np.empty(0, np.int16)
+        if total < 2:
+            return self.held
+        return self._upto(total * self.target // self.rate)
+
+
 def resample(pcm: np.ndarray, rate: int = RATE, target: int = TARGET) -> np.ndarray:
-    """Linear interpolation to another rate; values between samples are rounded down."""
-    if rate == target or len(pcm) < 2:
-        return pcm.astype(np.int16)
-    at = np.arange(len(pcm) * target // rate, dtype=np.int64) * rate
-    left = np.minimum(at // target, len(pcm) - 1)
-    right = np.minimum(left + 1, len(pcm) - 1)
-    x = pcm.astype(np.int64)
-    return (x[left] + (x[right] - x[left]) * (at % target) // target).astype(np.int16)
+    """``pcm`` at another rate; fewer than two samples stay as they are."""
+    own = Resampler(rate, target)
+    return np.concatenate((own.push(pcm), own.end()))
 
 
 def payload(text: bytes | None) -> bytes:
@@ -132,27 +168,58 @@ def store(docs: DataFrame, codec: str | None = None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def decode(media: list[bytes]) -> Iterator[tuple[str, bytes, np.ndarray]]:
-    """(coding, stored bytes, resampled PCM) of each file; ADPCM blocks of all files are decoded together."""
-    read = [read_wav(m) for m in media]
-    packed = [np.frombuffer(d, np.uint8).reshape(-1, BLOCK) for c, _, d in read if c == "adpcm"]
-    pcm = decode_adpcm(np.concatenate(packed)) if packed else None
-    at = 0
-    for codec, rate, data in read:
-        if codec == "adpcm":
-            n = len(data) // BLOCK
-            own = pcm[at : at + n].ravel()
-            at += n
-        else:
-            own = (MULAW if codec == "mulaw" else ALAW)[np.frombuffer(data, np.uint8)]
-        yield codec, data, resample(own, rate)
+def pieces(codec: str, rate: int, data: bytes, size: int = PIECE) -> Iterator[np.ndarray]:
+    """The resampled PCM of a file's data chunk, ``size`` bytes of it at a time; a piece may be empty."""
+    raw, own = np.frombuffer(data, np.uint8), Resampler(rate)
+    for a in range(0, len(raw), size):
+        part = raw[a : a + size]
+        yield own.push(decode_adpcm(part.reshape(-1, BLOCK)).ravel() if codec == "adpcm" else (MULAW if codec == "mulaw" else ALAW)[part])
+    yield own.end()
+
+
+class Features:
+    """Coding, samples, mean square, peak, sign changes and checksum of the resampled PCM, piece by piece."""
+
+    def __init__(self, codec: str):
+        self.codec, self.n, self.power, self.peak, self.turns, self.crc, self.last = codec, 0, 0, 0, 0, 0, None
+
+    def push(self, pcm: np.ndarray) -> None:
+        if not len(pcm):
+            return
+        x = pcm.astype(np.int64)
+        below = x < 0
+        self.turns += int(np.count_nonzero(below[1:] != below[:-1])) + (self.last is not None and bool(below[0]) != self.last)
+        self.n, self.power, self.peak, self.last = self.n + len(x), self.power + int((x * x).sum()), max(self.peak, int(np.abs(x).max())), bool(below[-1])
+        self.crc = zlib.crc32(pcm.astype("<i2").tobytes(), self.crc)
+
+    def __str__(self) -> str:
+        return f"{self.codec};n={self.n};power={self.power // max(1, self.n)};peak={self.peak};turns={self.turns};crc={self.crc}"
 
 
-def feature(codec: str, pcm: np.ndarray) -> str:
-    """Coding, samples, mean square, peak, sign changes and checksum of the resampled PCM."""
-    x = pcm.astype(np.int64)
-    turns = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
-    return f"{codec};n={len(x)};power={int((x * x).sum()) // max(1, len(x))};peak={int(np.abs(x).max(initial=0))};turns={turns};crc={zlib.crc32(pcm.astype('<i2').tobytes())}"
+def small_adpcm(read: list[tuple[str, int, bytes]]) -> dict[int, np.ndarray]:
+    """The decoded samples of the ADPCM files of one piece at most, by number: many small files share each step."""
+    own = [n for n, (codec, _, data) in enumerate(read) if codec == "adpcm" and len(data) <= PIECE]
+    out: dict[int, np.ndarray] = {}
+    while own:
+        sizes = np.cumsum([len(read[n][2]) for n in own])
+        now, own = own[: (k := max(1, int(np.searchsorted(sizes, PIECE, side="right"))))], own[k:]
+        blocks = [np.frombuffer(read[n][2], np.uint8).reshape(-1, BLOCK) for n in now]
+        pcm, at = decode_adpcm(np.concatenate(blocks)), 0
+        for n, b in zip(now, blocks, strict=True):
+            out[n] = pcm[at : at + len(b)].ravel()
+            at += len(b)
+    return out
+
+
+def decode(media: list[bytes]) -> Iterator[tuple[str, bytes, Iterator[np.ndarray]]]:
+    """(coding, stored bytes, pieces of resampled PCM) of each file."""
+    read = [read_wav(m) for m in media]
+    small = small_adpcm(read)
+    for n, (codec, rate, data) in enumerate(read):
+        if (pcm := small.pop(n, None)) is not None:
+            yield codec, data, iter((resample(pcm, rate),))
+        else:
+            yield codec, data, pieces(codec, rate, data)
 
 
 def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
@@ -160,11 +227,17 @@ def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", pcm binary" * keep_pcm
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "media", 4 << 20):
+        for batch in slices(batches, "media"):
             media = batch.column(2).to_pylist()
             rows = []
-            for m, (codec, data, pcm) in zip(media, decode(media), strict=True):
-                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), feature(codec, pcm), *([pcm.astype("<i2").tobytes()] * keep_pcm)))
+            for m, (codec, data, parts) in zip(media, decode(media), strict=True):
+                features, held = Features(codec), []
+                for pcm in parts:
+                    features.push(pcm)
+                    if keep_pcm and 2 * features.n <= WHOLE:
+                        held.append(pcm.astype("<i2"))
+                whole = [np.concatenate(held).tobytes() if 2 * features.n <= WHOLE else None] * keep_pcm
+                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), str(features), *whole))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * keep_pcm
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[x.split()[0] for x in schema.split(", ")])
@@ -172,6 +245,22 @@ def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
     return stored.mapInArrow(run, schema)
 
 
+def pcm_pieces(stored: DataFrame) -> DataFrame:
+    """doc_id, media_sha256, piece (from 0), start (samples before it), pcm: the resampled PCM of every file, in rows of some MB at most."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "media_sha256", "piece", "start", "pcm"]
+        for batch in slices(batches, "media"):
+            for doc_id, m in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                name, start = hashlib.sha256(m).hexdigest(), 0
+                for k, pcm in enumerate(x for x in pieces(*read_wav(m)) if len(x)):
+                    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((doc_id, name, k, start, pcm.astype("<i2").tobytes()), kinds, strict=True)], names=names)
+                    start += len(pcm)
+
+    return stored.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, media_sha256 string, piece int, start long, pcm binary")
+
+
 def media_features(docs: DataFrame) -> DataFrame:
     """Store every text in the shared folder, read the files back and decode them; the resampled PCM stays as the last column."""
     return decoded(write_shared(store(docs), "media"))

@@ -332,6 +332,11 @@ def test_kept_state(spark, docs, rows):
         assert after[i]["n_tokens"] == len(counts.encoding.encode_ordinary(after[i]["text"] or ""))
 
 
+def test_kept_leaves_come_back():
+    for x in ([], [0], [254, 255, 256, 10**12, 3], list(range(600))):
+        assert edit_counts.unpack_leaves(edit_counts.pack_leaves(np.array(x, np.int64))).tolist() == x
+
+
 # ---- op7
 
 
@@ -646,3 +651,51 @@ def test_learned_spans_against_all_parts_of_a_text():
         n += len(want)
         assert secret_scan.learned_spans(text, base)[0] == want
     assert n > 5
+
+
+@pytest.mark.parametrize(("rate", "target"), [(8000, 16000), (8000, 11025), (16000, 8000), (44100, 8000), (8000, 8000)])
+def test_resampling_by_pieces(rate, target):
+    rng = random.Random(rate + target)
+    for n in (0, 1, 2, 3, 7, 400):
+        pcm = [rng.randint(-32768, 32767) for _ in range(n)]
+        want = pcm if rate == target or n < 2 else [(a := pcm[i]) + (pcm[min(i + 1, n - 1)] - a) * (k * rate % target) // target for k in range(n * target // rate) for i in [k * rate // target]]
+        for step in (1, 2, 3, 50, 1000):
+            own = telephony.Resampler(rate, target)
+            got = [own.push(np.array(pcm[a : a + step], np.int16)) for a in range(0, n, step)] + [own.end()]
+            assert np.concatenate(got).tolist() == want
+
+
+def test_pcm_pieces_are_the_whole(docs):
+    stored = telephony.store(docs).cache()
+    whole = {r["media_sha256"]: (bytes(r["pcm"]), r["feature"]) for r in telephony.decoded(stored).collect()}
+    for codec in telephony.CODECS:
+        for size in (64, 640):
+            data = telephony.payload(b"one text of some length, cut in pieces. " * 40)
+            parts = list(telephony.pieces(codec, 8000, data, size))
+            features = telephony.Features(codec)
+            for x in parts:
+                features.push(x)
+            one = telephony.Features(codec)
+            one.push(np.concatenate(parts))
+            assert str(features) == str(one) and np.array_equal(np.concatenate(parts), np.concatenate(list(telephony.pieces(codec, 8000, data))))
+    got: dict[str, bytes] = {}
+    for r in telephony.pcm_pieces(stored).orderBy("doc_id", "piece").collect():
+        assert r["start"] * 2 == len(got.get(r["media_sha256"], b"")) or r["start"] == 0
+        got[r["media_sha256"]] = (got.get(r["media_sha256"], b"") if r["start"] else b"") + bytes(r["pcm"])
+    assert got == {k: v[0] for k, v in whole.items()}
+
+
+def test_media_of_a_text_of_50_mb():
+    """Coding by coding, the peak of a process stays near the media's own size: pieces are let go of."""
+    import tracemalloc
+
+    media = [telephony.wav(telephony.payload(b"some longer text " * 3_000_000), c) for c in ("mulaw", "adpcm")]
+    for m in media:
+        tracemalloc.start()
+        ((codec, data, parts),) = telephony.decode([m])
+        features = telephony.Features(codec)
+        for x in parts:
+            features.push(x)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert features.n == (2 * len(data) if codec == "mulaw" else 2 * 121 * (len(data) // 64)) and peak < 200 << 20
