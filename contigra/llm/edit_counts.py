@@ -20,10 +20,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contigra.llm.common import slices
+from contigra.llm.common import slices, write_shared
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CONTEXT = 2
@@ -33,6 +33,21 @@ CACHED = 300_000
 EDITS = (((1, 3), 0, " an inserted phrase,"), ((1, 2), 7, ""), ((2, 3), 5, "Xy z"))
 
 _STATE = "n_pretokens long, n_tokens long"
+_TREE = f"doc_id long, text string, {_STATE}, leaf_chars binary, leaf_tokens binary"
+_EDIT = "array<struct<ordinal:int,at:bigint,delete:bigint,insert:string>>"
+
+
+def pack_leaves(x: np.ndarray) -> bytes:
+    """Leaf numbers for keeping: one byte each below 255; a 255 stands for one of the long numbers at the end, in order."""
+    small = np.minimum(x, 255).astype(np.uint8)
+    return len(x).to_bytes(8, "little") + small.tobytes() + x[small == 255].astype("<i8").tobytes()
+
+
+def unpack_leaves(kept: bytes) -> np.ndarray:
+    n = int.from_bytes(kept[:8], "little")
+    x = np.frombuffer(kept, np.uint8, n, 8).astype(np.int64)
+    x[x == 255] = np.frombuffer(kept, "<i8", -1, 8 + n)
+    return x
 
 
 class PreTokenCounts(dict):
@@ -69,9 +84,9 @@ class CountTree:
 
     def __init__(self, text: str, counts: PreTokenCounts, leaves: tuple[np.ndarray, np.ndarray] | None = None):
         self.text, self.counts = text, counts
+        if len(counts) > CACHED:
+            counts.clear()
         if leaves is None:
-            if len(counts) > CACHED:
-                counts.clear()
             pieces = counts.split.findall(text)
             leaves = np.fromiter(map(len, pieces), np.int64, len(pieces)), np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
         n = len(leaves[0])
@@ -188,10 +203,16 @@ def count_tokens(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     def row(doc_id: int | None, text: str | None) -> tuple:
         tree = CountTree(text or "", counter(ranks))
         chars, tokens = tree.leaves()
-        return doc_id, text, len(chars), tree.n_tokens, chars.astype("<i4").tobytes(), tokens.astype("<i4").tobytes()
+        return doc_id, text, len(chars), tree.n_tokens, pack_leaves(chars), pack_leaves(tokens)
 
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return _rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), f"doc_id long, text string, {_STATE}, leaf_chars binary, leaf_tokens binary", row, kinds)
+    return _rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _TREE, row, kinds)
+
+
+def _edited(tree: CountTree, edits: list[dict] | None) -> CountTree:
+    for e in edits or []:
+        tree.edit(e["at"], e["delete"], e["insert"] or "")
+    return tree
 
 
 def apply_edits(state: DataFrame, edits: DataFrame, ranks: str | None = None) -> DataFrame:
@@ -203,30 +224,39 @@ def apply_edits(state: DataFrame, edits: DataFrame, ranks: str | None = None) ->
     lists = edits.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "at", "delete", "insert"))).alias("edits"))
 
     def row(doc_id, text, chars, tokens, own) -> tuple:
-        tree = CountTree(text or "", counter(ranks), tuple(np.frombuffer(x, "<i4").astype(np.int64) for x in (chars, tokens)))
-        for e in own or []:
-            tree.edit(e["at"], e["delete"], e["insert"] or "")
+        tree = _edited(CountTree(text or "", counter(ranks), (unpack_leaves(chars), unpack_leaves(tokens))), own)
         chars, tokens = tree.leaves()
-        return doc_id, tree.text if own else text, len(chars), tree.n_tokens, chars.astype("<i4").tobytes(), tokens.astype("<i4").tobytes(), tree.reencoded
+        return doc_id, tree.text if own else text, len(chars), tree.n_tokens, pack_leaves(chars), pack_leaves(tokens), tree.reencoded
 
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
     joined = state.join(lists, "doc_id", "left").select("doc_id", "text", "leaf_chars", "leaf_tokens", "edits")
-    return _rows(joined, f"doc_id long, text string, {_STATE}, leaf_chars binary, leaf_tokens binary, reencoded long", row, kinds)
+    return _rows(joined, f"{_TREE}, reencoded long", row, kinds)
+
+
+def relative_edits(length: Column, edits: Iterable[tuple[tuple[int, int], int, str]] = EDITS) -> Column:
+    """The list of edits (ordinal, at, delete, insert) that ``edits`` are for a text of ``length`` characters, each placed in what those before it leave."""
+    out = []
+    for n, ((a, b), delete, insert) in enumerate(edits):
+        at = F.floor(length * F.lit(a) / F.lit(b)).cast("long")
+        out.append(F.struct(F.lit(n).cast("int").alias("ordinal"), at.alias("at"), F.lit(delete).cast("long").alias("delete"), F.lit(insert).alias("insert")))
+        length = length - F.least(F.lit(delete).cast("long"), length - at) + F.lit(len(insert))
+    return F.array(*out).cast(_EDIT)
 
 
 def edited_counts(docs: DataFrame, edits: Iterable[tuple[tuple[int, int], int, str]] = EDITS, ranks: str | None = None) -> DataFrame:
-    """Count every text, apply the same relative edits to each, and count again through the tree.
+    """Count every text and keep its tree in the shared folder; read the trees back, apply the same relative edits to each, and take the counts from the tree.
+
+    The edits of a row are placed by its own length, so they stand beside it and nothing is shuffled; ``apply_edits`` joins edits from a table.
 
     doc_id, n_pretokens, n_tokens, edited_chars, edited_pretokens, edited_tokens, reencoded: one row a row of ``docs``.
     """
-    ranks, edits = ranks or default_vocabulary(), tuple(edits)
+    ranks = ranks or default_vocabulary()
+    kept = write_shared(count_tokens(docs, ranks), "count-trees")
 
-    def row(doc_id: int | None, text: str | None) -> tuple:
-        tree = CountTree(text or "", counter(ranks))
-        before = tree.n_pretokens, tree.n_tokens
-        for (a, b), delete, insert in edits:
-            tree.edit(len(tree.text) * a // b, delete, insert)
-        return doc_id, *before, len(tree.text), tree.n_pretokens, tree.n_tokens, tree.reencoded
+    def row(doc_id, text, n_pretokens, n_tokens, chars, tokens, own) -> tuple:
+        tree = _edited(CountTree(text or "", counter(ranks), (unpack_leaves(chars), unpack_leaves(tokens))), own)
+        return doc_id, n_pretokens, n_tokens, len(tree.text), tree.n_pretokens, tree.n_tokens, tree.reencoded
 
     schema = f"doc_id long, {_STATE}, edited_chars long, edited_pretokens long, edited_tokens long, reencoded long"
-    return _rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), schema, row, [pa.int64()] * 7)
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    return _rows(kept.withColumn("edits", relative_edits(length, tuple(edits))), schema, row, [pa.int64()] * 7)
