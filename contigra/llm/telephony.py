@@ -222,7 +222,7 @@ def decode(media: list[bytes]) -> Iterator[tuple[str, bytes, Iterator[np.ndarray
             yield codec, data, pieces(codec, rate, data)
 
 
-def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
+def decoded(stored: DataFrame, keep_pcm: bool = True, whole: int = WHOLE) -> DataFrame:
     """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, and pcm (16-bit, TARGET Hz)."""
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", pcm binary" * keep_pcm
 
@@ -234,10 +234,12 @@ def decoded(stored: DataFrame, keep_pcm: bool = True) -> DataFrame:
                 features, held = Features(codec), []
                 for pcm in parts:
                     features.push(pcm)
-                    if keep_pcm and 2 * features.n <= WHOLE:
+                    if keep_pcm and 2 * features.n <= whole:
                         held.append(pcm.astype("<i2"))
-                whole = [np.concatenate(held).tobytes() if 2 * features.n <= WHOLE else None] * keep_pcm
-                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), str(features), *whole))
+                    else:
+                        held.clear()
+                column = [np.concatenate(held).tobytes() if held else None] * keep_pcm
+                rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), str(features), *column))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * keep_pcm
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[x.split()[0] for x in schema.split(", ")])

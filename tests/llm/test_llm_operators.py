@@ -683,6 +683,13 @@ def test_pcm_pieces_are_the_whole(docs):
         assert r["start"] * 2 == len(got.get(r["media_sha256"], b"")) or r["start"] == 0
         got[r["media_sha256"]] = (got.get(r["media_sha256"], b"") if r["start"] else b"") + bytes(r["pcm"])
     assert got == {k: v[0] for k, v in whole.items()}
+    most = sorted(len(v[0]) for v in whole.values())[len(whole) // 2]
+    seen = set()
+    for r in telephony.decoded(stored, whole=most).collect():
+        pcm, feature = whole[r["media_sha256"]]
+        seen.add(r["pcm"] is None)
+        assert r["feature"] == feature and (r["pcm"] is None) == (len(pcm) > most) and (r["pcm"] is None or bytes(r["pcm"]) == pcm)
+    assert seen == {True, False}
 
 
 def test_media_of_a_text_of_50_mb():
