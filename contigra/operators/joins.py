@@ -32,8 +32,8 @@ def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY)
     A key that only ``a`` has often is split by the adaptive skew join, since each of its rows meets few.  Keys that ``b`` has more than
     rows / ``how_many`` times (1,000 at least) are ``how_many`` at most, and as many again of ``a``; these keys, with no more of their rows
     than two numbers, are broadcast.  Such a key is a grid: each row of ``a`` is in one of its rows of cells, each row of ``b`` in one of its
-    columns, and every cell is a join key of its own with at most that many rows of each side.  ``b`` is counted first, so it should be the
-    one that is cheaper to read.
+    columns, and every cell is a join key of its own with about that many rows of each side.  Rows are dealt by their hash, so that a task that
+    is run again deals them alike; repeated rows share a cell.  ``b`` is counted first, so it should be the one that is cheaper to read.
     """
 
     def wide(df: DataFrame, name: str) -> DataFrame:
@@ -49,7 +49,8 @@ def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY)
     one = F.lit(1)
 
     def dealt(df: DataFrame, own: str, other: str, mine: str, all_: str) -> DataFrame:
-        df = df.join(heavy, on, "left").withColumn(mine, F.pmod(F.monotonically_increasing_id(), F.coalesce(own, one)).cast("int"))
+        row = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+        df = df.join(heavy, on, "left").withColumn(mine, F.pmod(row, F.coalesce(own, one)).cast("int"))
         return df.withColumn(all_, F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1))).drop("rows_", "columns_")
 
     return dealt(a, "rows_", "columns_", "x_", "y_").join(dealt(b, "columns_", "rows_", "y_", "x_"), [*on, "x_", "y_"]).drop("x_", "y_")
@@ -113,25 +114,37 @@ def shared_within(members: DataFrame) -> DataFrame:
 def similar_coverage(profiles: DataFrame, low: float = 10, most: float = 100) -> DataFrame:
     """D-6: pairs (bin1 < bin2) of profiles (bin_id, sample_idx, depth) that agree in every sample that both have.
 
-    Agreement is either depth at ``low`` or below, or a difference of ``most`` per cent of the mean (below 200).  Depths that agree
-    lie in the same or neighbouring bands of a log grid, so pairs are those that meet by band in the deepest sample; a
-    depth at ``low`` meets all bands.  A profile, one number a sample, then decides.
+    Agreement is either depth at ``low`` or below, or a difference of ``most`` per cent of the mean (below 200).  Samples without a depth
+    count as missing; profiles without a sample in common make no pair.
+
+    Depths above ``low`` that agree lie in the same or neighbouring bands of a log grid, so profiles that are both above ``low`` somewhere meet by
+    band in the first such sample.  Where two are nowhere both above ``low`` they agree whatever their depths are: that is found once for each two
+    sets of samples, held and above ``low``, and every two profiles of such sets are a result.  No pair is met twice.
     """
-    deepest = profiles.groupBy("sample_idx").agg(F.avg("depth").alias("d")).orderBy(F.desc("d"), "sample_idx").first()
-    one = profiles.groupBy("bin_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_idx", "depth"))).alias("m"))
-    d0 = F.try_element_at("m", F.lit(deepest["sample_idx"] if deepest else 0))
+    from contigra.operators.graph import cut
+
+    one = profiles.where("depth is not null").groupBy("bin_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_idx", "depth"))).alias("m"))
+    above = F.map_keys(F.map_filter("m", lambda _, d: d > low))
+    one = cut(one.select("bin_id", "m", F.array_sort(F.map_keys("m")).alias("held"), F.array_sort(above).alias("high")))
+    first = lambda c, d: F.try_element_at(F.array_intersect(c, d), F.lit(1))  # noqa: E731  (both are sorted)
+
     width = math.log((200 + most) / (200 - most)) * (1 + 1e-9)
-    one = one.withColumn("band", F.when(d0 > low, F.floor(F.log(d0) / width)))
-    seen = one.agg(F.min("band"), F.max("band")).first()
-    everywhere = F.sequence(F.lit(seen[0]).cast("long"), F.lit(seen[1]).cast("long")) if seen[0] is not None else F.array().cast("array<long>")
-    none = F.lit(-(1 << 40)).cast("long")
-    near = F.when(F.col("band").isNotNull(), F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1, none)).otherwise(F.array_append(everywhere, none))
-    a = one.select(F.col("bin_id").alias("bin1"), F.col("m").alias("m1"), F.explode(near).alias("band"))
-    b = one.select(F.col("bin_id").alias("bin2"), F.col("m").alias("m2"), F.coalesce("band", none).alias("band"))
-    x, y = lambda s: F.try_element_at("m1", s), lambda s: F.try_element_at("m2", s)
-    both = F.array_intersect(F.map_keys("m1"), F.map_keys("m2"))
-    ok = F.forall(both, lambda s: (x(s) <= low) | (y(s) <= low) | (pct_avg(x(s), y(s)) <= most))
-    return a.join(b, "band").where("bin1 < bin2").where((F.size(both) > 0) & ok).select("bin1", "bin2")
+    at = one.select("bin_id", "m", "high", F.explode("high").alias("s")).withColumn("band", F.floor(F.log(F.try_element_at("m", "s")) / width))
+    a = at.select(F.col("bin_id").alias("bin1"), F.col("m").alias("m1"), F.col("high").alias("high1"), "s", "band")
+    near = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))
+    b = at.select(F.col("bin_id").alias("bin2"), F.col("m").alias("m2"), F.col("high").alias("high2"), "s", near.alias("band"))
+    agree = F.forall(F.array_intersect("high1", "high2"), lambda s: pct_avg(F.try_element_at("m1", s), F.try_element_at("m2", s)) <= most)
+    met = join_grid(a, b, ["s", "band"]).where("bin1 < bin2").where((first("high1", "high2") == F.col("s")) & agree).select("bin1", "bin2")
+
+    kinds = cut(one.select("held", "high").distinct())
+    sample = kinds.select("held", "high", F.explode("held").alias("s")).withColumn("low_", ~F.array_contains("high", F.col("s")))
+    x, y = (sample.select(F.col("held").alias(f"held{i}"), F.col("high").alias(f"high{i}"), "s", F.col("low_").alias(f"low{i}")) for i in (1, 2))
+    free = (F.size(F.array_intersect("high1", "high2")) == 0) & (first("held1", "held2") == F.col("s"))
+    kinds2 = join_grid(x, y, ["s"]).where("low1 or low2").where(free).select("held1", "high1", "held2", "high2")
+    own = one.select(F.col("bin_id").alias("bin1"), F.col("held").alias("held1"), F.col("high").alias("high1"))
+    other = one.select(F.col("bin_id").alias("bin2"), F.col("held").alias("held2"), F.col("high").alias("high2"))
+    apart = join_grid(own.join(cut(kinds2), ["held1", "high1"]), other, ["held2", "high2"]).where("bin1 < bin2").select("bin1", "bin2")
+    return met.union(apart)
 
 
 def similar_gc(pairs: DataFrame, gc: DataFrame, most: float = 5) -> DataFrame:
@@ -169,7 +182,8 @@ def neighbours(members: DataFrame, edges: DataFrame) -> DataFrame:
 def read_neighbours(members: DataFrame, reads: DataFrame) -> DataFrame:
     """D-12: (bin_id, contig_id, support) of reads (read_id, contig_id) that reach a bin and a contig outside it."""
     own = reads.join(members.select("bin_id", "contig_id"), "contig_id").groupBy("bin_id", "read_id").agg(F.count(F.lit(1)).alias("w"))
-    far = join_grid(own, reads.select("read_id", "contig_id"), ["read_id"]).groupBy("bin_id", "contig_id").agg(F.sum("w").alias("support"))
+    hits = reads.groupBy("read_id", "contig_id").agg(F.count(F.lit(1)).alias("times"))  # repeated rows would share a cell
+    far = join_grid(own, hits, ["read_id"]).groupBy("bin_id", "contig_id").agg(F.sum(F.col("w") * F.col("times")).alias("support"))
     return far.join(members.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")
 
 

@@ -149,9 +149,46 @@ def test_one_read_of_many_contigs_is_a_grid(spark):
     assert both.count() == reads.where("contig_id < 3000").join(reads.where("contig_id < 2000").withColumnRenamed("contig_id", "other"), "read_id").count()
     m = spark.createDataFrame([("b", 0), ("b", 1), ("c", 2)], "bin_id string, contig_id long")
     support = D.read_neighbours(m, reads)
+    twice = D.read_neighbours(m, reads.union(reads.where("contig_id = 7"))).where("bin_id = 'b'")
+    assert support.where("bin_id = 'b' and contig_id = 7").first()["support"] * 2 == twice.where("contig_id = 7").first()["support"]
     assert support.where("bin_id = 'b'").count() == n - 2 and support.where("bin_id = 'b' and contig_id > 300").agg(F.max("support"), F.min("support")).first() == (2, 2)
 
 
+def similar_by_loops(profiles, low, most):
+    have = {}
+    for b, s, d in profiles:
+        have.setdefault(b, {})
+        if d is not None:
+            have[b][s] = d
+    out = []
+    for b, c in itertools.combinations(sorted(have), 2):
+        both = have[b].keys() & have[c].keys()
+        if both and all(min(x, y) <= low or 200 * abs(x - y) / (x + y) <= most for x, y in ((have[b][s], have[c][s]) for s in both)):
+            out.append((b, c))
+    return out
+
+
+@pytest.mark.parametrize("low_share, most", [(0.0, 20), (0.3, 100), (0.7, 5), (1.0, 100)])
+def test_similar_coverage_by_loops(spark, low_share, most):
+    rng = random.Random(int(low_share * 10))
+    depth = lambda: rng.choice([0.0, 3.0, 10.0]) if rng.random() < low_share else rng.choice([10.5, 11.0, 12.0, 30.0, 31.5, 33.0, 90.0, 1e6])
+    profiles = [(f"b{i:02d}", s, rng.choice([None, x := depth(), x, x, x])) for i in range(70) for s in range(4) if rng.random() < 0.7]
+    df = spark.createDataFrame(profiles, "bin_id string, sample_idx int, depth double").repartition(3)
+    want = similar_by_loops(profiles, 10, most)
+    assert rows(D.similar_coverage(df, 10, most)) == want and (want or most == 5)
+    assert D.similar_coverage(df.where("false")).count() == 0
+
+
+def test_similar_coverage_of_a_crowded_band(spark):
+    """2,000 profiles of one band and 300 that are low wherever those are not: the band is a grid, and low profiles meet no one but by their samples."""
+    n, m = 2000, 300
+    one = spark.range(n).selectExpr("concat('a', id) as bin_id", "1 as sample_idx", "100.0 + id % 2 * 400 as depth")
+    two = spark.range(m).selectExpr("concat('l', id) as bin_id", "explode(array(1, 2)) as sample_idx").withColumn("depth", F.when(F.col("sample_idx") == 1, 5.0).otherwise(50.0))
+    got = D.similar_coverage(one.union(two), 10, 100).groupBy(F.substring("bin1", 1, 1).alias("x"), F.substring("bin2", 1, 1).alias("y")).agg(F.count("*"), F.count_distinct("bin1", "bin2"))
+    half, low = 2 * (n // 2) * (n // 2 - 1) // 2, m * (m - 1) // 2
+    assert rows(got) == [("a", "a", half, half), ("a", "l", n * m, n * m), ("l", "l", low, low)]
+
+
 def test_overlapping_intervals(spark):
     rng = random.Random(2)
     make = lambda n, top: [(i, rng.choice([0, 0, 1, None]), lo := rng.choice([rng.randrange(-600, 600), 64, 127, 128, 256]), lo + rng.choice([0, 1, 63, 64, 127, top, -1])) for i in range(n)]
