@@ -143,3 +143,13 @@ def k05_scaled(t: Tables) -> DataFrame:
     depths = F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"), (F.col("p_partkey") % 7).cast("double"))
     c = t.part.select(F.col("p_brand").alias("bin_id"), F.col("p_partkey").alias("contig_id"), depths.alias("depths"), F.array(F.col("p_size") / 50).alias("kmers"))
     return K.scaled_features(c, 3).select("contig_id", F.posexplode("vector").alias("place", "value")).withColumn("value", F.round("value", 3) + 0.0)
+
+
+@query("k05_components")
+def k05_components(t: Tables) -> DataFrame:
+    """K-5 of more than five samples: quantities of a part by line number are its depths in seven samples, scaled by brand and replaced by three
+    components over all parts; no SQL (principal axes): tests hold it against numpy."""
+    sold = t.lineitem.groupBy(F.col("l_partkey").alias("contig_id")).agg(*[F.sum(F.when(F.col("l_linenumber") == i, F.col("l_quantity")).otherwise(0)).cast("double").alias(f"d{i}") for i in range(1, 8)])
+    parts = t.part.select(F.col("p_brand").alias("bin_id"), F.col("p_partkey").alias("contig_id"), F.array(F.col("p_size") / 50).alias("kmers"))
+    c = parts.join(sold, "contig_id").select("bin_id", "contig_id", F.array(*[f"d{i}" for i in range(1, 8)]).alias("depths"), "kmers")
+    return K.scaled_features(c, 7).select("contig_id", F.posexplode("vector").alias("place", "value")).withColumn("value", F.round("value", 6) + 0.0)

@@ -410,3 +410,30 @@ def test_scaled_features_with_components(spark):
     axes = axes * np.sign(axes[np.arange(3), np.abs(axes).argmax(1)])[:, None]
     want = np.hstack([x @ axes.T, scaled[:, 7:]])
     assert np.allclose(np.array([got[i] for i in range(80)]), want, atol=1e-9)
+
+
+def test_components_of_all_parts(spark):
+    """The query of seven samples: scaled by brand, three components over all parts, the rest as it is."""
+    from contigra.queries import QUERIES
+    from contigra import sequence_queries  # noqa: F401  (it adds the query)
+    from contigra.operators import ml as K
+
+    q = duckdb.sql(f"""SELECT p_brand, p_partkey, p_size, list_transform(range(1, 8), lambda i: q[i]) FROM (SELECT l_partkey, [{', '.join(f'sum(CASE WHEN l_linenumber = {i} THEN CAST(l_quantity AS DOUBLE) ELSE 0 END)' for i in range(1, 8))}] AS q
+        FROM '{SF}/lineitem.parquet' GROUP BY 1) JOIN '{SF}/part.parquet' ON l_partkey = p_partkey""").fetchall()
+    brand, ids, size, depths = ([r[i] for r in q] for i in range(4))
+    raw = spark.createDataFrame([(int(i), [float(v) for v in d], [s / 50]) for i, d, s in zip(ids, depths, size, strict=True)], "contig_id long, depths array<double>, kmers array<double>")
+    plain = {r["contig_id"]: np.array(r["vector"]) for r in K.features(raw, 5, 7).collect()}
+    x = np.array([plain[i] for i in ids])
+    for b in set(brand):
+        own = np.array([v == b for v in brand])
+        away = np.abs(x[own] - x[own].mean(0))
+        x[own] = away / (away.max(0) + 1e-8)
+    low = x[:, :7] - x[:, :7].mean(0)
+    axes = np.linalg.svd(low)[2][:3]
+    axes = axes * np.sign(axes[np.arange(3), np.abs(axes).argmax(1)])[:, None]
+    want = np.hstack([low @ axes.T, x[:, 7:]])
+    got: dict = {}
+    for r in QUERIES["k05_components"](spark, SF).collect():
+        got.setdefault(r["contig_id"], {})[r["place"]] = r["value"]
+    assert got.keys() == set(ids)
+    assert np.allclose([[got[i][p] for p in range(want.shape[1])] for i in ids], want, atol=2e-6)
