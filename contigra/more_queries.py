@@ -121,7 +121,7 @@ def i06(t: Tables) -> DataFrame:
     tail = F.substring("text", F.col("n") + 1, F.col("m"))
     contigs = d.select(F.col("q").alias("contig_id"), F.substring("text", F.lit(1), 2 * F.col("n")).alias("seq")).union(d.select("s", F.when(F.col("back"), S.reverse_complement(tail)).otherwise(tail)))
     rest = F.col("m") - F.col("n")
-    hits = d.select(F.col("q").alias("query"), F.col("s").alias("subject"), (F.col("n") + 1).alias("qstart"), (2 * F.col("n")).alias("qend"), F.when(F.col("back"), rest).otherwise(1).alias("sstart"), F.when(F.col("back"), rest - F.col("n") + 1).otherwise(F.col("n")).alias("send"))
+    hits = d.select(F.col("q").alias("query"), F.col("s").alias("subject"), (F.col("n") + 1).alias("qstart"), (2 * F.col("n")).alias("qend"), F.when(F.col("back"), rest).otherwise(1).alias("sstart"), F.when(F.col("back"), rest - F.col("n") + 1).otherwise(F.col("n")).alias("send"), F.when(F.col("back"), "-").otherwise("+").alias("strand"))
     return I.merge_overlaps(hits, contigs).select("contig_id", F.md5(F.col("seq").cast("binary")).alias("digest"))
 
 

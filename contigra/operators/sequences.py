@@ -12,11 +12,13 @@ def merge_overlaps(hits: DataFrame, contigs: DataFrame) -> DataFrame:
     """I-6: (id ``q--s``, seq) of hits (query, subject, qstart, qend, sstart, send) that touch both ends.
 
     The subject is turned over if the hit is reversed; then one contains the other, or the end of one runs into the start of the other.
+    Positions don't tell which way a hit of one base lies: hits may have a ``strand``, ``-`` where reversed; where that is null or missing, positions tell.
     """
     c = contigs.select("contig_id", "seq")
     j = hits.join(c.toDF("query", "q"), "query").join(c.toDF("subject", "s0"), "subject")
     n, m = F.length("q"), F.length("s0")
     back = F.col("sstart") > F.col("send")
+    back = F.coalesce(F.col("strand") == "-", back) if "strand" in hits.columns else back
     j = j.withColumns({"s": F.when(back, reverse_complement("s0")).otherwise(F.col("s0")), "a": F.when(back, m - F.col("sstart") + 1).otherwise(F.col("sstart")), "b": F.when(back, m - F.col("send") + 1).otherwise(F.col("send"))})
     merged = (
         F.when((F.col("a") == 1) & (F.col("b") == m), F.col("q"))
