@@ -192,7 +192,7 @@ def b03(t: Tables) -> DataFrame:
     from contigra.operators.joins import bin_connections
 
     path = folder(t, "tsv")
-    B.write_tsv(bin_connections(t.edges(), t.brands()), path)
+    B.write_tsv(bin_connections(t.edges(), t.brands(), n=t.tasks), path)
     return t.spark.read.csv(path, sep="\t", header=True, schema="bin1 string, bin2 string, connections long")
 
 

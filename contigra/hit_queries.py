@@ -149,12 +149,12 @@ def d05(t: Tables) -> DataFrame:
 @hit_query("d07_similar_gc", "SELECT e.bin1, e.bin2 FROM bin_edges e JOIN (SELECT p_brand AS b, round(avg(p_size), 4) AS gc FROM part GROUP BY 1) g ON e.bin1 = g.b JOIN (SELECT p_brand AS b, round(avg(p_size), 4) AS gc FROM part GROUP BY 1) h ON e.bin2 = h.b WHERE g.gc <> 0 AND 100 * abs(h.gc - g.gc) / g.gc <= 3")
 def d07(t: Tables) -> DataFrame:
     gc = t.part.groupBy(F.col("p_brand").alias("bin_id")).agg(F.round(F.avg("p_size"), 4).alias("gc"))
-    return D.similar_gc(D.bin_connections(t.edges(), t.brands()).select("bin1", "bin2"), gc, 3).select("bin1", "bin2")
+    return D.similar_gc(D.bin_connections(t.edges(), t.brands(), n=t.tasks).select("bin1", "bin2"), gc, 3).select("bin1", "bin2")
 
 
 @hit_query("d08_hit_bins", "SELECT bin1, bin2, aligned FROM bin_hits")
 def d08(t: Tables) -> DataFrame:
-    return D.hit_bins(alignments(t), t.brands()).withColumn("aligned", F.round("aligned", 2))
+    return D.hit_bins(alignments(t), t.brands(), t.tasks).withColumn("aligned", F.round("aligned", 2))
 
 
 @hit_query("d09_members_of", "SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -191,7 +191,7 @@ def e04(t: Tables) -> DataFrame:
 
 @hit_query("e05_symmetric", "SELECT bin1, bin2, CAST(sum(connections) AS BIGINT) AS connections FROM (SELECT bin1, bin2, connections FROM bin_edges UNION ALL SELECT bin2, bin1, connections FROM bin_edges) GROUP BY 1, 2")
 def e05(t: Tables) -> DataFrame:
-    return A.symmetric(D.bin_connections(t.edges(), t.brands()))
+    return A.symmetric(D.bin_connections(t.edges(), t.brands(), n=t.tasks))
 
 
 @hit_query("e13_aligned_bases", "SELECT query, subject, CAST(sum(floor(length * identity / 100)) AS BIGINT) AS aligned FROM aln GROUP BY 1, 2")
@@ -295,7 +295,7 @@ def i10(t: Tables) -> DataFrame:
 
 @hit_query("j01_one_hop", "SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT bin_id, contig_id, 1 FROM near")
 def j01(t: Tables) -> DataFrame:
-    return J.reach(t.brands(), t.edges(), 1)
+    return J.reach(t.brands(), t.edges(), 1, t.tasks)
 
 
 def rivals(t: Tables) -> DataFrame:
@@ -412,7 +412,7 @@ def j12(t: Tables) -> DataFrame:
 
 @hit_query("k04_neighbour_outliers", "SELECT bin_id, contig_id, sample_idx, depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1) AS outlier FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx)")
 def k04(t: Tables) -> DataFrame:
-    near = D.neighbours(t.brands(), t.edges()).join(t.depth(), "contig_id")
+    near = D.neighbours(t.brands(), t.edges(), t.tasks).join(t.depth(), "contig_id")
     return K.outside(t.bin_depths(), near, 1.5, "depth", ["bin_id", "sample_idx"]).select("bin_id", "contig_id", "sample_idx", "outlier")
 
 

@@ -187,7 +187,7 @@ def j09(t: Tables) -> DataFrame:
 
 @query("j10_retrieval", ", strong AS (SELECT node1, node2 FROM both_e WHERE connections >= 2), found AS (SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN strong e ON b.contig_id = e.node1 UNION ALL SELECT b.bin_id, f.node2, 2 FROM brands b JOIN strong e ON b.contig_id = e.node1 JOIN strong f ON e.node2 = f.node1) GROUP BY 1, 2) SELECT bin_id, contig_id, level, cutoff FROM found JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) CROSS JOIN (SELECT unnest([1.0::DOUBLE, 1.2, 1.5]) AS cutoff) WHERE level > 0 GROUP BY 1, 2, 3, 4 HAVING bool_and(depth >= q1 - cutoff * (q3 - q1) AND depth <= q3 + cutoff * (q3 - q1))")
 def j10(t: Tables) -> DataFrame:
-    return J.retrieval(t.brands(), t.edges().where("connections >= 2"), t.depth(), 2)
+    return J.retrieval(t.brands(), t.edges().where("connections >= 2"), t.depth(), 2, n=t.tasks)
 
 
 @query("j11_roadmap", "SELECT read_id, row_number() OVER (PARTITION BY read_id ORDER BY start, contig_id, strand) - 1 AS place, contig_id, strand FROM (SELECT *, count(*) OVER (PARTITION BY read_id) AS k FROM (SELECT l_orderkey AS read_id, l_partkey AS contig_id, l_linenumber AS start, CASE l_linestatus WHEN 'F' THEN '+' ELSE '-' END AS strand, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_extendedprice DESC, l_linenumber) AS r FROM lineitem) WHERE r = 1) WHERE k >= 2")
@@ -214,7 +214,7 @@ def k01(t: Tables) -> DataFrame:
 
 @query("k02_candidate_outliers", _PROFILES + _AXES + f", by_depth AS (SELECT bin_id, contig_id, bool_or(depth < q1 - 1.5 * (q3 - q1) OR depth > q3 + 1.5 * (q3 - q1)) AS d FROM near JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) GROUP BY 1, 2), tried AS (SELECT g, n.contig_id, (x - mx) * vx + (y - my) * vy AS pc FROM near n JOIN profiles ON n.contig_id = id JOIN axes ON g = n.bin_id) SELECT bin_id, contig_id, d AS by_depth, {_OUT} AS by_profile, d OR {_OUT} AS outlier FROM by_depth JOIN (SELECT g AS bin_id, contig_id, pc FROM tried) USING (bin_id, contig_id) JOIN pc_fence ON g = bin_id")
 def k02(t: Tables) -> DataFrame:
-    return K.coverage_outliers(t.brands(), D.neighbours(t.brands(), t.edges()), t.depth(), 3)
+    return K.coverage_outliers(t.brands(), D.neighbours(t.brands(), t.edges(), t.tasks), t.depth(), 3)
 
 
 @query("k03_vector_outliers", ", points AS (SELECT label AS g, vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)" + _AXES + f" SELECT g AS bin_id, id AS contig_id, {_OUT} AS outlier FROM (SELECT a.g, p.id, (x - mx) * vx + (y - my) * vy AS pc FROM points p JOIN axes a ON p.g <> a.g) JOIN pc_fence USING (g)")

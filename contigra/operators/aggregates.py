@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import any_of, covrange, dcovrange, pct_avg, pct_ref, pct_sum
-from contigra.operators.joins import join_heavy
+from contigra.operators.joins import join_heavy, over
 
 
 def edge_sums(edges: DataFrame) -> DataFrame:
@@ -14,9 +14,9 @@ def edge_sums(edges: DataFrame) -> DataFrame:
     return edges.groupBy("node1", "node2").agg(F.sum("connections").alias("connections"))
 
 
-def condensed_edges(ends: DataFrame, least: int = 2) -> DataFrame:
-    """E-2: end edges (ids ending in s or e) of ``least`` and more, as unordered contig edges."""
-    strong = edge_sums(ends).where(F.col("connections") >= least)
+def condensed_edges(ends: DataFrame, least: int = 2, n: int | None = None) -> DataFrame:
+    """E-2: end edges (ids ending in s or e) of ``least`` and more, as unordered contig edges; ``n``: tasks that end edges are dealt over."""
+    strong = edge_sums(over(ends, n, "node1", "node2")).where(F.col("connections") >= least)
     a, b = (F.regexp_replace(c, "[se]$", "") for c in ("node1", "node2"))
     return strong.select(F.least(a, b).alias("node1"), F.greatest(a, b).alias("node2"), "connections").groupBy("node1", "node2").agg(F.sum("connections").alias("connections"))
 

@@ -10,10 +10,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contigra.operators.joins import join_heavy
+from contigra.operators.joins import join_heavy, over
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,18 +52,42 @@ def drop(*frames: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def reach(members: DataFrame, edges: DataFrame, hops: int = 1) -> DataFrame:
-    """J-1, J-2 and J-3: (bin_id, contig_id, level) within ``hops`` steps of a bin's contigs; level 0 are its own."""
-    both = edges.select(F.col("node1").alias("x"), F.col("node2").alias("y")).union(edges.select("node2", "node1")).distinct()
-    seen = members.select("bin_id", "contig_id", F.lit(0).alias("level")).distinct()
-    front = seen
+def reach(members: DataFrame, edges: DataFrame, hops: int = 1, n: int | None = None) -> DataFrame:
+    """J-1, J-2 and J-3: (bin_id, contig_id, level) within ``hops`` steps of a bin's contigs; level 0 are its own; ``n``: see ``tasks``.
+
+    Bins are numbered, and a contig has one row for 64 of them: a bit each.  An edge so carries all bins of a contig at once, and a step costs
+    the edges, not the edges times the bins.  Contigs that all bins have reached take no more part.
+    """
+    from contigra.operators.windows import numbered
+
+    n = n and 2 * n  # every edge is there in both directions
+    at = F.col("n_") - 1
+    bins = cut(numbered(members.select("bin_id").distinct(), [F.asc("bin_id")], "n_").select("bin_id", F.floor(at / 64).alias("block"), (at % 64).cast("int").alias("bit")))
+    names = cut(bins.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bit", "bin_id"))).alias("names")))
+    total = bins.count()
+    same = members["bin_id"].eqNullSafe(bins["bin_id"])
+    own = members.join(bins, same).groupBy("contig_id", "block").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+    fronts = [cut(own.withColumn("level", F.lit(0)))]
+    drop(bins)
+    pairs = cut(edges.select("node1", "node2"))
+    seen, front = fronts[0].drop("level"), fronts[0]
     for level in range(1, hops + 1):
-        new = front.join(both, front["contig_id"] == both["x"]).select("bin_id", F.col("y").alias("contig_id"), F.lit(level).alias("level")).distinct()
-        front = cut(new.join(seen.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")) if hops > 1 else new.join(seen.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")
-        seen = seen.union(front)
-        if hops > 1 and front.isEmpty():
+        both = pairs.select(F.col("node1").alias("x"), F.col("node2").alias("y")).union(pairs.select("node2", "node1"))
+        if level > 1:
+            full = seen.groupBy(F.col("contig_id").alias("y")).agg(F.sum(F.bit_count("mask")).alias("k")).where(F.col("k") == total)
+            both = over(both, n, "y").join(full.select("y"), "y", "left_anti").select("x", "y")
+        told = over(both, n, "x").join(front, both["x"] == front["contig_id"]).select(F.col("y").alias("contig_id"), "block", "mask", F.lit(0).cast("long").alias("old"))
+        all_ = told.union(seen.select("contig_id", "block", F.lit(0).cast("long"), "mask"))
+        new = over(all_, n, "contig_id", "block").groupBy("contig_id", "block").agg(F.bit_or("mask").alias("mask"), F.bit_or("old").alias("old"))
+        new = new.select("contig_id", "block", F.col("mask").bitwiseAND(F.bitwise_not("old")).alias("mask"), F.lit(level).alias("level"))
+        fronts.append(cut(new.where("mask <> 0")))
+        front = fronts[-1]
+        seen = seen.union(front.drop("level"))
+        if level < hops and front.isEmpty():
             break
-    return seen
+    drop(pairs)
+    held = over(reduce(DataFrame.union, fronts), n, "contig_id").join(names, "block")
+    return held.select("contig_id", "level", F.explode(F.filter("names", lambda b: F.getbit(F.col("mask"), b["bit"]) == 1)).alias("b")).select("b.bin_id", "contig_id", "level")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -240,16 +264,21 @@ def single_paths(hits: DataFrame) -> DataFrame:
             return hits
 
 
-def retrieval(members: DataFrame, edges: DataFrame, depths: DataFrame, levels: int = 3, cutoffs: tuple[float, ...] = (1.0, 1.2, 1.5)) -> DataFrame:
+def retrieval(members: DataFrame, edges: DataFrame, depths: DataFrame, levels: int = 3, cutoffs: tuple[float, ...] = (1.0, 1.2, 1.5), n: int | None = None) -> DataFrame:
     """J-10: (bin_id, contig_id, level, cutoff): contigs first reached at each level whose depth is in the bin's fence in every sample.
 
-    depths: contig_id, sample_idx, depth.  The fence of a bin and sample is that of its own contigs, ``cutoff`` quartile ranges wide.
+    depths: contig_id, sample_idx, depth.  The fence of a bin and sample is that of its own contigs, ``cutoff`` quartile ranges wide.  What is
+    reached lies by contig (``n``: see ``tasks``), where its depths and then all cutoffs are met without another shuffle.
     """
     from contigra.operators.aggregates import quartiles
 
-    near = reach(members, edges, levels).where("level > 0")
-    q = quartiles(members.select("bin_id", "contig_id").join(depths, "contig_id"), ["bin_id", "sample_idx"], "depth")
-    tried = near.join(depths, "contig_id").join(q, ["bin_id", "sample_idx"]).withColumn("cutoff", F.explode(F.array(*map(F.lit, cutoffs))))
-    wide = F.col("cutoff") * (F.col("q3") - F.col("q1"))
-    inside = (F.col("depth") >= F.col("q1") - wide) & (F.col("depth") <= F.col("q3") + wide)
-    return tried.groupBy("bin_id", "contig_id", "level", "cutoff").agg(F.bool_and(inside).alias("ok")).where("ok").drop("ok")
+    near = reach(members, edges, levels, n).where("level > 0")
+    q = cut(quartiles(members.select("bin_id", "contig_id").join(depths, "contig_id"), ["bin_id", "sample_idx"], "depth"))
+    tried = near.join(depths, "contig_id").join(q, ["bin_id", "sample_idx"])
+
+    def inside(cutoff: float) -> Column:
+        wide = cutoff * (F.col("q3") - F.col("q1"))
+        return F.bool_and((F.col("depth") >= F.col("q1") - wide) & (F.col("depth") <= F.col("q3") + wide))
+
+    held = tried.groupBy("bin_id", "contig_id", "level").agg(F.array(*[F.when(inside(c), F.lit(c)) for c in cutoffs]).alias("c"))
+    return held.select("bin_id", "contig_id", "level", F.explode(F.array_compact("c")).alias("cutoff"))

@@ -4,13 +4,29 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contigra.functions.scalar import kmers, pct_avg
 
 
 HEAVY = 10_000
+#: Rows of the input, before they meet, that one task of a large shuffle has.
+EACH = 250_000
+
+
+def tasks(spark: SparkSession, rows: int) -> int | None:
+    """Over how many tasks shuffles of what ``rows`` rows of input become are dealt; None: Spark's own number is enough.
+
+    Spark merges small partitions but splits none, so with its fixed number a task's sorts and hash tables grow with the input.
+    """
+    n = math.ceil(rows / EACH)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def over(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over ``n`` tasks; joins and groups by these keys follow without a shuffle of their own."""
+    return df.repartition(n, *keys) if n else df
 
 
 def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
@@ -26,7 +42,7 @@ def join_heavy(rows: DataFrame, table: DataFrame, on: list[str], weight: str, to
     return first.where("heavy_").select(*light.columns).unionByName(light)
 
 
-def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY) -> DataFrame:
+def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY, n: int | None = None) -> DataFrame:
     """Inner join of many with many in which no key is one task's work.
 
     A key that only ``a`` has often is split by the adaptive skew join, since each of its rows meets few.  Keys that ``b`` has more than
@@ -34,6 +50,7 @@ def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY)
     than two numbers, are broadcast.  Such a key is a grid: each row of ``a`` is in one of its rows of cells, each row of ``b`` in one of its
     columns, and every cell is a join key of its own with about that many rows of each side.  Rows are dealt by their hash, so that a task that
     is run again deals them alike; repeated rows share a cell.  ``b`` is counted first, so it should be the one that is cheaper to read.
+    Cells are dealt over ``n`` tasks; without a grid, rows stay as the caller dealt them.
     """
 
     def wide(df: DataFrame, name: str) -> DataFrame:
@@ -53,7 +70,8 @@ def join_grid(a: DataFrame, b: DataFrame, on: list[str], how_many: int = HEAVY)
         df = df.join(heavy, on, "left").withColumn(mine, F.pmod(row, F.coalesce(own, one)).cast("int"))
         return df.withColumn(all_, F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1))).drop("rows_", "columns_")
 
-    return dealt(a, "rows_", "columns_", "x_", "y_").join(dealt(b, "columns_", "rows_", "y_", "x_"), [*on, "x_", "y_"]).drop("x_", "y_")
+    cells = over(dealt(a, "rows_", "columns_", "x_", "y_"), n, *on, "x_", "y_")
+    return cells.join(dealt(b, "columns_", "rows_", "y_", "x_"), [*on, "x_", "y_"]).drop("x_", "y_")
 
 
 def overlapping(a: DataFrame, b: DataFrame, on: list[str], ends_a: tuple[str, str], ends_b: tuple[str, str]) -> DataFrame:
@@ -90,12 +108,13 @@ def contig_bins(contigs: DataFrame, members: DataFrame) -> DataFrame:
     return contigs.join(members.select("contig_id", "bin_id").distinct(), "contig_id")
 
 
-def bin_connections(edges: DataFrame, members: DataFrame, one_bin: bool = False) -> DataFrame:
-    """D-3: (bin1, bin2, connections) of edges whose ends lie in different bins; ``one_bin``: a contig is in its last bin only."""
+def bin_connections(edges: DataFrame, members: DataFrame, one_bin: bool = False, n: int | None = None) -> DataFrame:
+    """D-3: (bin1, bin2, connections) of edges whose ends lie in different bins; ``one_bin``: a contig is in its last bin only; ``n``: see ``tasks``."""
     m = members.groupBy("contig_id").agg(F.max("bin_id").alias("bin_id")) if one_bin else members.select("contig_id", "bin_id").distinct()
     one = m.select(F.col("contig_id").alias("node1"), F.col("bin_id").alias("bin1"))
     two = m.select(F.col("contig_id").alias("node2"), F.col("bin_id").alias("bin2"))
-    both = join_grid(join_grid(edges.groupBy("node1", "node2").agg(F.sum("connections").alias("connections")), one, ["node1"]), two, ["node2"])
+    e = edges.groupBy("node1", "node2").agg(F.sum("connections").alias("connections"))
+    both = join_grid(over(join_grid(over(e, n, "node1"), one, ["node1"], n=n), n, "node2"), two, ["node2"], n=n)
     return both.where("bin1 <> bin2").groupBy("bin1", "bin2").agg(F.sum("connections").alias("connections"))
 
 
@@ -154,12 +173,14 @@ def similar_gc(pairs: DataFrame, gc: DataFrame, most: float = 5) -> DataFrame:
     return j.where(F.try_divide(100 * F.abs(F.col("gc2") - F.col("gc1")), F.col("gc1")) <= most)
 
 
-def hit_bins(hits: DataFrame, members: DataFrame) -> DataFrame:
-    """D-8: (bin1 < bin2, aligned) of hits pre-aggregated by contig pair, each hit once a pair of bins."""
-    pairs = hits.withColumn("aligned", F.col("length") * F.col("identity") / 100).groupBy("query", "subject").agg(F.sum("aligned").alias("aligned"))
+def hit_bins(hits: DataFrame, members: DataFrame, n: int | None = None) -> DataFrame:
+    """D-8: (bin1 < bin2, aligned) of hits pre-aggregated by contig pair, each hit once a pair of bins; ``n``: see ``tasks``."""
+    aligned = hits.select("query", "subject", (F.col("length") * F.col("identity") / 100).alias("aligned"))
+    pairs = over(aligned, n, "query", "subject").groupBy("query", "subject").agg(F.sum("aligned").alias("aligned"))
     m = members.select("contig_id", "bin_id").distinct()
-    j = pairs.join(m.toDF("query", "x"), "query").join(m.toDF("subject", "y"), "subject").where("x <> y")
-    return j.select("query", "subject", "aligned", F.least("x", "y").alias("bin1"), F.greatest("x", "y").alias("bin2")).dropDuplicates(["query", "subject", "bin1", "bin2"]).groupBy("bin1", "bin2").agg(F.sum("aligned").alias("aligned"))
+    j = over(over(pairs, n, "query").join(m.toDF("query", "x"), "query"), n, "subject").join(m.toDF("subject", "y"), "subject").where("x <> y")
+    sides = j.select("query", "subject", "aligned", F.least("x", "y").alias("bin1"), F.greatest("x", "y").alias("bin2"))  # still dealt by subject
+    return sides.dropDuplicates(["query", "subject", "bin1", "bin2"]).groupBy("bin1", "bin2").agg(F.sum("aligned").alias("aligned"))
 
 
 def members_of(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
@@ -172,18 +193,22 @@ def without(df: DataFrame, black: DataFrame, on: str | list[str]) -> DataFrame:
     return df.join(black, on, "left_anti")
 
 
-def neighbours(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """D-11: (bin_id, contig_id, connections): contigs next to a bin's own that are not its own."""
+def neighbours(members: DataFrame, edges: DataFrame, n: int | None = None) -> DataFrame:
+    """D-11: (bin_id, contig_id, connections): contigs next to a bin's own that are not its own; ``n``: see ``tasks``."""
+    n = n and 2 * n  # every edge is there in both directions
     both = edges.select("node1", "node2", "connections").union(edges.select("node2", "node1", "connections"))
-    near = members.select("bin_id", F.col("contig_id").alias("node1")).join(both, "node1").groupBy("bin_id", F.col("node2").alias("contig_id")).agg(F.sum("connections").alias("connections"))
+    near = over(both, n, "node1").join(members.select("bin_id", F.col("contig_id").alias("node1")), "node1").select("bin_id", F.col("node2").alias("contig_id"), "connections")
+    near = over(near, n, "bin_id", "contig_id").groupBy("bin_id", "contig_id").agg(F.sum("connections").alias("connections"))
     return near.join(members.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")
 
 
-def read_neighbours(members: DataFrame, reads: DataFrame) -> DataFrame:
-    """D-12: (bin_id, contig_id, support) of reads (read_id, contig_id) that reach a bin and a contig outside it."""
-    own = reads.join(members.select("bin_id", "contig_id"), "contig_id").groupBy("bin_id", "read_id").agg(F.count(F.lit(1)).alias("w"))
-    hits = reads.groupBy("read_id", "contig_id").agg(F.count(F.lit(1)).alias("times"))  # repeated rows would share a cell
-    far = join_grid(own, hits, ["read_id"]).groupBy("bin_id", "contig_id").agg(F.sum(F.col("w") * F.col("times")).alias("support"))
+def read_neighbours(members: DataFrame, reads: DataFrame, n: int | None = None) -> DataFrame:
+    """D-12: (bin_id, contig_id, support) of reads (read_id, contig_id) that reach a bin and a contig outside it; ``n``: see ``tasks``."""
+    reads = reads.select("read_id", "contig_id")
+    own = over(over(reads, n, "contig_id").join(members.select("bin_id", "contig_id"), "contig_id").select("bin_id", "read_id"), n, "read_id").groupBy("bin_id", "read_id").agg(F.count(F.lit(1)).alias("w"))
+    hits = over(reads, n, "read_id").groupBy("read_id", "contig_id").agg(F.count(F.lit(1)).alias("times"))  # repeated rows would share a cell
+    far = join_grid(own, hits, ["read_id"], n=n).select("bin_id", "contig_id", "w", "times")
+    far = over(far, n and 2 * n, "bin_id", "contig_id").groupBy("bin_id", "contig_id").agg(F.sum(F.col("w") * F.col("times")).alias("support"))
     return far.join(members.select("bin_id", "contig_id"), ["bin_id", "contig_id"], "left_anti")
 
 

@@ -54,6 +54,6 @@ def refine(depths: DataFrame, votes: DataFrame, models: int) -> DataFrame:
     return flagged.join(clean, ["bin_id", "contig_id"]).select("bin_id", "contig_id", (F.col("positive") & ~F.col("clean")).alias("outlier"))
 
 
-def recruit(members: DataFrame, edges: DataFrame, black: DataFrame, most: int = 20) -> DataFrame:
+def recruit(members: DataFrame, edges: DataFrame, black: DataFrame, most: int = 20, n: int | None = None) -> DataFrame:
     """(bin_id, contig_id, connections): neighbours less the black list, the best ``most`` of each bin (D-11, D-10, F-w4)."""
-    return windows.top_neighbours(joins.without(joins.neighbours(members, edges), black, ["bin_id", "contig_id"]), most)
+    return windows.top_neighbours(joins.without(joins.neighbours(members, edges, n), black, ["bin_id", "contig_id"]), most)

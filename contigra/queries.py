@@ -54,11 +54,17 @@ class Tables:
     def hits(self) -> DataFrame:
         return self.lineitem.select(F.col("l_orderkey").alias("read_id"), F.col("l_partkey").alias("contig_id"), F.col("l_extendedprice").alias("score"), F.col("l_linenumber").cast("long").alias("ordinal"))
 
+    @property
+    def tasks(self) -> int | None:
+        """Over how many tasks line items and their pairs are dealt where they are many."""
+        return D.tasks(self.spark, self.lineitem.count())
+
     def edges(self) -> DataFrame:
-        p = self.lineitem.select("l_orderkey", "l_partkey").distinct()
+        n = self.tasks
+        p = D.over(self.lineitem.select("l_orderkey", "l_partkey"), n, "l_orderkey").distinct()
         q = p.select("l_orderkey", F.col("l_partkey").alias("node2"))
-        j = p.withColumnRenamed("l_partkey", "node1").join(q, "l_orderkey").where("node1 < node2")
-        return j.groupBy("node1", "node2").agg(F.count(F.lit(1)).alias("connections"))
+        j = p.withColumnRenamed("l_partkey", "node1").join(q, "l_orderkey").where("node1 < node2").select("node1", "node2")
+        return D.over(j, n, "node1", "node2").groupBy("node1", "node2").agg(F.count(F.lit(1)).alias("connections"))
 
     def quality(self, by: str = "source") -> DataFrame:
         j = self.documents.join(self.labels, "doc_id")
@@ -111,7 +117,7 @@ def brand_quality(t: Tables) -> DataFrame:
 
 def connected_pairs(t: Tables) -> DataFrame:
     """Pairs of brands that edges connect (D-3), smaller name first."""
-    return H.unordered(D.bin_connections(t.edges(), t.brands()).select("bin1", "bin2"), "bin1", "bin2")
+    return H.unordered(D.bin_connections(t.edges(), t.brands(), n=t.tasks).select("bin1", "bin2"), "bin1", "bin2")
 
 
 def _pairs(t: Tables) -> DataFrame:
@@ -178,7 +184,7 @@ def c22(t: Tables) -> DataFrame:
 
 @query("d03_bin_connections", "SELECT x.bin_id AS bin1, y.bin_id AS bin2, CAST(sum(connections) AS BIGINT) AS connections FROM edges JOIN brands x ON node1 = x.contig_id JOIN brands y ON node2 = y.contig_id WHERE x.bin_id <> y.bin_id GROUP BY 1, 2")
 def d03(t: Tables) -> DataFrame:
-    return D.bin_connections(t.edges(), t.brands())
+    return D.bin_connections(t.edges(), t.brands(), n=t.tasks)
 
 
 @query("d04_shared_bases", "SELECT bin1, bin2, shared FROM shared")
@@ -198,12 +204,12 @@ def d10(t: Tables) -> DataFrame:
 
 @query("d11_neighbours", "SELECT bin_id, contig_id, connections FROM near")
 def d11(t: Tables) -> DataFrame:
-    return D.neighbours(t.brands(), t.edges())
+    return D.neighbours(t.brands(), t.edges(), t.tasks)
 
 
 @query("d12_read_neighbours", "SELECT o.bin_id, h.contig_id, CAST(sum(o.w) AS BIGINT) AS support FROM (SELECT bin_id, read_id, count(*) AS w FROM hits JOIN brands USING (contig_id) GROUP BY 1, 2) o JOIN hits h USING (read_id) WHERE NOT EXISTS (SELECT 1 FROM brands m WHERE m.bin_id = o.bin_id AND m.contig_id = h.contig_id) GROUP BY 1, 2")
 def d12(t: Tables) -> DataFrame:
-    return D.read_neighbours(t.brands(), t.hits())
+    return D.read_neighbours(t.brands(), t.hits(), t.tasks)
 
 
 @query("d13_paired", "SELECT bin_id, read_id, mate FROM (SELECT l_suppkey AS bin_id, l_orderkey AS read_id, (l_linenumber - 1) % 2 + 1 AS mate FROM lineitem) JOIN (SELECT l_suppkey AS bin_id, l_orderkey AS read_id FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT (l_linenumber - 1) % 2) = 2) USING (bin_id, read_id)")
@@ -230,14 +236,14 @@ def d17(t: Tables) -> DataFrame:
 @query("e02_condensed_edges", "SELECT node1, node2, connections FROM edges WHERE connections >= 2")
 def e02(t: Tables) -> DataFrame:
     e = t.edges().select(F.concat(F.col("node1").cast("string"), F.lit("s")).alias("node1"), F.concat(F.col("node2").cast("string"), F.lit("e")).alias("node2"), "connections")
-    out = A.condensed_edges(e)
+    out = A.condensed_edges(e, n=t.tasks)
     a, b = F.col("node1").cast("long"), F.col("node2").cast("long")
     return out.select(F.least(a, b).alias("node1"), F.greatest(a, b).alias("node2"), "connections")
 
 
 @query("e06_total_connections", "SELECT bin_id, CAST(coalesce(sum(connections), 0) AS BIGINT) AS total FROM (SELECT DISTINCT bin_id FROM brands) LEFT JOIN (SELECT x.bin_id AS bin_id, connections FROM both_e JOIN brands x ON node1 = x.contig_id JOIN brands y ON node2 = y.contig_id WHERE x.bin_id <> y.bin_id) USING (bin_id) GROUP BY 1")
 def e06(t: Tables) -> DataFrame:
-    return A.total_connections(t.brands(), A.symmetric(D.bin_connections(t.edges(), t.brands())))
+    return A.total_connections(t.brands(), A.symmetric(D.bin_connections(t.edges(), t.brands(), n=t.tasks)))
 
 
 @query("e07_coverage_matrix", "SELECT contig_id, round(sum(depth) / 3, 3) AS average, max(CASE WHEN sample_idx = 1 THEN depth END) AS coverage_1, max(CASE WHEN sample_idx = 2 THEN depth END) AS coverage_2, max(CASE WHEN sample_idx = 3 THEN depth END) AS coverage_3 FROM depth GROUP BY 1")
@@ -393,12 +399,12 @@ def fw3(t: Tables) -> DataFrame:
 
 @query("fw4_top_neighbours", "SELECT bin_id, contig_id, connections FROM (SELECT *, count(*) OVER (PARTITION BY bin_id) AS k, rank() OVER (PARTITION BY bin_id ORDER BY connections DESC) AS r FROM near) WHERE k <= 20 OR r <= 19")
 def fw4(t: Tables) -> DataFrame:
-    return W.top_neighbours(D.neighbours(t.brands(), t.edges()))
+    return W.top_neighbours(D.neighbours(t.brands(), t.edges(), t.tasks))
 
 
 @query("fw5_third_largest", "SELECT bin_id, contig_id, connections FROM (SELECT *, count(*) OVER (PARTITION BY bin_id) AS k, list_sort(list(connections) OVER (PARTITION BY bin_id), 'DESC')[3] AS third FROM near) WHERE k < 8 OR connections >= third")
 def fw5(t: Tables) -> DataFrame:
-    return W.third_largest(D.neighbours(t.brands(), t.edges()), "connections")
+    return W.third_largest(D.neighbours(t.brands(), t.edges(), t.tasks), "connections")
 
 
 @query("fw7_running_records", "SELECT user_id, event_id, value FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM events) WHERE value >= 1 AND (b IS NULL OR value > b)")
@@ -460,7 +466,7 @@ def i05(t: Tables) -> DataFrame:
 
 @query("j02_reach", ", strong AS (SELECT node1, node2 FROM both_e WHERE connections >= 2) SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN strong e ON b.contig_id = e.node1 UNION ALL SELECT b.bin_id, f.node2, 2 FROM brands b JOIN strong e ON b.contig_id = e.node1 JOIN strong f ON e.node2 = f.node1) GROUP BY 1, 2")
 def j02(t: Tables) -> DataFrame:
-    return J.reach(t.brands(), t.edges().where("connections >= 2"), 2)
+    return J.reach(t.brands(), t.edges().where("connections >= 2"), 2, t.tasks)
 
 
 @query("j04_connected_components")
@@ -496,8 +502,8 @@ def k09(t: Tables) -> DataFrame:
 @query("recruit", "SELECT bin_id, contig_id, connections FROM (SELECT *, count(*) OVER (PARTITION BY bin_id) AS k, rank() OVER (PARTITION BY bin_id ORDER BY connections DESC) AS r FROM near WHERE contig_id NOT IN (SELECT p_partkey FROM part WHERE p_size > 45)) WHERE k <= 20 OR r <= 19")
 def recruit(t: Tables) -> DataFrame:
     bad = t.part.where("p_size > 45").select(F.col("p_partkey").alias("contig_id"))
-    black = D.neighbours(t.brands(), t.edges()).join(bad, "contig_id", "left_semi").select("bin_id", "contig_id")
-    return P.recruit(t.brands(), t.edges(), black)
+    black = D.neighbours(t.brands(), t.edges(), t.tasks).join(bad, "contig_id", "left_semi").select("bin_id", "contig_id")
+    return P.recruit(t.brands(), t.edges(), black, n=t.tasks)
 
 
 def _mers(table: str, id_: str, name: str) -> str:

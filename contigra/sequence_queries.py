@@ -99,7 +99,7 @@ def i08_wide(t: Tables) -> DataFrame:
 @query("j03_reach_all", " SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN both_e e ON b.contig_id = e.node1 UNION ALL SELECT bin_id, f.node2, 2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1 UNION ALL SELECT bin_id, g.node2, 3 FROM (SELECT DISTINCT bin_id, f.node2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1) y JOIN both_e g ON y.node2 = g.node1) GROUP BY 1, 2")
 def j03_all(t: Tables) -> DataFrame:
     """J-2 and J-3 over all edges and three hops."""
-    return J.reach(t.brands(), t.edges(), 3)
+    return J.reach(t.brands(), t.edges(), 3, t.tasks)
 
 
 _REACHED = "SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, contig_id, 0 AS level FROM brands UNION ALL SELECT b.bin_id, e.node2, 1 FROM brands b JOIN both_e e ON b.contig_id = e.node1 UNION ALL SELECT bin_id, f.node2, 2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1 UNION ALL SELECT bin_id, g.node2, 3 FROM (SELECT DISTINCT bin_id, f.node2 FROM (SELECT DISTINCT b.bin_id, e.node2 FROM brands b JOIN both_e e ON b.contig_id = e.node1) x JOIN both_e f ON x.node2 = f.node1) y JOIN both_e g ON y.node2 = g.node1) GROUP BY 1, 2"
@@ -108,7 +108,7 @@ _REACHED = "SELECT bin_id, contig_id, min(level) AS level FROM (SELECT bin_id, c
 @query("j10_retrieval_all", f", found AS ({_REACHED}) SELECT bin_id, contig_id, level, cutoff FROM found JOIN depth USING (contig_id) JOIN fence USING (bin_id, sample_idx) CROSS JOIN (SELECT unnest([1.0::DOUBLE, 1.2, 1.5]) AS cutoff) WHERE level > 0 GROUP BY 1, 2, 3, 4 HAVING bool_and(depth >= q1 - cutoff * (q3 - q1) AND depth <= q3 + cutoff * (q3 - q1))")
 def j10_all(t: Tables) -> DataFrame:
     """J-10 over all edges, three levels and three cutoffs."""
-    return J.retrieval(t.brands(), t.edges(), t.depth())
+    return J.retrieval(t.brands(), t.edges(), t.depth(), n=t.tasks)
 
 
 @H.hit_query("g05_twin", " SELECT trial, CASE WHEN cpn - ctn > cpn0 - ctn0 AND cpn - 5 * ctn >= cpn0 - 5 * ctn0 THEN 'accept' WHEN cpn - ctn > cpn0 - ctn0 THEN 'deep' WHEN cpn > cpn0 AND cpn0 >= 40 AND ctn0 <= 10 AND ctn <= 50 THEN 'deep' WHEN (cpn - 5 * ctn < cpn0 - 5 * ctn0 OR cpn < cpn0) AND cpn0 >= 40 AND ctn0 <= 15 AND ctn <= 50 THEN 'deep' ELSE 'keep' END AS verdict FROM trials")

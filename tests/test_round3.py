@@ -1,8 +1,13 @@
 """What the reviews of round 3 found, on small tables."""
 
+import pytest
+
 import __spark_entry__
+from contigra.operators import graph as J
+from contigra.operators import joins as D
 from contigra.operators import ml as K
 from contigra.operators import sequences as Q
+from contigra.queries import Tables
 
 
 def rows(df, *columns):
@@ -26,3 +31,37 @@ def test_subsets_of_the_samples_that_a_contig_has(spark):
     depth = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, None), ("b", 1, 4.0), ("b", 3, 5.0), ("c", 2, 6.0)], "contig_id string, sample_idx int, depth double")
     got = sorted((c, tuple(s), tuple(d)) for c, s, d in K.sample_subsets(depth, 3, 2).collect())
     assert got == [("a", (1, 2), (1.0, 2.0)), ("a", (1, 3), (1.0, None)), ("a", (2, 3), (2.0, None)), ("b", (1, 3), (4.0, 5.0))]
+
+
+def test_reach_carries_bins_as_bits(spark, monkeypatch):
+    # a hub next to one contig of each of 100 bins (and of a bin without a name): all reach all in two steps, but no step writes a row a bin and contig
+    wrote, cut = [], J.cut
+    monkeypatch.setattr(J, "cut", lambda df: wrote.append(cut(df)) or wrote[-1])
+    drop = []
+    monkeypatch.setattr(J, "drop", lambda *frames: drop.extend(frames))
+    bins = [f"b{i:03}" for i in range(100)] + [None]
+    m = spark.createDataFrame([(b, i) for i, b in enumerate(bins)], "bin_id string, contig_id long")
+    e = spark.createDataFrame([(i, 1000) for i in range(0, 101, 2)] + [(1000, i) for i in range(1, 101, 2)] + [(1000, 2000)], "node1 long, node2 long")
+    got = sorted(((r[0] or "", r[1], r[2]) for r in J.reach(m, e, 4).collect()))
+    want = {(b or "", 1000): 1 for b in bins} | {(b or "", c): 2 for b in bins for c in [*range(101), 2000]} | {(b or "", i): 0 for i, b in enumerate(bins)}
+    assert got == sorted((b, c, level) for (b, c), level in want.items())
+    assert max(df.count() for df in wrote) <= 210 and len(want) > 10_000
+
+
+DEALT = ["a09_connections", "d03_bin_connections", "d08_hit_bins", "d11_neighbours", "d12_read_neighbours", "e02_condensed_edges", "fw5_third_largest", "j02_reach", "j03_reach_all", "j10_retrieval_all"]
+
+
+@pytest.mark.parametrize("name", DEALT)
+def test_many_tasks_give_the_same(spark, monkeypatch, name):
+    query = __spark_entry__.queries()[name]
+    plain = rows(query(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(D, "EACH", 500)
+    assert rows(query(spark, "/root/testdata/sf0.001")) == plain and plain
+
+
+def test_tasks_of_pairs_grow_with_the_lines(spark, monkeypatch):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert t.tasks is None
+    monkeypatch.setattr(D, "EACH", 500)
+    n = -(-t.lineitem.count() // 500)
+    assert t.tasks == n > 4 and t.edges().rdd.getNumPartitions() == n
