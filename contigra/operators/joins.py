@@ -79,8 +79,11 @@ def overlapping(a: DataFrame, b: DataFrame, on: list[str], ends_a: tuple[str, st
 
     An interval of length n lies in two bins at most of the least power of two that is not below n.  Two intervals meet in bins of the
     greater of both sizes: each row stands there for its own size and for every greater one that the other side has (64 at most).  Of the bins that
-    a pair shares only that of the later start counts.  Intervals that end before they start, and nulls, meet nothing.
+    a pair shares only that of the later start counts.  Intervals that end before they start, and nulls, meet nothing.  Rows of ``a`` beside
+    all that ``b`` has under their key are left out first.
     """
+    span = b.where(F.col(ends_b[0]) <= F.col(ends_b[1])).groupBy(*on).agg(F.min(ends_b[0]).alias("least_"), F.max(ends_b[1]).alias("most_"))
+    a = a.join(span, on).where((F.col(ends_a[0]) <= F.col("most_")) & (F.col(ends_a[1]) >= F.col("least_"))).drop("least_", "most_")
     level = lambda lo, hi: F.greatest(F.lit(0), F.ceil(F.log2(F.col(hi) - F.col(lo) + 1))).cast("int")
     a, b = (df.where(F.col(lo) <= F.col(hi)).withColumn(name, level(lo, hi)) for df, (lo, hi), name in ((a, ends_a, "la_"), (b, ends_b, "lb_")))
     sizes = sorted({r[0] for df, name in ((a, "la_"), (b, "lb_")) for r in df.select(name).distinct().collect()})  # 64 at most

@@ -35,13 +35,14 @@ two AS (SELECT p_partkey AS b, p_partkey % 100 AS k, CAST(10 * (p_partkey % 97)
 SELECT a, k, count(*) AS pairs, CAST(sum(least(one.hi, two.hi) - greatest(one.lo, two.lo) + 1) AS BIGINT) AS bases FROM one JOIN two USING (k) WHERE one.lo <= two.hi AND two.lo <= one.hi GROUP BY 1, 2""",
 )
 def d21(t: Tables) -> DataFrame:
-    """Ranges of all line items against ranges of parts, most of which begin or end where others do."""
+    """Ranges of all line items against ranges of parts, most of which begin or end where others do: parts of one range are met once, by their number."""
     one = t.lineitem.select(F.col("l_orderkey").alias("a"), (F.col("l_partkey") % 100).alias("k"), (F.col("l_suppkey") * 10).alias("lo1"), (F.col("l_suppkey") * 10 + F.col("l_quantity")).cast("long").alias("hi1"))
     low = 10 * (F.col("p_partkey") % 97)
-    two = t.part.select(F.col("p_partkey").alias("b"), (F.col("p_partkey") % 100).alias("k"), low.alias("lo2"), (low + F.col("p_size") * F.col("p_size")).cast("long").alias("hi2"))
+    two = t.part.select((F.col("p_partkey") % 100).alias("k"), low.alias("lo2"), (low + F.col("p_size") * F.col("p_size")).cast("long").alias("hi2"))
+    two = two.groupBy("k", "lo2", "hi2").agg(F.count(F.lit(1)).alias("w"))
     pairs = D.overlapping(one, two, ["k"], ("lo1", "hi1"), ("lo2", "hi2"))
     bases = F.least("hi1", "hi2") - F.greatest("lo1", "lo2") + 1
-    return pairs.groupBy("a", "k").agg(F.count(F.lit(1)).alias("pairs"), F.sum(bases).alias("bases"))
+    return pairs.groupBy("a", "k").agg(F.sum("w").alias("pairs"), F.sum(F.col("w") * bases).alias("bases"))
 
 
 @query("j11_scheduled")

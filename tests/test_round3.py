@@ -65,3 +65,21 @@ def test_tasks_of_pairs_grow_with_the_lines(spark, monkeypatch):
     monkeypatch.setattr(D, "EACH", 500)
     n = -(-t.lineitem.count() // 500)
     assert t.tasks == n > 4 and t.edges().rdd.getNumPartitions() == n
+
+
+def test_ranges_alike_meet_once(spark, tmp_path, monkeypatch):
+    # 97 * 100 * 40 parts of equal size lie in 9,700 ranges; rows of lines beside them all don't meet anything
+    spark.range(400).selectExpr("id as l_orderkey", "id * 7 as l_partkey", "id * 3 as l_suppkey", "cast(id % 50 as double) as l_quantity").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(97 * 100 * 40).selectExpr("id as p_partkey", "30 as p_size").write.parquet(str(tmp_path / "part.parquet"))
+    sides = []
+    meet = D.overlapping
+    monkeypatch.setattr(D, "overlapping", lambda a, b, *rest: sides.append(b) or meet(a, b, *rest))
+    got = rows(__spark_entry__.queries()["d21_overlapping"](spark, str(tmp_path)))
+    ends = [(10 * i, 10 * i + 900) for i in range(97)]
+    want = []
+    for i in range(400):
+        lo, hi = 30 * i, 30 * i + i % 50
+        shared = [min(hi, y) - max(lo, x) + 1 for x, y in ends if x <= hi and lo <= y]
+        if shared:
+            want.append((i, i * 7 % 100, 40 * len(shared), 40 * sum(shared)))
+    assert got == sorted(want) and sides[0].count() == 9_700
