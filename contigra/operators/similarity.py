@@ -163,8 +163,9 @@ def similar(queries: DataFrame, subjects: DataFrame, identity: float = 85, least
     s = subjects.select(F.col("id").alias("subject"), "seq")
     name = F.struct("query", "strand")
     one = _seeds(q.select(name.alias("name"), "seq"), "name", k, w).select("hash", "name", "size")
-    two = _seeds(s, "subject", k, w).select("hash", "subject", F.floor(F.col("at") / BIN).alias("bin")).distinct()
-    met = join_grid(one.distinct(), two, ["hash"]).groupBy("name", "subject", "bin").agg(F.first("size").alias("size"))
+    two = _seeds(s, "subject", k, w).select("hash", "subject", F.floor(F.col("at") / BIN).alias("bin"))
+    two = two.join(one.select("hash").distinct(), "hash", "left_semi")  # few subjects' seeds are any query's: the others stay where they are
+    met = join_grid(one.distinct(), two.distinct(), ["hash"]).groupBy("name", "subject", "bin").agg(F.first("size").alias("size"))
     by = Window.partitionBy("name", "subject").orderBy("bin")
     far = F.col("bin") - F.lag("bin").over(by) > 1 + F.ceil(2 * (F.col("size") + band) / BIN)
     met = met.withColumn("window", F.sum(F.coalesce(far, F.lit(False)).cast("int")).over(by))

@@ -1,5 +1,7 @@
 """What the reviews of round 3 found, on small tables."""
 
+import random
+
 import pytest
 
 import __spark_entry__
@@ -7,6 +9,7 @@ from contigra.operators import graph as J
 from contigra.operators import joins as D
 from contigra.operators import ml as K
 from contigra.operators import sequences as Q
+from contigra.operators import similarity as M
 from contigra.queries import Tables
 
 
@@ -83,3 +86,14 @@ def test_ranges_alike_meet_once(spark, tmp_path, monkeypatch):
         if shared:
             want.append((i, i * 7 % 100, 40 * len(shared), 40 * sum(shared)))
     assert got == sorted(want) and sides[0].count() == 9_700
+
+
+def test_only_seeds_of_queries_are_dealt(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ACGT", k=300)) for _ in range(40)]
+    make = lambda of: spark.createDataFrame(list(enumerate(of)), "id long, seq string")
+    sides, grid = [], M.join_grid
+    monkeypatch.setattr(M, "join_grid", lambda a, b, on: sides.append((a, b)) or grid(a, b, on))
+    got = rows(M.similar(make([texts[3]]), make(texts)), "query", "subject", "identity", "aligned")
+    seeds = {r[0] for r in sides[0][0].select("hash").collect()}
+    assert got == [(0, 3, 100.0, 300)] and {r[0] for r in sides[0][1].select("hash").collect()} == seeds
