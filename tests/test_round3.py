@@ -97,3 +97,24 @@ def test_only_seeds_of_queries_are_dealt(spark, monkeypatch):
     got = rows(M.similar(make([texts[3]]), make(texts)), "query", "subject", "identity", "aligned")
     seeds = {r[0] for r in sides[0][0].select("hash").collect()}
     assert got == [(0, 3, 100.0, 300)] and {r[0] for r in sides[0][1].select("hash").collect()} == seeds
+
+
+SHARED = ["b03_tsv", "b04_stage", "b07_bundle", "e05_symmetric", "e06_total_connections", "e14_aligned_share", "e17_supported", "j04_connected_components", "j10_retrieval"]
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_what_shares_the_dealt_steps(spark, monkeypatch, name):
+    # equal rows, and a shuffle over a task for each 500 lines, which the fixed number of partitions (4) would not have
+    query, sc = __spark_entry__.queries()[name], spark.sparkContext
+    plain = rows(query(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(D, "EACH", 500)
+    n = Tables(spark, "/root/testdata/sf0.001").tasks
+    sc.setJobGroup(name, name)
+    try:
+        assert rows(query(spark, "/root/testdata/sf0.001")) == plain
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(name)]
+        stages = [sc.statusTracker().getStageInfo(s) for j in jobs for s in j.stageIds]
+        assert n > 4 and n in {s.numTasks for s in stages if s}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
